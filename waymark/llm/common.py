@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -27,12 +29,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives a lost executor."""
-    spark = df.sparkSession
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of queries that are over, rather than at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
+
+
+def materialize(df: DataFrame, free: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives a lost executor. free: the shuffles behind it go."""
+    spark, schema = df.sparkSession, df.schema
     path = shared_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    if free:
+        release(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -248,7 +248,7 @@ def suffix_array_dedup(docs: DataFrame, threshold: int = THRESHOLD, anchor: int
     kinds = "a long, s long, did long, th long, start int, n int"
     flag = "kind byte, did long, th long, start int, n int"
     spans = rows.select("did", "th", "text").mapInArrow(_spans(threshold, anchor), kinds)
-    settled = materialize(spans.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag))
+    settled = materialize(spans.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag), free=True)
 
     place = F.struct("start", "n")
     mixed = settled.where("kind = 1").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
