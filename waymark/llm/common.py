@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows in an Arrow batch handed to a Python worker; texts can be long, so batches are short.
 BATCH_ROWS = 500
 
@@ -29,22 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of queries that are over, rather than at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.3)
-
+def materialize(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives a lost executor.
 
-def materialize(df: DataFrame, free: bool = False) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives a lost executor. free: the shuffles behind it go."""
-    spark, schema = df.sparkSession, df.schema
+    Spark deletes the shuffle files of the write as soon as it is over.
+    """
+    spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    del df
-    if free:
-        release(spark)
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -4,18 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import bpe_round_trip
 from .common import documents
+from .decontamination import overlaps
+from .license_join import license_join
+from .merkle_fixity import audit, damaged
+from .pii_bootstrap import personal_data_report
+from .quality_rules import quality_rules
+from .rans_tokens import rans_round_trip
+from .simhash_vptree import simhash_near_dedup
 from .suffix_dedup import suffix_array_dedup
+from .toxicity_nnpu import toxicity
+
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_suffix_array_dedup": op1_suffix_array_dedup,
-}
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages against a replica of them with known damage."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return audit(pages, damaged(pages)).select("page_id", "copy", "file", "offset", "length", "problem")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
+
+
+def op5_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(documents(spark, sf_dir))
+
+
+def op6_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_near_dedup(documents(spark, sf_dir))
+
+
+def op7_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans_round_trip(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
+def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join(documents(spark, sf_dir))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", "start_word", "item_word", "n_words", "n_equal", F.round("share", 6).alias("share"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_suffix_array_dedup, op2_merkle_fixity, op3_quality_rules, op4_bpe, op5_pii_bootstrap,
+    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination,
+)}
 
 ORACLES: dict[str, str] = {}

@@ -7,9 +7,12 @@ ranks that occur once leave. The sample is content-defined: each window of
 windows pick equal positions wherever they stand and no repeat is missed. All
 windows that share a pick travel as one span. Spans whose whole bytes are equal
 are settled in that sort. Where a rank repeats with different bytes around it,
-round two doubles: each window there is ranked by the pair (rank of its first
-half, rank of the half at the growing offset), which covers the threshold, and
-a second sort settles those windows one by one.
+the offset grows: round two ranks the pick together with the bytes up to the
+nearer half of a window on either side, one of which equal windows must share,
+and spans whose longer ranks are unique leave. Round three doubles once more:
+each window of what is left is ranked by the pair (rank of its first half, rank
+of the half at the offset), which covers the threshold, and a last sort settles
+those windows one by one.
 
 Ranks are 64-bit names of byte strings, always used in pairs from two
 independent hash functions, rather than ordinals, so no global count is needed.
@@ -36,6 +39,7 @@ ANCHOR = 20
 #: Window starts handled at once; bounds the worker's memory for texts of any length.
 CHUNK = 1 << 19
 
+#: n holds the number of windows in its low 16 bits and the place of the pick, from start, in the others.
 _SPAN = pa.schema([("a", pa.int64()), ("s", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 _FLAG = pa.schema([("kind", pa.int8()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 
@@ -130,7 +134,7 @@ def _spans(threshold: int, anchor: int):
                 n = np.diff(np.append(at, len(starts)))
                 start, pick = starts[at], pick[at]
                 doc = owner[start]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ranks[pick].view(np.int64), second.at(start, n - 1 + threshold).view(np.int64), did[doc], th[doc], start + lo - ends[doc], n), _SPAN)], schema=_SPAN)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ranks[pick].view(np.int64), second.at(start, n - 1 + threshold).view(np.int64), did[doc], th[doc], start + lo - ends[doc], n | (pick - start) << 16), _SPAN)], schema=_SPAN)
 
     return run
 
@@ -176,9 +180,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((np.repeat([0, 1], [len(out[0]), len(out[1])]).astype(np.int8), did[at], th[at], start[at], n[at]), _FLAG)], schema=_FLAG)
 
 
-def _doubled(threshold: int):
-    """The windows of mixed spans, named by the ranks of their two halves."""
-    half = threshold // 2
+def _over_spans(name):
+    """Documents with a list of spans to named rows; name(names, names, spans) works on at most 20 000 spans at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = _Names(0xC0FFEE11), _Names(0x5EED1E55)
@@ -188,20 +191,44 @@ def _doubled(threshold: int):
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 spans = np.unique(np.array([(x["start"], x["n"]) for x in spans], np.int64), axis=0)
                 for lo in range(0, len(spans), 20_000):
-                    some = spans[lo : lo + 20_000]
-                    low, high = int(some[0, 0]), int((some[:, 0] + some[:, 1]).max()) - 1 + threshold
-                    part = data[ends[i] + low : ends[i] + high]
-                    first.load(part)
-                    second.load(part)
-                    at = np.repeat(some[:, 0] - low, some[:, 1]) + np.arange(some[:, 1].sum()) - np.repeat(np.cumsum(some[:, 1]) - some[:, 1], some[:, 1])
-                    # the pair at offset `half`; the two names come from independent functions
-                    a = first.at(at, half) ^ (first.at(at + half, threshold - half) * np.uint64(3))
-                    s = second.at(at, half) + (second.at(at + half, threshold - half) * np.uint64(5))
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a.view(np.int64), s.view(np.int64), np.full(len(at), did[i]), np.full(len(at), th[i]), at + low, np.ones(len(at), np.int32)), _SPAN)], schema=_SPAN)
+                    start, n, off = spans[lo : lo + 20_000, 0], spans[lo : lo + 20_000, 1] & 0xFFFF, spans[lo : lo + 20_000, 1] >> 16
+                    low = int(start[0])
+                    first.load(data[ends[i] + low : ends[i + 1]][: int((start + n).max()) - low + 70_000])
+                    second.load(data[ends[i] + low : ends[i + 1]][: int((start + n).max()) - low + 70_000])
+                    a, s, at, n = name(first, second, start - low, n, off)
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a.view(np.int64), s.view(np.int64), np.full(len(a), did[i]), np.full(len(a), th[i]), at + low, n), _SPAN)], schema=_SPAN)
 
     return run
 
 
+def _longer(threshold: int, anchor: int):
+    """Spans named by the pick and the bytes before it, and by the pick and the bytes after it."""
+    half = (threshold - anchor + 1) // 2
+
+    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, off: np.ndarray):
+        pick, whole = start + off, second.at(start, n - 1 + threshold)
+        left, right = off >= half, off + anchor + half <= n - 1 + threshold
+        a = np.concatenate([first.at(pick[left] - half, anchor + half), ~first.at(pick[right], anchor + half)])
+        both = [np.concatenate([x[left], x[right]]) for x in (whole, start, n | off << 16)]
+        return a, *both
+
+    return name
+
+
+def _doubled(threshold: int):
+    """The windows of spans, named by the ranks of their two halves."""
+    half = threshold // 2
+
+    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, off: np.ndarray):
+        at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+        a = first.at(at, half) ^ (first.at(at + half, threshold - half) * np.uint64(3))
+        s = second.at(at, half) + (second.at(at + half, threshold - half) * np.uint64(5))
+        return a, s, at, np.ones(len(at), np.int32)
+
+    return name
+
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
@@ -217,7 +244,7 @@ def _cut(threshold: int, with_text: bool):
             start, n = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 text = data[ends[i] : ends[i + 1]]
-                lo, hi = start[off[i] : off[i + 1]], n[off[i] : off[i + 1]]
+                lo, hi = start[off[i] : off[i + 1]], n[off[i] : off[i + 1]] & 0xFFFF
                 runs = 0
                 if len(lo):
                     mark = np.zeros(len(text) + 1, np.int32)
@@ -241,19 +268,24 @@ def suffix_array_dedup(docs: DataFrame, threshold: int = THRESHOLD, anchor: int
     that repeat a doc_id are one document to the rule and each gets a row.
     Other columns are ignored. with_text adds the bytes that stay as `kept`.
     """
-    if not 2 <= anchor <= threshold:
-        raise ValueError("anchor must be between 2 and threshold")
+    if not 2 <= anchor <= threshold < 1 << 15:
+        raise ValueError("anchor must be between 2 and threshold, which is below 32768")
     small_batches(docs.sparkSession)
     rows = keyed(docs)
     kinds = "a long, s long, did long, th long, start int, n int"
     flag = "kind byte, did long, th long, start int, n int"
     spans = rows.select("did", "th", "text").mapInArrow(_spans(threshold, anchor), kinds)
-    settled = materialize(spans.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag), free=True)
+    settled = materialize(spans.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag))
 
     place = F.struct("start", "n")
-    mixed = settled.where("kind = 1").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
-    windows = rows.join(mixed, ["did", "th"]).select("did", "th", "text", "spans").mapInArrow(_doubled(threshold), kinds)
-    more = windows.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag)
-    gone = settled.unionByName(more).where("kind = 0").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
+
+    def again(mixed: DataFrame, name) -> DataFrame:
+        lists = mixed.where("kind = 1").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
+        named = rows.join(lists, ["did", "th"]).select("did", "th", "text", "spans").mapInArrow(_over_spans(name), kinds)
+        return named.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag)
+
+    longer = materialize(again(settled, _longer(threshold, anchor)))
+    windows = again(longer, _doubled(threshold))
+    gone = settled.unionByName(windows).where("kind = 0").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return rows.join(gone, ["did", "th"], "left").select("doc_id", "text", "spans").mapInArrow(_cut(threshold, with_text), out)
