@@ -1,12 +1,60 @@
-"""Corpus pipeline: quality rules, near-dedup, decontamination, PII and BPE, over documents."""
+"""Corpus pipeline: quality rules, near-dedup, decontamination, PII and BPE, over documents.
+
+Each stage works on what the one before kept. Rows are told apart by doc_id
+and text; rows that repeat both share their stage's decision.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from waymark.llm.bpe import bpe_round_trip
 from waymark.llm.common import documents, materialize
+from waymark.llm.decontamination import decontaminate
+from waymark.llm.pii_bootstrap import redact
+from waymark.llm.quality_rules import keep_good
+from waymark.llm.simhash_vptree import simhash_near_dedup
+
+WORD_BPE = "word_bpe_49k.json"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of least doc_id."""
+    groups = simhash_near_dedup(docs)
+    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    once = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return once.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of each document that is left."""
+    return bpe_round_trip(docs, public_tokenizers.path(WORD_BPE))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("BPE encoding and decoding", tokens),
+]
 
 #: The stages use sketches, trees and tokenizers that SQL can't express.
 ORACLE_SQL = None

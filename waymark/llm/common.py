@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from waymark.sources.shared import materialize, shared_dir  # noqa: F401  the operators take them from here
 
 #: Rows in an Arrow batch handed to a Python worker; texts can be long, so batches are short.
 BATCH_ROWS = 500
@@ -20,31 +18,6 @@ BATCH_ROWS = 500
 NULL_ID = (1 << 63) - 1
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="waymark-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives a lost executor.
-
-    Spark deletes the shuffle files of the write as soon as it is over.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of Python stages planned from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
