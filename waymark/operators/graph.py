@@ -165,27 +165,29 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def essential(edges: DataFrame) -> DataFrame:
-    """(node, pairs): for inner nodes of a DAG, the pairs (a, b) whose every trail runs through the node.
-
-    A node is on every trail where trails(a, x) * trails(x, b) = trails(a, b).
-    Trails between pairs are counted along the closure, level by level.
-    """
+def pair_counts(edges: DataFrame) -> DataFrame:
+    """(src, dst, n): trails between each pair of a DAG, summed along the closure level by level."""
     edges = materialize(edges.select("src", "dst").distinct())
     deep = levels(edges)
     top = deep.agg(F.max("depth")).first()[0] or 0
     counts = None
     for depth in range(1, top + 1):
         here = edges.join(deep.where(F.col("depth") == depth).select(F.col("node").alias("src")), "src", "left_semi")
-        direct = here.select("src", "dst", F.lit(1).cast("decimal(38,0)").alias("n"))
-        more = direct
+        more = here.select("src", "dst", F.lit(1).cast("decimal(38,0)").alias("n"))
         if counts is not None:
             via = counts.select(F.col("src").alias("mid"), F.col("dst").alias("end"), "n")
-            more = direct.union(here.join(via, here.dst == via.mid).select("src", F.col("end").alias("dst"), "n"))
+            more = more.union(here.join(via, here.dst == via.mid).select("src", F.col("end").alias("dst"), "n"))
         own = materialize(more.groupBy("src", "dst").agg(F.sum("n").cast("decimal(38,0)").alias("n")))
         counts = own if counts is None else counts.unionByName(own)
-    if counts is None:
-        return edges.select(F.col("src").alias("node"), F.lit(0).cast("long").alias("pairs")).limit(0)
+    return edges.withColumn("n", F.lit(1).cast("decimal(38,0)")).limit(0) if counts is None else counts
+
+
+def essential(edges: DataFrame) -> DataFrame:
+    """(node, pairs): for inner nodes of a DAG, the pairs (a, b) whose every trail runs through the node.
+
+    A node is on every trail where trails(a, x) * trails(x, b) = trails(a, b).
+    """
+    counts = pair_counts(edges)
     a = counts.select("src", F.col("dst").alias("node"), F.col("n").alias("na"))
     b = counts.select(F.col("src").alias("node"), "dst", F.col("n").alias("nb"))
     hit = a.join(b, "node").join(counts, ["src", "dst"]).where("na * nb = n")

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from waymark.plans import graph_queries, questions  # noqa: F401  registered on import
+from waymark.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

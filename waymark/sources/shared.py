@@ -32,4 +32,13 @@ def materialize(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.waymark_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of materialize() that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.waymark_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
