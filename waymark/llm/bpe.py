@@ -3,10 +3,11 @@
 Texts are split into words once, in blocks of documents: a block keeps each
 document as numbers of the block's own distinct words. Those words, dealt by
 their hash into buckets, make the distinct-word table, where each word is
-encoded once and its ids are joined with the id-to-piece table for decoding. A
-bucket's words join back to every block that holds them, and a block's words to
-the places of its documents. Words travel packed, one row for each block and
-bucket, since a row for each word would outweigh the text.
+encoded once. A bucket's words join back to every block that holds them, and a
+block's words to the places of its documents; there the ids of each distinct
+word join the id-to-piece table, whose size the vocabulary fixes. Words travel
+packed, one row for each block and bucket, since a row for each word would
+outweigh the text.
 
 A block and a bucket are bounded by BLOCK_BYTES and by the number of buckets; a
 word that is in every text is one entry for each block.
@@ -28,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .common import materialize, small_batches
+from .common import discard, materialize, small_batches
 
 #: Bytes of text in a block, at most, but for a single text that is longer.
 BLOCK_BYTES = 32 << 20
-#: Vocabulary entries that are broadcast for decoding, at most.
+#: Entries of the id-to-piece table that tasks hold, at most.
 MAX_VOCABULARY = 1_000_000
 
 #: Texts of these characters are split here; others by the tokenizer's own normalizer and splitter.
@@ -157,28 +158,24 @@ _CODED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.b
 
 
 def _join_back(key, left: pa.Table, right: pa.Table) -> pa.Table:
-    """A bucket's words (right) to each block's list of them (left): their ids and pieces, in the list's order."""
-    coded = dict(zip(right.column("word").to_pylist(), zip(right.column("ids_text").to_pylist(), right.column("pieces").to_pylist(), strict=True), strict=True))
+    """A bucket's words (right) to each block's list of them (left): their ids, in the list's order."""
+    coded = dict(zip(right.column("word").to_pylist(), right.column("ids").to_pylist(), strict=True))
     out = []
     for data in left.column("data").to_pylist():
-        found = [coded[w] for w in _unpack(data).decode().split(" ")]
-        out.append(_pack(("\n".join(x[0] for x in found) + "\0" + "\n".join(x[1] for x in found)).encode()))
+        out.append(_pack("\n".join([" ".join(map(str, coded[w])) for w in _unpack(data).decode().split(" ")]).encode()))
     return pa.table([left.column("block"), left.column("bucket"), pa.array(out, pa.binary())], schema=_CODED)
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.string()), ("decoded", pa.string())])
 
 
-def _rebuild(with_text: bool):
+def _rebuild(piece: dict[str, str], with_text: bool):
     fields = _OUT if with_text else pa.schema(list(_OUT)[:4])
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         """A block's documents (left) from the codes of its words (right)."""
-        ids_text, pieces = [], []
-        for data in right.sort_by("bucket").column("data").to_pylist():
-            a, b = _unpack(data).decode().split("\0")
-            ids_text += a.split("\n")
-            pieces += b.split("\n")
+        ids_text = [x for data in right.sort_by("bucket").column("data").to_pylist() for x in _unpack(data).decode().split("\n")]
+        pieces = [" ".join([piece[i] for i in x.split(" ")]) for x in ids_text]
         count = np.fromiter((x.count(" ") + 1 for x in ids_text), np.int64, len(ids_text))
         rows = []
         for docs, sizes, data in zip(*(left.column(c).to_pylist() for c in ("ids", "sizes", "data"))):
@@ -213,13 +210,12 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     coded = words.mapInArrow(_encode(path), "bucket int, word string, ids array<int>")
     tokenizer = Tokenizer.from_file(path)
     if tokenizer.get_vocab_size() > MAX_VOCABULARY:
-        raise ValueError("the vocabulary is too large to broadcast")
-    piece = spark.createDataFrame([(i, p) for p, i in tokenizer.get_vocab().items()], "id int, piece string")
-    spelled = coded.select("bucket", "word", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(piece), "id")
-    table = spelled.groupBy("bucket", "word").agg(F.sort_array(F.collect_list(F.struct("pos", "id", "piece"))).alias("t"))
-    table = materialize(table.select("bucket", "word", F.expr("array_join(transform(t, x -> cast(x.id as string)), ' ')").alias("ids_text"), F.expr("array_join(transform(t, x -> x.piece), ' ')").alias("pieces")))
+        raise ValueError("the vocabulary is too large for a task")
+    piece = {str(i): p for p, i in tokenizer.get_vocab().items()}
+    table = materialize(coded)
     back = materialize(lists.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_join_back, "block long, bucket int, data binary"))
+    discard(table)
 
     places = blocks.where("bucket = -1").select("block", "ids", "sizes", "data")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * with_text
-    return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(with_text), out)
+    return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(piece, with_text), out)

@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.sources.shared import materialize, shared_dir  # noqa: F401  the operators take them from here
+from waymark.sources.shared import discard, materialize, shared_dir  # noqa: F401  the operators take them from here
 
-#: Rows in an Arrow batch handed to a Python worker; texts can be long, so batches are short.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch handed to a Python worker, about: texts can be long, so bytes count.
+BATCH_ROWS, BATCH_BYTES = 20_000, "4m"
 
 #: Stands for a null document id inside joins: such rows sort after every real id.
 NULL_ID = (1 << 63) - 1
@@ -21,6 +21,7 @@ NULL_ID = (1 << 63) - 1
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of Python stages planned from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,9 +284,8 @@ def read_tokens(blocks: DataFrame, table: Table) -> DataFrame:
     totals = blocks.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each part of the file
     base = totals.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("base"))
     small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     pieces = blocks.join(F.broadcast(base), "part").mapInArrow(_read(table), "doc_id long, row long, start long, size long, at long, n long, crc long")
-    joined = F.udf(lambda parts: crc_joined([(p.crc, 4 * p.n) for p in parts]), "long")
+    joined = F.udf(lambda parts: crc_joined([(p.crc, 4 * p.n) for p in parts]) if parts else None, "long")
     whole = pieces.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.min("size").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("p"))
     crc = F.when(F.size("p") == 1, F.col("p")[0]["crc"]).otherwise(joined(F.when(F.size("p") > 1, F.col("p"))))
     return whole.select("doc_id", "start", "n_tokens", crc.alias("ids_crc32"))

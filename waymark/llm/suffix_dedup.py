@@ -39,7 +39,7 @@ ANCHOR = 20
 #: Window starts handled at once; bounds the worker's memory for texts of any length.
 CHUNK = 1 << 19
 
-#: n holds the number of windows in its low 16 bits and the place of the pick, from start, in the others.
+#: n holds the number of windows in its low 15 bits, then whether its rank reaches to the left, and the place of the pick, from start, above.
 _SPAN = pa.schema([("a", pa.int64()), ("s", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 _FLAG = pa.schema([("kind", pa.int8()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 
@@ -180,51 +180,69 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((np.repeat([0, 1], [len(out[0]), len(out[1])]).astype(np.int8), did[at], th[at], start[at], n[at]), _FLAG)], schema=_FLAG)
 
 
-def _over_spans(name):
-    """Documents with a list of spans to named rows; name(names, names, spans) works on at most 20 000 spans at once."""
+def _over_spans(threshold: int, name):
+    """Documents with lists of spans to named rows; name(first, second, starts, windows, left, pick) works on CHUNK bytes at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = _Names(0xC0FFEE11), _Names(0x5EED1E55)
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
             did, th = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "th"))
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                spans = np.unique(np.array([(x["start"], x["n"]) for x in spans], np.int64), axis=0)
-                for lo in range(0, len(spans), 20_000):
-                    start, n, off = spans[lo : lo + 20_000, 0], spans[lo : lo + 20_000, 1] & 0xFFFF, spans[lo : lo + 20_000, 1] >> 16
-                    low = int(start[0])
-                    first.load(data[ends[i] + low : ends[i + 1]][: int((start + n).max()) - low + 70_000])
-                    second.load(data[ends[i] + low : ends[i + 1]][: int((start + n).max()) - low + 70_000])
-                    a, s, at, n = name(first, second, start - low, n, off)
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a.view(np.int64), s.view(np.int64), np.full(len(a), did[i]), np.full(len(a), th[i]), at + low, n), _SPAN)], schema=_SPAN)
+            doc, start, n = _flat(batch.column("spans"))
+            place = np.unique(np.stack([ends[doc] + start, n, doc]), axis=1)  # repeated rows repeat their spans
+            at = 0
+            while at < place.shape[1]:
+                low = int(place[0, at])
+                to = max(at + 1, int(np.searchsorted(place[0], low + CHUNK)))
+                where, n, doc = place[:, at:to]
+                at = to
+                part = data[low : int((where + (n & 0x7FFF)).max()) + threshold - 1]
+                first.load(part)
+                second.load(part)
+                a, s, i, new_start, new_n = name(first, second, where - low, n & 0x7FFF, n >> 15 & 1, n >> 16)
+                if len(a):
+                    own = doc[i]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a.view(np.int64), s.view(np.int64), did[own], th[own], new_start + low - ends[own], new_n), _SPAN)], schema=_SPAN)
 
     return run
 
 
+def _flat(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and n of each entry of a column of span lists; null lists are empty."""
+    sizes = np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = spans.flatten()
+    return np.repeat(np.arange(len(spans)), sizes), flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64), flat.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _longer(threshold: int, anchor: int):
     """Spans named by the pick and the bytes before it, and by the pick and the bytes after it."""
     half = (threshold - anchor + 1) // 2
 
-    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, off: np.ndarray):
+    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, left: np.ndarray, off: np.ndarray):
         pick, whole = start + off, second.at(start, n - 1 + threshold)
-        left, right = off >= half, off + anchor + half <= n - 1 + threshold
-        a = np.concatenate([first.at(pick[left] - half, anchor + half), ~first.at(pick[right], anchor + half)])
-        both = [np.concatenate([x[left], x[right]]) for x in (whole, start, n | off << 16)]
-        return a, *both
+        i, j = np.flatnonzero(off >= half), np.flatnonzero(off + anchor + half <= n - 1 + threshold)
+        a = np.concatenate([first.at(pick[i] - half, anchor + half), ~first.at(pick[j], anchor + half)])
+        k = np.concatenate([i, j])
+        side = np.repeat([1, 0], [len(i), len(j)]) << 15
+        return a, whole[k], k, start[k], n[k] | side | off[k] << 16
 
     return name
 
 
-def _doubled(threshold: int):
-    """The windows of spans, named by the ranks of their two halves."""
-    half = threshold // 2
+def _doubled(threshold: int, anchor: int):
+    """Windows of spans, named by the ranks of their two halves: those that hold the longer rank that the span shares."""
+    half, reach = threshold // 2, (threshold - anchor + 1) // 2
 
-    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, off: np.ndarray):
-        at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+    def name(first: _Names, second: _Names, start: np.ndarray, n: np.ndarray, left: np.ndarray, off: np.ndarray):
+        lo = np.where(left == 1, 0, np.maximum(0, off + anchor + reach - threshold))
+        hi = np.where(left == 1, np.minimum(n, off - reach + 1), n)
+        size = np.maximum(0, hi - lo)
+        k = np.repeat(np.arange(len(n)), size)
+        at = (start + lo)[k] + np.arange(size.sum()) - (np.cumsum(size) - size)[k]
+        at, keep = np.unique(at, return_index=True)
         a = first.at(at, half) ^ (first.at(at + half, threshold - half) * np.uint64(3))
         s = second.at(at, half) + (second.at(at + half, threshold - half) * np.uint64(5))
-        return a, s, at, np.ones(len(at), np.int32)
+        return a, s, k[keep], at, np.ones(len(at), np.int64)
 
     return name
 
@@ -239,12 +257,11 @@ def _cut(threshold: int, with_text: bool):
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
             rows = []
-            spans = batch.column("spans")
-            flat, off = spans.flatten(), np.concatenate([[0], np.cumsum(np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))]).astype(np.int64)
-            start, n = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            owner, start, n = _flat(batch.column("spans"))
+            off = np.searchsorted(owner, np.arange(len(batch) + 1))
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 text = data[ends[i] : ends[i + 1]]
-                lo, hi = start[off[i] : off[i + 1]], n[off[i] : off[i + 1]] & 0xFFFF
+                lo, hi = start[off[i] : off[i + 1]], n[off[i] : off[i + 1]] & 0x7FFF
                 runs = 0
                 if len(lo):
                     mark = np.zeros(len(text) + 1, np.int32)
@@ -281,11 +298,11 @@ def suffix_array_dedup(docs: DataFrame, threshold: int = THRESHOLD, anchor: int
 
     def again(mixed: DataFrame, name) -> DataFrame:
         lists = mixed.where("kind = 1").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
-        named = rows.join(lists, ["did", "th"]).select("did", "th", "text", "spans").mapInArrow(_over_spans(name), kinds)
+        named = rows.join(lists, ["did", "th"]).select("did", "th", "text", "spans").mapInArrow(_over_spans(threshold, name), kinds)
         return named.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag)
 
     longer = materialize(again(settled, _longer(threshold, anchor)))
-    windows = again(longer, _doubled(threshold))
+    windows = again(longer, _doubled(threshold, anchor))
     gone = settled.unionByName(windows).where("kind = 0").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return rows.join(gone, ["did", "th"], "left").select("doc_id", "text", "spans").mapInArrow(_cut(threshold, with_text), out)
