@@ -101,7 +101,7 @@ def classified(url: Column | str, markup: Column | str, marker: str) -> Column:
 def kind_of(path: Column | str, markers: tuple[str, ...]) -> Column:
     """The one marker that is a whole segment of the path; null with none or several."""
     found = F.array_intersect(segments(path), F.array(*map(F.lit, markers)))
-    return F.when(F.size(found) == 1, found[0])
+    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
 
 
 def term_count(text: Column | str, term: str) -> Column:
@@ -111,4 +111,4 @@ def term_count(text: Column | str, term: str) -> Column:
 
 def first_term(text: Column | str, terms: tuple[str, ...]) -> Column:
     """The first of the terms, in their order, that the text contains."""
-    return F.filter(F.array(*map(F.lit, terms)), lambda t: F.contains(F.lower(_col(text)), t))[0]
+    return F.get(F.filter(F.array(*map(F.lit, terms)), lambda t: F.contains(F.lower(_col(text)), t)), F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waymark.plans import graph_queries, questions  # noqa: F401  registered on import
+from waymark.plans import columns, graph_queries, measures, questions, streams  # noqa: F401  registered on import
 from waymark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

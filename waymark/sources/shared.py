@@ -19,26 +19,28 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives a lost executor.
 
-    Spark deletes the shuffle files of the write as soon as it is over.
+    Spark deletes the shuffle files of the write as soon as it is over. by: a
+    column whose values get folders of their own, which can be discarded alone.
     """
     spark = df.sparkSession
     path = shared_dir(spark)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path).select(df.columns)
     out.waymark_path = path
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table of materialize() that nothing reads any more."""
+def discard(df: DataFrame, folder: str = "") -> None:
+    """Delete a table of materialize(), or a folder of it, that nothing reads any more."""
     spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.waymark_path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{df.waymark_path}/{folder}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
