@@ -203,9 +203,10 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     small_batches(spark)
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = materialize(rows.mapInArrow(_split(path, buckets), "block long, bucket int, ids array<long>, sizes array<int>, data binary"))
+    split = rows.mapInArrow(_split(path, buckets), "block long, bucket int, ids array<long>, sizes array<int>, data binary")
+    blocks = materialize(split.withColumn("listed", F.col("bucket") >= 0), by="listed")
 
-    lists = blocks.where("bucket >= 0").select("block", "bucket", "data")
+    lists = blocks.where("listed").select("block", "bucket", "data")
     words = lists.mapInArrow(_unfold, "bucket int, word string").distinct()
     coded = words.mapInArrow(_encode(path), "bucket int, word string, ids array<int>")
     tokenizer = Tokenizer.from_file(path)
@@ -215,7 +216,8 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     table = materialize(coded)
     back = materialize(lists.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_join_back, "block long, bucket int, data binary"))
     discard(table)
+    discard(blocks, "listed=true")
 
-    places = blocks.where("bucket = -1").select("block", "ids", "sizes", "data")
+    places = blocks.where("not listed").select("block", "ids", "sizes", "data")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * with_text
     return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(piece, with_text), out)

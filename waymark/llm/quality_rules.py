@@ -21,7 +21,7 @@ GROUP_ROWS = 200
 SKETCH_K = 400
 #: A value fails beyond upper quartile + FENCE * spread, where the spread is the quartile distance or at least FLOOR.
 FENCE = 4.0
-FLOOR = {"symbol_share": 0.02, "dup_line_share": 0.06, "repeat_share": 0.04, "mean_word": 0.6}
+FLOOR = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.08, "mean_word": 0.6}
 #: The lower fence, for features that can also be too small.
 LOW = ("mean_word",)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, materialize, small_batches, text_bytes
+from .common import discard, keyed, materialize, small_batches, text_bytes
 
 THRESHOLD = 50
 ANCHOR = 20
@@ -302,7 +302,8 @@ def suffix_array_dedup(docs: DataFrame, threshold: int = THRESHOLD, anchor: int
         return named.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag)
 
     longer = materialize(again(settled, _longer(threshold, anchor)))
-    windows = again(longer, _doubled(threshold, anchor))
+    windows = materialize(again(longer, _doubled(threshold, anchor)))
+    discard(longer)
     gone = settled.unionByName(windows).where("kind = 0").groupBy("did", "th").agg(F.collect_list(place).alias("spans"))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return rows.join(gone, ["did", "th"], "left").select("doc_id", "text", "spans").mapInArrow(_cut(threshold, with_text), out)
