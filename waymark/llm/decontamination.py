@@ -30,15 +30,19 @@ def _tokens(text: str) -> Column:
 
 
 def _seeds(mask: str) -> str:
-    args = ", ".join(f"_w[i + {k}]" for k, bit in enumerate(mask) if bit == "1")
-    return f"case when size(_w) >= {len(mask)} then transform(sequence(0, size(_w) - {len(mask)}), i -> xxhash64({args})) end"
+    args = ", ".join(f"_h[i + {k}]" for k, bit in enumerate(mask) if bit == "1")
+    return f"case when size(_h) >= {len(mask)} then transform(sequence(0, size(_h) - {len(mask)}), i -> xxhash64({args})) else array() end"
 
 
 def seeds(rows: DataFrame) -> DataFrame:
-    """rows with tokens `_w`: one row for each mask and place, as m, h and pos, beside the other columns."""
+    """rows with tokens `_w`: one row for each mask and place, as m, h and pos, beside the other columns.
+
+    Tokens are hashed once; the seeds of both masks are one array, so that a text is read and split once.
+    """
     keep = [c for c in rows.columns if c != "_w"]
-    parts = [rows.select(*keep, F.lit(m).alias("m"), F.expr(f"posexplode({_seeds(mask)}) as (pos, h)")) for m, mask in enumerate(MASKS)]
-    return parts[0].unionByName(parts[1])
+    first = f"greatest(size(_h) - {len(MASKS[0]) - 1}, 0)"
+    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, MASKS))})) as (_at, h)")
+    return every.selectExpr(*keep, "if(_at < _n, 0, 1) as m", "h", "if(_at < _n, _at, _at - _n) as pos")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
