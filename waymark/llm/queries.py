@@ -73,4 +73,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_merkle_fixity": r"""WITH r AS (SELECT page_id, CAST(floor(page_id / 4096) AS BIGINT) AS file,
+        CAST(octet_length(encode(concat(E'WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: ', url, E'\r\nContent-Length: ', octet_length(encode(html)), E'\r\n\r\n', html, E'\r\n\r\n'))) AS BIGINT) AS length FROM pages),
+      o AS (SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id) - length AS BIGINT) AS "offset" FROM r)
+      SELECT page_id, CAST(0 AS BIGINT) AS copy, file, "offset", length, CASE WHEN page_id % 1499 = 1 THEN 'missing' ELSE 'changed' END AS problem
+      FROM o WHERE page_id % 997 = 0 OR page_id % 1499 = 1""",
+}
