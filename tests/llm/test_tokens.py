@@ -63,7 +63,7 @@ def test_rans_round_trip_equals_the_library(spark):
 
 
 def test_segments_decode_alone_and_checksums_catch_damage(spark):
-    docs = spark.createDataFrame([(i, f"text {i} " * 1600) for i in range(300)], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, f"text {i} " * 1600) for i in range(600)], "doc_id long, text string")
     blocks, table, _ = m.write_tokens(docs, BYTE)
     block = max((r.asDict(recursive=True) for r in blocks.collect()), key=lambda b: b["n"])
     whole = m.decode_block(table, block)

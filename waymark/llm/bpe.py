@@ -22,14 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .common import discard, materialize, small_batches
+from .common import DIGITS, LETTERS, PLAIN, discard, materialize, small_batches
 
 #: Bytes of text in a block, at most, but for a single text that is longer.
 BLOCK_BYTES = 32 << 20
@@ -37,7 +36,8 @@ BLOCK_BYTES = 32 << 20
 MAX_VOCABULARY = 1_000_000
 
 #: Texts of these characters are split here; others by the tokenizer's own normalizer and splitter.
-_PLAIN = re.compile("[\t-\r -~¡-ſ]*").fullmatch
+_PLAIN = re.compile(PLAIN).fullmatch
+_FIND = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\t-\r {LETTERS}{DIGITS}]+").findall
 
 
 class WordSplitter:
@@ -49,7 +49,6 @@ class WordSplitter:
         self.tokenizer.no_padding()
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def words(self, text: str) -> list[str]:
@@ -59,7 +58,7 @@ class WordSplitter:
 
     def _plain(self, text: str) -> list[str]:
         if _PLAIN(text):
-            return self.find(text.lower())
+            return _FIND(text.lower())
         normal = self.tokenizer.normalizer.normalize_str(text)
         return [normal[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 

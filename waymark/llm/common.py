@@ -14,6 +14,10 @@ from waymark.sources.shared import discard, materialize, shared_dir  # noqa: F40
 #: Rows and bytes of an Arrow batch handed to a Python worker, about: texts can be long, so bytes count.
 BATCH_ROWS, BATCH_BYTES = 20_000, "4m"
 
+#: Texts of white space, ASCII and Latin letters only, and the letters and digits among those characters.
+PLAIN = "[\t-\r -~\u00a1-\u017f]*"
+LETTERS, DIGITS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+
 #: Stands for a null document id inside joins: such rows sort after every real id.
 NULL_ID = (1 << 63) - 1
 

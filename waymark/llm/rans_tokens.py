@@ -11,58 +11,78 @@ the id stream plus the frequency table. Blocks also list the documents in them.
 
 from __future__ import annotations
 
+import array
+import functools
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
-from .common import NULL_ID, materialize, shared_dir, small_batches
+from .common import DIGITS, LETTERS, NULL_ID, PLAIN, materialize, shared_dir, small_batches
 
 END_ID = 2
 #: States of a block, steps of them in a segment, and segments in a block.
-LANES, STEPS, SEGMENTS = 512, 128, 2
+LANES, STEPS, SEGMENTS = 1024, 128, 2
 #: Bits of the sum of all frequencies.
 SCALE = 20
 LOW = np.uint64(1 << 31)
 #: Words kept in a worker's cache of encoded words.
-CACHE = 400_000
+CACHE = 1_000_000
 
-_PLAIN = re.compile("[\t-\r -~¡-ſ]*").fullmatch
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+_PLAIN = re.compile(PLAIN).fullmatch
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\t-\r {LETTERS}{DIGITS}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+
+
+def _ranks(tokenizer: Tokenizer) -> dict[bytes, int]:
+    """The byte strings of a byte-level vocabulary, whose ids are its merge ranks."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+    special = tokenizer.get_added_tokens_decoder()
+    return {bytes(letter[c] for c in piece): i for piece, i in tokenizer.get_vocab().items() if i not in special}
 
 
 class Encoder:
-    """Ids of a text as the tokenizer gives them; pieces of plain texts are encoded once and remembered."""
+    """Ids of a text as the tokenizer gives them.
+
+    Plain texts are split into the tokenizer's pieces; each piece is merged once,
+    by tiktoken over the tokenizer's own ranks, and remembered as bytes. Other
+    texts, and those with special tokens, go through the tokenizer whole.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.known: dict[str, list[int]] = {}
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = [t.id for part, _ in self.bytes.pre_tokenize_str(piece) for t in self.tokenizer.model.tokenize(part)]
-        if len(self.known) >= CACHE:
-            self.known.clear()
-        self.known[piece] = ids
-        return ids
+        self.merge = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=_ranks(self.tokenizer), special_tokens={}).encode_ordinary
+        self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         if not _PLAIN(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        known, out = self.known.get, []
-        for piece in _PIECES(text):
-            out += known(piece) or self._piece(piece)
-        return np.array(out, np.uint32)
+        pieces, known = _PIECES(text), self.known
+        new = [p for p in pieces if p not in known]
+        if new:
+            if len(known) >= CACHE:
+                known.clear()
+                new = pieces
+            for piece in new:
+                if piece not in known:
+                    known[piece] = array.array("I", self.merge(piece)).tobytes()
+        return np.frombuffer(b"".join([known[p] for p in pieces]), "<u4")
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker, whose tasks share what it remembers."""
+    return Encoder(path)
 
 
 class Table:
@@ -130,9 +150,9 @@ def _tokens(path: str, end: int):
     import zstandard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pack = Encoder(path), zstandard.ZstdCompressor(1)
+        own, pack = encoder(path), zstandard.ZstdCompressor(1)
         for batch in batches:
-            found = [np.append(encoder.encode(t.as_py()), np.uint32(end)) for t in batch.column("text")]
+            found = [np.append(own.encode(t.as_py()), np.uint32(end)) for t in batch.column("text")]
             data = [pack.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes()) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("did"), batch.column("th"), pa.array([len(x) for x in found], pa.int64()), pa.array(data, pa.binary())], schema=_IDS)
 
@@ -148,13 +168,12 @@ def _unpacked(data: bytes) -> np.ndarray:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1, np.int64)
     for batch in batches:
-        for data in batch.column("ids").to_pylist():
-            own = np.bincount(_unpacked(data))
-            if len(own) > len(total):
-                own[: len(total)] += total
-                total = own
-            else:
-                total[: len(own)] += own
+        own = np.bincount(np.concatenate([_unpacked(data) for data in batch.column("ids").to_pylist()] or [np.zeros(0, np.uint32)]))
+        if len(own) > len(total):
+            own[: len(total)] += total
+            total = own
+        else:
+            total[: len(own)] += own
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
