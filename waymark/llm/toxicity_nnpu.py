@@ -26,9 +26,9 @@ from .common import materialize, small_batches
 BITS = 18
 STARTS = (4, 5, 6, 7, 8)
 #: Training rows of confirmed toxic and of unlabelled texts, at most: the bound of the sample.
-MAX_POSITIVE, MAX_UNLABELLED = 5_000, 10_000
+MAX_POSITIVE, MAX_UNLABELLED = 2_500, 6_000
 #: Distinct words of a training text that are used, at most; chosen by hash. Scoring uses all.
-TRAIN_WORDS = 600
+TRAIN_WORDS = 400
 EPOCHS, RATE, DECAY = 120, 0.05, 3e-5
 CUT = 0.3
 #: Words kept in a worker's cache of word weights.
@@ -44,13 +44,13 @@ def features(word: str) -> list[int]:
 
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("positive", pa.bool_()), ("toxic", pa.int32()), ("n", pa.int32()), ("at", pa.list_(pa.int32()))])
+    schema = pa.schema([("positive", pa.bool_()), ("toxic", pa.int32()), ("n", pa.int32()), ("at", pa.binary())])
     for batch in batches:
         ats, ns = [], []
         for text in batch.column("text"):
             words = sorted(set(_LETTERS(text.as_py().lower())), key=lambda w: zlib.crc32(w.encode()))
             ns.append(len(words))
-            ats.append([f for w in words[:TRAIN_WORDS] for f in features(w)])
+            ats.append(np.array([f for w in words[:TRAIN_WORDS] for f in features(w)], "<i4").tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("toxic"), pa.array(ns, pa.int32()), pa.array(ats, schema.field("at").type)], schema=schema)
 
 
@@ -84,6 +84,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_positive: np
     value = (1 / np.sqrt(np.maximum(1, np.concatenate([n_positive, n_unlabelled]))))[owner]
     w, b = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
     p = np.arange(len(rows)) < len(positive)
+    mean_w, mean_b = np.zeros_like(w), 0.0
     m1, m2, s1, s2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for k in range(1, EPOCHS + 1):
         z = b + np.bincount(owner, value * w[at], len(rows))
@@ -106,7 +107,17 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_positive: np
         c1, c2 = 1 - 0.9**k, 1 - 0.999**k
         w -= RATE * (m1 / c1) / (np.sqrt(m2 / c2) + 1e-10)
         b -= RATE * (s1 / c1) / (np.sqrt(s2 / c2) + 1e-10)
-    return Model(w, float(b))
+        if k > EPOCHS // 2:  # the mean of the later steps: reversed gradients make single ones jump
+            mean_w += w
+            mean_b += b
+    w, b = mean_w / (EPOCHS - EPOCHS // 2), mean_b / (EPOCHS - EPOCHS // 2)
+    # scores are calibrated by the class prior: their mean over unlabelled texts is the share of toxic ones
+    z = (b + np.bincount(owner, value * w[at], len(rows)))[~p]
+    low, high = -20.0, 20.0
+    for _ in range(50 if len(z) else 0):
+        mid = (low + high) / 2
+        low, high = (low, mid) if (1 / (1 + np.exp(-np.clip(z + mid, -40, 40)))).mean() > prior else (mid, high)
+    return Model(w, float(b + (low + high) / 2))
 
 
 def _fold(column: str = "doc_id"):
@@ -129,9 +140,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     picked_u = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.coalesce(_fold() != 2, F.lit(False))).distinct().orderBy(order).limit(MAX_UNLABELLED).select("doc_id", F.lit(False).alias("positive"), F.lit(-1).alias("toxic"))
     picked = materialize(picked_p.union(picked_u))
     bound = F.broadcast(picked)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
-    rows = texts.join(bound, "doc_id").select("positive", "toxic", "text").mapInArrow(_featurize, "positive boolean, toxic int, n int, at array<int>").toArrow()
+    rows = texts.join(bound, "doc_id").select("positive", "toxic", "text").mapInArrow(_featurize, "positive boolean, toxic int, n int, at binary").toArrow()
     side = np.array(rows.column("positive").to_pylist(), bool)
-    at = [np.array(x, np.int32) for x in rows.column("at").to_pylist()]
+    at = [np.frombuffer(x, "<i4") for x in rows.column("at").to_pylist()]
     n = np.array(rows.column("n").to_pylist(), float)
     return fit([a for a, s in zip(at, side) if s], [a for a, s in zip(at, side) if not s], n[side], n[~side], prior)
 
