@@ -1,7 +1,7 @@
 """Corpus pipeline: quality rules, near-dedup, decontamination, PII and BPE, over documents.
 
-Each stage works on what the one before kept. Rows are told apart by doc_id
-and text; rows that repeat both share their stage's decision.
+Each stage works on what the one before kept. Near-dedup keeps one row of each
+group; in the other stages, rows that repeat doc_id and text share the decision.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from waymark.llm.bpe import bpe_round_trip
 from waymark.llm.common import documents, materialize
 from waymark.llm.decontamination import decontaminate
+from waymark.llm.near_copies import drop_near_copies
 from waymark.llm.pii_bootstrap import redact
 from waymark.llm.quality_rules import keep_good
-from waymark.llm.simhash_vptree import simhash_near_dedup
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -26,11 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of least doc_id."""
-    groups = simhash_near_dedup(docs)
-    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    once = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return once.select(*docs.columns)
+    """One row of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +47,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
-    ("SimHash near-dedup", near_dedup),
+    ("near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("PII", personal_data),
     ("BPE encoding and decoding", tokens),
 ]
 
-#: The stages use sketches, trees and tokenizers that SQL can't express.
+#: The stages use sketches, exact set joins and tokenizers that SQL can't express.
 ORACLE_SQL = None
 
 
