@@ -2,20 +2,27 @@ r"""Benchmark decontamination by spaced-seed hashing, with built-in SQL function
 
 A seed is the hash of the tokens at the positions that a fixed mask keeps, so a
 substituted token at an ignored position does not change it. Seeds of documents
-and benchmark items are joined on (mask, hash); hits on one diagonal (place in
-the text minus place in the item) are one overlap, which is verified token by
-token over the stretch its hits span, and counted only with enough equal tokens.
+and benchmark items are joined on (mask, hash); each diagonal (place in the text
+minus place in the item) with a hit is then compared token by token.
+
+`passages` is what the query and the pipeline use. Its masks lose nothing: m
+substitutions leave at most m + 1 runs of equal tokens, so 12 equal tokens that
+are 70 % of their stretch hold a run of three, unless they are six or seven
+pairs with one substitution between each two, which hold 11011. `overlaps` is
+the narrower form that judges only the span of the hits of longer masks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, materialize
 
 #: Kept positions of each mask; the zeros tolerate substitutions, also one in every five tokens.
 MASKS = ("11011110111", "1110110010111")
+#: The masks of `passages`: every stretch with MIN_EQUAL and MIN_SHARE holds one of them.
+SEEDS = ("111", "11011")
 #: Equal tokens that an overlap needs, and their least share of the stretch.
 MIN_EQUAL = 12
 MIN_SHARE = 0.7
@@ -34,14 +41,14 @@ def _seeds(mask: str) -> str:
     return f"case when size(_h) >= {len(mask)} then transform(sequence(0, size(_h) - {len(mask)}), i -> xxhash64({args})) else array() end"
 
 
-def seeds(rows: DataFrame) -> DataFrame:
+def seeds(rows: DataFrame, masks: tuple[str, str] = MASKS) -> DataFrame:
     """rows with tokens `_w`: one row for each mask and place, as m, h and pos, beside the other columns.
 
     Tokens are hashed once; the seeds of both masks are one array, so that a text is read and split once.
     """
     keep = [c for c in rows.columns if c != "_w"]
-    first = f"greatest(size(_h) - {len(MASKS[0]) - 1}, 0)"
-    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, MASKS))})) as (_at, h)")
+    first = f"greatest(size(_h) - {len(masks[0]) - 1}, 0)"
+    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, masks))})) as (_at, h)")
     return every.selectExpr(*keep, "if(_at < _n, 0, 1) as m", "h", "if(_at < _n, _at, _at - _n) as pos")
 
 
@@ -72,8 +79,43 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.where((F.col("n_equal") >= MIN_EQUAL) & (F.col("share") >= MIN_SHARE)).distinct()
 
 
+def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Every stretch of a document and an item with MIN_EQUAL equal tokens at MIN_SHARE, without insertions.
+
+    Columns as in `overlaps`. For each end, the stretch that holds enough equal
+    tokens with the most above its share; of those with one start, the longest.
+    Null texts have no tokens. Items are told apart by item_id and tokens, null
+    item_ids and doc_ids are kept, and items under MIN_EQUAL tokens can't be found.
+    """
+    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"), "text")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens("text").alias("_i")).distinct()
+    items = materialize(items.where(F.size("_i") >= MIN_EQUAL).withColumn("iid", F.xxhash64(F.coalesce("item_id", F.lit(NULL_ID)), "_i")))
+    known = materialize(seeds(items.select("iid", F.col("_i").alias("_w")), SEEDS).withColumnRenamed("pos", "item_pos"))
+    if known.count() <= BROADCAST_SEEDS:
+        known = F.broadcast(known)
+    hits = seeds(text.select("did", "rid", _tokens("text").alias("_w")), SEEDS).join(known, ["m", "h"])
+    found = materialize(hits.select("did", "rid", "iid", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
+    # Tokens are made below the joins: above them the filter would split the text again for each token compared.
+    both = found.join(text.select("did", "rid", _tokens("text").alias("_w")), ["did", "rid"]).join(items, "iid")
+    equal = F.expr("transform(sequence(greatest(0, -shift), least(size(_i), size(_w) - shift) - 1), k -> get(_w, k + shift) = _i[k])")
+    key = ["did", "rid", "iid", "shift"]
+    both = both.select(*key, "item_id", F.expr("greatest(0, -shift)").alias("from"), equal.alias("eq")).where(F.size(F.filter("eq", lambda x: x)) >= MIN_EQUAL).distinct()
+    # One row for each place between tokens; the row at place k holds what is counted before it.
+    rows = materialize(both.selectExpr(*key, "item_id", "from", "posexplode(concat(array(false), eq)) as (at, same)"))
+    so_far = Window.partitionBy(*key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    step = F.when(F.col("at") == 0, 0).otherwise(F.when(F.col("same"), 10).otherwise(0) - int(10 * MIN_SHARE))
+    rows = rows.withColumns({"score": F.sum(step).over(so_far), "n": F.sum(F.col("same").cast("long")).over(so_far)})
+    enough = Window.partitionBy(*key).orderBy("n").rangeBetween(Window.unboundedPreceding, -MIN_EQUAL)
+    ends = rows.withColumn("lo", F.min(F.struct("score", "at", "n")).over(enough)).where("same and score >= lo.score")
+    ends = ends.groupBy(*key, "item_id", "from", "lo").agg(F.max(F.struct("at", "n")).alias("hi"))
+    out = ends.select(
+        F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "rid", "item_id", F.expr("cast(from + lo.at + shift as bigint)").alias("start_word"),
+        F.expr("cast(from + lo.at as bigint)").alias("item_word"), F.expr("cast(hi.at - lo.at as bigint)").alias("n_words"), F.expr("hi.n - lo.n").alias("n_equal"))
+    return out.withColumn("share", F.col("n_equal") / F.col("n_words"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents without a verified overlap, with all their columns."""
-    bad = overlaps(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_d"), F.col("rid").alias("_r")).distinct()
+    """The rows of documents without a passage of an item, with all their columns."""
+    bad = passages(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_d"), F.col("rid").alias("_r")).distinct()
     key = {"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_r": F.xxhash64(F.coalesce("text", F.lit("")))}
     return docs.withColumns(key).join(bad, ["_d", "_r"], "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import documents
-from .decontamination import overlaps
+from .decontamination import passages
 from .license_join import license_join
 from .merkle_fixity import audit, damaged
 from .pii_bootstrap import personal_data_report
@@ -64,7 +64,7 @@ def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "item_id", "start_word", "item_word", "n_words", "n_equal", F.round("share", 6).alias("share"))
 
 
