@@ -4,7 +4,6 @@ import re
 
 from waymark.llm import license_join as lic
 from waymark.llm import pii_bootstrap as pii
-from waymark.llm.decontamination import decontaminate, overlaps
 from waymark.llm.merkle_fixity import audit, damaged
 
 
@@ -100,29 +99,6 @@ def test_license_join_against_brute_force(spark):
     assert lic.license_join(docs.limit(0)).count() == 0
 
 
-def test_decontamination(spark):
-    rnd = random.Random(2)
-    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
-    items = [(i, " ".join(word() for _ in range(40))) for i in range(5)] + [(9, None), (10, "too short")]
-    fresh = lambda n: " ".join(word() for _ in range(n))
-    rows = [(i, fresh(200)) for i in range(30)]
-    whole = items[0][1].split()
-    swapped = [word() if k % 5 == 2 else w for k, w in enumerate(items[1][1].split())]
-    rows += [(100, fresh(50) + " " + " ".join(whole) + ". " + fresh(9)), (101, " ".join(swapped)), (102, " ".join(whole[:14]).upper()), (103, None), (104, ""), (None, items[2][1]), (100, fresh(20))]
-    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
-    bench = spark.createDataFrame([(*i, "q") for i in items], "item_id long, text string, doc_id string")
-    found = {(r.doc_id, r.item_id): r for r in overlaps(docs, bench).collect()}
-    assert set(found) == {(100, 0), (101, 1), (102, 0), (None, 2)}
-    assert found[100, 0].start_word == 50 and found[100, 0].n_equal == 40
-    r, other = found[101, 1], items[1][1].split()
-    assert r.n_words >= 30 and r.start_word == r.item_word  # the stretch ends with its outermost hits
-    assert r.n_equal == sum(swapped[k] == other[k] for k in range(r.item_word, r.item_word + r.n_words))
-    kept = decontaminate(docs, bench)
-    assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([str(i) for i in range(30)] + ["103", "104", "100"])
-    assert overlaps(docs.limit(0), bench).count() == 0 and overlaps(docs, bench.limit(0)).count() == 0
-
-
 def test_merkle_audit(spark):
     rows = [(i * 7, f"http://h/{i}", f"<p>{i}</p>") for i in range(700)] + [(7, "http://h/again", None), (None, None, "x"), (7, "http://h/again", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -133,47 +109,3 @@ def test_merkle_audit(spark):
     assert got == {(70, "missing"), (63, "changed"), (5, "added")}
     lost = {(r.page_id, r.problem) for r in audit(pages, damaged(pages)).collect()}
     assert lost == {(i * 7, "changed") for i in range(700) if i * 7 % 997 == 0} | {(i * 7, "missing") for i in range(700) if i * 7 % 1499 == 1}
-
-
-def seeds_brute(docs, items):
-    from waymark.llm.decontamination import MASKS, MIN_EQUAL, MIN_SHARE
-
-    tokens = lambda t: [w for w in re.split(r"[^\w]|_", (t or "").lower()) if w]
-    out = set()
-    for d, text in docs:
-        w, spans = tokens(text), {}
-        for item, it in items:
-            v = tokens(it)
-            for mask in MASKS:
-                keep = [k for k, b in enumerate(mask) if b == "1"]
-                at = {}
-                for j in range(len(v) - len(mask) + 1):
-                    at.setdefault(tuple(v[j + k] for k in keep), []).append(j)
-                for i in range(len(w) - len(mask) + 1):
-                    for j in at.get(tuple(w[i + k] for k in keep), []):
-                        lo, hi = spans.get((item, it, i - j), (j, 0))
-                        spans[item, it, i - j] = (min(lo, j), max(hi, j + len(mask)))
-        for (item, it, shift), (lo, hi) in spans.items():
-            v = tokens(it)
-            n = sum(0 <= k + shift < len(w) and w[k + shift] == v[k] for k in range(lo, hi))
-            if n >= MIN_EQUAL and n / (hi - lo) >= MIN_SHARE:
-                out.add((d, item, lo + shift, lo, hi - lo, n))
-    return out
-
-
-def test_decontamination_against_brute_force(spark):
-    rnd = random.Random(12)
-    word = lambda: "".join(rnd.choices("abc\u00e9", k=2))
-    items = [(i, " ".join(word() for _ in range(rnd.randint(8, 50)))) for i in range(12)] + [(3, "a b c " * 20)]
-    docs = []
-    for i in range(60):
-        own = [word() for _ in range(rnd.randint(0, 60))]
-        part = rnd.choice(items)[1].split()
-        lo = rnd.randint(0, max(0, len(part) - 15))
-        part = [w if rnd.random() > 0.12 else word() for w in part[lo : lo + rnd.randint(10, 60)]]
-        at = rnd.randint(0, len(own))
-        docs.append((i, " ".join(own[:at] + part + own[at:])))
-    docs += [(100, "a b c " * 30), (100, docs[0][1])]
-    got = overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert {(r.doc_id, r.item_id, r.start_word, r.item_word, r.n_words, r.n_equal) for r in got} == seeds_brute(docs, items)
-    assert len(got) > 20

@@ -32,6 +32,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, lengthened where the table already has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text (null: empty), did (null id: last) and th, which tells rows of one id apart."""
     text = F.coalesce(F.col("text"), F.lit(""))

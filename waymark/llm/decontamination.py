@@ -2,14 +2,17 @@ r"""Benchmark decontamination by spaced-seed hashing, with built-in SQL function
 
 A seed is the hash of the tokens at the positions that a fixed mask keeps, so a
 substituted token at an ignored position does not change it. Seeds of documents
-and benchmark items are joined on (mask, hash); each diagonal (place in the text
-minus place in the item) with a hit is then compared token by token.
-
-`passages` is what the query and the pipeline use. Its masks lose nothing: m
-substitutions leave at most m + 1 runs of equal tokens, so 12 equal tokens that
-are 70 % of their stretch hold a run of three, unless they are six or seven
-pairs with one substitution between each two, which hold 11011. `overlaps` is
-the narrower form that judges only the span of the hits of longer masks.
+and benchmark items are joined on their hash (the mask's number is hashed too),
+hits are counted for each diagonal (place in the text minus place in the item),
+and diagonals with enough of them are compared token by token: each stretch
+around their hits is judged by itself, extended both ways as far as its share
+of equal tokens allows.
+
+The masks lose nothing: m substitutions leave at most m + 1 runs of equal
+tokens, so 12 equal tokens that are 70 % of their stretch hold a run of three,
+unless they are six or seven pairs with one substitution between each two, which
+hold 11011. Every such stretch holds at least MIN_HITS seeds, so diagonals with
+fewer, nearly all chance hits, need no comparison.
 """
 
 from __future__ import annotations
@@ -17,105 +20,104 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, materialize
+from .common import NULL_ID, discard, free_names, materialize
 
-#: Kept positions of each mask; the zeros tolerate substitutions, also one in every five tokens.
-MASKS = ("11011110111", "1110110010111")
-#: The masks of `passages`: every stretch with MIN_EQUAL and MIN_SHARE holds one of them.
+#: Kept positions of each mask: every stretch with MIN_EQUAL and MIN_SHARE holds one of them.
 SEEDS = ("111", "11011")
-#: Equal tokens that an overlap needs, and their least share of the stretch.
+#: Equal tokens that an overlap needs, and their least share of the stretch. A shorter item must be there whole.
 MIN_EQUAL = 12
 MIN_SHARE = 0.7
-#: Most benchmark seeds (two longs and two ints each) that are broadcast; beyond it the join shuffles.
+#: Seeds that every overlap holds, at least (the least over all patterns of equal and other tokens).
+MIN_HITS = 3
+#: Tokens of an item, at least: one or two words are no evidence of a benchmark.
+MIN_ITEM = 3
+#: Most benchmark seeds (two longs and an int each) that are broadcast; beyond it the join shuffles.
 BROADCAST_SEEDS = 500_000
 
-_SPAN = max(map(len, MASKS))
-
 
 def _tokens(text: str) -> Column:
     return F.expr(rf"filter(split(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), x -> x <> '')")
 
 
-def _seeds(mask: str) -> str:
-    args = ", ".join(f"_h[i + {k}]" for k, bit in enumerate(mask) if bit == "1")
-    return f"case when size(_h) >= {len(mask)} then transform(sequence(0, size(_h) - {len(mask)}), i -> xxhash64({args})) else array() end"
-
+def _row_keys() -> tuple[Column, Column]:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
 
-def seeds(rows: DataFrame, masks: tuple[str, str] = MASKS) -> DataFrame:
-    """rows with tokens `_w`: one row for each mask and place, as m, h and pos, beside the other columns.
 
-    Tokens are hashed once; the seeds of both masks are one array, so that a text is read and split once.
-    """
-    keep = [c for c in rows.columns if c != "_w"]
-    first = f"greatest(size(_h) - {len(masks[0]) - 1}, 0)"
-    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, masks))})) as (_at, h)")
-    return every.selectExpr(*keep, "if(_at < _n, 0, 1) as m", "h", "if(_at < _n, _at, _at - _n) as pos")
+def _seeds(k: int) -> str:
+    args = ", ".join(f"_h[i + {at}]" for at, bit in enumerate(SEEDS[k]) if bit == "1")
+    last = len(SEEDS[k]) - 1
+    return f"case when size(_h) > {last} then transform(sequence(0, size(_h) - {last + 1}), i -> xxhash64({k}, {args})) else array() end"
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document, item and diagonal with a verified overlap.
+def seeds(rows: DataFrame) -> DataFrame:
+    """rows with tokens `_w`: one row for each mask and place, as h and pos, beside the other columns.
 
-    Columns: doc_id, rid (tells rows of one id apart), item_id, start_word and
-    item_word (tokens from 0), n_words, n_equal, share. Null texts have no
-    tokens; texts and items shorter than a mask have no seeds of it, so items
-    of fewer tokens than the shortest mask are never found. Items that repeat
-    are all reported; null doc_ids are kept.
+    Tokens are hashed once; the seeds of all masks are one array, so that a text is read and split once.
     """
-    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"), _tokens("text").alias("_w"))
-    items = materialize(benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens("text").alias("_w")).distinct())
-    known = materialize(seeds(items.select(F.col("item_id"), F.xxhash64("_w").alias("iid"), "_w")).withColumnRenamed("pos", "item_pos"))
-    if known.count() <= BROADCAST_SEEDS:
-        known = F.broadcast(known)
-    diagonal = seeds(text).join(known, ["m", "h"]).groupBy("did", "rid", "item_id", "iid", (F.col("pos") - F.col("item_pos")).alias("shift"))
-    size = F.element_at(F.array(*(F.lit(len(m)) for m in MASKS)), F.col("m") + 1)
-    found = materialize(diagonal.agg(F.min("item_pos").alias("lo"), F.max(F.col("item_pos") + size).alias("hi")).where("item_id is not null"))
-    words = items.select("item_id", F.xxhash64("_w").alias("iid"), F.col("_w").alias("_i"))
-    both = found.join(text, ["did", "rid"]).join(words, ["item_id", "iid"])
-    equal = F.expr("cast(size(filter(sequence(lo, hi - 1), k -> get(_w, k + shift) = _i[k])) as bigint)")
-    out = both.select(
-        F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "rid", "item_id", (F.col("lo") + F.col("shift")).cast("long").alias("start_word"),
-        F.col("lo").cast("long").alias("item_word"), (F.col("hi") - F.col("lo")).cast("long").alias("n_words"), equal.alias("n_equal"))
-    out = out.withColumn("share", F.col("n_equal") / F.col("n_words"))
-    return out.where((F.col("n_equal") >= MIN_EQUAL) & (F.col("share") >= MIN_SHARE)).distinct()
+    keep = [c for c in rows.columns if c != "_w"]
+    first = f"greatest(size(_h) - {len(SEEDS[0]) - 1}, 0)"
+    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, range(len(SEEDS))))})) as (_at, h)")
+    return every.selectExpr(*keep, "h", "if(_at < _n, _at, _at - _n) as pos")
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every stretch of a document and an item with MIN_EQUAL equal tokens at MIN_SHARE, without insertions.
 
-    Columns as in `overlaps`. For each end, the stretch that holds enough equal
-    tokens with the most above its share; of those with one start, the longest.
-    Null texts have no tokens. Items are told apart by item_id and tokens, null
-    item_ids and doc_ids are kept, and items under MIN_EQUAL tokens can't be found.
+    Columns: doc_id, rid (tells rows of one id apart), item_id, start_word and
+    item_word (tokens from 0), n_words, n_equal, share. For each end, the stretch
+    that holds enough equal tokens with the most above its share; of those with
+    one start, the longest. Items of MIN_ITEM to MIN_EQUAL - 1 tokens are found
+    where they stand whole and unchanged; shorter ones never.
+
+    Null and empty texts have no tokens; texts of any length are used whole.
+    Rows that repeat doc_id and text give their stretches once. Items are told
+    apart by item_id and tokens; null item_ids and doc_ids are kept. Empty tables
+    give no rows; other columns of both tables are ignored.
     """
-    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"), "text")
+    did, rid = _row_keys()
+    text = docs.select(did.alias("did"), rid.alias("rid"), "text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens("text").alias("_i")).distinct()
-    items = materialize(items.where(F.size("_i") >= MIN_EQUAL).withColumn("iid", F.xxhash64(F.coalesce("item_id", F.lit(NULL_ID)), "_i")))
-    known = materialize(seeds(items.select("iid", F.col("_i").alias("_w")), SEEDS).withColumnRenamed("pos", "item_pos"))
+    items = items.where(F.size("_i") >= MIN_ITEM).withColumns({"iid": F.xxhash64(F.coalesce("item_id", F.lit(NULL_ID)), "_i"), "need": F.least(F.lit(MIN_EQUAL), F.size("_i"))})
+    items = materialize(items)
+    whole = "size(_i) - 2 + greatest(size(_i) - 4, 0)"  # seeds of an item that stands whole
+    known = materialize(seeds(items.select("iid", F.expr(f"least({MIN_HITS}, {whole})").alias("hits"), F.col("_i").alias("_w"))).withColumnRenamed("pos", "item_pos"))
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
-    hits = seeds(text.select("did", "rid", _tokens("text").alias("_w")), SEEDS).join(known, ["m", "h"])
-    found = materialize(hits.select("did", "rid", "iid", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct())
-    # Tokens are made below the joins: above them the filter would split the text again for each token compared.
-    both = found.join(text.select("did", "rid", _tokens("text").alias("_w")), ["did", "rid"]).join(items, "iid")
+    hits = seeds(text.select("did", "rid", _tokens("text").alias("_w"))).join(known, "h")
+    shift = (F.col("pos") - F.col("item_pos")).alias("shift")
+    found = hits.groupBy("did", "rid", "iid", shift).agg(F.count("*").alias("n"), F.max("hits").alias("hits")).where("n >= hits").select("did", "rid", "iid", "shift")
+    found = materialize(found)
+    # Only texts with a diagonal to compare are read and split again.
+    again = materialize(text.join(found.select("did", "rid").distinct(), ["did", "rid"], "left_semi").dropDuplicates(["did", "rid"]))
+    both = found.join(again.select("did", "rid", _tokens("text").alias("_w")), ["did", "rid"]).join(items, "iid")
     equal = F.expr("transform(sequence(greatest(0, -shift), least(size(_i), size(_w) - shift) - 1), k -> get(_w, k + shift) = _i[k])")
     key = ["did", "rid", "iid", "shift"]
-    both = both.select(*key, "item_id", F.expr("greatest(0, -shift)").alias("from"), equal.alias("eq")).where(F.size(F.filter("eq", lambda x: x)) >= MIN_EQUAL).distinct()
+    both = both.select(*key, "item_id", "need", F.expr("greatest(0, -shift)").alias("from"), equal.alias("eq")).withColumn("n", F.size(F.filter("eq", lambda x: x)).cast("long"))
+    both = materialize(both.where("n >= need"))
+    discard(again)
+    short = both.where(F.col("need") < MIN_EQUAL).selectExpr(*key, "item_id", "0 as lo", "need as hi", "n", "`from`")
     # One row for each place between tokens; the row at place k holds what is counted before it.
-    rows = materialize(both.selectExpr(*key, "item_id", "from", "posexplode(concat(array(false), eq)) as (at, same)"))
+    rows = both.where(F.col("need") == MIN_EQUAL).selectExpr(*key, "item_id", "`from`", "posexplode(concat(array(false), eq)) as (at, same)")
     so_far = Window.partitionBy(*key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     step = F.when(F.col("at") == 0, 0).otherwise(F.when(F.col("same"), 10).otherwise(0) - int(10 * MIN_SHARE))
     rows = rows.withColumns({"score": F.sum(step).over(so_far), "n": F.sum(F.col("same").cast("long")).over(so_far)})
     enough = Window.partitionBy(*key).orderBy("n").rangeBetween(Window.unboundedPreceding, -MIN_EQUAL)
     ends = rows.withColumn("lo", F.min(F.struct("score", "at", "n")).over(enough)).where("same and score >= lo.score")
     ends = ends.groupBy(*key, "item_id", "from", "lo").agg(F.max(F.struct("at", "n")).alias("hi"))
-    out = ends.select(
-        F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "rid", "item_id", F.expr("cast(from + lo.at + shift as bigint)").alias("start_word"),
-        F.expr("cast(from + lo.at as bigint)").alias("item_word"), F.expr("cast(hi.at - lo.at as bigint)").alias("n_words"), F.expr("hi.n - lo.n").alias("n_equal"))
+    long = ends.selectExpr(*key, "item_id", "lo.at as lo", "hi.at as hi", "hi.n - lo.n as n", "`from`")
+    out = long.unionByName(short).select(
+        F.nullif("did", F.lit(NULL_ID)).alias("doc_id"), "rid", "item_id", F.expr("cast(`from` + lo + shift as bigint)").alias("start_word"),
+        F.expr("cast(`from` + lo as bigint)").alias("item_word"), F.expr("cast(hi - lo as bigint)").alias("n_words"), F.col("n").alias("n_equal"))
     return out.withColumn("share", F.col("n_equal") / F.col("n_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents without a passage of an item, with all their columns."""
-    bad = passages(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_d"), F.col("rid").alias("_r")).distinct()
-    key = {"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_r": F.xxhash64(F.coalesce("text", F.lit("")))}
-    return docs.withColumns(key).join(bad, ["_d", "_r"], "left_anti").select(*docs.columns)
+    """The rows of documents without a passage of an item, with all their columns, whatever their names.
+
+    Rows that repeat doc_id and text share the decision. Null and empty texts,
+    null ids, long texts and empty tables are as in `passages`.
+    """
+    d, r = free_names(docs, "did", "rid")
+    bad = passages(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("rid").alias(r)).distinct()
+    did, rid = _row_keys()
+    return docs.withColumns({d: did, r: rid}).join(bad, [d, r], "left_anti").select(*docs.columns)
