@@ -51,3 +51,74 @@ def test_junk_goes_and_clean_stays(spark):
     docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
     kept = {r.doc_id for r in keep_good(docs).collect()}
     assert kept == {c[0] for c in clean}
+
+
+def test_verdicts_follow_the_quantiles_of_each_group(spark):
+    """kept against exact quantiles: a verdict may differ only where the sketch's rank error of 2 % covers it."""
+    from waymark.llm import quality_rules as q
+
+    rnd = random.Random(11)
+    rows = []
+    for g, (lang, source, n, size) in enumerate([("en", "a", 400, 4), ("en", "b", 300, 9), ("de", "a", 250, 6), ("de", "b", 30, 6), (None, None, 20, 5)]):
+        for i in range(n):
+            words = ["".join(rnd.choices("abcdefgh", k=max(1, round(rnd.gauss(size, 2))))) for _ in range(rnd.randint(60, 150))]
+            if rnd.random() < 0.1:
+                words += words[: rnd.randint(3, 40)]
+            if rnd.random() < 0.05:
+                words = [w + rnd.choice(["%", "##"]) * rnd.randint(0, 2) for w in words]
+            if rnd.random() < 0.05:
+                words = ["".join(rnd.choices("abcdefgh", k=size * rnd.choice([1, 3, 5]))) for _ in words]
+            rows.append((1000 * g + i, " ".join(words), lang, source))
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    base = [r for r in got.values() if not r.base_failed]
+    where = {d: (lang, source) for d, _, lang, source in rows}
+
+    def group(r):
+        own = [x for x in base if where[x.doc_id] == where[r.doc_id]]
+        of_lang = [x for x in base if where[x.doc_id][0] == where[r.doc_id][0]]
+        return own if len(own) >= q.GROUP_ROWS else of_lang if len(of_lang) >= q.GROUP_ROWS else base
+
+    def fences(values, f, off):
+        at = lambda p: values[min(len(values) - 1, max(0, int(p * len(values))))]
+        mid, high, low = at(0.5 - off), at(0.9 + off), at(0.1 - off)
+        up = high - mid
+        down = at(0.5 + off) - low
+        return high + (q.FENCE[f] * up if up > 0 else q.STEP[f]), low - (q.FENCE[f] * down if down > 0 else q.STEP[f])
+
+    known = {}
+    out = unsure = 0
+    for r in base:
+        members = group(r)
+        key = (len(members), members[0].doc_id)
+        if key not in known:
+            known[key] = {f: (fences(v := sorted(x[f] for x in members), f, 0.02), fences(v, f, -0.02)) for f in q.FENCE}
+        surely = any(r[f] > w[0] and r[f] > n[0] or f in q.LOW and r[f] < min(w[1], n[1]) for f, (w, n) in known[key].items())
+        maybe = any(r[f] > min(w[0], n[0]) or f in q.LOW and r[f] < max(w[1], n[1]) for f, (w, n) in known[key].items())
+        assert r.kept if not maybe else True, r
+        assert not r.kept if surely else True, r
+        out += not r.kept
+        unsure += maybe and not surely
+    assert out > 30 and unsure < out
+
+
+def test_fences_come_from_the_sketches(spark):
+    """On the documents of the tables, spread decides for most groups and features that have any; junk goes, clean stays."""
+    from waymark.llm import quality_rules as q
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = q.quality_rules(docs)
+    cut = q.thresholds(rows.where("not base_failed")).select("fence.*").collect()
+    assert sum(r.mean_word.adaptive for r in cut) == len(cut) and sum(r.repeat_share.adaptive for r in cut) > 0.9 * len(cut)
+    assert len({r.mean_word.high for r in cut}) > 1
+    share = {r.quality: r.k for r in rows.where("not base_failed").join(labels, "doc_id").selectExpr("quality", "cast(kept as double) as k").groupBy("quality").agg({"k": "avg"}).withColumnRenamed("avg(k)", "k").collect()}
+    assert share[1] > 0.97 and share[0] < 0.05
+
+
+def test_stage_keeps_columns_of_any_name(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, words, "en", "s", 1, 2, "x", 3), (None, words, None, "s", 1, 2, "x", 3), (None, None, "en", None, 1, 2, "x", 3), (1, words, "en", "s", 1, 2, "x", 3), (2, words * 600, "en", "s", 1, 2, "x", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _d int, _r int, row string, kept int")
+    got = keep_good(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r)[4:] for r in got.collect()) == [(1, 2, "x", 3)] * 3
+    assert keep_good(docs.limit(0)).count() == 0

@@ -3,8 +3,12 @@ r"""Quality rules with adaptive thresholds from mergeable quantile sketches.
 Built-in SQL functions only. One pass takes the features of each text; a KLL
 sketch of each feature is aggregated for each language and source, and the same
 sketches merge into those of the language and of everything, which stand in for
-groups of few documents. Thresholds are outer fences of the group's own
-distribution and meet the features by a join of a row for each group.
+groups of fewer than GROUP_ROWS documents. Thresholds come from the sketches
+themselves: a fence lies beyond an outer quantile by a multiple of its distance
+from the median, so a group of longer words or more repeats has wider fences.
+Only where a group's distribution has no spread at all (over nine in ten
+documents have the same value) a fixed step takes the place of the distance.
+Fences meet the features by a join of a row for each group.
 """
 
 from __future__ import annotations
@@ -12,16 +16,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, materialize
+from .common import materialize
 
 MIN_WORDS = 50
-#: Documents that a group needs for thresholds of its own.
+#: Documents that a group needs for thresholds of its own; smaller ones take those of the language, or of everything.
 GROUP_ROWS = 200
 #: Accuracy of the sketches: rank error of about 0.7 %.
 SKETCH_K = 400
-#: A value fails beyond upper quartile + FENCE * spread, where the spread is the quartile distance or at least FLOOR.
-FENCE = 4.0
-FLOOR = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.08, "mean_word": 0.6}
+#: Outer quantile of the upper fence; the lower one mirrors it.
+OUTER = 0.9
+#: Feature: how many times the distance of outer quantile and median the fence lies beyond that quantile.
+FENCE = {"symbol_share": 4.0, "dup_line_share": 4.0, "repeat_share": 10.0, "mean_word": 4.0}
+#: The step beyond the outer quantile where that distance is zero.
+STEP = {"symbol_share": 0.05, "dup_line_share": 0.4, "repeat_share": 0.3, "mean_word": 2.0}
 #: The lower fence, for features that can also be too small.
 LOW = ("mean_word",)
 
@@ -53,18 +60,21 @@ def _share(top: str, bottom: str) -> Column:
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """Fences for each lang and source of rows that hold the features: <feature>_high, and _low where it applies."""
-    level = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, SKETCH_K).alias(f) for f in FLOOR))
+    """Fences for each lang and source of rows that hold the features: a struct `fence` of <feature>.high and .low."""
+    level = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, SKETCH_K).alias(f) for f in FENCE))
 
     def merged(*by: str) -> DataFrame:
-        return level.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FLOOR))
+        return level.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FENCE))
 
     def fences(sketches: DataFrame, name: str) -> DataFrame:
         out = []
-        for f, floor in FLOOR.items():
-            q1, q3 = (F.kll_sketch_get_quantile_double(f, F.lit(q)) for q in (0.25, 0.75))
-            spread = F.greatest(q3 - q1, F.lit(floor))
-            out.append(F.struct((q3 + FENCE * spread).alias("high"), (q1 - FENCE * spread).alias("low")).alias(f))
+        for f, times in FENCE.items():
+            low, mid, high = (F.kll_sketch_get_quantile_double(f, F.lit(q)) for q in (1 - OUTER, 0.5, OUTER))
+            up, down = high - mid, mid - low
+            out.append(F.struct(
+                (high + F.when(up > 0, times * up).otherwise(STEP[f])).alias("high"),
+                (low - F.when(down > 0, times * down).otherwise(STEP[f])).alias("low"),
+                (up > 0).alias("adaptive")).alias(f))
         keys = [c for c in ("lang", "source") if c in sketches.columns]
         return sketches.select(*keys, F.struct("n", *out).alias(name))
 
@@ -74,15 +84,8 @@ def thresholds(rows: DataFrame) -> DataFrame:
     return both.select("lang", "source", use.alias("fence"))
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """Features, base_failed and kept for every row of documents.
-
-    Null and empty texts have no words and fail the base rule. Null lang or
-    source is a group of its own. Rows that repeat each get their row; other
-    columns are ignored. Columns `rid` tells rows of one id apart.
-    """
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.xxhash64(text, "lang", "source").alias("rid"))
+def _judged(rows: DataFrame) -> DataFrame:
+    """rows (lang, source, text and any others but the new ones): features, base_failed and kept for every row; text goes."""
     rows = text_features(rows).drop("text")
     rows = rows.withColumns({
         "symbol_share": _share("n_symbols", "word_chars"),
@@ -95,15 +98,29 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     cut = thresholds(rows.where("not base_failed")).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(cut, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
     bad = F.lit(False)
-    for f in FLOOR:
+    for f in FENCE:
         bad = bad | (F.col(f) > F.col(f"fence.{f}.high"))
         if f in LOW:
             bad = bad | (F.col(f) < F.col(f"fence.{f}.low"))
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(bad, F.lit(False))).drop("fence")
 
 
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """Features, base_failed and kept for every row of documents.
+
+    Thresholds are those of the row's lang and source if GROUP_ROWS documents or
+    more of that group pass the base rule, else of the lang, else of everything.
+    Null and empty texts have no words and fail the base rule; texts of any
+    length are used whole. Null lang or source is a group of its own. Rows that
+    repeat each get their row; an empty table gives none; other columns are ignored.
+    """
+    return _judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source"))
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of documents that pass, with all their columns."""
-    key = {"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_r": F.xxhash64(F.coalesce("text", F.lit("")), "lang", "source")}
-    bad = quality_rules(docs).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_d"), F.col("rid").alias("_r")).distinct()
-    return docs.withColumns(key).join(bad, ["_d", "_r"], "left_anti").select(*docs.columns)
+    """The rows of documents that pass, with all their columns, whatever their names.
+
+    Each row is judged by itself, as in `quality_rules`, and travels with its verdict.
+    """
+    rows = docs.select("text", "lang", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return _judged(rows).where("kept").select("row.*")
