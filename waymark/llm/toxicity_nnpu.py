@@ -4,9 +4,11 @@ A linear model over hashed words and word beginnings is trained in numpy from
 confirmed toxic texts and unlabelled texts. The risk of the unlabelled side is
 corrected by the class prior and kept from going negative: where the corrected
 part turns below zero its gradient is reversed, so the model stops fitting
-unlabelled toxic texts as clean ones. Training rows are a bounded sample that
-Spark picks by hash and hashes to features; every document is then scored by
-Spark tasks, whole.
+unlabelled toxic texts as clean ones. Training rows are a bounded sample of the
+labelled rows, picked by hash: confirmed toxic ones, and rows of any label whose
+label is not looked at, which are the unlabelled side. Scores are calibrated by
+the class prior on sampled documents that took no part in training. Spark hashes their whole
+texts to features; every document is then scored by Spark tasks, whole.
 """
 
 from __future__ import annotations
@@ -25,11 +27,14 @@ from .common import materialize, small_batches
 #: Feature places, and lengths of word beginnings that are features beside whole words.
 BITS = 18
 STARTS = (4, 5, 6, 7, 8)
-#: Training rows of confirmed toxic and of unlabelled texts, at most: the bound of the sample.
+#: Labelled rows used as confirmed toxic and as unlabelled texts, at most: the bound of the sample.
 MAX_POSITIVE, MAX_UNLABELLED = 2_500, 6_000
-#: Distinct words of a training text that are used, at most; chosen by hash. Scoring uses all.
-TRAIN_WORDS = 400
-EPOCHS, RATE, DAMP, DECAY = 120, 0.25, 0.5, 3e-5
+#: Features that a step of the gradient handles at once: bounds the driver's memory beside the sample.
+STRIDE = 1 << 20
+#: One in so many sampled documents is kept from training; the scores are calibrated on those.
+ASIDE = 4
+#: Steps; DECAY is divided by the number of training rows.
+EPOCHS, RATE, DAMP, DECAY = 120, 0.25, 0.5, 0.4
 CUT = 0.3
 #: Words kept in a worker's cache of word weights.
 CACHE = 400_000
@@ -44,14 +49,14 @@ def features(word: str) -> list[int]:
 
 
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("positive", pa.bool_()), ("toxic", pa.int32()), ("n", pa.int32()), ("at", pa.binary())])
+    schema = pa.schema([("use", pa.string()), ("n", pa.int32()), ("at", pa.binary())])
     for batch in batches:
         ats, ns = [], []
         for text in batch.column("text"):
-            words = sorted(set(_LETTERS(text.as_py().lower())), key=lambda w: zlib.crc32(w.encode()))
+            words = set(_LETTERS(text.as_py().lower()))
             ns.append(len(words))
-            ats.append(np.array([f for w in words[:TRAIN_WORDS] for f in features(w)], "<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("toxic"), pa.array(ns, pa.int32()), pa.array(ats, schema.field("at").type)], schema=schema)
+            ats.append(np.sort(np.array([f for w in words for f in features(w)], "<i4")).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("use"), pa.array(ns, pa.int32()), pa.array(ats, schema.field("at").type)], schema=schema)
 
 
 class Model:
@@ -76,31 +81,60 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_positive: np.ndarray, n_unlabelled: np.ndarray, prior: float) -> Model:
-    """Minimise prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]) with logistic loss."""
-    rows = positive + unlabelled
-    at = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = (1 / np.sqrt(np.maximum(1, np.concatenate([n_positive, n_unlabelled]))))[owner]
+class Sample:
+    """Features of training texts in one flat array, walked in strides of whole texts."""
+
+    def __init__(self, at: np.ndarray, ends: np.ndarray, n_words: np.ndarray, positive: np.ndarray) -> None:
+        self.at, self.ends, self.positive = at, ends.astype(np.int64), positive
+        self.scale = 1 / np.sqrt(np.maximum(1, n_words))
+        cuts = np.searchsorted(self.ends, np.arange(0, int(self.ends[-1]) if len(self.ends) else 0, STRIDE), "right")
+        self.strides = np.unique(np.concatenate([[0], cuts, [len(self.ends)]])).astype(int)
+
+    def _each(self):
+        for lo, hi in zip(self.strides[:-1], self.strides[1:]):
+            start = int(self.ends[lo - 1]) if lo else 0
+            size = np.diff(np.concatenate([[start], self.ends[lo:hi]]))
+            yield lo, hi, self.at[start : int(self.ends[hi - 1])], np.repeat(np.arange(hi - lo), size)
+
+    def sums(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.ends))
+        for lo, hi, at, owner in self._each():
+            out[lo:hi] = np.bincount(owner, w[at], hi - lo)
+        return out * self.scale
+
+    def gradient(self, g: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << BITS)
+        for lo, hi, at, owner in self._each():
+            out += np.bincount(at, (g[lo:hi] * self.scale[lo:hi])[owner], 1 << BITS)
+        return out
+
+
+def slopes(z: np.ndarray, p: np.ndarray, prior: float) -> np.ndarray:
+    """What each text's score adds to the gradient of prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]), with logistic loss.
+
+    Where the second part is below zero, it alone is turned back: its gradient is reversed.
+    """
+    hot = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    lost_clean = np.logaddexp(0, z)
+    g, clean = np.zeros(len(z)), np.zeros(len(z))
+    clean[~p] = hot[~p] / max(1, (~p).sum())
+    risk = lost_clean[~p].mean() if (~p).any() else 0.0
+    if p.any():
+        g[p] = prior * (hot[p] - 1) / p.sum()
+        clean[p] = -prior * hot[p] / p.sum()
+        risk -= prior * lost_clean[p].mean()
+    return g + clean if risk >= 0 else -clean
+
+
+def fit(sample: Sample, aside: Sample, prior: float) -> Model:
+    """Adam steps on the non-negative risk; the mean of the later ones, with scores calibrated by the prior on the texts set aside."""
+    p = sample.positive
     w, b = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
-    p = np.arange(len(rows)) < len(positive)
     mean_w, mean_b = np.zeros_like(w), 0.0
     m1, m2, s1, s2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for k in range(1, EPOCHS + 1):
-        z = b + np.bincount(owner, value * w[at], len(rows))
-        hot = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        lost_clean = np.logaddexp(0, z)
-        g = np.zeros(len(rows))
-        if p.any():
-            g[p] = prior * (hot[p] - 1) / p.sum()
-        clean = np.zeros(len(rows))
-        clean[~p] = hot[~p] / max(1, (~p).sum())
-        risk = lost_clean[~p].mean() if (~p).any() else 0.0
-        if p.any():
-            clean[p] = -prior * hot[p] / p.sum()
-            risk -= prior * lost_clean[p].mean()
-        g = g + clean if risk >= 0 else -clean
-        gw = np.bincount(at, value * g[owner], 1 << BITS) + DECAY * w
+        g = slopes(b + sample.sums(w), p, prior)
+        gw = sample.gradient(g) + DECAY / max(1, len(p)) * w
         gb = g.sum()
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.999 * m2 + 0.001 * gw * gw
         s1, s2 = 0.9 * s1 + 0.1 * gb, 0.999 * s2 + 0.001 * gb * gb
@@ -112,8 +146,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_positive: np
             mean_w += w
             mean_b += b
     w, b = mean_w / (EPOCHS - EPOCHS // 2), mean_b / (EPOCHS - EPOCHS // 2)
-    # scores are calibrated by the class prior: their mean over unlabelled texts is the share of toxic ones
-    z = (b + np.bincount(owner, value * w[at], len(rows)))[~p]
+    # the mean score of texts from outside the training is the share of toxic ones
+    z = b + (aside if len(aside.ends) else sample).sums(w)
     low, high = -20.0, 20.0
     for _ in range(50 if len(z) else 0):
         mid = (low + high) / 2
@@ -128,31 +162,36 @@ def _fold(column: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model of the labels outside the held-out fold; None without a toxic one."""
     small_batches(docs.sparkSession)
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(_fold() != 2).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(_fold() != 2)
+    known = materialize(known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     share = known.agg(F.avg("toxic")).first()[0]
     if not share:
         return None
     prior = min(0.9, float(share))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.coalesce(_fold() != 2, F.lit(False)))
-    order = F.xxhash64("doc_id", F.lit(11))
-    own = known.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # ids only while the sample is picked; texts follow for the picked ones
-    picked_p = own.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"), "toxic").orderBy(order).limit(MAX_POSITIVE)
-    picked_u = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.coalesce(_fold() != 2, F.lit(False))).distinct().orderBy(order).limit(MAX_UNLABELLED).select("doc_id", F.lit(False).alias("positive"), F.lit(-1).alias("toxic"))
+    aside = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(ASIDE)) == 0
+    picked_p = known.where("toxic = 1").orderBy(F.xxhash64("doc_id", F.lit(11))).limit(MAX_POSITIVE).where(~aside).select("doc_id", F.lit("positive").alias("use"))
+    picked_u = known.orderBy(F.xxhash64("doc_id", F.lit(12))).limit(MAX_UNLABELLED).select("doc_id", F.when(aside, "aside").otherwise("unlabelled").alias("use"))
     picked = materialize(picked_p.union(picked_u))
     bound = F.broadcast(picked)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
-    rows = texts.join(bound, "doc_id").select("positive", "toxic", "text").mapInArrow(_featurize, "positive boolean, toxic int, n int, at binary").toArrow()
-    side = np.array(rows.column("positive").to_pylist(), bool)
-    at = [np.frombuffer(x, "<i4") for x in rows.column("at").to_pylist()]
-    n = np.array(rows.column("n").to_pylist(), float)
-    return fit([a for a, s in zip(at, side) if s], [a for a, s in zip(at, side) if not s], n[side], n[~side], prior)
+    rows = texts.join(bound, "doc_id").select("use", "text").mapInArrow(_featurize, "use string, n int, at binary").toArrow()
+    use, n = np.array(rows.column("use").to_pylist(), object), rows.column("n").to_numpy().astype(float)
+    flat = [np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("at")]
+
+    def sample(which: np.ndarray) -> Sample:
+        own = [flat[i] for i in np.flatnonzero(which)]
+        return Sample(np.concatenate(own) if own else np.zeros(0, np.int32), np.cumsum([len(x) for x in own]), n[which], use[which] == "positive")
+
+    return fit(sample(use != "aside"), sample(use == "aside"), prior)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of documents.
 
-    Null texts are empty; they get the score of a text without words. A null
-    doc_id is not held out. Without toxic labels every score is 0. Rows that
+    Null texts are empty; they get the score of a text without words. Texts of
+    any length are used whole, in training too. A null doc_id is not held out.
+    Other columns are ignored. Without toxic labels every score is 0. Rows that
     repeat, and labels that repeat or contradict, count once for each document
     in training, as toxic if any label says so.
     """
