@@ -42,7 +42,7 @@ def test_bpe_equals_the_library(spark, monkeypatch):
 
 def test_rans_round_trip_equals_the_library(spark):
     rows = [(500 - i // 2 * 3, t) for i, t in enumerate(texts())] + [(None, "null id"), (100000, "the " * 140000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, ids string, start int").repartition(3)
     t = Tokenizer.from_file(BYTE)
     got = m.rans_round_trip(docs, BYTE).collect()
     want = {}
@@ -64,7 +64,8 @@ def test_rans_round_trip_equals_the_library(spark):
 
 def test_segments_decode_alone_and_checksums_catch_damage(spark):
     docs = spark.createDataFrame([(i, f"text {i} " * 1600) for i in range(600)], "doc_id long, text string")
-    blocks, table, _ = m.write_tokens(docs, BYTE)
+    place = m.write_tokens(docs, BYTE)
+    table, blocks = m.read_table(spark, place), spark.read.parquet(f"{place}/blocks")
     block = max((r.asDict(recursive=True) for r in blocks.collect()), key=lambda b: b["n"])
     whole = m.decode_block(table, block)
     assert len(block["points"]) == 2
@@ -76,3 +77,24 @@ def test_segments_decode_alone_and_checksums_catch_damage(spark):
     bad[10] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         m.decode_block(table, block | {"words": bytes(bad)})
+
+
+def test_pieces_equal_the_library_on_the_tables():
+    """Texts that are split and merged piece by piece, against the tokenizers library on whole texts."""
+    import pyarrow.parquet as pq
+
+    own = m.Encoder(BYTE)
+    texts = [x or "" for x in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    assert sum(m._PLAIN(x) is not None for x in texts) > len(texts) // 2
+    for text, want in zip(texts, own.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(text).tolist() == want.ids
+
+
+def test_a_file_with_other_frequencies_is_refused(spark):
+    docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    place = m.write_tokens(docs, BYTE)
+    stored = spark.read.parquet(f"{place}/frequencies").collect()
+    assert sum(r["size"] for r in stored) == 1 << m.SCALE and {r.id for r in stored} == {*Tokenizer.from_file(BYTE).encode("one two").ids, 2}
+    spark.createDataFrame([(1, 5)], "id long, size long").write.mode("overwrite").parquet(f"{place}/frequencies")
+    with pytest.raises(ValueError, match="frequencies"):
+        m.read_tokens(spark, place)

@@ -5,8 +5,9 @@ shares. A block is a run of the id stream, dealt round robin over LANES coder
 states that advance together, so coding and decoding are array operations. It
 is decoded without any other block; each of its segments starts from a stored
 checkpoint (states and place in the words) and has its own checksum, so a
-segment can be decoded alone too. The file is a table of blocks in the order of
-the id stream plus the frequency table. Blocks also list the documents in them.
+segment can be decoded alone too. The file is a folder with a table of blocks,
+in the order of the id stream, and the frequency table; nothing else is needed
+to read it. Blocks also list the documents in them, by their numbers of ids.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -85,22 +86,27 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def scaled(counts: np.ndarray) -> np.ndarray:
+    """Frequencies that sum to 2**SCALE, one at least for each id that occurs."""
+    total = max(1, int(counts.sum()))
+    out = np.where(counts > 0, np.maximum(1, counts.astype(object) * (1 << SCALE) // total), 0).astype(np.int64)
+    if out.sum():
+        spare = (1 << SCALE) - int(out.sum())
+        order = np.argsort(-out, kind="stable")
+        at = 0
+        while spare:  # to or from the most frequent
+            i = order[at % len(order)]
+            step = spare if spare > 0 else -min(-spare, int(out[i]) - 1)
+            out[i] += step
+            spare -= step
+            at += 1
+    return out
+
+
 class Table:
-    """Frequencies scaled to a power of two: start, size and symbol of each slot."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        total = max(1, int(counts.sum()))
-        scaled = np.where(counts > 0, np.maximum(1, counts.astype(object) * (1 << SCALE) // total), 0).astype(np.int64)
-        if scaled.sum():
-            spare = (1 << SCALE) - int(scaled.sum())
-            order = np.argsort(-scaled, kind="stable")
-            at = 0
-            while spare:  # to or from the most frequent
-                i = order[at % len(order)]
-                step = spare if spare > 0 else -min(-spare, int(scaled[i]) - 1)
-                scaled[i] += step
-                spare -= step
-                at += 1
+    """Start, size and symbol of each slot, from frequencies that sum to 2**SCALE."""
+
+    def __init__(self, scaled: np.ndarray) -> None:
         self.size = scaled.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(scaled)[:-1]]).astype(np.uint64)
         self.symbol = np.repeat(np.arange(len(scaled), dtype=np.uint32), scaled)
@@ -178,15 +184,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
 
-#: part and block: the order of blocks; first: ids of the part before it. docs: the documents in it, with where their ids start in the block and how many are here.
-_BLOCK_SQL = "part int, block int, first long, n int, words binary, states binary, points array<int>, checks array<long>, docs array<struct<doc_id:long,row:long,head:boolean,size:long,n:int>>"
+#: part and block: the order of blocks; first: ids of the part before it. docs: the documents in it, with how many of their ids are here.
+_BLOCK_SQL = "part int, block int, first long, n int, words binary, states binary, points array<int>, checks array<long>, docs array<struct<doc_id:long,row:long,n:int>>"
 
 
 def _write(table: Table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, first, row = TaskContext.get().partitionId(), 0, 0, 0
         room = LANES * STEPS * SEGMENTS
-        schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("states", pa.binary()), ("points", pa.list_(pa.int32())), ("checks", pa.list_(pa.int64())), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("row", pa.int64()), ("head", pa.bool_()), ("size", pa.int64()), ("n", pa.int32())])))])
+        schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("states", pa.binary()), ("points", pa.list_(pa.int32())), ("checks", pa.list_(pa.int64())), ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int32())])))])
         held, docs, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -206,7 +212,7 @@ def _write(table: Table):
                 while at < len(ids):
                     take = min(room - size, len(ids) - at)
                     held.append(ids[at : at + take])
-                    docs.append({"doc_id": doc, "row": part << 40 | row, "head": at == 0, "size": len(ids), "n": take})
+                    docs.append({"doc_id": doc, "row": part << 40 | row, "n": take})
                     at, size = at + take, size + take
                     if size == room:
                         yield flush()
@@ -218,7 +224,7 @@ def _write(table: Table):
 
 
 def _read(table: Table):
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("size", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("crc", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("crc", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,10 +232,9 @@ def _read(table: Table):
                 ids = decode_block(table, b)
                 rows, at = [], 0
                 for d in b["docs"]:
-                    own = ids[at : at + d["n"]].astype("<u4").tobytes()
-                    where = b["base"] + b["first"] + at
-                    rows.append((d["doc_id"], d["row"], where if d["head"] else None, d["size"], where, d["n"], zlib.crc32(own)))
-                    at += d["n"]
+                    own = ids[at : at + d["n"]]
+                    rows.append((d["doc_id"], d["row"], b["base"] + b["first"] + at, len(own), zlib.crc32(own.astype("<u4").tobytes())))
+                    at += len(own)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
@@ -274,10 +279,24 @@ def crc_joined(parts: list[tuple[int, int]]) -> int:
     return total
 
 
-def write_tokens(docs: DataFrame, path: str, end: int = END_ID) -> tuple[DataFrame, Table, str]:
-    """Write the ids of all texts, in ascending doc_id order with `end` after each, to a new file. Returns blocks, table and place.
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole documents from the pieces of their ids, in order of place."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    for batch in batches:
+        rows = []
+        for doc, pieces in zip(batch.column("doc_id").to_pylist(), batch.column("pieces").to_pylist()):
+            crc = crc_joined([(p["crc"], 4 * p["n"]) for p in pieces]) if len(pieces) > 1 else pieces[0]["crc"]
+            rows.append((doc, pieces[0]["at"], sum(p["n"] for p in pieces), crc))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    Ties of doc_id are ordered by text hash; null ids come last; null texts are empty.
+
+def write_tokens(docs: DataFrame, path: str, end: int = END_ID) -> str:
+    """Write the ids of all texts, in ascending doc_id order with `end` after each, to a new folder, and return it.
+
+    Ties of doc_id are ordered by text hash; null ids come last; null texts are
+    empty; texts of any length are encoded whole; repeated rows are written each;
+    an empty table gives a file without blocks; other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -288,29 +307,37 @@ def write_tokens(docs: DataFrame, path: str, end: int = END_ID) -> tuple[DataFra
     counts = np.zeros(max((r.id for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r.id] = r.n
-    table = Table(counts)
+    sizes = scaled(counts)
     place = shared_dir(spark)
+    spark.createDataFrame([(int(i), int(sizes[i])) for i in np.flatnonzero(sizes)], "id long, size long").coalesce(1).write.parquet(f"{place}/frequencies")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = tokens.repartitionByRange(parts, "did", "th").sortWithinPartitions("did", "th").select("doc_id", "ids").mapInArrow(_write(table), _BLOCK_SQL)
+    blocks = tokens.repartitionByRange(parts, "did", "th").sortWithinPartitions("did", "th").select("doc_id", "ids").mapInArrow(_write(Table(sizes)), _BLOCK_SQL)
     blocks.write.option("compression", "none").parquet(f"{place}/blocks")
-    spark.createDataFrame([(int(i), int(table.size[i])) for i in np.flatnonzero(table.size)], "id long, size long").write.parquet(f"{place}/frequencies")
-    return spark.read.parquet(f"{place}/blocks"), table, place
+    return place
+
+
+def read_table(spark: SparkSession, place: str) -> Table:
+    """The frequency table of a file: a row for each id of the vocabulary that occurs."""
+    rows = spark.read.parquet(f"{place}/frequencies").collect()
+    sizes = np.zeros(max((r.id for r in rows), default=0) + 1, np.int64)
+    for r in rows:
+        sizes[r.id] = r.size
+    if sizes.sum() not in (0, 1 << SCALE):
+        raise ValueError(f"{place}: the frequencies don't sum to {1 << SCALE}")
+    return Table(sizes)
 
 
-def read_tokens(blocks: DataFrame, table: Table) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document from the blocks of a file."""
-    spark = blocks.sparkSession
+def read_tokens(spark: SparkSession, place: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the file alone."""
+    table, blocks = read_table(spark, place), spark.read.parquet(f"{place}/blocks")
     totals = blocks.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each part of the file
     base = totals.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("base"))
     small_batches(spark)
-    pieces = blocks.join(F.broadcast(base), "part").mapInArrow(_read(table), "doc_id long, row long, start long, size long, at long, n long, crc long")
-    joined = F.udf(lambda parts: crc_joined([(p.crc, 4 * p.n) for p in parts]) if parts else None, "long")
-    whole = pieces.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.min("size").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("p"))
-    crc = F.when(F.size("p") == 1, F.col("p")[0]["crc"]).otherwise(joined(F.when(F.size("p") > 1, F.col("p"))))
-    return whole.select("doc_id", "start", "n_tokens", crc.alias("ids_crc32"))
+    pieces = blocks.join(F.broadcast(base), "part").mapInArrow(_read(table), "doc_id long, row long, at long, n long, crc long")
+    whole = pieces.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("pieces"))  # pieces of one text
+    return whole.select("doc_id", "pieces").mapInArrow(_joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def rans_round_trip(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
-    """Write all documents' ids to a file and read doc_id, start, n_tokens and ids_crc32 back from it."""
-    blocks, table, _ = write_tokens(docs, path, end)
-    return read_tokens(blocks, table)
+    """Write all documents' ids to a file and read doc_id, start, n_tokens and ids_crc32 back from it; rows are taken as in `write_tokens`."""
+    return read_tokens(docs.sparkSession, write_tokens(docs, path, end))
