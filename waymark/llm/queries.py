@@ -73,10 +73,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination,
 )}
 
+#: The pages and their damaged replica as records with offsets, joined; the audit reads only ranges whose hashes differ.
+_RECORDS = r"""SELECT page_id, CAST(floor(page_id / 4096) AS BIGINT) AS file, sha256(record) AS hash, CAST(octet_length(encode(record)) AS BIGINT) AS length
+  FROM (SELECT page_id, concat(E'WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: ', coalesce(url, ''), E'\r\nContent-Length: ', octet_length(encode(coalesce(html, ''))), E'\r\n\r\n', coalesce(html, ''), E'\r\n\r\n') AS record FROM {0})"""
+
 ORACLES: dict[str, str] = {
-    "op2_merkle_fixity": r"""WITH r AS (SELECT page_id, CAST(floor(page_id / 4096) AS BIGINT) AS file,
-        CAST(octet_length(encode(concat(E'WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: ', url, E'\r\nContent-Length: ', octet_length(encode(html)), E'\r\n\r\n', html, E'\r\n\r\n'))) AS BIGINT) AS length FROM pages),
-      o AS (SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id) - length AS BIGINT) AS "offset" FROM r)
-      SELECT page_id, CAST(0 AS BIGINT) AS copy, file, "offset", length, CASE WHEN page_id % 1499 = 1 THEN 'missing' ELSE 'changed' END AS problem
-      FROM o WHERE page_id % 997 = 0 OR page_id % 1499 = 1""",
+    "op2_merkle_fixity": f"""WITH replica AS (SELECT page_id, url, CASE WHEN page_id % 997 = 0 THEN concat(html, '!') ELSE html END AS html FROM pages WHERE page_id % 1499 <> 1),
+      a AS (SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id) - length AS BIGINT) AS "offset" FROM ({_RECORDS.format("pages")})),
+      b AS (SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id) - length AS BIGINT) AS "offset" FROM ({_RECORDS.format("replica")}))
+      SELECT coalesce(a.page_id, b.page_id) AS page_id, CAST(0 AS BIGINT) AS copy, coalesce(a.file, b.file) AS file, coalesce(a."offset", b."offset") AS "offset", coalesce(a.length, b.length) AS length,
+        CASE WHEN b.page_id IS NULL THEN 'missing' WHEN a.page_id IS NULL THEN 'added' ELSE 'changed' END AS problem
+      FROM a FULL JOIN b ON a.page_id = b.page_id WHERE a.hash IS DISTINCT FROM b.hash""",
 }
