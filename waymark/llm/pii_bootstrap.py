@@ -1,28 +1,31 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction.
 
-Fixed patterns find the seeds. Every identifier-like word (four digits or more)
-is a mention; its neighbouring words are its contexts. Contexts and the distinct
+Fixed patterns find the seeds. Every other run of characters with four digits or
+more is a mention (digit groups with one space between them are one run); the
+nearest words around a mention are its contexts. Contexts and the distinct
 identifiers in them form a graph, on which Spark scores both sides in turn: a
 context is trusted by the share of its identifiers that are known, an unknown
 identifier by the trusted contexts it stands in, and what is trusted joins the
-known ones of the next round.
+known ones of the next round, until a round finds nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, materialize, small_batches
+from .common import NULL_ID, free_names, materialize, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
-ROUNDS = 3
+#: Rounds after which the bootstrap fails rather than stop early; each must find something, so they follow the longest chain of discoveries.
+MAX_ROUNDS = 100
 #: Known identifiers that a trusted context holds at least, and their least share.
 MIN_KNOWN, MIN_SHARE = 3, 0.8
 #: Trusted contexts that a new identifier stands in at least, and its least score.
@@ -35,8 +38,8 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"\S+")
-_WORD_BEFORE = re.compile(r"([^\W\d_]+)[\W\d_]*$")
-_WORD_AFTER = re.compile(r"[\W\d_]*([^\W\d_]+)")
+_GROUP = re.compile(r"[0-9.()/+-]+").fullmatch
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def _luhn(digits: str) -> bool:
@@ -75,35 +78,55 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _contexts(text: str, start: int, end: int) -> list[str]:
-    before = _WORD_BEFORE.search(text, max(0, start - 64), start)
-    after = _WORD_AFTER.match(text, end, end + 64)
-    a, b = before.group(1).lower() if before else "^", after.group(1).lower() if after else "$"
-    return [f"{a} _", f"_ {b}", f"{a} _ {b}"]
+class _Around:
+    """Words of a text, found once, to look up the nearest ones before and after a place."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        found = [m.span() for m in _WORD.finditer(text)]
+        self.starts, self.ends = [a for a, _ in found], [b for _, b in found]
+
+    def contexts(self, start: int, end: int) -> list[str]:
+        i, j = bisect_right(self.ends, start) - 1, bisect_left(self.starts, end)
+        before = self.text[self.starts[i] : self.ends[i]].lower() if i >= 0 else "^"
+        after = self.text[self.starts[j] : self.ends[j]].lower() if j < len(self.starts) else "$"
+        return [f"{before} _", f"_ {after}", f"{before} _ {after}"]
 
 
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Seeds and other identifier-like words with their contexts."""
+    """Seeds and other identifier-like runs with their contexts."""
     if not base and not _DIGIT.search(text):
         return []
-    out = [{"what": text[a:b].lower(), "seed": True, "start": a, "end": b, "contexts": _contexts(text, a, b)} for _, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    k = 0
+    runs, k, group = [], 0, -2  # group: where the run ended if it is one of digit groups
     for m in _TOKEN.finditer(text):
-        if not _DIGIT.search(text, *m.span()):
-            continue
         start, end = m.span()
+        if not _DIGIT.search(text, start, end):
+            continue
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if k < len(taken) and taken[k][0] < end:
+            continue
+        plain = _GROUP(text, start, end)
+        if plain and group == start - 1 and text[group] == " ":
+            runs[-1][1] = end
+        else:
+            runs.append([start, end])
+        group = end if plain else -2
+    places = []
+    for start, end in runs:
+        if sum(text.count(c, start, end) for c in "0123456789") < 4:
+            continue
         while not (text[start].isalnum() or text[start] == "+"):
             start += 1
         while not text[end - 1].isalnum():
             end -= 1
-        own = text[start:end]
-        while k < len(taken) and taken[k][1] <= start:
-            k += 1
-        if (k < len(taken) and taken[k][0] < end) or len(own) > 200 or sum(c in "0123456789" for c in own) < 4:
-            continue
-        out.append({"what": own.lower(), "seed": False, "start": start, "end": end, "contexts": _contexts(text, start, end)})
-    return out
+        places.append((start, end))
+    if not base and not places:
+        return []
+    around = _Around(text)
+    found = [(a, b, True) for _, a, b in base] + [(a, b, False) for a, b in places]
+    return [{"what": text[a:b].lower(), "seed": seed, "start": a, "end": b, "contexts": around.contexts(a, b)} for a, b, seed in found]
 
 
 _SCAN_SQL = "doc_id long, did long, th long, base array<struct<kind:string,start:int,end:int>>, mentions array<struct<what:string,seed:boolean,start:int,end:int,contexts:array<string>>>"
@@ -123,27 +146,27 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("did"), batch.column("th"), pa.array(base, schema.field("base").type), pa.array(found, schema.field("mentions").type)], schema=schema)
 
 
-def discover(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Identifiers (what) beyond the seeds that trusted contexts point at. edges: distinct (context, what)."""
-    known, found = seeds, None
-    for _ in range(rounds):
-        flagged = edges.join(known.withColumn("known", F.lit(1)), "what", "left")
+def discover(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Identifiers (what) beyond the seeds that trusted contexts point at, to the last round that finds any. edges: distinct (context, what)."""
+    known = seeds.select("what", F.lit(True).alias("seed"))
+    for _ in range(MAX_ROUNDS):
+        flagged = edges.join(known.select("what", F.lit(1).alias("known")), "what", "left")
         contexts = flagged.groupBy("context").agg(F.sum(F.coalesce("known", F.lit(0))).alias("k"), F.count("*").alias("n"))
         trusted = contexts.where((F.col("k") >= MIN_KNOWN) & (F.col("k") >= MIN_SHARE * F.col("n"))).select("context", (F.col("k") / (F.col("n") + 1)).alias("share"))
         scored = flagged.where("known is null").join(trusted, "context").groupBy("what").agg(F.count("*").alias("n"), (1 - F.exp(F.sum(F.log(1 - F.col("share"))))).alias("score"))
-        new = materialize(scored.where((F.col("n") >= MIN_CONTEXTS) & (F.col("score") >= MIN_SCORE)).select("what"))
+        new = materialize(scored.where((F.col("n") >= MIN_CONTEXTS) & (F.col("score") >= MIN_SCORE)).select("what", F.lit(False).alias("seed")))
         if new.isEmpty():
-            break
-        found = new if found is None else found.union(new)
+            return known.where("not seed").select("what")
         known = known.union(new)
-    return edges.select("what").limit(0) if found is None else found
+    raise RuntimeError(f"identifiers are still found after {MAX_ROUNDS} rounds")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, did, th (row keys), base and spans (arrays of kind, start, end in code points) for every row.
 
-    Null texts are empty. Spans are ordered by kind as listed, found ones last,
-    then start. Repeated rows each get their row; other columns are ignored.
+    Null texts are empty; texts and words of any length are used whole. Spans are
+    ordered by kind as listed, found ones last, then start. Repeated rows each get
+    their row; an empty table gives none; other columns are ignored.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
@@ -171,11 +194,17 @@ def personal_data_report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """documents with each span replaced by its kind in angle brackets and n_chars renewed; overlapping spans become one."""
-    keys = docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
-    spans = personal_data(docs).where("size(spans) > 0").select(F.col("did").alias("_d"), F.col("th").alias("_t"), "spans").dropDuplicates(["_d", "_t"])
+    """documents with each span replaced by its kind in angle brackets and n_chars renewed; overlapping spans become one.
+
+    All columns stay, whatever their names. Null texts stay null; rows that
+    repeat doc_id and text share their spans; an empty table stays empty.
+    """
+    d, t, found = free_names(docs, "did", "th", "found_spans")
+    keys = docs.withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), t: F.xxhash64(F.coalesce("text", F.lit("")))})
+    spans = personal_data(docs).where("size(spans) > 0").select(F.col("did").alias(d), F.col("th").alias(t), F.col("spans").alias(found)).dropDuplicates([d, t])
 
     names, kinds = docs.columns, docs.schema
+    at_text, at_size = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def cut(text: str, spans: list[dict]) -> str:
         out, at = [], 0
@@ -187,14 +216,14 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-            texts = [cut(t, s) if s else t for t, s in zip(texts, spans)]
-            columns = {n: batch.column(n) for n in names}
-            columns["text"] = pa.array(texts, pa.string())
-            if "n_chars" in columns:
-                sizes = [len(t) if s else n for t, s, n in zip(texts, spans, columns["n_chars"].to_pylist())]
-                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+            texts, spans = batch.column(at_text).to_pylist(), batch.column(len(names)).to_pylist()
+            texts = [cut(x, s) if s else x for x, s in zip(texts, spans)]
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[at_text] = pa.array(texts, pa.string())
+            if at_size is not None:
+                sizes = [len(x) if s else n for x, s, n in zip(texts, spans, columns[at_size].to_pylist())]
+                columns[at_size] = pa.array(sizes, columns[at_size].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     small_batches(docs.sparkSession)
-    return keys.join(spans, ["_d", "_t"], "left").select(*names, "spans").mapInArrow(run, kinds)
+    return keys.join(spans, [d, t], "left").select(*names, found).mapInArrow(run, kinds)
