@@ -114,3 +114,55 @@ def test_late_rows_are_dropped(spark):
         jobs.run_to_end(jobs.progress(jobs.file_stream(spark, f"{place}/all", schema)), f"{place}/out", f"{place}/c", "append")
     got = spark.read.parquet(f"{place}/out").where("start = timestamp'2024-01-01 00:00:00'").collect()
     assert [r.n for r in got] == [1]
+
+
+def test_middle_values_and_ranks(spark):
+    import random
+
+    from waymark.operators import records as rec
+
+    rnd = random.Random(2)
+    rows = [(g, rnd.choice([1.5, 1.5, rnd.random() * 10**k, None])) for g, k in (("a", 1), ("b", 9), ("c", 0)) for _ in range(rnd.randint(30, 61))] + [("d", 7.0), ("e", None)]
+    got = {r.g: (r.n, r.lower, r.upper) for r in rec.middle_values(spark.createDataFrame(rows, "g string, v double"), "v", "g", bins=8).collect()}
+    for g in "abcd":
+        own = sorted(v for k, v in rows if k == g and v is not None)
+        assert got.pop(g) == (len(own), own[(len(own) - 1) // 2], own[len(own) // 2])
+    assert not got
+    names = [f"n{rnd.randint(0, 10**6)}" for _ in range(500)]
+    found = rec.ranked(spark.createDataFrame([(x,) for x in names], "x string").repartition(7), "x").collect()
+    assert [r.x for r in sorted(found, key=lambda r: r["rank"])] == sorted(names) and sorted(r["rank"] for r in found) == list(range(500))
+
+
+def test_carry_over_ranges(spark):
+    from waymark.operators import records as rec
+
+    rows = [(i, f"b{i}" if i in (3, 4, 50) else None) for i in range(120) if i % 7]
+    got = {r.i: r.carried for r in rec.carry_over_ranges(spark.createDataFrame(rows, "i long, b string"), "b", "i", 10).collect()}
+    last = None
+    for i, b in rows:
+        last = b or last
+        assert got[i] == last
+
+
+def test_census_refuses_another_plan(spark, tmp_path):
+    import pytest
+
+    from waymark.operators.records import Refused
+    from waymark.streaming import jobs
+
+    spark.createDataFrame([(1, "a")], "event_id long, event_type string").write.parquet(str(tmp_path / "in"))
+    stream = lambda: jobs.file_stream(spark, str(tmp_path / "in"), "event_id long, event_type string")
+    jobs.resumable_census(stream(), str(tmp_path / "out"), str(tmp_path / "check"), 2)
+    assert [r.complete for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [False]
+    with pytest.raises(Refused):
+        jobs.resumable_census(stream(), str(tmp_path / "out"), str(tmp_path / "check"), 3)
+
+
+def test_character_references(spark):
+    import html
+
+    from waymark.functions.text import decoded
+
+    cases = ["a &amp;lt; b", "&notit; &not", "&#39;&#x27;&#8217;&eacute&eacute;", "&#0; &#x110000; &#xD800; &#128; &#129; &#11; &#13;", "& &; &# &#x &zzz; &amp", "&CounterClockwiseContourIntegral;&NotEqualTilde;", "none", "", "&#99999999999999999999999;", "&lt&gt;x&copy2", "x&#x1F600;y&AMP"]
+    got = [r.d for r in spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", decoded("c").alias("d")).orderBy("i").collect()]
+    assert got == [html.unescape(c) for c in cases]

@@ -2,24 +2,56 @@
 
 from __future__ import annotations
 
+import re
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .keys import _col, collapsed
 
-#: Named entities that are decoded; &amp; comes last so that nothing is decoded twice.
-ENTITIES = {"&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+#: Named references with their characters, from the standard library's table: with the semicolon, and the old ones that may do without.
+_NAMED = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+_BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
+_LONGEST = max(map(len, _BARE))
 
 #: Statements that nothing is required.
 _SAYS_NONE = r"(?i)\A(none|n/a|na|nil|-|–|—)\.?\z"
 _SAYS_NO_PRIOR = r"(?i)\bno prior\b.*\b(required|necessary|needed)\b"
 
 
+def _character(code: Column) -> Column:
+    """The character that a numeric reference means: 128 to 159 as in Windows-1252, none for controls, a replacement for what is no character."""
+    windows = {k: bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(128, 160)}
+    table = F.map_from_arrays(F.array(*map(F.lit, windows)), F.array(*map(F.lit, windows.values())))
+    point = F.decode(F.unhex(F.lpad(F.hex(F.least(code, F.lit(0x10FFFF))), 8, "0")), "UTF-32")
+    control = ((code < 32) & ~code.isin(9, 10, 12, 13)) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code % 65536 >= 65534)
+    return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), "\ufffd").when(code.between(128, 159), table[code.cast("int")])
+            .when(control, "").otherwise(point))
+
+
+def _dereferenced(part: Column) -> Column:
+    """The text after an ampersand with its reference, if it is one, replaced; else with the ampersand before it."""
+    named, bare = (F.map_from_arrays(F.array(*map(F.lit, d)), F.array(*map(F.lit, d.values()))) for d in (_NAMED, _BARE))
+    digits, hexed, name = (F.regexp_extract(part, p, 1) for p in ("^#([0-9]+)", "^#[xX]([0-9a-fA-F]+)", "^([A-Za-z0-9]+)"))
+    rest = F.regexp_replace(part, "^#([0-9]+|[xX][0-9a-fA-F]+);?", "")
+    whole = F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", named[name])
+    number = lambda x, base: F.when(F.length(F.ltrim(x, F.lit("0"))) > 8, F.lit(1 << 40)).otherwise(F.conv(F.right(F.concat(F.lit("0"), x), F.lit(9)), base, 10).cast("long"))  # noqa: E731  more digits name no character
+    out = F.when(digits != "", F.concat(_character(number(digits, 10)), rest))
+    out = out.when(hexed != "", F.concat(_character(number(hexed, 16)), rest))
+    out = out.when(whole.isNotNull(), F.concat(whole, F.substr(part, F.length(name) + 2)))
+    for k in range(_LONGEST, 1, -1):
+        start = F.left(name, F.lit(k))
+        out = out.when((F.length(name) >= k) & bare[start].isNotNull(), F.concat(bare[start], F.substr(part, F.lit(k + 1))))
+    return out.otherwise(F.concat(F.lit("&"), part))
+
+
 def decoded(text: Column | str) -> Column:
-    out = _col(text)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Character references of markup replaced, each once: &amp;lt; becomes &lt;."""
+    text = _col(text)
+    parts = F.split(text, "&", -1)
+    after = F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _dereferenced), "")
+    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], after)).otherwise(text)
 
 
 def text_of(markup: Column | str) -> Column:
@@ -46,6 +78,29 @@ def field_items(markup: Column | str) -> Column:
     return F.filter(clean, lambda x: x != "")
 
 
+#: A catalogue's named fields. A field's element is named by a class, and the next field's element, the article's end or the footer ends it.
+_FIELD = r'(?s)field--name-field-{0}(?![\w-])[^>]*>(.*?)(?=<(?:div|span) class="field\b|</article>|<footer|\z)'
+_LABEL = r'(?s)<(div|span) class="field__label[^>]*>.*?</\1>'
+_ITEM = r"(?s)field__item(?![\w-])[^>]*>(.*?)</div>"
+
+
+def field_markup(markup: Column | str, name: str) -> Column:
+    """Markup inside the named field of a catalogue page, without its label; null without the field."""
+    pattern = _FIELD.format(re.escape(name))
+    return F.when(_col(markup).rlike(pattern), F.regexp_replace(F.regexp_extract(_col(markup), pattern, 1), _LABEL, " "))
+
+
+def named_field(markup: Column | str, name: str) -> Column:
+    """Text of the named field; null without it or without text."""
+    return F.nullif(text_of(field_markup(markup, name)), F.lit(""))
+
+
+def named_items(markup: Column | str, name: str) -> Column:
+    """Texts of the items of the named field, without the commas between them; blanks are dropped. Empty without the field."""
+    items = F.regexp_extract_all(F.coalesce(field_markup(markup, name), F.lit("")), F.lit(_ITEM), 1)
+    return F.filter(F.transform(items, lambda x: F.regexp_replace(text_of(x), r"^[\s,]+|[\s,]+$", "")), lambda x: x != "")
+
+
 def normalised_title(title: Column | str, drop_parentheticals: bool = False) -> Column:
     """Lower case, without asterisks and programme markers, letters and digits only, one space between."""
     out = F.replace(F.lower(_col(title)), F.lit("*"), F.lit(""))

@@ -37,7 +37,7 @@ def closure(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
 
 def reach(edges: DataFrame, start: DataFrame, max_depth: int = MAX_DEPTH, stop: bool = False) -> DataFrame:
     """Nodes reached from those in start (node), with the least depth. stop: end at max_depth without complaint."""
-    edges = edges.select("src", "dst")
+    edges = materialize(edges.select("src", "dst"))
     frontier = materialize(start.select("node").distinct())
     found = frontier.withColumn("depth", F.lit(0))
     for depth in range(1, max_depth + 1):
@@ -67,11 +67,12 @@ def ancestors(edges: DataFrame, node: int, **kw) -> DataFrame:
 
 def trails(edges: DataFrame, node: int, max_depth: int) -> DataFrame:
     """Every trail of at most max_depth edges out of a node: its end, its nodes and its length. For a DAG or a small bound."""
-    edges = edges.select("src", "dst")
+    edges = materialize(edges.select("src", "dst"))
     level = one(edges, node).select("node", F.array("node").alias("route"), F.lit(0).alias("depth"))
     out = None
     for depth in range(1, max_depth + 1):
         level = level.join(edges, level.node == edges.src).where(~F.array_contains("route", F.col("dst"))).select(F.col("dst").alias("node"), F.concat("route", F.array("dst")).alias("route"), F.lit(depth).alias("depth"))
+        level = materialize(level)
         out = level if out is None else out.unionByName(level)
     return out
 
@@ -93,39 +94,44 @@ def route(edges: DataFrame, start: int, end: int, max_depth: int = MAX_DEPTH) ->
     raise RuntimeError(f"paths are longer than {max_depth}")
 
 
+def _peeled(edges: DataFrame, max_depth: int) -> DataFrame:
+    """edges (way, src, dst): (way, node, depth, n), the length of the longest trail out of each node of a DAG and the number of trails.
+
+    Nodes without targets are done first; a node follows once all its targets
+    are, with n = sum of 1 + n over them. Each level looks only at nodes next to
+    the last one and is written once. Refuses cyclic edges.
+    """
+    edges = edges.select("way", "src", "dst").distinct()
+    edges = materialize(edges.join(edges.groupBy("way", "src").agg(F.count("*").alias("targets")), ["way", "src"]))
+    ends = edges.select("way", F.col("dst").alias("node")).distinct().join(edges.select("way", F.col("src").alias("node")), ["way", "node"], "left_anti")
+    done = last = materialize(ends.select("way", "node", F.lit(0).alias("depth"), F.lit(0).cast("decimal(38,0)").alias("n")))
+    for depth in range(1, max_depth + 1):
+        near = edges.join(last.select("way", F.col("node").alias("dst")), ["way", "dst"], "left_semi").select("way", "src").distinct()
+        own = edges.join(near, ["way", "src"], "left_semi").join(done.select("way", F.col("node").alias("dst"), "n"), ["way", "dst"])
+        own = own.groupBy("way", F.col("src").alias("node"), "targets").agg(F.count("*").alias("ready"), F.sum(1 + F.col("n")).cast("decimal(38,0)").alias("n"))
+        last = materialize(own.where("ready = targets").select("way", "node", F.lit(depth).alias("depth"), "n"))
+        if last.isEmpty():
+            rest = edges.join(done.select("way", F.col("node").alias("src")), ["way", "src"], "left_anti")
+            if not rest.isEmpty():
+                raise RuntimeError("the edges have a cycle")
+            return done
+        done = done.unionByName(last)
+    raise RuntimeError(f"a trail is longer than {max_depth}")
+
+
 def levels(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, depth): the longest trail that starts at each node of a DAG. Refuses cyclic edges."""
-    edges = materialize(edges.select("src", "dst").distinct())
-    nodes = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).distinct()
-    now = materialize(nodes.withColumn("depth", F.lit(0)))
-    for depth in range(1, max_depth + 1):
-        on = now.where(F.col("depth") == depth - 1).select(F.col("node").alias("dst"))
-        up = edges.join(on, "dst", "left_semi").select(F.col("src").alias("node")).distinct()
-        if up.isEmpty():
-            return now
-        now = materialize(now.join(up.withColumn("up", F.lit(depth)), "node", "left").select("node", F.coalesce("up", "depth").alias("depth")))
-    raise RuntimeError(f"a trail is longer than {max_depth}, or the edges have a cycle")
+    return _peeled(edges.withColumn("way", F.lit(0)), max_depth).select("node", "depth")
 
 
-def path_counts(edges: DataFrame) -> DataFrame:
+def path_counts(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, ins, outs): trails of one edge or more that end at a node and that start at it, in a DAG.
 
-    Counts are summed level by level, paths(v) = sum over edges of 1 + paths(u);
-    no trail is listed.
+    Counts are summed level by level, in both directions at once; no trail is listed.
     """
-    edges = materialize(edges.select("src", "dst").distinct())
-
-    def counted(e: DataFrame, name: str) -> DataFrame:
-        deep = levels(e)
-        top = deep.agg(F.max("depth")).first()[0] or 0
-        total = materialize(deep.where("depth = 0").select("node", F.lit(0).cast("decimal(38,0)").alias(name)))
-        for depth in range(1, top + 1):
-            here = deep.where(F.col("depth") == depth).select(F.col("node").alias("src"))
-            own = e.join(here, "src", "left_semi").join(total.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.sum(1 + F.col(name)).cast("decimal(38,0)").alias(name))
-            total = total.unionByName(materialize(own))
-        return total
-
-    return counted(edges, "outs").join(counted(reversed_edges(edges), "ins"), "node")
+    both = edges.select(F.lit(0).alias("way"), "src", "dst").union(reversed_edges(edges).select(F.lit(1), "src", "dst"))
+    done = _peeled(both, max_depth)
+    return done.groupBy("node").agg(F.max(F.when(F.col("way") == 1, F.col("n"))).alias("ins"), F.max(F.when(F.col("way") == 0, F.col("n"))).alias("outs"))
 
 
 def trails_into(edges: DataFrame, node: int) -> DataFrame:
@@ -133,9 +139,24 @@ def trails_into(edges: DataFrame, node: int) -> DataFrame:
     return path_counts(edges).where(F.col("node") == node).select(F.col("ins").cast("long").alias("trails"))
 
 
+def core(edges: DataFrame, max_rounds: int = MAX_DEPTH) -> DataFrame:
+    """The edges that are left when nodes without a source or without a target go, again and again: those of cycles and between them."""
+    edges = materialize(edges.select("src", "dst").distinct())
+    n = edges.count()
+    for _ in range(max_rounds):
+        starts, ends = edges.select("src").distinct(), edges.select("dst").distinct()
+        less = edges.join(ends.select(F.col("dst").alias("src")), "src", "left_semi").join(starts.select(F.col("src").alias("dst")), "dst", "left_semi")
+        edges = materialize(less.select("src", "dst"))
+        m = edges.count()
+        if m == n:
+            break
+        n = m
+    return edges
+
+
 def on_cycles(edges: DataFrame) -> DataFrame:
-    """Nodes that reach themselves."""
-    return closure(edges).where("src = dst").select(F.col("src").alias("node"), "depth")
+    """Nodes that reach themselves, with the length of their shortest cycle. Pairs are followed on the core only."""
+    return closure(core(edges)).where("src = dst").select(F.col("src").alias("node"), "depth")
 
 
 def degrees(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.text import field_items, field_text
+from waymark.functions.text import field_items, field_markup, field_text, named_field, named_items, text_of
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -22,6 +22,23 @@ def page_records(pages: DataFrame) -> DataFrame:
         ((F.size(links) == 0) & F.contains("html", F.lit("<nav"))).alias("field_present_no_links"))
 
 
+def catalogue_records(pages: DataFrame) -> DataFrame:
+    """The record of each catalogue page that has a title: description, requirement text, grades and prerequisite links.
+
+    Pages without a heading, and those that were not found, are no courses.
+    field_present_no_links: the prerequisite field is there but no link was read from it.
+    """
+    title = text_of(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
+    block = F.coalesce(field_markup("html", "prerequisite-courses"), F.lit(""))
+    whole = F.regexp_extract_all(block, F.lit(r'(?s)<a href="[^"]+"[^>]*>.*?</a>'), 0)
+    links = F.transform(whole, lambda x: F.struct(F.regexp_extract(x, '^<a href="([^"]+)"', 1).alias("href"), text_of(x).alias("name")))
+    out = pages.select(
+        *(c for c in pages.columns if c != "html"), title.alias("title"), links.alias("prerequisite_links"), named_field("html", "recommended").alias("requirements_text"),
+        named_field("html", "description").alias("description"), named_items("html", "grades").alias("grade_levels"),
+        (field_markup("html", "prerequisite-courses").isNotNull() & (F.size(whole) == 0)).alias("field_present_no_links"))
+    return out.where((F.col("title") != "") & ~F.lower("title").startswith("page not found"))
+
+
 def seconds_between(started: Column | str, ended: Column | str) -> Column:
     """Whole seconds; null where a stamp is missing or unreadable or the end comes first."""
     a, b = (F.try_to_timestamp(F.col(x) if isinstance(x, str) else x, F.lit("yyyy-MM-dd'T'HH:mm:ss")) for x in (started, ended))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waymark.sources.shared import materialize
 
 
 class Refused(ValueError):
@@ -163,6 +164,67 @@ def carry_forward(df: DataFrame, value, order: str, *by: str) -> DataFrame:
     return df.withColumn("carried", F.last(value, ignorenulls=True).over(w))
 
 
+def carry_over_ranges(df: DataFrame, value, order: str, size: int = 100_000) -> DataFrame:
+    """As `carry_forward` over one sequence of whole numbers: last values go over ranges of `size` first, then within each, so no task holds all rows."""
+    rows = df.withColumns({"_value": value, "_range": F.floor(F.col(order) / size)})
+    last = rows.where("_value is not null").groupBy("_range").agg(F.max_by("_value", order).alias("_last"))
+    ranges = rows.select("_range").distinct().join(last, "_range", "left")  # a row for each range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = ranges.select("_range", F.last("_last", ignorenulls=True).over(before).alias("_base"))
+    here = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(base, "_range").withColumn("carried", F.coalesce(F.last("_value", ignorenulls=True).over(here), "_base"))
+    return out.select(*df.columns, "carried")
+
+
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """Adds rank, from 0 in the given order: within ranges that are sorted apart, behind the rows of the ranges before."""
+    ranges = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("n"))  # a row for each range
+    base = counts.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_base"))
+    here = Window.partitionBy("_range").orderBy(*order)
+    return ranges.join(base, "_range").select(*df.columns, (F.col("_base") + F.row_number().over(here) - 1).alias("rank"))
+
+
+def middle_values(df: DataFrame, value: str, *by: str, bins: int = 4096) -> DataFrame:
+    """by, n, lower and upper: the two middle values of each group, equal if n is odd. Nulls don't count.
+
+    Values are counted in bins between the group's least and greatest, and only
+    the bins that hold the middle are looked at closer, as values with counts.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
+    span = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    at = F.when(F.col("_hi") > F.col("_lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins))).otherwise(0)
+    binned = (rows.join(F.broadcast(span), list(by)) if by else rows.crossJoin(F.broadcast(span))).withColumn("bin", at)  # a row for each group
+    hist = binned.groupBy(*by, "bin").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    before = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most `bins` rows of a group
+    placed = hist.withColumn("base", F.coalesce(F.sum("k").over(before), F.lit(0)))
+    is_lower, is_upper = (F.expr(f"base <= {r} and {r} < base + k") for r in ("(n - 1) div 2", "n div 2"))
+    wanted = placed.where(is_lower | is_upper).select(*by, "bin", "base")
+    counts = binned.join(F.broadcast(wanted), [*by, "bin"]).groupBy(*by, "bin", "base", "n", "v").agg(F.count("*").alias("k"))  # at most two bins of a group
+    inside = Window.partitionBy(*by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    exact = counts.withColumn("base", F.col("base") + F.coalesce(F.sum("k").over(inside), F.lit(0)))
+    return exact.groupBy(*by).agg(F.first("n").alias("n"), F.max(F.when(is_lower, F.col("v"))).alias("lower"), F.max(F.when(is_upper, F.col("v"))).alias("upper"))
+
+
+def census(spark: SparkSession, tables: dict[str, DataFrame | None], code: str) -> DataFrame:
+    """name, rows, has_<code> and status of tables: read, empty, or missing (None) with null rows."""
+    out = spark.createDataFrame([(n, None, None, "missing") for n, df in tables.items() if df is None], f"name string, rows long, has_{code} boolean, status string")
+    for name, df in tables.items():
+        if df is not None:
+            own = df.agg(F.count("*").alias("rows"))
+            out = out.union(own.select(F.lit(name), "rows", F.lit(any(code in c for c in df.columns)), F.when(F.col("rows") == 0, "empty").otherwise("read")))
+    return out
+
+
+def answers_emptily(answer: DataFrame) -> DataFrame:
+    """One row, empty: the answer has no rows, or a single one whose values are all null or zero."""
+    blank = F.lit(True)
+    for c in answer.columns:
+        blank = blank & (F.col(c).isNull() | F.coalesce(F.col(c).cast("string").isin("0", "0.0"), F.lit(False)))
+    n = answer.agg(F.count("*").alias("n"), F.coalesce(F.bool_and(blank), F.lit(True)).alias("blank"))
+    return n.select(((F.col("n") == 0) | ((F.col("n") == 1) & F.col("blank"))).alias("empty"))
+
+
 def fold_rows(rows: DataFrame) -> DataFrame:
     """Pathway rows (pathway_id, course_id, section, credits, pos) to one edge for each pair.
 

@@ -218,9 +218,14 @@ def p38(t, wanted=("gear", "bolt"), without=("red", "old")):
     return t.part.where(has(wanted) & ~has(without)).select("p_partkey")
 
 
-@query("P39_digest", "SELECT source, sha256(string_agg(sha256(text), '' ORDER BY sha256(text))) AS digest FROM documents GROUP BY source")
+@query("P39_digest", """SELECT source, sha256(string_agg(d, '' ORDER BY bin)) AS digest FROM (SELECT source, left(h, 3) AS bin, sha256(string_agg(h, '' ORDER BY h)) AS d FROM (SELECT source, sha256(text) AS h FROM documents) GROUP BY source, left(h, 3)) GROUP BY source""")
 def p39(t):
-    return t.documents.groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("digest"))
+    """A source's digest, free of order: over the digests of 4,096 ranges of hashes, so that a hot source is no single list."""
+    h = t.documents.select("source", F.sha2("text", 256).alias("h"))
+    folded = lambda x: F.sha2(F.array_join(F.array_sort(F.collect_list(x)), ""), 256)
+    bins = h.groupBy("source", F.left("h", F.lit(3)).alias("bin")).agg(folded("h").alias("d"))
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("bin", "d"))), lambda x: x["d"])
+    return bins.groupBy("source").agg(F.sha2(F.array_join(whole, ""), 256).alias("digest"))
 
 
 @query("P40_joined", "SELECT page_id, array_to_string(list_transform(regexp_extract_all(html, '<li><a href=\"([^\"]+)\"', 1), lambda x: ltrim(x, '/')), ', ') AS grades FROM pages")
@@ -228,10 +233,51 @@ def p40(t):
     return t.pages.select("page_id", F.array_join(F.transform(F.regexp_extract_all("html", F.lit('<li><a href="([^"]+)"'), 1), lambda x: F.ltrim(x, F.lit("/"))), ", ").alias("grades"))
 
 
-@query("P42_rights_terms", "SELECT DISTINCT term FROM (SELECT unnest(['ceterms:license', 'schema:copyrightHolder', 'ceterms:name', 'dc:rights', 'x:termsOfUse', 'ceterms:cost']) AS term) WHERE regexp_matches(regexp_extract(term, '[^:]*$'), '(?i)licen[cs]|copyright|rights|terms')")
-def p42(t):
-    terms = t.nation.limit(1).select(F.explode(F.array(*map(F.lit, ("ceterms:license", "schema:copyrightHolder", "ceterms:name", "dc:rights", "x:termsOfUse", "ceterms:cost")))).alias("term"))
-    return terms.where(F.substring_index("term", ":", -1).rlike("(?i)licen[cs]|copyright|rights|terms")).distinct()
+# ---- catalogue pages built from the course tables, so that what is read can be told from what was written
+
+
+def catalogue(t):
+    """course_id and html of a page for each course: named fields, labels, character references, and pages that lack one thing or other."""
+    k, text_id = F.col("course_id"), F.col("course_id").cast("string")
+    link = F.concat(F.lit('<div class="field__item"><a href="/c/'), F.col("dst").cast("string"), F.lit('" hreflang="en">Course&nbsp;'), F.col("dst").cast("string"), F.lit("</a></div>"))
+    links = t.v_requires.where("src % 13 <> 0").groupBy(F.col("src").alias("course_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("dst", link.alias("m")))), lambda x: x["m"]), "\n").alias("links"))
+    field = lambda name, body: F.concat(F.lit(f'<div class="field field--name-field-{name} field--label-above"><div class="field__label">{name.title()}</div>'), body, F.lit("</div>\n"))
+    heading = F.when(k % 17 == 0, F.lit("")).when(k % 19 == 0, F.lit("<h1>Page not found</h1>")).otherwise(F.concat(F.lit('<h1 class="title"><span>'), "name", F.lit(" &amp; lab &#8217;"), text_id, F.lit("&eacute; &#x1F600;&lt</span></h1>")))
+    about = F.when(k % 7 == 0, F.lit("")).otherwise(field("description", F.concat(F.lit('<p>About <b title="x">'), "name", F.lit("</b> &ndash; part&nbsp;"), (k % 10).cast("string"), F.lit("</p>\n  <p>&copy; &quot;us&quot;</p>"))))
+    grades = F.when(k % 5 == 0, F.lit("")).otherwise(field("grades", F.concat(F.lit('<div class="field__items"><div class="field__item">'), (k % 4 + 9).cast("string"), F.lit(',</div> <div class="field__item"> 12</div><div class="field__item"></div></div>'))))
+    taught = field("grades-taught", F.lit('<div class="field__item">99</div>'))
+    needs = F.when(F.col("links").isNotNull(), field("prerequisite-courses", F.col("links"))).when(k % 13 == 0, field("prerequisite-courses", F.lit("see the office"))).otherwise("")
+    asks = F.when(k % 4 == 1, field("recommended", F.concat(F.lit('<div class="field__item"><p>Enrolled in '), "subject", F.lit("</p></div>")))).otherwise("")
+    html = F.concat(F.lit("<html><nav><a href=\"/x\">x</a></nav><article>"), heading, taught, grades, needs, asks, about, F.lit('</article><footer>1 Main Street <a href="/f">f</a></footer></html>'))
+    return t.v_course.join(links, "course_id", "left").select("course_id", html.alias("html"))
+
+
+@query("P13_references", "SELECT course_id, CASE WHEN course_id % 17 = 0 OR course_id % 19 = 0 THEN NULL ELSE concat(name, ' & lab ’', course_id, 'é 😀<') END AS title FROM v_course")
+def p13_references(t):
+    """Named, decimal and hexadecimal references, one of them without its semicolon."""
+    title = text.text_of(F.regexp_extract("html", "(?s)<h1 class[^>]*>(.*?)</h1>", 1))
+    return catalogue(t).select("course_id", F.nullif(title, F.lit("")).alias("title"))
+
+
+@query("P14_named_field", "SELECT course_id, CASE WHEN course_id % 7 <> 0 THEN concat('About ', name, ' – part ', course_id % 10, ' © \"us\"') END AS description FROM v_course")
+def p14_named(t):
+    """The last field of a page: its label goes, and the footer ends it."""
+    return catalogue(t).select("course_id", text.named_field("html", "description").alias("description"))
+
+
+@query("P15_named_items", "SELECT course_id, CASE WHEN course_id % 5 = 0 THEN '' ELSE concat(course_id % 4 + 9, '|12') END AS grades FROM v_course")
+def p15_named(t):
+    """Grades of one field, not of the one whose name goes on."""
+    return catalogue(t).select("course_id", F.array_join(text.named_items("html", "grades"), "|").alias("grades"))
+
+
+@query("P16_catalogue_record", """SELECT course_id, concat(name, ' & lab ’', course_id, 'é 😀<') AS title, coalesce(l.hrefs, '') AS hrefs, CASE WHEN course_id % 4 = 1 THEN concat('Enrolled in ', subject) END AS requirements_text,
+  CASE WHEN course_id % 7 <> 0 THEN concat('About ', name, ' – part ', course_id % 10, ' © \"us\"') END AS description, CASE WHEN course_id % 5 = 0 THEN '' ELSE concat(course_id % 4 + 9, '|12') END AS grade_levels, (course_id % 13 = 0) AS field_present_no_links
+  FROM v_course LEFT JOIN (SELECT src, string_agg(concat('/c/', dst, ' Course ', dst), '|' ORDER BY dst) AS hrefs FROM v_requires WHERE src % 13 <> 0 GROUP BY src) l ON l.src = course_id WHERE course_id % 17 <> 0 AND course_id % 19 <> 0""")
+def p16_catalogue(t):
+    r = pg.catalogue_records(catalogue(t))
+    hrefs = F.array_join(F.transform("prerequisite_links", lambda x: F.concat_ws(" ", x["href"], x["name"])), "|")
+    return r.select("course_id", "title", hrefs.alias("hrefs"), "requirements_text", "description", F.array_join("grade_levels", "|").alias("grade_levels"), "field_present_no_links")
 
 
 @query("P43_first_term", "SELECT doc_id, CASE WHEN contains(lower(text), 'license') THEN 'license' WHEN contains(lower(text), 'token') THEN 'token' WHEN contains(lower(text), 'the') THEN 'the' END AS term, substring(text, 1, 40) AS description FROM documents")
@@ -406,12 +452,42 @@ def p27(t):
     return statements(t).drop("user_id")
 
 
-@query("P41_vocabulary", "SELECT 'ceterms:Course' AS type, count(*) AS n FROM events WHERE event_type IN ('view', 'click') UNION ALL SELECT 'x:Other', count(*) FROM events WHERE event_type = 'view' UNION ALL SELECT 'x:Missing', 0")
+def vocabulary(t):
+    """Envelopes of vocabulary terms, one for each part of the tables: a class, or a property with the classes it is for, as an id, an object or a list."""
+    k = F.col("p_partkey")
+    kind = F.when(k % 4 == 0, F.lit('"rdfs:Class"')).otherwise(F.lit('"rdf:Property"'))
+    local = F.concat(F.element_at(F.array(*map(F.lit, ("license", "name", "copyrightHolder", "cost", "termsOfUse", "rights"))), (k % 6 + 1).cast("int")), k.cast("string"))
+    ref = lambda n: F.concat(F.lit('{"@id": "ceterms:class'), (n % 9).cast("string"), F.lit('"}'))
+    domain = F.when(k % 3 == 0, F.concat(F.lit('"ceterms:class'), (k % 9).cast("string"), F.lit('"'))).when(k % 3 == 1, ref(k)).otherwise(F.concat(F.lit("["), ref(k), F.lit(', "ceterms:class0"]')))
+    more = F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(', "schema:domainIncludes": '), domain))
+    node = F.concat(F.lit('{"@type": '), kind, F.lit(', "@id": "ceterms:'), local, F.lit('"'), more, F.lit("}"))
+    return t.part.select("p_partkey", F.concat(F.lit('{"decoded_resource": {"@graph": ['), node, F.lit("]}}")).alias("payload"))
+
+
+@query("P41_domains", """SELECT p_partkey, concat('class', CAST(unnest(CASE WHEN p_partkey % 3 = 2 THEN [p_partkey % 9, 0] ELSE [p_partkey % 9] END) AS VARCHAR)) AS domain, CASE WHEN p_partkey % 4 = 0 THEN 'rdfs:Class' ELSE 'rdf:Property' END AS type FROM part WHERE p_partkey % 4 <> 0""")
+def p41_domains(t):
+    """Properties with each class they are for, ids flattened out of texts, objects and lists."""
+    terms = readers.resources(vocabulary(t), "payload", "Property")
+    each = terms.select("p_partkey", F.explode(readers.ids(F.col("node"), "$['schema:domainIncludes']")).alias("id"), readers.as_list(F.col("node"), "$['@type']")[0].alias("type"))
+    return each.select("p_partkey", F.substring_index("id", ":", -1).alias("domain"), "type")
+
+
+@query("P41_vocabulary", """WITH d AS (SELECT unnest(CASE WHEN p_partkey % 3 = 2 THEN [p_partkey % 9, 0] ELSE [p_partkey % 9] END) AS c FROM part WHERE p_partkey % 4 <> 0), u AS (SELECT c, count(*) AS n FROM d GROUP BY c)
+  SELECT concat('ceterms:class', CAST(w.c AS VARCHAR)) AS class, CASE WHEN w.c % 2 = 0 THEN concat('shape', CAST(w.c AS VARCHAR)) END AS shape, coalesce(n, 0) AS n FROM (SELECT range AS c FROM range(12)) w LEFT JOIN u ON u.c = w.c""")
 def p41(t):
-    """Wanted classes with how often they occur; those that don't occur have zero."""
-    used = courses(t).select(F.explode(readers.as_list(F.col("node"), "$['@type']")).alias("type")).groupBy("type").agg(F.count("*").alias("n"))
-    wanted = t.spark.createDataFrame([("ceterms:Course",), ("x:Other",), ("x:Missing",)], "type string")
-    return wanted.join(used, "type", "left").select("type", F.coalesce("n", F.lit(0)).alias("n"))
+    """Wanted classes with their shape, null where there is none, and the number of properties that are for them."""
+    terms = readers.resources(vocabulary(t), "payload", "Property")
+    used = terms.select(F.explode(readers.ids(F.col("node"), "$['schema:domainIncludes']")).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+    wanted = t.spark.range(12).select(F.concat(F.lit("ceterms:class"), F.col("id").cast("string")).alias("class"))
+    shapes = t.spark.range(0, 12, 2).select(F.concat(F.lit("ceterms:class"), F.col("id").cast("string")).alias("class"), F.concat(F.lit("shape"), F.col("id").cast("string")).alias("shape"))
+    return wanted.join(shapes, "class", "left").join(used, "class", "left").select("class", "shape", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("P42_rights_terms", "SELECT concat('ceterms:', CASE p_partkey % 6 WHEN 0 THEN 'license' WHEN 2 THEN 'copyrightHolder' WHEN 4 THEN 'termsOfUse' ELSE 'rights' END, CAST(p_partkey AS VARCHAR)) AS term FROM part WHERE p_partkey % 6 IN (0, 2, 4, 5)")
+def p42(t):
+    """Terms of the vocabulary whose local name, without its prefix, is about rights."""
+    terms = readers.resources(vocabulary(t), "payload", "").select(readers.ids(F.col("node"), "$['@id']")[0].alias("term"))
+    return terms.where(F.substring_index("term", ":", -1).rlike("(?i)licen[cs]|copyright|rights|terms")).distinct()
 
 
 @query("A18_statement_census", "SELECT count(*) AS courses, count(*) FILTER (WHERE event_id % 4 <> 2) AS states, count(*) FILTER (WHERE event_id % 4 IN (0, 3)) AS resolves, count(*) FILTER (WHERE event_id % 4 IN (1, 3)) AS prose, count(*) FILTER (WHERE event_id % 4 = 2) AS empty, count(DISTINCT user_id) AS publishers FROM events WHERE event_type IN ('view', 'click')")
@@ -438,11 +514,10 @@ def p45(t):
 
 @query("P17_pathway_rows", "SELECT pathway_id, course_id, credits, section FROM v_pathway_rows")
 def p17(t):
-    """Pathway pages built from the rows, taken apart again: address, credits and the section above each row."""
-    w = t.v_pathway_rows.select("*", F.row_number().over(readers._by(["pathway_id"]).orderBy("pos", "course_id")).alias("k"))
+    """Pathway pages built from the rows, a page for each stretch of places, taken apart again: address, credits and the section above each row."""
+    w = t.v_pathway_rows.select("*", F.floor(F.col("pos") / 2000).alias("page"))
     row = F.concat(F.when(F.col("section").isNotNull(), F.concat(F.lit('<h3 class="section">'), "section", F.lit("</h3>"))).otherwise(F.lit('<h3 class="section"></h3>')), F.lit('<div class="row"><a href="/c/'), F.col("course_id").cast("string"), F.lit('"></a><span class="credits">'), "credits", F.lit("</span></div>"))
-    pages = w.groupBy("pathway_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", row.alias("h")))), lambda x: x["h"]), "").alias("html"))
-    rows = pg.pathway_rows(pages, "pathway_id")
+    listed = F.sort_array(F.collect_list(F.struct("pos", "course_id", row.alias("h"))))  # rows of one page
+    pages = w.groupBy("pathway_id", "page").agg(F.array_join(F.transform(listed, lambda x: x["h"]), "").alias("html"))
+    rows = pg.pathway_rows(pages, "pathway_id", "page")
     return rows.select("pathway_id", F.regexp_extract("href", "/c/([0-9]+)", 1).cast("bigint").alias("course_id"), "credits", "section")
-
-

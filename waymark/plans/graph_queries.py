@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.functions.keys import NOT_OCCUPATIONS
 from waymark.operators import graph
 from waymark.plans.registry import query
 from waymark.sources.tables import Tables
@@ -155,9 +156,11 @@ def g18(t):
     return alone.crossJoin(e.agg(F.count_distinct("src").alias("in_a_chain")))  # one row each
 
 
-@query("G19_shared_occupations", "SELECT a.cip_code AS a, b.cip_code AS b, count(DISTINCT a.soc_code) AS shared FROM v_prepares_for a JOIN v_prepares_for b ON a.soc_code = b.soc_code AND a.cip_code < b.cip_code GROUP BY a.cip_code, b.cip_code")
+@query("G19_shared_occupations", f"SELECT a.cip_code AS a, b.cip_code AS b, count(DISTINCT a.soc_code) AS shared FROM v_prepares_for a JOIN v_prepares_for b ON a.soc_code = b.soc_code AND a.cip_code < b.cip_code WHERE a.soc_code NOT IN {NOT_OCCUPATIONS} GROUP BY a.cip_code, b.cip_code")
 def g19(t):
-    return graph.shared_neighbours(t.v_prepares_for.select(F.col("cip_code").alias("src"), F.col("soc_code").alias("dst")))
+    """Pairs of programmes by the occupations they share; the codes that stand for no occupation are no hubs."""
+    mapped = t.v_prepares_for.where(~F.col("soc_code").isin(*NOT_OCCUPATIONS))
+    return graph.shared_neighbours(mapped.select(F.col("cip_code").alias("src"), F.col("soc_code").alias("dst")))
 
 
 @query("G20_removal", f"SELECT r.src AS node, (SELECT count(*) FROM v_requires o WHERE o.src = r.src) - 1 AS left_after_removal FROM v_requires r WHERE r.dst = {GATE}")
@@ -167,11 +170,11 @@ def g20(t, gone=GATE):
     return e.join(touched, "src", "left_semi").groupBy(F.col("src").alias("node")).agg((F.count("*") - 1).alias("left_after_removal"))
 
 
-@query("G21_cycles", "WITH RECURSIVE e AS (SELECT src, dst FROM v_requires WHERE src <= 60 UNION SELECT dst, src FROM v_requires WHERE src <= 60 AND src % 7 = 0), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src) SELECT src AS node FROM w WHERE src = dst")
+@query("G21_cycles", """WITH RECURSIVE e AS (SELECT src, dst FROM v_requires UNION SELECT dst, src FROM v_requires WHERE src % 97 = 0), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src) SELECT src AS node FROM w WHERE src = dst""")
 def g21(t):
-    """The course graph's head with some edges turned round as well, so that there are cycles to find."""
-    e = t.v_requires.where("src <= 60")
-    return graph.on_cycles(e.union(graph.reversed_edges(e.where("src % 7 = 0"))).distinct()).select("node")
+    """All courses, with the edges of every 97th turned round as well, so that there are cycles to find."""
+    e = t.v_requires
+    return graph.on_cycles(e.union(graph.reversed_edges(e.where("src % 97 = 0")))).select("node")
 
 
 @query("G21_acyclic", WALK + "SELECT count(*) AS on_cycles FROM cl WHERE src = dst")

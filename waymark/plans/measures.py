@@ -35,18 +35,23 @@ def j1(t):
     return found.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query("J2_pathway_edges", "SELECT (course_id % 9 = 0) AS dangling, count(*) AS rows, count(DISTINCT concat(pathway_id, '|', course_id)) AS edges FROM v_pathway_rows GROUP BY course_id % 9 = 0")
+@query("J2_pathway_edges", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY pathway_id, course_id ORDER BY pos) AS n FROM v_pathway_rows)
+  SELECT CASE WHEN n > 1 THEN 'duplicated' WHEN course_id % 9 = 0 THEN 'unresolved' WHEN course_id % 7 = 0 THEN 'off-level' ELSE 'resolved' END AS outcome, count(*) AS rows, count(DISTINCT concat(pathway_id, '|', course_id)) AS edges FROM r GROUP BY 1""")
 def j2(t):
-    """Pathway rows whose course is published, and those that dangle."""
-    published = t.v_course.where("course_id % 9 <> 0").select("course_id", F.lit(False).alias("dangling"))
-    rows = t.v_pathway_rows.join(published, "course_id", "left").withColumn("dangling", F.coalesce("dangling", F.lit(True)))
-    return rows.groupBy("dangling").agg(F.count("*").alias("rows"), F.count_distinct("pathway_id", "course_id").alias("edges"))
+    """Pathway rows against published pages: every ninth course has none, every seventh page is none of a course."""
+    pages = t.v_course.where("course_id % 9 <> 0").select(F.col("course_id").alias("path"))
+    links = t.v_pathway_rows.select(F.col("pathway_id").alias("src"), F.col("course_id").alias("href"), "pos")
+    found = pg.resolved_links(links, pages, pages.where("path % 7 <> 0"))
+    return found.groupBy("outcome").agg(F.count("*").alias("rows"), F.count_distinct("src", "href").alias("edges"))
 
 
-@query("J3_courses_to_subjects", "SELECT CASE WHEN s.subject IS NULL THEN 'orphan' ELSE 'attached' END AS outcome, count(*) AS n FROM v_course c LEFT JOIN (SELECT DISTINCT subject FROM v_in_subject WHERE subject <> 'Brand#3') s ON s.subject = c.subject GROUP BY 1")
+@query("J3_courses_to_subjects", "SELECT CASE WHEN right(subject, 1) = '3' THEN 'orphan' WHEN right(subject, 1) = '4' THEN 'off-level' ELSE 'attached' END AS outcome, count(*) AS n FROM v_course GROUP BY 1")
 def j3(t):
-    subjects = t.v_in_subject.where("subject <> 'Brand#3'").select("subject", F.lit(1).alias("there")).distinct()
-    return t.v_course.join(subjects, "subject", "left").groupBy(F.when(F.col("there").isNull(), "orphan").otherwise("attached").alias("outcome")).agg(F.count("*").alias("n"))
+    """Courses by whether their subject has a page, and that a subject's: pages of subjects in 3 are missing, those in 4 are courses'."""
+    last = F.right("subject", F.lit(1))
+    pages = t.v_in_subject.where(last != "3").select("subject", F.when(last == "4", "course").otherwise("subject").alias("page")).distinct()
+    outcome = F.when(F.col("page").isNull(), "orphan").when(F.col("page") == "subject", "attached").otherwise("off-level")
+    return t.v_course.join(pages, "subject", "left").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
 @query("J4_crosswalk_scope", "SELECT (p.cip_code IS NOT NULL) AS in_scope, count(*) AS mappings FROM v_prepares_for m LEFT JOIN (SELECT DISTINCT cip_code FROM v_completion WHERE awards > 40) p ON p.cip_code = m.cip_code GROUP BY 1")
@@ -178,12 +183,13 @@ def j20(t):
     return links.join(published, "href", "left").groupBy("page_id").agg(n.alias("links"), k.alias("resolved"), F.when(k == n, "fully").when(k == 0, "broken").otherwise("partly").alias("verdict"))
 
 
-@query("J23_requirements", """SELECT label, count(*) AS edges, count(DISTINCT id) AS nodes FROM (SELECT CASE WHEN role = 'user' THEN 'Course' ELSE 'Pathway' END AS label, sha1(concat(CAST(conv_id AS VARCHAR), '|', trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS id FROM conversations WHERE trim(text) <> '') GROUP BY label""")
+@query("J23_requirements", """SELECT label, count(*) AS edges, count(DISTINCT CASE WHEN label <> 'skipped' THEN id END) AS nodes FROM (SELECT CASE role WHEN 'user' THEN 'Course' WHEN 'assistant' THEN 'Pathway' ELSE 'skipped' END AS label, sha1(concat(CAST(conv_id AS VARCHAR), '|', trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS id FROM conversations WHERE trim(text) <> '') GROUP BY label""")
 def j23(t):
-    """Requirement edges and nodes from course and pathway records: one node for each owner and text."""
+    """Requirement edges and nodes from course and pathway records, one node for each owner and text; records of subject pages are counted and skipped."""
     c = t.conversations.where(F.trim("text") != "")
-    parts = c.where("role = 'user'").withColumn("label", F.lit("Course")).unionByName(c.where("role <> 'user' or role is null").withColumn("label", F.lit("Pathway")))
-    return parts.select("label", keys.requirement_id("conv_id", "text").alias("id")).groupBy("label").agg(F.count("*").alias("edges"), F.count_distinct("id").alias("nodes"))
+    label = F.when(F.col("role") == "user", "Course").when(F.col("role") == "assistant", "Pathway").otherwise("skipped")
+    parts = c.select(label.alias("label"), keys.requirement_id("conv_id", "text").alias("id"))
+    return parts.groupBy("label").agg(F.count("*").alias("edges"), F.count_distinct(F.when(F.col("label") != "skipped", F.col("id"))).alias("nodes"))
 
 
 # ---- aggregations
@@ -215,7 +221,7 @@ def a5(t):
 
 
 @query("A6_totals_and_breakdowns", """SELECT cip_code, CAST(sum(awards) AS BIGINT) AS naive, CAST(sum(CASE WHEN race = '99' AND sex = '99' THEN awards ELSE 0 END) AS BIGINT) AS totals, CAST(sum(CASE WHEN race <> '99' AND sex <> '99' THEN awards ELSE 0 END) AS BIGINT) AS breakdowns,
-  CAST(sum(CASE WHEN race = '99' AND sex = '99' AND majornum = 1 THEN awards ELSE 0 END) AS BIGINT) AS first_majors, TRUE AS agree FROM v_completion_demo GROUP BY cip_code""")
+  CAST(sum(CASE WHEN race = '99' AND sex = '99' AND majornum = 1 THEN awards ELSE 0 END) AS BIGINT) AS first_majors, sum(CASE WHEN race = '99' AND sex = '99' THEN awards ELSE 0 END) = sum(CASE WHEN race <> '99' AND sex <> '99' THEN awards ELSE 0 END) AS agree FROM v_completion_demo GROUP BY cip_code""")
 def a6(t):
     total, part = (F.col("race") == TOTAL) & (F.col("sex") == TOTAL), (F.col("race") != TOTAL) & (F.col("sex") != TOTAL)
     add = lambda c: F.sum(F.when(c, F.col("awards")).otherwise(0))
@@ -240,10 +246,10 @@ def a9(t):
     return rec.fold_rows(t.v_pathway_rows)
 
 
-@query("A10_coverage", "SELECT field, level, count(*) AS n_rows, count(*) FILTER (WHERE regexp_full_match(v, '[0-9]+')) AS published, count(*) FILTER (WHERE v = 'PS') AS suppressed, count(*) FILTER (WHERE v = 'NA') AS not_applicable FROM (SELECT level, 'm1' AS field, m1 AS v FROM v_earnings_raw UNION ALL SELECT level, 'm2', m2 FROM v_earnings_raw UNION ALL SELECT level, 'm3', m3 FROM v_earnings_raw) GROUP BY field, level")
+@query("A10_coverage", "SELECT field, level, count(*) AS n_rows, count(*) FILTER (WHERE regexp_full_match(v, '[0-9]+')) AS published, count(*) FILTER (WHERE v = 'PS') AS suppressed, count(*) FILTER (WHERE v = 'NA') AS not_applicable, round_even(100.0 * CAST(count(*) FILTER (WHERE regexp_full_match(v, '[0-9]+')) AS DOUBLE) / count(*), 1) AS share FROM (SELECT level, 'm1' AS field, m1 AS v FROM v_earnings_raw UNION ALL SELECT level, 'm2', m2 FROM v_earnings_raw UNION ALL SELECT level, 'm3', m3 FROM v_earnings_raw) GROUP BY field, level")
 def a10(t):
     long = t.v_earnings_raw.unpivot(["unitid", "level"], ["m1", "m2", "m3"], "field", "v")
-    return long.groupBy("field", "level").agg(F.count("*").alias("n_rows"), F.count_if(F.col("v").rlike(r"\A[0-9]+\z")).alias("published"), F.count_if(F.col("v") == "PS").alias("suppressed"), F.count_if(F.col("v") == "NA").alias("not_applicable"))
+    return long.groupBy("field", "level").agg(F.count("*").alias("n_rows"), F.count_if(F.col("v").rlike(r"\A[0-9]+\z")).alias("published"), F.count_if(F.col("v") == "PS").alias("suppressed"), F.count_if(F.col("v") == "NA").alias("not_applicable"), pct(F.count_if(F.col("v").rlike(r"\A[0-9]+\z")), F.count("*")).alias("share"))
 
 
 @query("A10_shares", "SELECT field, round_even(100.0 * CAST(p AS DOUBLE) / n, 1) AS share FROM (SELECT field, count(*) AS n, count(*) FILTER (WHERE regexp_full_match(v, '[0-9]+')) AS p FROM (SELECT 'm1' AS field, m1 AS v FROM v_earnings_raw UNION ALL SELECT 'm2', m2 FROM v_earnings_raw) GROUP BY field)")
@@ -255,12 +261,12 @@ def a10_shares(t):
 _FLAGS = " UNION ALL ".join(f"SELECT '{f}' AS flag, {f} AS v FROM v_flags" for f in ("flag1", "flag2", "flag3", "flag4"))
 
 
-@query("A11_flag_census", f"SELECT flag, count(*) FILTER (WHERE v = 1) AS grants, count(*) FILTER (WHERE v = 0) AS does_not, count(*) FILTER (WHERE v >= 0) AS answered, count(*) FILTER (WHERE v = -1) AS not_reported, count(*) FILTER (WHERE v = -2) AS not_applicable, count(*) FILTER (WHERE v = -3) AS poor FROM ({_FLAGS}) GROUP BY flag")
+@query("A11_flag_census", f"SELECT flag, count(*) FILTER (WHERE v = 1) AS grants, count(*) FILTER (WHERE v = 0) AS does_not, count(*) FILTER (WHERE v >= 0) AS answered, count(*) FILTER (WHERE v = -1) AS not_reported, count(*) FILTER (WHERE v = -2) AS not_applicable, count(*) FILTER (WHERE v = -3) AS poor, round_even(100.0 * CAST(count(*) FILTER (WHERE v = 1) AS DOUBLE) / nullif(count(*) FILTER (WHERE v >= 0), 0), 1) AS share_of_answered FROM ({_FLAGS}) GROUP BY flag")
 def a11(t):
     long = t.v_flags.unpivot(["s_suppkey"], ["flag1", "flag2", "flag3", "flag4"], "flag", "v")
     n = lambda c: F.count_if(c)
     v = F.col("v")
-    return long.groupBy("flag").agg(n(v == 1).alias("grants"), n(v == 0).alias("does_not"), n(v >= 0).alias("answered"), n(v == -1).alias("not_reported"), n(v == -2).alias("not_applicable"), n(v == -3).alias("poor"))
+    return long.groupBy("flag").agg(n(v == 1).alias("grants"), n(v == 0).alias("does_not"), n(v >= 0).alias("answered"), n(v == -1).alias("not_reported"), n(v == -2).alias("not_applicable"), n(v == -3).alias("poor"), pct(n(v == 1), n(v >= 0)).alias("share_of_answered"))
 
 
 @query("A12_multiplicities", "SELECT rows_per_key, count(*) AS n_keys FROM (SELECT l_orderkey, count(*) AS rows_per_key FROM lineitem GROUP BY l_orderkey) GROUP BY rows_per_key")
@@ -275,11 +281,11 @@ def a13(t):
 
 
 @query("A14_overlap_by_group", """WITH a AS (SELECT soc_code FROM v_occ WHERE right(soc_code, 1) IN ('1', '2', '3', '4', '5')), b AS (SELECT soc_code FROM v_occ WHERE right(soc_code, 1) IN ('4', '5', '6'))
-  SELECT left(soc_code, 2) AS major, count(*) AS mine, count(*) FILTER (WHERE soc_code IN (SELECT soc_code FROM b)) AS shared, count(*) FILTER (WHERE soc_code NOT IN (SELECT soc_code FROM b)) AS exclusive FROM a GROUP BY left(soc_code, 2)""")
+  SELECT left(soc_code, 2) AS major, count(*) AS mine, count(*) FILTER (WHERE soc_code IN (SELECT soc_code FROM b)) AS shared, count(*) FILTER (WHERE soc_code NOT IN (SELECT soc_code FROM b)) AS exclusive, round_even(100.0 * CAST(count(*) FILTER (WHERE soc_code NOT IN (SELECT soc_code FROM b)) AS DOUBLE) / count(*), 1) AS share FROM a GROUP BY left(soc_code, 2) ORDER BY exclusive DESC, major""")
 def a14(t):
     last = F.right("soc_code", F.lit(1))
     a, b = t.v_occ.where(last.isin(*"12345")), t.v_occ.where(last.isin(*"456")).withColumn("b", F.lit(1))
-    return a.join(b, "soc_code", "left").groupBy(F.left("soc_code", F.lit(2)).alias("major")).agg(F.count("*").alias("mine"), F.count("b").alias("shared"), F.count_if(F.col("b").isNull()).alias("exclusive"))
+    return a.join(b, "soc_code", "left").groupBy(F.left("soc_code", F.lit(2)).alias("major")).agg(F.count("*").alias("mine"), F.count("b").alias("shared"), F.count_if(F.col("b").isNull()).alias("exclusive"), pct(F.count_if(F.col("b").isNull()), F.count("*")).alias("share")).orderBy(F.desc("exclusive"), "major")
 
 
 @query("A15_fan_out", "SELECT count(*) AS parents, count(*) FILTER (WHERE n = 1) AS single, count(*) FILTER (WHERE n > 1) AS several, max(n) AS largest, min(soc_code) FILTER (WHERE n = 2) AS largest_code FROM (SELECT split_part(onet_code, '.', 1) AS soc_code, count(*) AS n FROM v_onet GROUP BY 1)")
@@ -293,7 +299,7 @@ def a16(t):
     return t.v_programme.groupBy(F.left("cip_code", F.lit(4)).alias("prefix")).agg(F.bool_or(F.right("cip_code", F.lit(2)) == "00").alias("has_family"), F.count("*").alias("n"))
 
 
-@query("A17_unpivot_agrees", "SELECT count(*) AS wide, 3 * count(*) AS long, CAST(sum(CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS first_total, TRUE AS agrees FROM lineitem")
+@query("A17_unpivot_agrees", "SELECT count(*) AS wide, 3 * count(*) AS long, CAST(sum(CASE WHEN l_linenumber = 1 THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS first_total, (SELECT count(*) FROM (UNPIVOT (SELECT CAST(l_quantity AS BIGINT) AS a, CAST(l_suppkey AS BIGINT) AS b, CAST(l_partkey AS BIGINT) AS c FROM lineitem) ON a, b, c INTO NAME f VALUE v)) = 3 * count(*) AS agrees FROM lineitem")
 def a17(t):
     wide = t.lineitem.select("l_linenumber", *(F.col(c).cast("bigint").alias(c) for c in ("l_quantity", "l_suppkey", "l_partkey")))
     long = wide.unpivot(["l_linenumber"], ["l_quantity", "l_suppkey", "l_partkey"], "column", "v").agg(F.count("*").alias("long"))
@@ -312,10 +318,16 @@ def a20(t):
     return t.events.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("A21_run_tally", "SELECT event_type AS workflow, count(*) AS runs, count(*) FILTER (WHERE user_id % 3 = 0) AS success, count(*) FILTER (WHERE user_id % 3 = 1) AS failure, count(*) FILTER (WHERE user_id % 3 = 2) AS other, round_even(median(value), 1) AS median, max(value) AS longest, count(*) FILTER (WHERE value > 50) AS over_floor, CAST(min(event_id) AS BIGINT) AS first_run, CAST(max(event_id) AS BIGINT) AS last_run FROM events GROUP BY event_type")
+@query("A21_run_tally", """SELECT event_type AS workflow, count(*) AS runs, count(*) FILTER (WHERE user_id % 3 = 0) AS success, count(*) FILTER (WHERE user_id % 3 = 1) AS failure, count(*) FILTER (WHERE user_id % 3 = 2) AS other,
+  count(*) FILTER (WHERE event_id % 11 = 0) AS unfinished, count(value) FILTER (WHERE event_id % 11 <> 0) AS timed, round_even(median(value) FILTER (WHERE event_id % 11 <> 0), 1) AS median, max(value) FILTER (WHERE event_id % 11 <> 0) AS longest, count(*) FILTER (WHERE value > 50 AND event_id % 11 <> 0) AS over_floor,
+  CAST(min(event_id) AS BIGINT) AS first_run, CAST(max(event_id) AS BIGINT) AS last_run FROM events GROUP BY event_type""")
 def a21(t):
+    """Runs by workflow. Every eleventh is unfinished: it has no duration, whatever its value says."""
     kind = F.col("user_id") % 3
-    return t.events.groupBy(F.col("event_type").alias("workflow")).agg(F.count("*").alias("runs"), F.count_if(kind == 0).alias("success"), F.count_if(kind == 1).alias("failure"), F.count_if(kind == 2).alias("other"), F.bround(F.median("value"), 1).alias("median"), F.max("value").alias("longest"), F.count_if(F.col("value") > 50).alias("over_floor"), F.min("event_id").alias("first_run"), F.max("event_id").alias("last_run"))
+    runs = t.events.withColumn("seconds", F.when(F.col("event_id") % 11 != 0, F.col("value")))
+    out = runs.groupBy("event_type").agg(F.count("*").alias("runs"), F.count_if(kind == 0).alias("success"), F.count_if(kind == 1).alias("failure"), F.count_if(kind == 2).alias("other"), F.count_if(F.col("event_id") % 11 == 0).alias("unfinished"), F.count("seconds").alias("timed"), F.max("seconds").alias("longest"), F.count_if(F.col("seconds") > 50).alias("over_floor"), F.min("event_id").alias("first_run"), F.max("event_id").alias("last_run"))
+    mid = rec.middle_values(runs, "seconds", "event_type").select("event_type", F.bround((F.col("lower") + F.col("upper")) / 2, 1).alias("median"))
+    return out.join(mid, "event_type", "left").withColumnRenamed("event_type", "workflow")
 
 
 @query("A22_band_stats", "SELECT CASE WHEN l_quantity < 10 THEN '0-9' WHEN l_quantity < 25 THEN '10-24' ELSE '25+' END AS band, count(*) AS n, round_even(avg(l_linenumber), 1) AS mean, max(l_quantity) AS worst FROM lineitem GROUP BY 1")
@@ -329,14 +341,15 @@ def a23(t):
     return p.groupBy("host").agg(F.count_if(F.col("kind") == "course").alias("course"), F.count_if(F.col("kind") == "subject").alias("subject"), F.count_if(F.col("kind").isNull()).alias("other"))
 
 
-@query("A24_table_census", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows, {c} AS has_cip FROM {n}" for n, c in (("v_completion", "TRUE"), ("v_institution", "FALSE"), ("v_prepares_for", "TRUE"), ("v_geo", "FALSE"))))
+_CENSUS = (("v_completion", "TRUE"), ("v_institution", "FALSE"), ("v_prepares_for", "TRUE"), ("v_geo", "FALSE"))
+
+
+@query("A24_table_census", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows, {c} AS has_cip, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'read' END AS status FROM {n}" for n, c in _CENSUS)
+       + " UNION ALL SELECT 'late_runs', count(*), FALSE, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'read' END FROM v_metrics WHERE run > 2 UNION ALL SELECT 'no_such_table', NULL, NULL, 'missing'")
 def a24(t):
-    out = None
-    for name in ("v_completion", "v_institution", "v_prepares_for", "v_geo"):
-        df = getattr(t, name)
-        own = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows", F.lit(any("cip" in c for c in df.columns)).alias("has_cip"))
-        out = own if out is None else out.union(own)
-    return out
+    """Rows of each table: one that has none is empty, one that isn't there is missing, and neither is a zero."""
+    tables = {name: getattr(t, name) for name, _ in _CENSUS} | {"late_runs": t.v_metrics.where("run > 2"), "no_such_table": None}
+    return rec.census(t.spark, tables, "cip")
 
 
 @query("A26_by_creator", "SELECT source, count(*) AS n, count(lang) AS with_subject, count(DISTINCT sha256(text)) < count(*) AS repeats FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 10")
@@ -344,13 +357,16 @@ def a26(t):
     return t.documents.groupBy("source").agg(F.count("*").alias("n"), F.count("lang").alias("with_subject"), (F.count_distinct(F.sha2("text", 256)) < F.count("*")).alias("repeats")).orderBy(F.desc("n"), "source").limit(10)
 
 
-@query("A27_table_shape", "SELECT left(soc_code, 2) AS state, count(*) AS n_rows, count(*) FILTER (WHERE right(soc_code, 1) IN ('1', '3')) AS structurable FROM v_occ GROUP BY left(soc_code, 2)")
+@query("A27_table_shape", "SELECT left(soc_code, 2) AS state, count(*) AS n_rows, max(CASE WHEN right(soc_code, 1) = '5' THEN 2 ELSE 1 END) AS subject_columns, count(*) FILTER (WHERE right(soc_code, 1) IN ('1', '3')) AS structurable, round_even(100.0 * CAST(count(*) FILTER (WHERE right(soc_code, 1) IN ('1', '3')) AS DOUBLE) / count(*), 1) AS share FROM v_occ GROUP BY left(soc_code, 2)")
 def a27(t):
-    """Cells of a markup table: rows by state and those that can be read as numbers."""
-    cell = F.when(F.right("soc_code", F.lit(1)).isin("1", "3"), "4").otherwise("by choice")
-    html = t.v_occ.select(F.concat(F.lit("<table><tr><td>"), "soc_code", F.lit("</td><td>"), cell, F.lit("</td></tr></table>")).alias("html"))
+    """Cells of a markup table: rows by state, columns beside the state's, and rows that can be read as numbers with their share."""
+    last = F.right("soc_code", F.lit(1))
+    cell = F.when(last.isin("1", "3"), "4").otherwise("by choice")
+    more = F.when(last == "5", "<td>2</td>").otherwise("")
+    html = t.v_occ.select(F.concat(F.lit("<table><tr><td>"), "soc_code", F.lit("</td><td>"), cell, F.lit("</td>"), more, F.lit("</tr></table>")).alias("html"))
     rows = readers.table_cells(html, "html")
-    return rows.groupBy(F.left(F.col("cells")[0], F.lit(2)).alias("state")).agg(F.count("*").alias("n_rows"), F.count_if(pg.cell_class(F.col("cells")[1]) == "number").alias("structurable"))
+    number = F.count_if(pg.cell_class(F.col("cells")[1]) == "number")
+    return rows.groupBy(F.left(F.col("cells")[0], F.lit(2)).alias("state")).agg(F.count("*").alias("n_rows"), (F.max(F.size("cells")) - 1).alias("subject_columns"), number.alias("structurable"), pct(number, F.count("*")).alias("share"))
 
 
 @query("A28_provenance", "SELECT source, kind, count(*) AS n FROM (SELECT subject AS source, 'Course' AS kind FROM v_course UNION ALL SELECT source_edition, 'Mapping' FROM v_prepares_for UNION ALL SELECT state, 'Institution' FROM v_institution) GROUP BY source, kind")
@@ -375,9 +391,9 @@ def a31(t):
     return t.events.select("event_id", F.explode(ids).alias("type")).groupBy("type").agg(F.count("*").alias("n"), F.bool_or(F.col("event_id") % 50 == 0).alias("carries"))
 
 
-@query("A32_code_census", "SELECT count(*) AS n_rows, count(DISTINCT name) AS names, count(*) FILTER (WHERE regexp_full_match(cip_code, '0000[0-9]{2}')) AS pure, count(DISTINCT left(cip_code, 4)) AS prefixes FROM v_programme")
+@query("A32_code_census", "SELECT count(*) AS n_rows, count(DISTINCT name) AS names, count(*) FILTER (WHERE regexp_full_match(cip_code, '0000[0-9]{2}')) AS pure, count(DISTINCT left(cip_code, 4)) AS prefixes, bool_or(regexp_matches(name, '\\b(i|ii|iii|[0-9]|ring)$')) AS publishes_sequence FROM v_programme")
 def a32(t):
-    return t.v_programme.agg(F.count("*").alias("n_rows"), F.count_distinct("name").alias("names"), F.count_if(F.col("cip_code").rlike(r"\A0000[0-9]{2}\z")).alias("pure"), F.count_distinct(F.left("cip_code", F.lit(4))).alias("prefixes"))
+    return t.v_programme.agg(F.count("*").alias("n_rows"), F.count_distinct("name").alias("names"), F.count_if(F.col("cip_code").rlike(r"\A0000[0-9]{2}\z")).alias("pure"), F.count_distinct(F.left("cip_code", F.lit(4))).alias("prefixes"), F.bool_or(F.col("name").rlike(r"\b(i|ii|iii|[0-9]|ring)$")).alias("publishes_sequence"))
 
 
 @query("A33_rows_by_table", "SELECT 'part' AS name, count(*) AS n FROM part UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'nation', count(*) FROM nation")
@@ -444,12 +460,14 @@ def w3(t):
     return rec.carry_forward(e, F.when(F.col("event_type") == "signup", F.col("event_id")), "_o", "user_id").select("event_id", F.col("carried").alias("signup"))
 
 
-@query("W4_progress", "SELECT h, n, CAST(sum(n) OVER (ORDER BY h) AS BIGINT) AS total, n - lag(n) OVER (ORDER BY h) AS change FROM (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, count(*) AS n FROM events GROUP BY 1)")
+@query("W4_progress", """SELECT h, n, total, n - lag(n) OVER (ORDER BY h) AS change, round((total - lag(total) OVER (ORDER BY h)) / CAST((h - lag(h) OVER (ORDER BY h)) * 3600 AS DOUBLE), 9) AS rate, round(total / CAST((h - min(h) OVER () + 1) * 3600 AS DOUBLE), 9) AS rate_so_far
+  FROM (SELECT h, n, CAST(sum(n) OVER (ORDER BY h) AS BIGINT) AS total FROM (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, count(*) AS n FROM events GROUP BY 1))""")
 def w4(t):
-    """Hourly progress with its running total: the window runs over hours, a bounded table."""
+    """Progress at each hour with rows: running total, rows a second since the sample before and since the start, over the seconds that passed. The windows run over hours."""
     hours = t.events.groupBy(F.floor(F.unix_timestamp("ts") / 3600).alias("h")).agg(F.count("*").alias("n"))
     w = Window.orderBy("h")
-    return hours.select("h", "n", F.sum("n").over(w).alias("total"), (F.col("n") - F.lag("n").over(w)).alias("change"))
+    out = hours.select("h", "n", F.sum("n").over(w).alias("total"), (F.col("n") - F.lag("n").over(w)).alias("change"), ((F.col("h") - F.lag("h").over(w)) * 3600).alias("elapsed"), ((F.col("h") - F.min("h").over(w) + 1) * 3600).alias("so_far"))
+    return out.select("h", "n", "total", "change", F.round(F.col("n") / F.col("elapsed"), 9).alias("rate"), F.round(F.col("total") / F.col("so_far"), 9).alias("rate_so_far"))
 
 
 @query("W5_upper_median", "SELECT median FROM v_earnings ORDER BY median LIMIT 1 OFFSET (SELECT CAST(floor(count(*) / 2) AS BIGINT) FROM v_earnings)")
@@ -461,7 +479,8 @@ def w5(t):
 
 @query("W6_median", "SELECT event_type, round_even(median(value), 1) AS median FROM events GROUP BY event_type")
 def w6(t):
-    return t.events.groupBy("event_type").agg(F.bround(F.median("value"), 1).alias("median"))
+    mid = rec.middle_values(t.events, "value", "event_type")
+    return mid.select("event_type", F.bround((F.col("lower") + F.col("upper")) / 2, 1).alias("median"))
 
 
 @query("W7_top_k", "SELECT l_partkey, sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity FROM lineitem GROUP BY l_partkey ORDER BY quantity DESC, l_partkey LIMIT 10")
@@ -481,11 +500,10 @@ def w9(t, n=20):
 
 @query("W10_even_sample", "SELECT p_name FROM (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT p_name FROM part)) WHERE i IN (SELECT floor(k * n / 7) FROM range(7) r(k))")
 def w10(t, k=7):
-    """Evenly spaced of the sorted distinct names, a bounded list."""
-    names = t.part.select("p_name").distinct()
-    n = names.count()
-    at = [i * n // k for i in range(k)]
-    return names.withColumn("i", F.row_number().over(Window.orderBy("p_name")) - 1).where(F.col("i").isin(*at)).select("p_name")
+    """Evenly spaced of the sorted distinct names."""
+    ranked = rec.ranked(t.part.select("p_name").distinct(), "p_name")
+    n = ranked.count()
+    return ranked.where(F.col("rank").isin(*(i * n // k for i in range(k)))).select("p_name")
 
 
 @query("W11_stride_pages", "SELECT doc_id, (doc_id // 50) AS page FROM documents WHERE (doc_id // 50) % 3 = 0")
@@ -506,10 +524,10 @@ def w13(t, n=25):
 
 @query("W15_banner_buckets", """SELECT row_no, c0 AS cell, CASE WHEN row_no > 1 THEN 'CIP2020Code' ELSE NULL END AS bucket FROM v_crosswalk_cells WHERE row_no <> 1""")
 def w15(t):
-    """Rows under the banner last passed, here in one sheet."""
-    rows = sheet(t).select(F.lit(0).alias("sheet"), "row_no", F.col("cells")[0].alias("cell"))
+    """Rows under the banner last passed, here in one sheet: banners are carried over stretches of rows first, then within each."""
+    rows = sheet(t).select("row_no", F.col("cells")[0].alias("cell"))
     banner = F.col("cell") == "CIP2020Code"
-    return rec.carry_forward(rows, F.when(banner, F.col("cell")), "row_no", "sheet").where(~banner).select("row_no", "cell", F.col("carried").alias("bucket"))
+    return rec.carry_over_ranges(rows, F.when(banner, F.col("cell")), "row_no").where(~banner).select("row_no", "cell", F.col("carried").alias("bucket"))
 
 
 # ---- sets
@@ -548,9 +566,21 @@ def x7(t):
 # ---- reconciliation and quality
 
 
-@query("M1_slice_integrity", "SELECT count(*) AS rows, count(*) AS rows_unique, CAST(NULL AS VARCHAR) AS problem FROM (SELECT DISTINCT * FROM orders)")
+@query("M1_slice_integrity", """SELECT name, rows, rows_unique, CASE WHEN rows = 0 THEN 'empty' WHEN rows <> reported THEN 'count' WHEN rows_unique <> rows THEN 'repeated' END AS problem FROM (
+  SELECT 'orders' AS name, (SELECT count(*) FROM orders) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) AS rows_unique, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS reported
+  UNION ALL SELECT 'keys of lines', (SELECT count(*) FROM lineitem), (SELECT count(DISTINCT l_orderkey) FROM lineitem), (SELECT count(*) FROM lineitem)
+  UNION ALL SELECT 'suppliers', (SELECT count(*) FROM supplier), (SELECT count(*) FROM (SELECT DISTINCT * FROM supplier)), (SELECT max(s_suppkey) - min(s_suppkey) + 1 FROM supplier)
+  UNION ALL SELECT 'late runs', (SELECT count(*) FROM v_metrics WHERE run > 2), 0, 0)""")
 def m1(t):
-    return rec.slice_integrity(t.orders, t.orders.count())
+    """Slices against what another table reports for them: whole, repeated rows, another count, empty."""
+    keys_of_lines = t.lineitem.select("l_orderkey")
+    ids = t.supplier.agg(F.max("s_suppkey") - F.min("s_suppkey") + 1).first()[0]
+    slices = (("orders", t.orders, keys_of_lines.distinct().count()), ("keys of lines", keys_of_lines, t.lineitem.count()), ("suppliers", t.supplier, ids), ("late runs", t.v_metrics.where("run > 2"), 0))
+    out = None
+    for name, df, reported in slices:
+        own = rec.slice_integrity(df, reported).select(F.lit(name).alias("name"), "rows", "rows_unique", "problem")
+        out = own if out is None else out.union(own)
+    return out
 
 
 @query("M2_key_fitness", """SELECT field, count(value) AS present, count(*) - count(value) AS absent, count(DISTINCT value) AS distinct_values, count(value) - count(DISTINCT value) AS collides FROM (SELECT 'p_partkey' AS field, CAST(p_partkey AS VARCHAR) AS value FROM part UNION ALL SELECT 'p_name', p_name FROM part UNION ALL SELECT 'p_brand', p_brand FROM part) GROUP BY field""")
@@ -589,12 +619,17 @@ def m6(t):
     return rec.invalid_counts(t.v_completion, cip_code=F.col("cip_code").rlike(r"\A[0-9]{6}\z"), awards=F.col("awards") >= 0, race=F.col("race").isin("A", "N"))
 
 
-@query("M7_rekeyed", "SELECT TRUE AS rekeyed")
+@query("M7_rekeyed", """WITH k AS (SELECT concat_ws('|', unitid, cip_code, race, sex, CAST(year AS VARCHAR)) AS old, sha1(concat(unitid, '|', cip_code, '|', CAST(award_level AS VARCHAR), '|', CAST(majornum AS VARCHAR), '|', coalesce(race, 'None'), '|', coalesce(sex, 'None'), '|', CAST(year AS VARCHAR))) AS id FROM v_completion),
+  ids AS (SELECT id FROM k ORDER BY id LIMIT 25) SELECT 'old keys' AS held, (SELECT count(*) FROM k) > 0 AND NOT EXISTS (SELECT 1 FROM k JOIN ids ON ids.id = k.old) AS rekeyed UNION ALL SELECT 'new keys', (SELECT count(*) FROM k) > 0 AND NOT EXISTS (SELECT 1 FROM k JOIN ids ON ids.id = k.id) UNION ALL SELECT 'nothing', FALSE""")
 def m7(t):
-    """A table whose keys are of the old kind against new ones."""
+    """Tables of the old kind of keys, of the new kind, and an empty one, against new keys."""
     c = t.v_completion
-    old = c.select(keys.joined_key("unitid", "cip_code", "race", "sex", "year").alias("id"))
-    return rec.keyed_otherwise(old, c.select(keys.completion_id().alias("id")), "id")
+    old, new = c.select(keys.joined_key("unitid", "cip_code", "race", "sex", "year").alias("id")), c.select(keys.completion_id().alias("id"))
+    out = None
+    for name, table in (("old keys", old), ("new keys", new), ("nothing", new.where("false"))):
+        own = rec.keyed_otherwise(table, new, "id").select(F.lit(name).alias("held"), "rekeyed")
+        out = own if out is None else out.union(own)
+    return out
 
 
 @query("M8_drift", f"SELECT count(*) FILTER (WHERE a <> b) AS changed, count(*) AS pages, (count(*) FILTER (WHERE a <> b) > 10 AND count(*) FILTER (WHERE a <> b) * 10 > count(*)) AS stop FROM (SELECT coalesce(CASE len(list_filter(string_split({_PATH}, '/'), lambda x: x <> '')) WHEN 1 THEN 'subject' WHEN 2 THEN 'course' WHEN 3 THEN 'pathway' END, '') AS a, CASE WHEN html LIKE '%<br>%' THEN 'pathway' ELSE coalesce(CASE len(list_filter(string_split({_PATH}, '/'), lambda x: x <> '')) WHEN 1 THEN 'subject' WHEN 2 THEN 'course' WHEN 3 THEN 'pathway' END, '') END AS b FROM pages)")
@@ -606,11 +641,17 @@ def m8(t):
 
 
 @query("M9_resolution", """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages), p AS (SELECT DISTINCT href FROM l WHERE length(href) % 2 = 0),
-  v AS (SELECT page_id, count(*) AS n, count(p.href) AS k FROM l LEFT JOIN p ON p.href = l.href GROUP BY page_id) SELECT count(*) AS stating, count(*) FILTER (WHERE n = k) AS fully, count(*) FILTER (WHERE k > 0 AND k < n) AS partly, count(*) FILTER (WHERE k = 0) AS broken, CAST(sum(n - k) AS BIGINT) AS dangling FROM v""")
+  v AS (SELECT page_id, count(*) AS n, count(p.href) AS k FROM l LEFT JOIN p ON p.href = l.href GROUP BY page_id) SELECT count(*) AS stating, count(*) FILTER (WHERE n = k) AS fully, count(*) FILTER (WHERE k > 0 AND k < n) AS partly, count(*) FILTER (WHERE k = 0) AS broken, CAST(sum(k) AS BIGINT) AS resolvable, CAST(sum(n - k) AS BIGINT) AS dangling,
+  (SELECT string_agg(href, ' ' ORDER BY href) FROM (SELECT DISTINCT href FROM l WHERE href NOT IN (SELECT href FROM p) ORDER BY href LIMIT 8)) AS examples, (SELECT count(*) FROM pages WHERE html LIKE '%<nav%' AND NOT regexp_matches(html, 'href="')) AS drifted FROM v""")
 def m9(t):
+    """Pages that state links by how many resolve, with eight that don't, and pages whose field is there without a link in it."""
     v = j20(t)
     n = lambda name: F.count_if(F.col("verdict") == name).alias(name)
-    return v.agg(F.count("*").alias("stating"), n("fully"), n("partly"), n("broken"), F.sum(F.col("links") - F.col("resolved")).alias("dangling"))
+    found = v.agg(F.count("*").alias("stating"), n("fully"), n("partly"), n("broken"), F.sum("resolved").alias("resolvable"), F.sum(F.col("links") - F.col("resolved")).alias("dangling"))
+    links = t.pages.select(F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("href")).distinct()
+    some = links.where(F.length("href") % 2 != 0).orderBy("href").limit(8).agg(F.array_join(F.array_sort(F.collect_list("href")), " ").alias("examples"))
+    drift = pg.page_records(t.pages).agg(F.count_if("field_present_no_links").alias("drifted"))
+    return found.crossJoin(some).crossJoin(drift)  # one row each
 
 
 @query("M10_pairs", "SELECT count(*) FILTER (WHERE trim(c0) <> '' AND trim(c2) <> '') AS complete, count(*) FILTER (WHERE (trim(c0) <> '') <> (trim(c2) <> '')) AS partial FROM v_crosswalk_cells WHERE row_no > 1")
@@ -620,9 +661,12 @@ def m10(t):
     return p.agg(F.count_if(a & b).alias("complete"), F.count_if(a != b).alias("partial"))
 
 
-@query("M11_zero_denominators", "SELECT district, CASE WHEN value = 0 THEN NULL ELSE CAST(100 AS DOUBLE) END AS share FROM v_metrics WHERE run = 1")
+@query("M11_zero_denominators", "SELECT a.district, round_even(100.0 * CAST(b.value AS DOUBLE) / nullif(a.value, 0), 1) AS share FROM v_metrics a JOIN v_metrics b ON a.district = b.district AND a.metric = b.metric WHERE a.run = 1 AND b.run = 2")
 def m11(t):
-    return t.v_metrics.where("run = 1").select("district", pct(F.col("value"), F.col("value")).alias("share"))
+    """The second run's figure as a share of the first's; nothing measured against zero is null, not zero."""
+    m = t.v_metrics
+    a, b = m.where("run = 1").select("district", "metric", F.col("value").alias("whole")), m.where("run = 2").select("district", "metric", F.col("value").alias("part"))
+    return a.join(b, ["district", "metric"]).select("district", pct(F.col("part"), F.col("whole")).alias("share"))
 
 
 @query("M12_census_flag", "SELECT count(*) AS sampled, (SELECT count(*) FROM supplier) AS population, count(*) >= (SELECT count(*) FROM supplier) AS census FROM v_geo")
@@ -631,13 +675,26 @@ def m12(t):
     return both.withColumn("census", F.col("sampled") >= F.col("population"))
 
 
-@query("M13_empty_answers", "SELECT 'all null' AS name, TRUE AS empty UNION ALL SELECT 'counted', FALSE")
+@query("M13_empty_answers", """WITH a AS (SELECT 'no row' AS name, count(*) AS n, NULL::BIGINT AS x, NULL::BIGINT AS y FROM v_metrics WHERE run = 9
+  UNION ALL SELECT 'nulls', 1, (SELECT sum(value)::BIGINT FROM v_metrics WHERE run = 9), (SELECT max(value) FROM v_metrics WHERE run = 9)
+  UNION ALL SELECT 'zeros', 1, (SELECT count(*) FROM v_metrics WHERE run = 9), (SELECT min(value) FROM v_metrics)
+  UNION ALL SELECT 'counted', 1, (SELECT count(*) FROM v_metrics), (SELECT min(value) FROM v_metrics)
+  UNION ALL SELECT 'many rows', count(*), min(value), max(value) FROM v_metrics WHERE value = 0)
+  SELECT name, n = 0 OR (n = 1 AND coalesce(x, 0) = 0 AND coalesce(y, 0) = 0) AS empty FROM a""")
 def m13(t):
     """No rows, or a single row of nulls and zeros, is an empty answer."""
-    a = t.v_metrics.where("run = 9").agg(F.sum("value").alias("v"), F.count("*").alias("n"))
-    b = t.v_metrics.agg(F.sum("value").alias("v"), F.count("*").alias("n"))
-    empty = (F.coalesce("v", F.lit(0)) == 0) & (F.col("n") == 0)
-    return a.select(F.lit("all null").alias("name"), empty.alias("empty")).union(b.select(F.lit("counted"), empty))
+    m, late = t.v_metrics, t.v_metrics.where("run = 9")
+    low = m.agg(F.min("value").alias("y"))
+    answers = {
+        "no row": late.select("value", "run"), "nulls": late.agg(F.sum("value").alias("x"), F.max("value").alias("y")),
+        "zeros": late.agg(F.count("*").alias("x")).crossJoin(low), "counted": m.agg(F.count("*").alias("x")).crossJoin(low),  # one row each
+        "many rows": m.where("value = 0").select("value"),
+    }
+    out = None
+    for name, df in answers.items():
+        own = rec.answers_emptily(df).select(F.lit(name).alias("name"), "empty")
+        out = own if out is None else out.union(own)
+    return out
 
 
 @query("M14_foreign_rows", "SELECT (SELECT count(*) FROM v_course) + (SELECT count(*) FROM v_institution) + (SELECT count(*) FROM region) AS every, (SELECT count(*) FROM v_course) + (SELECT count(*) FROM v_institution) AS own, (SELECT count(*) FROM region) AS difference")
@@ -647,10 +704,23 @@ def m14(t):
     return n.agg(F.sum("n").alias("every"), F.sum(F.when(own, F.col("n"))).alias("own"), F.sum(F.when(~own, F.col("n"))).alias("difference"))
 
 
-@query("M15_sheet_guards", "SELECT CAST(1 AS BIGINT) AS candidates, TRUE AS first_heading, TRUE AS expected FROM region LIMIT 1")
+@query("M15_sheet_guards", """WITH s AS (SELECT 'one heading' AS name, row_no, c0, c1, c2 FROM v_crosswalk_cells UNION ALL SELECT 'two headings', row_no, c0, c1, c2 FROM v_crosswalk_cells UNION ALL SELECT 'two headings', 3, 'CIP2020Code', 'x', 'SOC2018Title'
+    UNION ALL SELECT 'no heading', row_no, c0, c1, c2 FROM v_crosswalk_cells WHERE row_no <> 1 UNION ALL SELECT 'blank first', row_no, CASE WHEN row_no = 1 THEN '' ELSE c0 END, c1, CASE WHEN row_no = 1 THEN 'CIP2020Code' ELSE c2 END FROM v_crosswalk_cells),
+  h AS (SELECT * FROM s WHERE row_no < 12 AND (regexp_matches(lower(c0), 'cip.*code$') OR regexp_matches(lower(c1), 'cip.*code$') OR regexp_matches(lower(c2), 'cip.*code$')))
+  SELECT n.name, count(h.name) AS candidates, coalesce(bool_and(trim(h.c0) <> ''), FALSE) AS first_heading, coalesce(bool_and(h.c2 = 'SOC2018Code'), FALSE) AS expected, count(h.name) = 1 AND coalesce(bool_and(trim(h.c0) <> '' AND h.c2 = 'SOC2018Code'), FALSE) AS usable
+  FROM (SELECT DISTINCT name FROM s) n LEFT JOIN h ON h.name = n.name GROUP BY n.name""")
 def m15(t):
-    head = readers.heading_row(sheet(t), "cip")
-    return head.agg(F.count("*").alias("candidates"), F.bool_and(F.trim(F.col("cells")[0]) != "").alias("first_heading"), F.bool_and(F.col("cells")[2] == "SOC2018Code").alias("expected"))
+    """The crosswalk sheet, and copies of it with a second heading row, without one, and with a blank first heading."""
+    own = sheet(t)
+    first = F.col("row_no") == 1
+    second = own.where(first).select(F.lit(3).cast("long").alias("row_no"), F.array(F.lit("CIP2020Code"), F.lit("x"), F.lit("SOC2018Title"), F.lit("")).alias("cells"))
+    blank = F.when(first, F.array(F.lit(""), F.col("cells")[1], F.lit("CIP2020Code"), F.col("cells")[3])).otherwise(F.col("cells"))
+    sheets = {"one heading": own, "two headings": own.unionByName(second), "no heading": own.where(~first), "blank first": own.withColumn("cells", blank)}
+    out = None
+    for name, df in sheets.items():
+        found = readers.sheet_guards(df, "cip", 2, "SOC2018Code").select(F.lit(name).alias("name"), "candidates", "first_heading", "expected", "usable")
+        out = found if out is None else out.union(found)
+    return out
 
 
 @query("M16_minimum_size", "SELECT count(*) AS classes, count(*) >= 10 AS whole FROM v_occ")

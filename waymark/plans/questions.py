@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.keys import NOT_OCCUPATIONS, TOTAL
 from waymark.operators import graph
+from waymark.operators import records as rec
 from waymark.plans import graph_queries as gq
 from waymark.plans.registry import query
 from waymark.sources.tables import Tables
@@ -438,9 +439,7 @@ def q82(t, place=PLACE, k=25):
 
 def midpoint(t: Tables) -> DataFrame:
     """One row: the median record's value, the upper of the two middle ones."""
-    e = t.v_earnings.select("median")
-    n = e.count()
-    return e.orderBy("median").offset(n // 2).limit(1).select(F.col("median").alias("midpoint"))
+    return rec.middle_values(t.v_earnings, "median").select(F.col("upper").alias("midpoint"))
 
 
 @query("Q85_above_median", f"""WITH mid AS (SELECT median AS midpoint FROM v_earnings ORDER BY median LIMIT 1 OFFSET (SELECT CAST(floor(count(*) / 2) AS BIGINT) FROM v_earnings)),
@@ -484,7 +483,7 @@ def q97(t, k=20):
     return t.v_prepares_for.groupBy("soc_code").agg(F.count("*").alias("degree")).orderBy(F.desc("degree"), "soc_code").limit(k)
 
 
-@query("Q98_communities", "SELECT a.cip_code AS a, b.cip_code AS b, count(DISTINCT a.soc_code) AS shared FROM v_prepares_for a JOIN v_prepares_for b ON a.soc_code = b.soc_code AND a.cip_code < b.cip_code GROUP BY a.cip_code, b.cip_code ORDER BY shared DESC, a.cip_code, b.cip_code LIMIT 20")
+@query("Q98_communities", f"SELECT a.cip_code AS a, b.cip_code AS b, count(DISTINCT a.soc_code) AS shared FROM v_prepares_for a JOIN v_prepares_for b ON a.soc_code = b.soc_code AND a.cip_code < b.cip_code WHERE a.soc_code NOT IN {NOT_OCCUPATIONS} GROUP BY a.cip_code, b.cip_code ORDER BY shared DESC, a.cip_code, b.cip_code LIMIT 20")
 def q98(t, k=20):
     return gq.g19(t).orderBy(F.desc("shared"), "a", "b").limit(k)
 

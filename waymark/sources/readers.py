@@ -42,10 +42,24 @@ def _by(columns):
 # ---- sheets: rows of (row_no, cells)
 
 
-def heading_row(sheet: DataFrame, name: str, within: int = 12) -> DataFrame:
-    """One row: the first row whose cells have a heading that holds the name and ends in "code"."""
+def heading_rows(sheet: DataFrame, name: str, within: int = 12) -> DataFrame:
+    """Rows at the top whose cells have a heading that holds the name and ends in "code": at most `within`."""
     hit = F.exists("cells", lambda c: F.lower(c).contains(name.lower()) & F.lower(c).endswith("code"))
-    return sheet.where((F.col("row_no") < within) & hit).orderBy("row_no").limit(1)
+    return sheet.where((F.col("row_no") < within) & hit)
+
+
+def heading_row(sheet: DataFrame, name: str, within: int = 12) -> DataFrame:
+    """The first of the heading rows."""
+    return heading_rows(sheet, name, within).orderBy("row_no").limit(1)
+
+
+def sheet_guards(sheet: DataFrame, name: str, at: int, expected: str) -> DataFrame:
+    """One row: candidates for the heading row, whether its first cell is filled and the one at a place reads as expected; usable if one row passes all."""
+    head = heading_rows(sheet, name)
+    out = head.agg(
+        F.count("*").alias("candidates"), F.coalesce(F.bool_and(F.trim(F.col("cells")[0]) != ""), F.lit(False)).alias("first_heading"),
+        F.coalesce(F.bool_and(F.col("cells")[at] == expected), F.lit(False)).alias("expected"))
+    return out.withColumn("usable", (F.col("candidates") == 1) & F.col("first_heading") & F.col("expected"))
 
 
 def column_at(sheet: DataFrame, heading: DataFrame, test) -> int:
@@ -109,6 +123,14 @@ def as_list(node: Column, path: str) -> Column:
     return F.coalesce(many, F.when(one.isNotNull(), F.array(one)), F.array().cast("array<string>"))
 
 
+def ids(node: Column, path: str) -> Column:
+    """The ids of a field that is a text, an object with an @id, or a list of either; empty where it is absent."""
+    many = F.try_variant_get(node, path, "array<variant>")
+    one = F.try_variant_get(node, path, "variant")
+    each = F.coalesce(many, F.when(one.isNotNull(), F.array(one)), F.array().cast("array<variant>"))
+    return F.filter(F.transform(each, lambda x: F.coalesce(F.try_variant_get(x, "$['@id']", "string"), F.try_variant_get(x, "$", "string"))), lambda x: x.isNotNull())
+
+
 def language_text(node: Column, path: str) -> Column:
     """A text that is a string, a language map (en-US, en, else the first) or a list of strings (joined)."""
     as_map = F.try_variant_get(node, path, "map<string,string>")

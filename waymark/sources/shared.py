@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, as in tests, below a folder of this machine."""
+    """A new folder below spark.checkpoint.dir; where that is unset and all tasks run here, as in tests, below a folder of this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="waymark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
