@@ -53,3 +53,17 @@ def test_long_texts_are_cut_in_pieces(spark, monkeypatch):
         covered |= {(lo + i) for i in range(hi - lo - 49)}
     assert covered >= set(range(10, 3010 - 49))
     check(spark, [(1, long), (2, long[100:2500] + "x" + long[2500:]), (3, "z" + long[::-1])], 50, 20)
+
+
+def test_copies_in_one_task_are_dealt_apart(spark, monkeypatch):
+    """Of a string that many documents of a task hold, only rows of the smallest travel under its rank."""
+    import waymark.llm.suffix_dedup as m
+
+    text = "".join(random.Random(7).choices("abcdefgh ", k=400))
+    batch = m.pa.RecordBatch.from_pydict({"did": list(range(200, 0, -1)), "th": [1] * 200, "text": [text] * 200})
+    for combine in (m.COMBINE, 1000):
+        monkeypatch.setattr(m, "COMBINE", combine)
+        out = m.pa.Table.from_batches(m._spans(50, 20)(iter([batch]))).to_pandas()
+        assert out.known.sum() == len(out) * 199 // 200 if combine > 1000 else 0 < out.known.sum() < len(out)
+        assert (out[~out.known].groupby(["a", "s"]).did.min() == 1).all() and out[out.known].a.nunique() == out.known.sum()
+    check(spark, [(i, text[i % 3 :] + "z" * (i % 2)) for i in range(300)] + [(None, text), (5, text[:60])], 50, 20)

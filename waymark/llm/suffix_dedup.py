@@ -18,8 +18,13 @@ Ranks are 64-bit names of byte strings, always used in pairs from two
 independent hash functions, rather than ordinals, so no global count is needed.
 
 Each row of (rank, span, document) is sent once, a document's text once.
-A frequent string is a frequent rank of few bytes: its rows are at most one
-for each document and place, streamed through a sort and never collected.
+A frequent string is a frequent rank: before the shuffle, tasks combine their
+rows, so that of one string only those of the task's smallest document travel by
+rank; the others are copies already and are dealt out at random. What is left of
+a frequent rank is streamed through a sort and never collected.
+
+Strings are compared by pairs of independent 64-bit names, never byte by byte:
+two different strings count as equal with a chance of about 2**-128.
 """
 
 from __future__ import annotations
@@ -39,8 +44,11 @@ ANCHOR = 20
 #: Window starts handled at once; bounds the worker's memory for texts of any length.
 CHUNK = 1 << 19
 
-#: n holds the number of windows in its low 15 bits, then whether its rank reaches to the left, and the place of the pick, from start, above.
-_SPAN = pa.schema([("a", pa.int64()), ("s", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+#: Rows combined at once in a task.
+COMBINE = 1 << 20
+
+#: known: a copy for sure, with a random rank. n holds the number of windows in its low 15 bits, then whether its rank reaches to the left, and the place of the pick, from start, above.
+_SPAN = pa.schema([("a", pa.int64()), ("s", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("known", pa.bool_())])
 _FLAG = pa.schema([("kind", pa.int8()), ("did", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 
 
@@ -107,11 +115,37 @@ def _pieces(ends: np.ndarray, threshold: int) -> Iterator[tuple[int, int]]:
             lo = hi
 
 
+class _Combined:
+    """Gathers a task's rows; of one string (a, s), rows of other documents than the smallest become known copies."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.rows = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.rows += len(columns[0])
+
+    def flush(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        """The rows gathered, if there are so many."""
+        if self.rows < least:
+            return
+        columns = [np.concatenate(c) for c in zip(*self.parts)]
+        self.parts, self.rows = [], 0
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        a, s, did, th, start, n = (c[order] for c in columns)
+        head = np.ones(len(a), bool)
+        head[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
+        known = did > did[np.flatnonzero(head)][np.cumsum(head) - 1]
+        anywhere = _mix(did.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((np.where(known, anywhere, a), s, did, th, start, n, known), _SPAN)], schema=_SPAN)
+
+
 def _spans(threshold: int, anchor: int):
     """Documents to spans: for each sampled position its rank, the name of its span, and where the span is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = _Names(0xA5A5F00D), _Names(0x0DDBA11)
+        first, second, rows = _Names(0xA5A5F00D), _Names(0x0DDBA11), _Combined()
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
             did, th = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "th"))
@@ -134,7 +168,9 @@ def _spans(threshold: int, anchor: int):
                 n = np.diff(np.append(at, len(starts)))
                 start, pick = starts[at], pick[at]
                 doc = owner[start]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ranks[pick].view(np.int64), second.at(start, n - 1 + threshold).view(np.int64), did[doc], th[doc], start + lo - ends[doc], n | (pick - start) << 16), _SPAN)], schema=_SPAN)
+                rows.add(ranks[pick].view(np.int64), second.at(start, n - 1 + threshold).view(np.int64), did[doc], th[doc], start + lo - ends[doc], n | (pick - start) << 16)
+                yield from rows.flush(COMBINE)
+        yield from rows.flush()
 
     return run
 
@@ -144,7 +180,11 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_a = last_s = first = None
     runs, held = 0, None  # span names seen of the last rank; its rows while there is only one name
     for batch in batches:
-        a, s, did, th, start, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        a, s, did, th, start, n, known = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+        if known.any():
+            at = np.flatnonzero(known)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((np.zeros(len(at), np.int8), did[at], th[at], start[at], n[at]), _FLAG)], schema=_FLAG)
+            a, s, did, th, start, n = (x[~known] for x in (a, s, did, th, start, n))
         m = len(a)
         if not m:
             continue
@@ -184,7 +224,7 @@ def _over_spans(threshold: int, name):
     """Documents with lists of spans to named rows; name(first, second, starts, windows, left, pick) works on CHUNK bytes at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = _Names(0xC0FFEE11), _Names(0x5EED1E55)
+        first, second, rows = _Names(0xC0FFEE11), _Names(0x5EED1E55), _Combined()
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
             did, th = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "th"))
@@ -202,7 +242,9 @@ def _over_spans(threshold: int, name):
                 a, s, i, new_start, new_n = name(first, second, where - low, n & 0x7FFF, n >> 15 & 1, n >> 16)
                 if len(a):
                     own = doc[i]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((a.view(np.int64), s.view(np.int64), did[own], th[own], new_start + low - ends[own], new_n), _SPAN)], schema=_SPAN)
+                    rows.add(a.view(np.int64), s.view(np.int64), did[own], th[own], new_start + low - ends[own], new_n)
+                    yield from rows.flush(COMBINE)
+        yield from rows.flush()
 
     return run
 
@@ -289,7 +331,7 @@ def suffix_array_dedup(docs: DataFrame, threshold: int = THRESHOLD, anchor: int
         raise ValueError("anchor must be between 2 and threshold, which is below 32768")
     small_batches(docs.sparkSession)
     rows = keyed(docs)
-    kinds = "a long, s long, did long, th long, start int, n int"
+    kinds = "a long, s long, did long, th long, start int, n int, known boolean"
     flag = "kind byte, did long, th long, start int, n int"
     spans = rows.select("did", "th", "text").mapInArrow(_spans(threshold, anchor), kinds)
     settled = materialize(spans.repartition("a").sortWithinPartitions("a", "s", "did").mapInArrow(_settle, flag))
