@@ -31,9 +31,9 @@ def test_bpe_equals_the_library(spark, monkeypatch):
         e = t.encode(text or "", add_special_tokens=False)
         back = t.decode(e.ids, skip_special_tokens=False)
         want.append((d, len(e.ids), hashlib.sha256(" ".join(map(str, e.ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
-    for size in (bpe.BLOCK_BYTES, 500):
+    for size, buckets in ((bpe.BLOCK_BYTES, None), (500, None), (500, 2)):  # the last with many ranges of blocks
         monkeypatch.setattr(bpe, "BLOCK_BYTES", size)
-        got = [tuple(r) for r in bpe_round_trip(docs, WORD).collect()]
+        got = [tuple(r) for r in bpe_round_trip(docs, WORD, buckets).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert bpe_round_trip(docs.limit(0), WORD).count() == 0
     full = bpe_round_trip(docs, WORD, with_text=True).where("doc_id = 9").first()

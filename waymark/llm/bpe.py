@@ -4,13 +4,15 @@ Texts are split into words once, in blocks of documents: a block keeps each
 document as numbers of the block's own distinct words. Those words, dealt by
 their hash into buckets, make the distinct-word table, where each word is
 encoded once. A bucket's words join back to every block that holds them, and a
-block's words to the places of its documents; there the ids of each distinct
-word join the id-to-piece table, whose size the vocabulary fixes. Words travel
-packed, one row for each block and bucket, since a row for each word would
-outweigh the text.
-
-A block and a bucket are bounded by BLOCK_BYTES and by the number of buckets; a
-word that is in every text is one entry for each block.
+block's words to the places of its documents. For decoding, the distinct ids of
+each block join the id-to-piece table, whose size the vocabulary fixes. Words
+travel packed, one row for each block and bucket, since a row for each word
+would outweigh the text.
+
+A block is bounded by BLOCK_BYTES. Words join back by bucket and range of
+blocks; there are as many ranges as keep a group's lists about as large as one
+block, so no task grows with the number of blocks. A word that is in every text
+is one entry for each block.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from .common import DIGITS, LETTERS, PLAIN, discard, materialize, small_batches
 
 #: Bytes of text in a block, at most, but for a single text that is longer.
 BLOCK_BYTES = 32 << 20
-#: Entries of the id-to-piece table that tasks hold, at most.
+#: Rows of the id-to-piece table, at most: it is broadcast, and a block holds its pieces.
 MAX_VOCABULARY = 1_000_000
+#: Buckets of the distinct-word table, at least and at most; between, one for each shuffle partition.
+FEWEST, MOST = 16, 4096
 
 #: Texts of these characters are split here; others by the tokenizer's own normalizer and splitter.
 _PLAIN = re.compile(PLAIN).fullmatch
@@ -168,12 +172,29 @@ def _join_back(key, left: pa.Table, right: pa.Table) -> pa.Table:
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.string()), ("decoded", pa.string())])
 
 
-def _rebuild(piece: dict[str, str], with_text: bool):
+def _distinct_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block and id of every id that a block's words have in a bucket."""
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
+            ids = pa.array({int(x) for x in _unpack(data).split()}, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.int64()), ids], names=["block", "id"])
+
+
+#: Stands for the bucket of a block's pieces.
+_PIECES = -2
+
+
+def _rebuild(with_text: bool):
     fields = _OUT if with_text else pa.schema(list(_OUT)[:4])
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block's documents (left) from the codes of its words (right)."""
-        ids_text = [x for data in right.sort_by("bucket").column("data").to_pylist() for x in _unpack(data).decode().split("\n")]
+        """A block's documents (left) from the codes of its words and the pieces of its ids (right)."""
+        ids_text, piece = [], {}
+        for bucket, data in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist())):
+            if bucket == _PIECES:
+                piece = dict(x.split(" ", 1) for x in data.decode().split("\n"))
+            else:
+                ids_text += _unpack(data).decode().split("\n")
         pieces = [" ".join([piece[i] for i in x.split(" ")]) for x in ids_text]
         count = np.fromiter((x.count(" ") + 1 for x in ids_text), np.int64, len(ids_text))
         rows = []
@@ -195,12 +216,13 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     """Token count and digests of the ids and of the decoded text for every row.
 
     path: a tokenizer file with the split pattern of WordSplitter. Null texts
-    are empty and have no tokens. Repeated rows each get their row; other columns
-    are ignored. with_text adds the ids (decimal, joined by spaces) and decoded.
+    are empty and have no tokens; texts of any length are encoded whole. Null ids
+    stay null. Repeated rows each get their row; an empty table gives none; other
+    columns are ignored. with_text adds the ids (decimal, joined by spaces) and decoded.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or min(MOST, max(FEWEST, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     split = rows.mapInArrow(_split(path, buckets), "block long, bucket int, ids array<long>, sizes array<int>, data binary")
     blocks = materialize(split.withColumn("listed", F.col("bucket") >= 0), by="listed")
@@ -208,15 +230,22 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     lists = blocks.where("listed").select("block", "bucket", "data")
     words = lists.mapInArrow(_unfold, "bucket int, word string").distinct()
     coded = words.mapInArrow(_encode(path), "bucket int, word string, ids array<int>")
-    tokenizer = Tokenizer.from_file(path)
-    if tokenizer.get_vocab_size() > MAX_VOCABULARY:
+    vocabulary = Tokenizer.from_file(path).get_vocab()
+    if len(vocabulary) > MAX_VOCABULARY:
         raise ValueError("the vocabulary is too large for a task")
-    piece = {str(i): p for p, i in tokenizer.get_vocab().items()}
+    pieces = spark.createDataFrame(pa.table({"id": pa.array(list(vocabulary.values()), pa.int32()), "piece": pa.array(list(vocabulary), pa.string())}))
     table = materialize(coded)
-    back = materialize(lists.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_join_back, "block long, bucket int, data binary"))
+    ranges = max(1, -(-blocks.where("not listed").count() // buckets))
+    deal = F.pmod(F.xxhash64("block"), F.lit(ranges)).cast("int")
+    every = table.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
+    back = lists.withColumn("range", deal).groupBy("bucket", "range").cogroup(every.groupBy("bucket", "range")).applyInArrow(_join_back, "block long, bucket int, data binary")
+    back = materialize(back)
     discard(table)
     discard(blocks, "listed=true")
+    own = back.select("block", "data").mapInArrow(_distinct_ids, "block long, id int").distinct().join(F.broadcast(pieces), "id")  # at most MAX_VOCABULARY rows
+    decoded = own.groupBy("block").agg(F.array_join(F.collect_list(F.concat("id", F.lit(" "), "piece")), "\n").cast("binary").alias("data"))
+    back = back.unionByName(decoded.withColumn("bucket", F.lit(_PIECES)))
 
     places = blocks.where("not listed").select("block", "ids", "sizes", "data")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * with_text
-    return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(piece, with_text), out)
+    return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(with_text), out)
