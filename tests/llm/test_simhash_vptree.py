@@ -75,3 +75,28 @@ def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(400)] + [(900, 901), (901, 900), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in connected_components(links).collect()}
     assert got == {**{i: 0 for i in range(401)}, 900: 900, 901: 900}
+
+
+def test_overfull_shards_are_cut_again(spark, monkeypatch):
+    from collections import Counter
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
+    near = base[:400] ^ (np.uint64(1) << rng.integers(0, 64, 400).astype(np.uint64))
+    fps = np.unique(np.concatenate([base, near]))
+    for name, value in (("OVERFULL", 300), ("REFIT", 256), ("SHARD", 64)):
+        monkeypatch.setattr(m, name, value)
+    table = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    one = table.selectExpr("0L as shard", "fp")
+    cut = m._refit(m.materialize(one), 2).collect()
+    assert len({r.shard for r in cut}) > 4 and max(Counter(r.shard for r in cut).values()) < len(fps) / 2
+    homes = {}
+    for r in cut:
+        homes.setdefault(np.int64(r.fp).view(np.uint64), set()).add(r.shard)
+    assert len(homes) == len(fps)
+    for x in fps[::7]:
+        for y in fps[np.bitwise_count(fps ^ x) <= 2]:
+            assert homes[x] & homes[y]
+    got = {r.fp: r.root for r in m.hamming_components(table).collect()}
+    linked = {int(np.int64(x)) for x in fps.view(np.int64) if (np.bitwise_count(fps ^ np.int64(x).view(np.uint64)) <= 2).sum() > 1}
+    assert set(got) == linked

@@ -4,7 +4,8 @@ Equal fingerprints are one node from the start. A vantage-point tree, fitted on
 a bounded sample, cuts the distinct fingerprints into shards: at each step those
 within the vantage point's radius go left and the others right, and those left
 of the boundary by less than the link distance also visit the right side. By
-the triangle inequality every linked pair then meets in a shard. A shard is
+the triangle inequality every linked pair then meets in a shard. Shards that
+are overfull get trees of their own, until none is. A shard is
 searched outwards from one fingerprint at a time and emits one edge for each
 fingerprint it reaches, so copies never become all their pairs; the edges keep
 the shard's components, and the global ones follow from grouped minima.
@@ -12,6 +13,7 @@ the shard's components, and the global ones follow from grouped minima.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,10 @@ LINK_BITS = 2
 SAMPLE = 1 << 14
 #: Fingerprints wanted in a shard.
 SHARD = 1024
+#: Fingerprints in a shard beyond which it is cut again by a tree fitted on about REFIT of its own.
+OVERFULL, REFIT = 1 << 17, 1 << 11
+#: Times that shards are cut again, at most; those still overfull then are cut inside their task.
+REFITS = 4
 #: Fewest sampled fingerprints that a step of the tree is fitted on.
 LEAST = 16
 
@@ -48,6 +54,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         starts = np.concatenate([[0], ends[:-1] + 1])
         digest = xxhash.xxh64_intdigest
         h = np.array([digest(flat[a:b], SEED) for a, b in zip(starts[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], np.uint64)
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: bits that are set in over half of them."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 15):
         part = h[at : at + (1 << 15)]
@@ -145,8 +156,40 @@ def search_shard(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return list(spread(fps, bits))
 
 
-def hamming_components(fps: DataFrame, bits: int = LINK_BITS) -> DataFrame:
-    """fps (fp long, distinct): returns (fp, root) for fingerprints with a link; root names the component."""
+def _refit(shards: DataFrame, bits: int) -> DataFrame:
+    """Shards (shard, fp) with overfull ones cut by trees of their own."""
+    for _ in range(REFITS):
+        sizes = shards.groupBy("shard").count().where(F.col("count") > OVERFULL)
+        some = shards.join(F.broadcast(sizes), "shard").where(F.pmod(F.xxhash64("fp", F.lit(9)), F.greatest(F.lit(1), F.expr(f"count div {REFIT}"))) == 0)  # a row for each shard of the last tree
+
+        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+            n = int(pdf["count"].iloc[0])
+            depth = int(np.clip(np.ceil(np.log2(n / SHARD)), 1, np.log2(REFIT / LEAST)))
+            nodes = fit_tree(np.sort(pdf["fp"].to_numpy().view(np.uint64)), depth)
+            return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "nodes": [json.dumps(nodes)]})
+
+        trees = {r.shard: [x and tuple(x) for x in json.loads(r.nodes)] for r in some.groupBy("shard").applyInPandas(fit, "shard long, nodes string").collect()}
+        trees = {k: v for k, v in trees.items() if v[0] is not None}
+        if not trees:
+            break
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                shard, fps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                for k in np.unique(shard):
+                    own = fps[shard == k].view(np.uint64)
+                    if k not in trees:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k)), pa.array(own.view(np.int64))], names=["shard", "fp"])
+                        continue
+                    at, sub = place(own, trees[k], bits)
+                    yield pa.RecordBatch.from_arrays([pa.array((k + 1) << 12 | sub), pa.array(own[at].view(np.int64))], names=["shard", "fp"])
+
+        shards = materialize(shards.mapInArrow(deal, "shard long, fp long"))
+    return shards
+
+
+def hamming_links(fps: DataFrame, bits: int = LINK_BITS) -> DataFrame:
+    """fps (fp long, distinct): pairs (a, b) that span the components of fingerprints at `bits` or fewer differing bits."""
     spark = fps.sparkSession
     n = fps.count()
     want = min(SAMPLE, n)
@@ -160,24 +203,31 @@ def hamming_components(fps: DataFrame, bits: int = LINK_BITS) -> DataFrame:
             own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             at, shard = place(own, nodes, bits)
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(own[at].view(np.int64))], names=["shard", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), pa.array(own[at].view(np.int64))], names=["shard", "fp"])
 
     def edges(pdf: pd.DataFrame) -> pd.DataFrame:
         own = np.sort(pdf["fp"].to_numpy().view(np.uint64))
         found = np.array(search_shard(own, bits), np.uint64).reshape(-1, 2).view(np.int64)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
-    shards = fps.mapInArrow(deal, "shard int, fp long")
-    links = shards.groupBy("shard").applyInPandas(edges, "a long, b long")
-    found = connected_components(links)
-    return found.select(F.col("node").alias("fp"), "root")
+    shards = fps.mapInArrow(deal, "shard long, fp long")
+    if n > OVERFULL:
+        shards = _refit(materialize(shards), bits)
+    return shards.groupBy("shard").applyInPandas(edges, "a long, b long")
+
+
+def hamming_components(fps: DataFrame, bits: int = LINK_BITS) -> DataFrame:
+    """fps (fp long, distinct): returns (fp, root) for fingerprints with a link; root names the component."""
+    return connected_components(hamming_links(fps, bits)).select(F.col("node").alias("fp"), "root")
 
 
 def simhash_near_dedup(docs: DataFrame, bits: int = LINK_BITS) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (the least doc_id that is reachable) for every row.
 
     Null texts and texts without words have fingerprint zero and link like any
-    other. Null ids keep a row; a component of null ids only has component_id null.
+    other; texts of any length are hashed whole. Repeated rows each get their
+    row. Null ids keep a row; a component of null ids only has component_id null.
+    An empty table gives no rows; other columns are ignored.
     """
     own = materialize(fingerprints(docs))
     distinct = materialize(own.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("least")))
