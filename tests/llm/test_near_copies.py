@@ -38,7 +38,7 @@ def test_near_dedup_stage_against_brute_force(spark):
         rows.append((5000 + i, " ".join(chain[4 * i :] + chain[: 4 * i])))
     rows += [(None, rows[3][1]), (None, "only null ids here and in its copy"), (None, "only null ids here and in its copy")]
     rows += [(7000, rows[5][1]), (7000, rows[40][1]), (8000, "twice the same row"), (8000, "twice the same row"), (9000, None), (9001, " "), (9002, "")]
-    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(*r, "en", 1, 2) for r in rows], "doc_id long, text string, lang string, node int, did int")
     kept = corpus_pipeline.near_dedup(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == brute_kept(rows)

@@ -1,12 +1,16 @@
-"""Near copies by exact Jaccard similarity of word shingles, with prefix filtering.
+"""Near copies: SimHash trees first, then exact Jaccard similarity of word shingles.
 
 Two texts are linked when the Jaccard similarity of their sets of five-word
-shingles is 0.8 or more. Under any one order of all shingles, such sets share
-one of their first n - ceil(0.8 n) + 1 shingles; the order here is by frequency
+shingles is 0.8 or more. Each set has a SimHash fingerprint; equal fingerprints,
+and those that the vantage-point trees bring together, are compared exactly, and
+what is similar is linked. That finds copies and closest pairs. A pair at 0.8
+differs by up to a quarter of the bits, where no tree can prune, so the others
+come from prefix filtering: under any one order of all shingles, similar sets
+share one of their first n - ceil(0.8 n) + 1 shingles. The order is by frequency
 in a sample, then by hash, so that common passages come last. Within a shared
-shingle all texts are first compared with one of them; only shingles whose
-texts are still in several components then compare the rest in pairs. No link
-is missed: the sample only orders shingles, and every comparison is exact.
+shingle all texts are first compared with one of them; only shingles whose texts
+are still in several components then compare the rest in pairs. No link is
+missed: the sample only orders shingles, and every comparison is exact.
 """
 
 from __future__ import annotations
@@ -19,8 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, materialize, small_batches
+from .common import NULL_ID, discard, free_names, materialize, small_batches
 from .components import connected_components
+from .simhash_vptree import hamming_links, majority
 
 SHINGLE = 5
 SEED = 42
@@ -61,24 +66,26 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, common: np.ndarray, often: np.ndarray) -> DataFrame:
-    """texts (node, text): key, node and n (size of the set) for each shingle of a set's prefix; common is sorted."""
+    """texts (node, text): key, node and n (size of the set) for each shingle of a set's prefix, and a row with n = 0 whose key is the set's fingerprint; common is sorted."""
     small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes = [], []
-            for x in batch.column("text"):
+            keys, sizes, nodes = [], [], []
+            for x_node, x in zip(batch.column("node").to_pylist(), batch.column("text")):
                 own = shingles(x.as_py().encode())
                 n = len(own)
                 if n and len(common):
                     at = np.minimum(np.searchsorted(common, own), len(common) - 1)
                     own = own[np.lexsort((own, np.where(common[at] == own, often[at], 0)))]
-                keys.append(own[: n - (4 * n + 4) // 5 + 1] if n else own)
-                sizes.append(n)
+                if n:
+                    keys += [own[: n - (4 * n + 4) // 5 + 1], np.array([majority(own.view(np.uint64))], np.uint64).view(np.int64)]
+                    sizes += [n, 0]
+                    nodes += [x_node] * 2
             count = [len(k) for k in keys]
             if sum(count):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column("node").to_numpy(), count)), pa.array(np.repeat(np.array(sizes, np.int32), count))],
+                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count))],
                     names=["key", "node", "n"])
 
     return texts.mapInArrow(run, "key long, node long, n int")
@@ -102,11 +109,14 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     top = sorted((r.sh, r[1]) for r in counted.orderBy(F.desc("count"), "sh").limit(COMMON).collect())
     common, often = (np.array([t[i] for t in top], np.int64) for i in (0, 1))
 
-    rows = materialize(prefixes(texts, common, often))
+    every = materialize(prefixes(texts, common, often).distinct())  # copies of a text are one node from here on
+    links = _similar(_fingerprint_pairs(every.where("n = 0").select("node", F.col("key").alias("fp")).distinct()), texts)
+    rows = every.where("n > 0")
     shared = materialize(rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key", "lo"))
-    members = materialize(rows.join(shared, "key").select("key", "node", "n", "lo").distinct())
-    first = materialize(members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
-    links = _similar(first, texts)
+    members = materialize(rows.join(shared, "key").select("key", "node", "n", "lo"))
+    first = members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    first = materialize(_apart(first, connected_components(links)))
+    links = links.union(_similar(first, texts))
     named = members.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = materialize(named)
     several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
@@ -116,22 +126,42 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     pairs = a.join(b, "key").where("a < b and ra <> rb and 5L * least(na, nb) >= 4L * greatest(na, nb)").select("a", "b").distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _similar(materialize(pairs.join(tried, ["a", "b"], "left_anti")), texts)
-    return connected_components(links.union(more))
+    found = materialize(connected_components(links.union(more)))
+    for done in (every, shared, members, named, rest):
+        discard(done)
+    return found
+
+
+def _fingerprint_pairs(prints: DataFrame) -> DataFrame:
+    """prints (node, fp): pairs (a, b) of nodes with one fingerprint, or with fingerprints that the trees link."""
+    least = materialize(prints.groupBy("fp").agg(F.min("node").alias("least")))
+    same = prints.join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = hamming_links(least.select("fp"))
+    near = near.join(least.toDF("a", "na"), "a").join(least.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    return materialize(same.union(near).distinct())
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs (a, b) that aren't in one component already."""
+    ra, rb = (components.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    return pairs.join(ra, "a", "left").join(rb, "b", "left").where("not coalesce(ra = rb, false)").select("a", "b")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies: that of least doc_id (nulls last) and text hash.
+    """One row of each group of near copies: that of least doc_id (nulls last) and text hash, with all its columns, whatever their names.
 
     Rows that repeat both doc_id and text are one group's, and the least of them by
-    their other columns stays. Null texts and texts without words are copies of each other.
+    their other columns stays. Null texts and texts without words are copies of
+    each other; texts of any length are compared whole; an empty table stays empty.
     """
-    tagged = docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_n": node(), "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
+    d, n, t, many = free_names(docs, "did", "node", "th", "n_rows")
+    tagged = docs.withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), n: node(), t: F.xxhash64(F.coalesce("text", F.lit("")))})
     linked = near_copy_components(docs.select(node().alias("node"), F.coalesce("text", F.lit("")).alias("text")))
-    ids = materialize(tagged.groupBy("_n", "_d", "_t").agg(F.count("*").alias("_rows")))
-    least = ids.groupBy("_n").agg(F.min(F.struct("_d", "_t", "_rows")).alias("one"))
-    named = least.join(linked.select(F.col("node").alias("_n"), "root"), "_n", "left").groupBy(F.coalesce("root", "_n").alias("root")).agg(F.min("one").alias("one"))
+    ids = materialize(tagged.groupBy(n, d, t).agg(F.count("*").alias(many)))
+    least = ids.groupBy(n).agg(F.min(F.struct(d, t, many)).alias("one"))
+    named = least.join(linked.select(F.col("node").alias(n), F.col("root").alias("component")), n, "left").groupBy(F.coalesce("component", n).alias("component")).agg(F.min("one").alias("one"))
     kept = materialize(named.select("one.*"))
-    once = tagged.join(kept, ["_d", "_t"])
-    single = once.where("_rows = 1").select(*docs.columns)
-    again = once.where("_rows > 1").groupBy("_d", "_t").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    once = tagged.join(kept, [d, t])
+    single = once.where(F.col(many) == 1).select(*docs.columns)
+    again = once.where(F.col(many) > 1).groupBy(d, t).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return single.union(again)
