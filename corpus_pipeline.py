@@ -2,13 +2,15 @@
 
 Each stage works on what the one before kept. Near-dedup keeps one row of each
 group; in the other stages, rows that repeat doc_id and text share the decision.
+All stages but the last return all columns of documents, whatever their names.
+Null and empty texts fail the quality rules; texts of any length are used whole;
+null ids are kept; empty tables pass through.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from waymark.llm.bpe import bpe_round_trip
 from waymark.llm.common import documents, materialize
@@ -26,7 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One row of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more.
+
+    SimHash fingerprints and their vantage-point trees bring copies together; an exact join finds what is further apart.
+    """
     return drop_near_copies(docs)
 
 
@@ -47,7 +52,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
-    ("near-dedup", near_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("PII", personal_data),
     ("BPE encoding and decoding", tokens),
