@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.text import field_items, field_markup, field_text, named_field, named_items, text_of
+from waymark.functions.text import field_items, field_markup, field_text, named_field, named_items, path_of, segments, states_a_prerequisite, text_of
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -126,6 +126,119 @@ def statement_classes(pages: DataFrame) -> DataFrame:
     return f.select("page_id", kind.alias("class"))
 
 
+#: The class prefix of named fields, elements without content, without text, and those whose end tag may be left out.
+_FIELD_CLASS = "field--name-field-"
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_SILENT = {"script", "style", "template", "noscript"}
+_MAY_STAY_OPEN = {"p", "li", "td", "th", "tr", "dd", "dt", "option", "thead", "tbody", "tfoot"}
+#: What a start tag closes if it is the innermost open element.
+_CLOSED_BY = {"li": {"li"}, "p": {"p", "div", "ul", "ol", "dl", "table", "section", "article", "h1", "h2", "h3", "h4", "form", "nav", "hr"},
+              "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
+
+
+class _NamedFields(HTMLParser):
+    """All named fields of a page: rows of [name, sound, text parts, links].
+
+    A field is sound if its own element is closed, and everything in it was
+    closed before or may stay open; the article's end and the footer cut what is
+    still open. The first field of a name counts, and fields inside a field are
+    part of it.
+    """
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rows, self.path, self.ended = {}, [], False  # path: open elements with the field that each opened
+
+    def current(self):
+        if any(tag in _SILENT for tag, _ in self.path):
+            return None
+        return next((row for _, row in self.path if row is not None), None)
+
+    def handle_starttag(self, tag, attrs):
+        self.ended = self.ended or (tag == "footer" and not any(t in _SILENT for t, _ in self.path))
+        if self.ended:
+            return
+        while self.path and tag in _CLOSED_BY.get(self.path[-1][0], ()):
+            self.leave(len(self.path) - 1)
+        found = dict(attrs)
+        row, silent = self.current(), tag in _SILENT or any(t in _SILENT for t, _ in self.path)
+        if row is not None and tag == "a" and found.get("href"):
+            row[3].append(found["href"])
+        if tag in _VOID:
+            return
+        name = next((c[len(_FIELD_CLASS):] for c in (found.get("class") or "").split() if c.startswith(_FIELD_CLASS)), None)
+        mine = None
+        if name and row is None and not silent and name not in self.rows:
+            mine = self.rows[name] = [name, False, [], []]
+        self.path.append((tag, mine))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        if self.ended:
+            return
+        if tag in ("article", "main") and not any(t in _SILENT for t, _ in self.path):
+            self.ended = True
+            return
+        at = next((i for i in range(len(self.path) - 1, -1, -1) if self.path[i][0] == tag), None)
+        if at is not None:
+            self.leave(at)
+
+    def leave(self, at: int) -> None:
+        """Close the element at a place of the path and what is open inside it."""
+        inside = [t for t, _ in self.path[at + 1 :]]
+        sound = all(t in _MAY_STAY_OPEN for t in inside)
+        for i, (_, row) in enumerate(self.path[at:]):
+            if row is not None:
+                row[1] = sound if i == 0 else False
+        if not sound:  # a field around crossed elements can't be told apart from its neighbours any more
+            self.path[:at] = [(t, None) for t, _ in self.path[:at]]
+        del self.path[at:]
+
+    def handle_data(self, data):
+        row = None if self.ended else self.current()
+        if row is not None:
+            row[2].append(data)
+
+
+def named_fields(pages: DataFrame, key: str) -> DataFrame:
+    """key, field, bounded, text and links for each named field of each page, by walking its markup. Pages without fields give no rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for page, html in zip(batch[key], batch["html"]):
+                p = _NamedFields()
+                p.feed(html or "")
+                out += [(page, name, sound, " ".join("".join(text).split()), links) for name, sound, text, links in p.rows.values()]
+            yield pd.DataFrame(out, columns=[key, "field", "bounded", "text", "links"])
+
+    return pages.select(key, "html").mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, field string, bounded boolean, text string, links array<string>")
+
+
+def catalogue_statements(pages: DataFrame, key: str, host: str, published: DataFrame) -> DataFrame:
+    """key, class, links and resolved of each page's prerequisite statement.
+
+    class: typed (the field of links has one to a course path), typed-no-link,
+    prose (the text field states something), says-none, unbounded (its field
+    can't be told from what follows), or no-field. links: distinct course paths;
+    resolved: how many of them are published (path).
+    """
+    f = named_fields(pages, key).where(F.col("field").isin("prerequisite-courses", "pr"))
+    one = lambda name: F.max(F.when(F.col("field") == name, F.struct("bounded", "text", "links")))
+    rows = pages.select(key).join(f.groupBy(key).agg(one("prerequisite-courses").alias("t"), one("pr").alias("p")), key, "left")
+    paths = F.array_distinct(F.filter(F.transform("t.links", lambda x: path_of(x, host)), lambda x: F.size(segments(x)) == 2))
+    rows = rows.withColumn("paths", F.when(F.col("t.bounded"), paths))
+    kind = (F.when(~F.col("t.bounded"), "unbounded").when(F.size("paths") > 0, "typed").when(F.col("t").isNotNull(), "typed-no-link")
+            .when(~F.col("p.bounded"), "unbounded").when(states_a_prerequisite("p.text"), "prose").when(F.col("p").isNotNull(), "says-none").otherwise("no-field"))
+    hits = rows.select(key, F.explode("paths").alias("path")).join(published.select("path").distinct(), "path", "left_semi").groupBy(key).agg(F.count("*").alias("resolved"))
+    out = rows.join(hits, key, "left")
+    return out.select(key, kind.alias("class"), F.greatest(F.coalesce(F.size("paths"), F.lit(0)), F.lit(0)).alias("links"), F.coalesce("resolved", F.lit(0)).alias("resolved"))
+
+
 def resolved_links(links: DataFrame, pages: DataFrame, courses: DataFrame) -> DataFrame:
     """links (src, href) with outcome resolved, off-level (a page that is no course), unresolved or duplicated.
 

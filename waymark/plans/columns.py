@@ -280,6 +280,29 @@ def p16_catalogue(t):
     return r.select("course_id", "title", hrefs.alias("hrefs"), "requirements_text", "description", F.array_join("grade_levels", "|").alias("grade_levels"), "field_present_no_links")
 
 
+def statement_pages(t):
+    """course_id and html: prerequisite statements of every kind, in markup with elements left open, crossed and cut off."""
+    k, at = F.col("course_id"), F.col("course_id") % 9
+    field = lambda name, body, end="</div>": F.concat(F.lit(f'<div class="page"><div class="x field--name-field-{name}"><div class="field__item">'), body, F.lit(f"</div>{end}"))
+    near = F.lit('<div class="field--name-field-related"><a href="/math/c1">not one</a></div></div>')
+    link = lambda n: F.concat(F.lit('<a HREF=\'/math/c'), n.cast("string"), F.lit("?from=x'>it</a>"))
+    body = (F.when(at == 0, near).when(at == 1, F.concat(field("prerequisite-courses", F.concat(F.lit("<p>See<br>"), link(k))), near))
+            .when(at == 2, F.concat(field("prerequisite-courses", F.concat(F.lit("<ul><li>"), link(k), F.lit("<li>"), link(k + 1), F.lit("<li>"), link(k + 1), F.lit("</ul>"))), near))
+            .when(at == 3, F.concat(field("prerequisite-courses", F.lit('<a href="https://far.example.org/math/c1">far</a><a href="/help">help</a>')), near))
+            .when(at == 4, F.concat(field("prerequisite-courses", link(k), ""), F.lit('<div class="field--name-field-related"><a href="/math/c1">not one</a></div>'))).when(at == 5, F.concat(field("pr", F.concat(F.lit("Algebra&nbsp;"), k.cast("string"), F.lit(" required."))), near))
+            .when(at == 6, F.concat(field("pr", F.lit("<p>None.")), near)).when(at == 7, F.concat(field("pr", F.concat(F.lit("<b><i>Algebra</b></i>"), k.cast("string"))), near))
+            .otherwise(F.concat(F.lit('<noscript><div class="field--name-field-prerequisite-courses"></div></noscript>'), field("prerequisite-courses", F.concat(F.lit("<script>var a = '<a href=/x/y>';</script>"), link(k))), near)))
+    return t.v_course.select("course_id", F.concat(F.lit("<html><article>"), body, F.lit("</article><footer><a href='/math/c2'>x</a></footer></html>")).alias("html"))
+
+
+@query("P18_catalogue_statements", """SELECT course_id, CASE course_id % 9 WHEN 0 THEN 'no-field' WHEN 1 THEN 'typed' WHEN 2 THEN 'typed' WHEN 3 THEN 'typed-no-link' WHEN 4 THEN 'unbounded' WHEN 5 THEN 'prose' WHEN 6 THEN 'says-none' WHEN 7 THEN 'unbounded' ELSE 'typed' END AS class,
+  CASE course_id % 9 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 8 THEN 1 ELSE 0 END AS links, CAST(CASE course_id % 9 WHEN 1 THEN CASE WHEN course_id % 2 = 0 THEN 1 ELSE 0 END WHEN 2 THEN CASE WHEN course_id % 2 = 0 OR course_id < (SELECT max(course_id) FROM v_course) THEN 1 ELSE 0 END WHEN 8 THEN CASE WHEN course_id % 2 = 0 THEN 1 ELSE 0 END ELSE 0 END AS BIGINT) AS resolved FROM v_course""")
+def p18_catalogue(t):
+    """Every second course is published."""
+    published = t.v_course.where("course_id % 2 = 0").select(F.concat(F.lit("/math/c"), F.col("course_id").cast("string")).alias("path"))
+    return pg.catalogue_statements(statement_pages(t), "course_id", HOST, published)
+
+
 @query("P43_first_term", "SELECT doc_id, CASE WHEN contains(lower(text), 'license') THEN 'license' WHEN contains(lower(text), 'token') THEN 'token' WHEN contains(lower(text), 'the') THEN 'the' END AS term, substring(text, 1, 40) AS description FROM documents")
 def p43(t):
     return t.documents.select("doc_id", text.first_term("text", ("license", "token", "the")).alias("term"), F.substring("text", 1, 40).alias("description"))

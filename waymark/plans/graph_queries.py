@@ -196,7 +196,16 @@ def g23(t):
     return graph.components(t.v_requires)
 
 
-@query("G24_set_cover")
+def cover_sql(k: int) -> str:
+    """Greedy cover, a pair of tables for each step: the best set of what is left, and what it leaves."""
+    parts = ["l0 AS MATERIALIZED (SELECT DISTINCT pathway_id AS set_id, course_id AS item FROM v_includes)"]
+    for i in range(k):
+        parts.append(f"b{i + 1} AS MATERIALIZED (SELECT set_id, count(*) AS covered FROM l{i} GROUP BY set_id ORDER BY covered DESC, set_id LIMIT 1)")
+        parts.append(f"l{i + 1} AS MATERIALIZED (SELECT * FROM l{i} WHERE item NOT IN (SELECT item FROM l{i} JOIN b{i + 1} USING (set_id)))")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT CAST({i} AS INT) AS step, set_id, covered FROM b{i}" for i in range(1, k + 1))
+
+
+@query("G24_set_cover", cover_sql(6))
 def g24(t, k=6):
     return graph.set_cover(t.v_includes.select(F.col("pathway_id").alias("set_id"), F.col("course_id").alias("item")), k)
 

@@ -19,6 +19,8 @@ from waymark.sources.tables import Tables
 
 CIP, SOC, SOC2, UNITID, PLACE, SCHOOL = "000160", "15-0002", "11-0005", "000005", "state|NATION_13", 9
 COURSE, GATE = gq.COURSE, gq.GATE
+#: The school that teaches COURSE.
+TEACHES_COURSE = 10
 CERTIFICATE = 1
 MARKER = "data-pathway"
 
@@ -300,8 +302,8 @@ def q52(t, closing=UNITID):
     return own.join(still, "soc_code", "left_anti")
 
 
-@query("Q53_pathways_break", f"SELECT DISTINCT i.pathway_id FROM v_teaches s JOIN v_includes i ON i.course_id = s.course_id WHERE s.ncessch = {SCHOOL} AND s.course_id = 160")
-def q53(t, school=SCHOOL, course=COURSE):
+@query("Q53_pathways_break", f"SELECT DISTINCT i.pathway_id FROM v_teaches s JOIN v_includes i ON i.course_id = s.course_id WHERE s.ncessch = {TEACHES_COURSE} AND s.course_id = {COURSE}")
+def q53(t, school=TEACHES_COURSE, course=COURSE):
     taught = t.v_teaches.where((F.col("ncessch") == school) & (F.col("course_id") == course))
     return t.v_includes.join(taught, "course_id", "left_semi").select("pathway_id").distinct()
 
@@ -412,7 +414,7 @@ def q77(t, school=3):
     return gq.g16(t, school)
 
 
-@query("Q78_cover")
+@query("Q78_cover", gq.cover_sql(4))
 def q78(t, k=4):
     return gq.g24(t, k)
 
