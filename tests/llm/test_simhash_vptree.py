@@ -48,7 +48,7 @@ def test_against_brute_force(spark):
         own[rnd.randrange(300)] = rnd.choice(words)
         rows.append((1000 + i, "\n".join(own)))
     rows += [(None, rows[0][1]), (7, None), (8, " \t"), (7, None), (2, rows[160][1])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, fp int, root int, component_id int")
     assert sorted((tuple(r) for r in m.simhash_near_dedup(docs).collect()), key=str) == brute_components(rows)
     assert m.simhash_near_dedup(docs.limit(0)).count() == 0
 
