@@ -92,12 +92,27 @@ def prefixes(texts: DataFrame, common: np.ndarray, often: np.ndarray) -> DataFra
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets have similarity 0.8 or more."""
+    """The pairs (a, b) of nodes whose sets have similarity 0.8 or more. Texts meet in the join, since sets of hashes are larger and don't compress."""
+    small_batches(texts.sparkSession)
     of = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    once = texts.join(of, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-    sets = materialize(shingle_sets(once))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("sh").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("sh").alias("t")), "b")
-    return materialize(both.where("9L * size(array_intersect(s, t)) >= 4L * (size(s) + size(t))").select("a", "b"))
+    once = materialize(texts.join(of, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
+        for batch in batches:
+            keep = []
+            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x"), batch.column("y")):
+                if a != last:
+                    last, own = a, shingles(x.as_py().encode())
+                other = shingles(y.as_py().encode())
+                shared = len(np.intersect1d(own, other, assume_unique=True))
+                keep.append(9 * shared >= 4 * (len(own) + len(other)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(once.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").join(once.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    found = materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    discard(once)
+    return found
 
 
 def near_copy_components(texts: DataFrame) -> DataFrame:
@@ -112,13 +127,15 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     every = materialize(prefixes(texts, common, often).distinct())  # copies of a text are one node from here on
     links = _similar(_fingerprint_pairs(every.where("n = 0").select("node", F.col("key").alias("fp")).distinct()), texts)
     rows = every.where("n > 0")
-    shared = materialize(rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key", "lo"))
+    shared = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max("node").alias("hi")).where("lo.node <> hi").select("key", "lo")
     members = materialize(rows.join(shared, "key").select("key", "node", "n", "lo"))
-    first = members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    discard(every)
+    first = members.where("node <> lo.node and 5L * least(n, lo.n) >= 4L * greatest(n, lo.n)").select(F.col("lo.node").alias("a"), F.col("node").alias("b")).distinct()
     first = materialize(_apart(first, connected_components(links)))
     links = links.union(_similar(first, texts))
     named = members.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = materialize(named)
+    discard(members)
     several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     rest = materialize(named.join(several, "key").select("key", "node", "n", "root"))
     a = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
@@ -127,7 +144,7 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _similar(materialize(pairs.join(tried, ["a", "b"], "left_anti")), texts)
     found = materialize(connected_components(links.union(more)))
-    for done in (every, shared, members, named, rest):
+    for done in (named, rest):
         discard(done)
     return found
 
