@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.sources.shared import materialize
+from waymark.sources.shared import discard, materialize
 
 MAX_DEPTH = 64
 
@@ -146,7 +146,8 @@ def core(edges: DataFrame, max_rounds: int = MAX_DEPTH) -> DataFrame:
     for _ in range(max_rounds):
         starts, ends = edges.select("src").distinct(), edges.select("dst").distinct()
         less = edges.join(ends.select(F.col("dst").alias("src")), "src", "left_semi").join(starts.select(F.col("src").alias("dst")), "dst", "left_semi")
-        edges = materialize(less.select("src", "dst"))
+        edges, old = materialize(less.select("src", "dst")), edges
+        discard(old)
         m = edges.count()
         if m == n:
             break
@@ -180,6 +181,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         jump = now.select(F.col("node").alias("component"), F.col("component").alias("further"))
         new = materialize(least.join(jump, "component", "left").select("node", F.least("component", F.coalesce("further", "component")).alias("component")))
         changed = new.join(now.withColumnRenamed("component", "old"), "node").where("component <> old").isEmpty()
+        discard(now)
         now = new
         if changed:
             return now
