@@ -106,9 +106,10 @@ def p16(t):
     return r.select("page_id", "title", F.size("links").alias("links"), "field_present_no_links")
 
 
-@query("P18_statement_class")
+@query("P18_statement_class", """WITH n AS (SELECT page_id, html, split_part(split_part(html, '<nav', 2), '</nav>', 1) AS nav FROM pages), x AS (SELECT *, lower(trim(regexp_replace(regexp_replace(nav, '^[^>]*>|<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))) AS words FROM n)
+  SELECT page_id, CASE WHEN NOT contains(html, '<nav') THEN 'no-field' WHEN NOT contains(html, '</nav>') OR contains(nav, '<article') OR contains(nav, '<footer') THEN 'unbounded' WHEN contains(nav, '<a ') THEN 'typed' WHEN words = '' THEN 'typed-no-link' WHEN words IN ('none', 'n/a', 'na', 'nil', '-', '–', '—') THEN 'says-none' ELSE 'prose' END AS class FROM x""")
 def p18(t):
-    """By what a page's navigation field states: needs the markup walk, so there is no SQL for it."""
+    """By what a page's navigation field states, from a walk of its markup."""
     return pg.statement_classes(t.pages)
 
 
