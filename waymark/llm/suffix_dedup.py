@@ -132,11 +132,13 @@ class _Combined:
             return
         columns = [np.concatenate(c) for c in zip(*self.parts)]
         self.parts, self.rows = [], 0
-        order = np.lexsort((columns[2], columns[1], columns[0]))
-        a, s, did, th, start, n = (c[order] for c in columns)
+        a, s, did, th, start, n = columns
+        order = np.lexsort((did, s, a))
         head = np.ones(len(a), bool)
-        head[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
-        known = did > did[np.flatnonzero(head)][np.cumsum(head) - 1]
+        head[1:] = (a[order[1:]] != a[order[:-1]]) | (s[order[1:]] != s[order[:-1]])
+        known = np.empty(len(a), bool)
+        known[order] = did[order] > did[order[np.flatnonzero(head)]][np.cumsum(head) - 1]
+        # rows stay in the order of the documents, which is written smaller than that of the ranks
         anywhere = _mix(did.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((np.where(known, anywhere, a), s, did, th, start, n, known), _SPAN)], schema=_SPAN)
 
