@@ -88,8 +88,9 @@ def _unpack_numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(_unpack(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-#: bucket -1: documents of the block (ids, sizes and word numbers); others: the block's words in a bucket, in order.
-_BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("data", pa.binary())])
+#: bucket -1: documents of the block (ids, sizes and word numbers) and the bucket of each word number; others: the block's words in a bucket, by number.
+_BLOCK = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("data", pa.binary()), ("deal", pa.binary())])
+_BLOCK_SQL = "block long, bucket int, ids array<long>, sizes array<int>, data binary, deal binary"
 
 
 def _split(path: str, buckets: int):
@@ -101,15 +102,17 @@ def _split(path: str, buckets: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal number, ids, places, size, made
-            words = list(number)
-            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-            order = np.argsort(bucket, kind="stable")
+            words, flat = list(number), np.concatenate(places)
+            # frequent words get small numbers, which pack smaller
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
             renumber = np.empty(len(words), np.int64)
             renumber[order] = np.arange(len(words))
-            rows = [(-1, ids, [len(p) for p in places], _pack_numbers(renumber[np.concatenate(places)]))]
-            for b in np.unique(bucket).tolist():
-                own = order[np.searchsorted(bucket[order], b, "left") : np.searchsorted(bucket[order], b, "right")]
-                rows.append((b, [], [], _pack(" ".join(words[i] for i in own).encode())))
+            bucket = np.fromiter((zlib.crc32(words[i].encode()) % buckets for i in order.tolist()), np.int64, len(words))
+            rows = [(-1, ids, [len(p) for p in places], _pack_numbers(renumber[flat]), _pack_numbers(bucket))]
+            by_bucket = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+            for own in np.split(by_bucket, cuts) if len(words) else []:
+                rows.append((int(bucket[own[0]]), [], [], _pack(" ".join(words[i] for i in order[own].tolist()).encode()), None))
             out = pa.RecordBatch.from_arrays([pa.array([part << 24 | made] * len(rows), pa.int64()), *(pa.array(list(c), f.type) for c, f in zip(zip(*rows), list(_BLOCK)[1:]))], schema=_BLOCK)
             number, ids, places, size, made = {}, [], [], 0, made + 1
             return out
@@ -189,12 +192,14 @@ def _rebuild(with_text: bool):
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         """A block's documents (left) from the codes of its words and the pieces of its ids (right)."""
-        ids_text, piece = [], {}
-        for bucket, data in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist())):
+        deal = _unpack_numbers(left.column("deal")[0].as_py())
+        ids_text, piece = np.empty(len(deal), object), {}
+        for bucket, data in zip(right.column("bucket").to_pylist(), right.column("data").to_pylist()):
             if bucket == _PIECES:
                 piece = dict(x.split(" ", 1) for x in data.decode().split("\n"))
             else:
-                ids_text += _unpack(data).decode().split("\n")
+                ids_text[deal == bucket] = _unpack(data).decode().split("\n")
+        ids_text = ids_text.tolist()
         pieces = [" ".join([piece[i] for i in x.split(" ")]) for x in ids_text]
         count = np.fromiter((x.count(" ") + 1 for x in ids_text), np.int64, len(ids_text))
         rows = []
@@ -224,7 +229,7 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     small_batches(spark)
     buckets = buckets or min(MOST, max(FEWEST, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    split = rows.mapInArrow(_split(path, buckets), "block long, bucket int, ids array<long>, sizes array<int>, data binary")
+    split = rows.mapInArrow(_split(path, buckets), _BLOCK_SQL)
     blocks = materialize(split.withColumn("listed", F.col("bucket") >= 0), by="listed")
 
     lists = blocks.where("listed").select("block", "bucket", "data")
@@ -246,6 +251,6 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     decoded = own.groupBy("block").agg(F.array_join(F.collect_list(F.concat("id", F.lit(" "), "piece")), "\n").cast("binary").alias("data"))
     back = back.unionByName(decoded.withColumn("bucket", F.lit(_PIECES)))
 
-    places = blocks.where("not listed").select("block", "ids", "sizes", "data")
+    places = blocks.where("not listed").select("block", "ids", "sizes", "data", "deal")
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * with_text
     return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_rebuild(with_text), out)
