@@ -8,9 +8,11 @@ differs by up to a quarter of the bits, where no tree can prune, so the others
 come from prefix filtering: under any one order of all shingles, similar sets
 share one of their first n - ceil(0.8 n) + 1 shingles. The order is by frequency
 in a sample, then by hash, so that common passages come last. Within a shared
-shingle all texts are first compared with one of them; only shingles whose texts
-are still in several components then compare the rest in pairs. No link is
-missed: the sample only orders shingles, and every comparison is exact.
+shingle all texts are first paired with one of them; only shingles whose texts
+are still in several components then pair the rest. A pair is compared if its
+sizes and the number of shingles that its prefixes share leave room for enough
+of them. No link is missed: the sample only orders shingles, the bounds are
+those of the sets, and every comparison is exact.
 """
 
 from __future__ import annotations
@@ -35,6 +37,11 @@ SAMPLE, COMMON = 8192, 20_000
 OFTEN = 4
 
 
+#: Whether two sets of na and nb can be similar if their prefixes share c. Of the set whose prefix ends first in the
+#: common order, all that is shared up to there is in both prefixes, and beyond it stand only ceil(0.8 n) - 1 shingles.
+_ENOUGH = "9L * (c + greatest((4 * na + 4) div 5, (4 * nb + 4) div 5) - 1) >= 4L * (na + nb) and 5L * least(na, nb) >= 4L * greatest(na, nb)"
+
+
 def shingles(text: bytes) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; one of all its words if they are fewer than SHINGLE."""
     words = text.lower().split()
@@ -130,7 +137,7 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     shared = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max("node").alias("hi")).where("lo.node <> hi").select("key", "lo")
     members = materialize(rows.join(shared, "key").select("key", "node", "n", "lo"))
     discard(every)
-    first = members.where("node <> lo.node and 5L * least(n, lo.n) >= 4L * greatest(n, lo.n)").select(F.col("lo.node").alias("a"), F.col("node").alias("b")).distinct()
+    first = members.where("node <> lo.node").groupBy(F.col("lo.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"), F.first("lo.n").alias("na"), F.first("n").alias("nb")).where(_ENOUGH).select("a", "b")
     first = materialize(_apart(first, connected_components(links)))
     links = links.union(_similar(first, texts))
     named = members.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -140,7 +147,8 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     rest = materialize(named.join(several, "key").select("key", "node", "n", "root"))
     a = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     b = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = a.join(b, "key").where("a < b and ra <> rb and 5L * least(na, nb) >= 4L * greatest(na, nb)").select("a", "b").distinct()
+    pairs = a.join(b, "key").where("a < b and ra <> rb and 5L * least(na, nb) >= 4L * greatest(na, nb)")
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb")).where(_ENOUGH).select("a", "b")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _similar(materialize(pairs.join(tried, ["a", "b"], "left_anti")), texts)
     found = materialize(connected_components(links.union(more)))
