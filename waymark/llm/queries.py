@@ -19,6 +19,7 @@ from .rans_tokens import rans_round_trip
 from .simhash_vptree import simhash_near_dedup
 from .suffix_dedup import suffix_array_dedup
 from .toxicity_nnpu import toxicity
+from .two_fit import pack
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -68,9 +69,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "item_word", "n_words", "n_equal", F.round("share", 6).alias("share"))
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_merkle_fixity, op3_quality_rules, op4_bpe, op5_pii_bootstrap,
-    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination,
+    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination, op11_best_two_fit,
 )}
 
 #: The pages and their damaged replica as records with offsets, joined; the audit reads only ranges whose hashes differ.
