@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_round_trip
 from .common import documents
 from .decontamination import passages
+from .hard_negatives import hard_negatives
 from .license_join import license_join
 from .merkle_fixity import audit, damaged
 from .pii_bootstrap import personal_data_report
@@ -73,9 +74,13 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_merkle_fixity, op3_quality_rules, op4_bpe, op5_pii_bootstrap,
-    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination, op11_best_two_fit,
+    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination, op11_best_two_fit, op12_hard_negatives,
 )}
 
 #: The pages and their damaged replica as records with offsets, joined; the audit reads only ranges whose hashes differ.
@@ -89,4 +94,13 @@ ORACLES: dict[str, str] = {
       SELECT coalesce(a.page_id, b.page_id) AS page_id, CAST(0 AS BIGINT) AS copy, coalesce(a.file, b.file) AS file, coalesce(a."offset", b."offset") AS "offset", coalesce(a.length, b.length) AS length,
         CASE WHEN b.page_id IS NULL THEN 'missing' WHEN a.page_id IS NULL THEN 'added' ELSE 'changed' END AS problem
       FROM a FULL JOIN b ON a.page_id = b.page_id WHERE a.hash IS DISTINCT FROM b.hash""",
+    "op12_hard_negatives": """WITH c AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+        FROM c a JOIN c b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+      p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+      SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+      QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) <= 3""",
 }
