@@ -102,7 +102,7 @@ def test_filters_leave_few_pairs():
     for at in range(0, 6000, 500):
         s.add(m.Rows(own[at : at + 500], own[at : at + 500], own[at : at + 500] * 0, v[at : at + 500]))
     pairs, scored = s.seen
-    assert pairs == 120 * 5999 and scored < 0.1 * pairs
+    assert pairs == 120 * 5999 and scored < 0.2 * pairs  # the first block, of a twelfth, has nothing to go by
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])

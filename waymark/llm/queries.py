@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import documents
+from .conversation_repair import damaged_and_repaired
 from .decontamination import passages
 from .hard_negatives import hard_negatives
 from .license_join import license_join
@@ -78,9 +79,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_merkle_fixity, op3_quality_rules, op4_bpe, op5_pii_bootstrap,
-    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination, op11_best_two_fit, op12_hard_negatives,
+    op6_simhash_vptree, op7_rans_tokens, op8_toxicity_nnpu, op9_license_join, op10_decontamination, op11_best_two_fit, op12_hard_negatives, op13_conversation_repair,
 )}
 
 #: The pages and their damaged replica as records with offsets, joined; the audit reads only ranges whose hashes differ.
