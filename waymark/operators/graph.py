@@ -8,7 +8,9 @@ that are new go on, so loops end on cyclic edges too.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.sources.shared import discard, materialize
@@ -94,34 +96,53 @@ def route(edges: DataFrame, start: int, end: int, max_depth: int = MAX_DEPTH) ->
     raise RuntimeError(f"paths are longer than {max_depth}")
 
 
-def _peeled(edges: DataFrame, max_depth: int) -> DataFrame:
-    """edges (way, src, dst): (way, node, depth, n), the length of the longest trail out of each node of a DAG and the number of trails.
+def fold(edges: DataFrame, own: DataFrame, leaf: dict[str, Column], send: dict[str, Column], merge: dict[str, Callable[[str], Column]], keep: dict[str, Column] | None = None, by: tuple[str, ...] = (), max_depth: int = MAX_DEPTH) -> DataFrame:
+    """Values of every node of a DAG from those of its targets: (*by, node, depth, values), depth being the longest trail out of the node.
 
-    Nodes without targets are done first; a node follows once all its targets
-    are, with n = sum of 1 + n over them. Each level looks only at nodes next to
-    the last one and is written once. Refuses cyclic edges.
+    own (*by, node, ...): columns of each node that leaf and keep may use. A node
+    without targets has the values `leaf`. A node that is done sends `send` along
+    its in-edges, once for each edge; `merge` combines what arrives, also what was
+    combined before, and once all targets have sent, `keep` makes the node's value
+    of it. Only nodes that wait are written again. Refuses cyclic edges.
     """
-    edges = edges.select("way", "src", "dst").distinct()
-    edges = materialize(edges.join(edges.groupBy("way", "src").agg(F.count("*").alias("targets")), ["way", "src"]))
-    ends = edges.select("way", F.col("dst").alias("node")).distinct().join(edges.select("way", F.col("src").alias("node")), ["way", "node"], "left_anti")
-    done = last = materialize(ends.select("way", "node", F.lit(0).alias("depth"), F.lit(0).cast("decimal(38,0)").alias("n")))
-    for depth in range(1, max_depth + 1):
-        near = edges.join(last.select("way", F.col("node").alias("dst")), ["way", "dst"], "left_semi").select("way", "src").distinct()
-        own = edges.join(near, ["way", "src"], "left_semi").join(done.select("way", F.col("node").alias("dst"), "n"), ["way", "dst"])
-        own = own.groupBy("way", F.col("src").alias("node"), "targets").agg(F.count("*").alias("ready"), F.sum(1 + F.col("n")).cast("decimal(38,0)").alias("n"))
-        last = materialize(own.where("ready = targets").select("way", "node", F.lit(depth).alias("depth"), "n"))
+    keys, keep = [*by, "node"], {n: F.col(n) for n in leaf} | (keep or {})
+    edges = materialize(edges.select(*by, "src", "dst").distinct())
+    waits = materialize(edges.groupBy(*by, F.col("src").alias("node")).agg(F.count("*").alias("targets")).join(own, keys))
+    ends = edges.select(*by, F.col("dst").alias("node")).distinct().join(waits, keys, "left_anti")
+    last = materialize(ends.join(own, keys).select(*keys, F.lit(0).alias("depth"), *(c.alias(n) for n, c in leaf.items())))
+    done, waiting = last, None
+    into = edges.select(*by, F.col("src").alias("to"), F.col("dst").alias("node"))
+    for depth in range(1, max_depth + 2):
+        sent = into.join(last, keys).select(*by, F.col("to").alias("node"), F.lit(1).cast("long").alias("got"), *(send.get(n, F.col(n)).alias(n) for n in leaf))
+        if waiting is not None:
+            sent = sent.unionByName(waiting)
+        old = waiting
+        merged = sent.groupBy(*keys).agg(F.sum("got").alias("got"), *(merge[n](n).alias(n) for n in leaf))
+        step = materialize(merged.join(waits, keys).withColumn("ready", F.col("got") == F.col("targets")), "ready")
+        last = step.where("ready").select(*keys, F.lit(depth).alias("depth"), *(keep[n].alias(n) for n in leaf))
+        waiting = step.where("not ready").select(*keys, "got", *leaf)
+        waiting.waymark_path = step.waymark_path
+        if old is not None:
+            discard(old, "ready=false")
         if last.isEmpty():
-            rest = edges.join(done.select("way", F.col("node").alias("src")), ["way", "src"], "left_anti")
-            if not rest.isEmpty():
+            if not waiting.isEmpty() or not waits.join(done, keys, "left_anti").isEmpty():
                 raise RuntimeError("the edges have a cycle")
             return done
+        if depth > max_depth:
+            raise RuntimeError(f"a trail is longer than {max_depth}")
         done = done.unionByName(last)
-    raise RuntimeError(f"a trail is longer than {max_depth}")
+
+
+def _counted(edges: DataFrame, max_depth: int) -> DataFrame:
+    """edges (way, src, dst): (way, node, depth, n), the longest trail out of each node and the number of trails."""
+    own = edges.select("way", F.col("src").alias("node")).union(edges.select("way", "dst")).distinct()
+    n = F.lit(0).cast("decimal(38,0)")
+    return fold(edges, own, {"n": n}, {"n": (1 + F.col("n")).cast("decimal(38,0)")}, {"n": lambda c: F.sum(c).cast("decimal(38,0)")}, by=("way",), max_depth=max_depth)
 
 
 def levels(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, depth): the longest trail that starts at each node of a DAG. Refuses cyclic edges."""
-    return _peeled(edges.withColumn("way", F.lit(0)), max_depth).select("node", "depth")
+    return _counted(edges.withColumn("way", F.lit(0)), max_depth).select("node", "depth")
 
 
 def path_counts(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -130,7 +151,7 @@ def path_counts(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     Counts are summed level by level, in both directions at once; no trail is listed.
     """
     both = edges.select(F.lit(0).alias("way"), "src", "dst").union(reversed_edges(edges).select(F.lit(1), "src", "dst"))
-    done = _peeled(both, max_depth)
+    done = _counted(both, max_depth)
     return done.groupBy("node").agg(F.max(F.when(F.col("way") == 1, F.col("n"))).alias("ins"), F.max(F.when(F.col("way") == 0, F.col("n"))).alias("outs"))
 
 
