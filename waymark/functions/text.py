@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from html.entities import html5
 
@@ -15,9 +16,26 @@ _NAMED = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
 _BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
 _LONGEST = max(map(len, _BARE))
 
-#: Statements that nothing is required.
-_SAYS_NONE = r"(?i)\A(none|n/a|na|nil|-|–|—)\.?\z"
-_SAYS_NO_PRIOR = r"(?i)\bno prior\b.*\b(required|necessary|needed)\b"
+
+def _by_start(names: dict[str, str]) -> str:
+    """The names below their first two characters, as JSON: a lookup walks the few that begin alike."""
+    out: dict[str, dict[str, str]] = {}
+    for name, character in names.items():
+        out.setdefault(name[:2], {})[name] = character
+    return json.dumps(out)
+
+
+_NAMED_JSON, _BARE_JSON = _by_start(_NAMED), _by_start(_BARE)
+
+
+def _table(names: str) -> Column:
+    return F.from_json(F.lit(names), "map<string,map<string,string>>")
+
+
+#: What a field says where nothing is required, and the words of a sentence that denies a requirement.
+_NOTHING = ("none", "n/a", "na", "nil", "not applicable", "-", "–", "—")
+_BEFORE = ("prior", "previous", "prerequisite")
+_ASKED = ("required", "necessary", "needed")
 
 
 def _character(code: Column) -> Column:
@@ -32,17 +50,18 @@ def _character(code: Column) -> Column:
 
 def _dereferenced(part: Column) -> Column:
     """The text after an ampersand with its reference, if it is one, replaced; else with the ampersand before it."""
-    named, bare = (F.map_from_arrays(F.array(*map(F.lit, d)), F.array(*map(F.lit, d.values()))) for d in (_NAMED, _BARE))
+    named, bare = _table(_NAMED_JSON), _table(_BARE_JSON)
     digits, hexed, name = (F.regexp_extract(part, p, 1) for p in ("^#([0-9]+)", "^#[xX]([0-9a-fA-F]+)", "^([A-Za-z0-9]+)"))
     rest = F.regexp_replace(part, "^#([0-9]+|[xX][0-9a-fA-F]+);?", "")
-    whole = F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", named[name])
+    whole = F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", named[F.left(name, F.lit(2))][name])
     number = lambda x, base: F.when(F.length(F.ltrim(x, F.lit("0"))) > 8, F.lit(1 << 40)).otherwise(F.conv(F.right(F.concat(F.lit("0"), x), F.lit(9)), base, 10).cast("long"))  # noqa: E731  more digits name no character
     out = F.when(digits != "", F.concat(_character(number(digits, 10)), rest))
     out = out.when(hexed != "", F.concat(_character(number(hexed, 16)), rest))
     out = out.when(whole.isNotNull(), F.concat(whole, F.substr(part, F.length(name) + 2)))
-    for k in range(_LONGEST, 1, -1):
-        start = F.left(name, F.lit(k))
-        out = out.when((F.length(name) >= k) & bare[start].isNotNull(), F.concat(bare[start], F.substr(part, F.lit(k + 1))))
+    # an old name without its semicolon: the longest that the text begins with
+    old = F.try_element_at(F.filter(F.transform(F.sequence(F.lit(2), F.lit(_LONGEST)), lambda k: F.left(name, k)), lambda x: bare[F.left(name, F.lit(2))][x].isNotNull()), F.lit(-1))
+    known = F.when(bare[F.left(name, F.lit(2))].isNotNull(), old)
+    out = out.when(known.isNotNull(), F.concat(bare[F.left(name, F.lit(2))][known], F.substr(part, F.length(known) + 1)))
     return out.otherwise(F.concat(F.lit("&"), part))
 
 
@@ -78,16 +97,28 @@ def field_items(markup: Column | str) -> Column:
     return F.filter(clean, lambda x: x != "")
 
 
-#: A catalogue's named fields. A field's element is named by a class, and the next field's element, the article's end or the footer ends it.
-_FIELD = r'(?s)field--name-field-{0}(?![\w-])[^>]*>(.*?)(?=<(?:div|span) class="field\b|</article>|<footer|\z)'
-_LABEL = r'(?s)<(div|span) class="field__label[^>]*>.*?</\1>'
-_ITEM = r"(?s)field__item(?![\w-])[^>]*>(.*?)</div>"
+#: The class tokens of a catalogue's fields, their labels and their items.
+_FIELD, _NAME, _LABEL, _ITEM = "field", "field--name-field-", "field__label", "field__item"
+
+
+def _opening(token: str, elements: str = r"\w+") -> str:
+    """Pattern of a start tag whose class has a token; the token may be a pattern."""
+    return rf'<(?:{elements})\s(?:[^>]*\s)?class="(?:[^"]*\s)?{token}(?=[\s"])[^>]*>'
 
 
 def field_markup(markup: Column | str, name: str) -> Column:
-    """Markup inside the named field of a catalogue page, without its label; null without the field."""
-    pattern = _FIELD.format(re.escape(name))
-    return F.when(_col(markup).rlike(pattern), F.regexp_replace(F.regexp_extract(_col(markup), pattern, 1), _LABEL, " "))
+    """Markup inside the named field of a catalogue page, without its label; null without the field.
+
+    The page is cut before the start tag of each field; the piece whose class
+    names the field is taken, up to the article's end or the footer.
+    """
+    pieces = F.split(_col(markup), f"(?={_opening(rf'{_FIELD}(?:--[-0-9A-Za-z]+)*', 'div|span')})")
+    classes = lambda piece: F.split(F.regexp_extract(piece, r'^<[^>]*\sclass="([^"]*)"', 1), r"\s+")
+    own = F.get(F.filter(pieces, lambda piece: F.array_contains(classes(piece), f"{_NAME}{name}")), F.lit(0))
+    inside = F.regexp_replace(F.get(F.split(own, "</article>|<footer", 2), F.lit(0)), "^<[^>]*>", "")
+    # the label goes with its element, up to the end tag of the same name
+    label = rf'(?s)<(\w+)\s(?:[^>]*\s)?class="(?:[^"]*\s)?{_LABEL}(?=[\s"])[^>]*>.*?</\1\s*>'
+    return F.regexp_replace(inside, label, " ")
 
 
 def named_field(markup: Column | str, name: str) -> Column:
@@ -97,23 +128,29 @@ def named_field(markup: Column | str, name: str) -> Column:
 
 def named_items(markup: Column | str, name: str) -> Column:
     """Texts of the items of the named field, without the commas between them; blanks are dropped. Empty without the field."""
-    items = F.regexp_extract_all(F.coalesce(field_markup(markup, name), F.lit("")), F.lit(_ITEM), 1)
+    pieces = F.split(F.coalesce(field_markup(markup, name), F.lit("")), _opening(_ITEM))
+    items = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x: F.substring_index(x, "</div", 1))
     return F.filter(F.transform(items, lambda x: F.regexp_replace(text_of(x), r"^[\s,]+|[\s,]+$", "")), lambda x: x != "")
 
 
+#: Programme markers that say nothing about a course's subject.
+MARKERS = ("ap", "ib", "aice", "advanced placement", "honors", "dual enrollment")
+
+
 def normalised_title(title: Column | str, drop_parentheticals: bool = False) -> Column:
-    """Lower case, without asterisks and programme markers, letters and digits only, one space between."""
-    out = F.replace(F.lower(_col(title)), F.lit("*"), F.lit(""))
-    if drop_parentheticals:
-        out = F.regexp_replace(out, r"\([^)]*\)", " ")
-    out = F.regexp_replace(out, r"\b(ap|ib|honors|dual enrollment)\b", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(out, "[^a-z0-9]+", " "), " +", " "))
+    """Words of a title in lower case, without asterisks, programme markers and whatever else is no letter or digit, one space between."""
+    bare = F.translate(F.lower(_col(title)), "*", "")
+    bare = F.regexp_replace(bare, r"\([^)]*\)", " ") if drop_parentheticals else bare
+    bare = F.regexp_replace(bare, rf"\b({'|'.join(MARKERS)})\b", " ")
+    return F.array_join(F.filter(F.split(bare, "[^a-z0-9]+"), lambda w: w != ""), " ")
 
 
 def states_a_prerequisite(text: Column | str) -> Column:
-    """False for blank text and statements that nothing is required."""
-    bare = collapsed(F.replace(_col(text), F.lit(" "), F.lit(" ")))
-    return F.coalesce((bare != "") & ~bare.rlike(_SAYS_NONE) & ~bare.rlike(_SAYS_NO_PRIOR), F.lit(False))
+    """False for blank text, for a field that only says that nothing is required, and where a sentence denies it. References are decoded first."""
+    bare = F.lower(collapsed(F.translate(decoded(text), "\u00a0", " ")))
+    said = F.regexp_replace(F.regexp_replace(bare, r"\Aprerequisites?\s*[:-]?\s*(?=\S)", ""), r"\s*[.;:]\z", "")
+    denied = F.exists(F.split(bare, r"\."), lambda s: s.rlike(rf"\bno\s+({'|'.join(_BEFORE)})\b.*\b({'|'.join(_ASKED)})\b"))
+    return F.coalesce((bare != "") & ~said.isin(*_NOTHING) & ~denied, F.lit(False))
 
 
 def absolute(href: Column | str, host: str) -> Column:

@@ -226,18 +226,6 @@ def pair_counts(edges: DataFrame) -> DataFrame:
     return edges.withColumn("n", F.lit(1).cast("decimal(38,0)")).limit(0) if counts is None else counts
 
 
-def essential(edges: DataFrame) -> DataFrame:
-    """(node, pairs): for inner nodes of a DAG, the pairs (a, b) whose every trail runs through the node.
-
-    A node is on every trail where trails(a, x) * trails(x, b) = trails(a, b).
-    """
-    counts = pair_counts(edges)
-    a = counts.select("src", F.col("dst").alias("node"), F.col("n").alias("na"))
-    b = counts.select(F.col("src").alias("node"), "dst", F.col("n").alias("nb"))
-    hit = a.join(b, "node").join(counts, ["src", "dst"]).where("na * nb = n")
-    return hit.groupBy("node").agg(F.count("*").alias("pairs"))
-
-
 def set_cover(members: DataFrame, k: int) -> DataFrame:
     """Greedy cover: (step, set_id, covered), at most k sets of members (set_id, item); ties go to the least set_id."""
     left = members.select("set_id", "item").distinct()

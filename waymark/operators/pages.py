@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.text import field_items, field_markup, field_text, named_field, named_items, path_of, segments, states_a_prerequisite, text_of
+from waymark.functions.keys import collapsed
+from waymark.functions.text import decoded, field_items, field_markup, field_text, named_field, named_items, path_of, segments, states_a_prerequisite, text_of
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -126,97 +127,79 @@ def statement_classes(pages: DataFrame) -> DataFrame:
     return f.select("page_id", kind.alias("class"))
 
 
-#: The class prefix of named fields, elements without content, without text, and those whose end tag may be left out.
-_FIELD_CLASS = "field--name-field-"
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_SILENT = {"script", "style", "template", "noscript"}
-_MAY_STAY_OPEN = {"p", "li", "td", "th", "tr", "dd", "dt", "option", "thead", "tbody", "tfoot"}
-#: What a start tag closes if it is the innermost open element.
-_CLOSED_BY = {"li": {"li"}, "p": {"p", "div", "ul", "ol", "dl", "table", "section", "article", "h1", "h2", "h3", "h4", "form", "nav", "hr"},
-              "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}}
+#: The class prefix of named fields; from the HTML standard, elements without an end tag, with an end tag that may be left out, and whose content is no text of the page.
+_NAME = "field--name-field-"
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+_OPTIONAL_END = ("html", "head", "body", "li", "dt", "dd", "p", "rt", "rp", "optgroup", "option", "colgroup", "caption", "thead", "tbody", "tfoot", "tr", "td", "th")
+_NO_TEXT = ("script", "style", "template", "noscript")
+#: A whole tag, quoted values with their angle brackets included, and the value of an attribute after its name.
+_TAG = r"""^<[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 
 
-class _NamedFields(HTMLParser):
-    """All named fields of a page: rows of [name, sound, text parts, links].
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of a tag; empty without it."""
+    found = rf"(?is)\s{name}{_VALUE}"
+    return F.concat(*(F.regexp_extract(tag, found, k) for k in (1, 2, 3)))
 
-    A field is sound if its own element is closed, and everything in it was
-    closed before or may stay open; the article's end and the footer cut what is
-    still open. The first field of a name counts, and fields inside a field are
-    part of it.
-    """
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows, self.path, self.ended = {}, [], False  # path: open elements with the field that each opened
-
-    def current(self):
-        if any(tag in _SILENT for tag, _ in self.path):
-            return None
-        return next((row for _, row in self.path if row is not None), None)
-
-    def handle_starttag(self, tag, attrs):
-        self.ended = self.ended or (tag == "footer" and not any(t in _SILENT for t, _ in self.path))
-        if self.ended:
-            return
-        while self.path and tag in _CLOSED_BY.get(self.path[-1][0], ()):
-            self.leave(len(self.path) - 1)
-        found = dict(attrs)
-        row, silent = self.current(), tag in _SILENT or any(t in _SILENT for t, _ in self.path)
-        if row is not None and tag == "a" and found.get("href"):
-            row[3].append(found["href"])
-        if tag in _VOID:
-            return
-        name = next((c[len(_FIELD_CLASS):] for c in (found.get("class") or "").split() if c.startswith(_FIELD_CLASS)), None)
-        mine = None
-        if name and row is None and not silent and name not in self.rows:
-            mine = self.rows[name] = [name, False, [], []]
-        self.path.append((tag, mine))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if self.ended:
-            return
-        if tag in ("article", "main") and not any(t in _SILENT for t, _ in self.path):
-            self.ended = True
-            return
-        at = next((i for i in range(len(self.path) - 1, -1, -1) if self.path[i][0] == tag), None)
-        if at is not None:
-            self.leave(at)
-
-    def leave(self, at: int) -> None:
-        """Close the element at a place of the path and what is open inside it."""
-        inside = [t for t, _ in self.path[at + 1 :]]
-        sound = all(t in _MAY_STAY_OPEN for t in inside)
-        for i, (_, row) in enumerate(self.path[at:]):
-            if row is not None:
-                row[1] = sound if i == 0 else False
-        if not sound:  # a field around crossed elements can't be told apart from its neighbours any more
-            self.path[:at] = [(t, None) for t, _ in self.path[:at]]
-        del self.path[at:]
 
-    def handle_data(self, data):
-        row = None if self.ended else self.current()
-        if row is not None:
-            row[2].append(data)
+def _tags(pages: DataFrame, key: str) -> DataFrame:
+    """key, parts (the page cut before each angle bracket), pos, name, opens and fields (names by its class) of each tag that has an end tag as a rule."""
+    no_text = rf"(?is)<({'|'.join(_NO_TEXT)})\b.*?</\1\s*>|<!--.*?-->"
+    body = F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), no_text, " "), r"(?is)(</(article|main)\b|<footer\b).*", "")
+    each = pages.select(F.col(key), F.split(body, "(?=<)").alias("parts")).select(key, "parts", F.posexplode("parts").alias("pos", "part"))
+    name = F.lower(F.regexp_extract("part", r"^</?([A-Za-z][^\s/>]*)", 1))
+    named = F.filter(F.split(_attribute(F.regexp_extract("part", _TAG, 0), "class"), r"\s+"), lambda c: c.startswith(_NAME))
+    out = each.select(key, "parts", "pos", name.alias("name"), ~F.col("part").startswith("</"), named).toDF(key, "parts", "pos", "name", "opens", "fields")
+    return out.where((F.col("name") != "") & ~F.col("name").isin(*_VOID, *_OPTIONAL_END))
 
 
 def named_fields(pages: DataFrame, key: str) -> DataFrame:
-    """key, field, bounded, text and links for each named field of each page, by walking its markup. Pages without fields give no rows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for page, html in zip(batch[key], batch["html"]):
-                p = _NamedFields()
-                p.feed(html or "")
-                out += [(page, name, sound, " ".join("".join(text).split()), links) for name, sound, text, links in p.rows.values()]
-            yield pd.DataFrame(out, columns=[key, "field", "bounded", "text", "links"])
+    """key, field, bounded, text and links of each named field of each page. Pages without fields give no rows.
+
+    Start and end tags are matched by nesting depth, for each element name alone:
+    a start tag ends at the next tag of its name that goes back below its depth.
+    So each element is an interval. Depth over all names tells which elements
+    cross: it is the same before and behind an element that crosses none. A field
+    is bounded if its interval is closed and no tag within it, or its own, belongs
+    to an element that crosses another or stays open. Elements whose end tags may
+    be left out don't count. The first field of a name counts; fields within a
+    field are part of it; the article's or main part's end and the footer end all.
+    """
+    from pyspark.sql import Window
 
-    return pages.select(key, "html").mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, field string, bounded boolean, text string, links array<string>")
+    page = Window.partitionBy(key).orderBy("pos")  # the tags of one page
+    alike = Window.partitionBy(key, "name").orderBy("pos")
+    tags = _tags(pages, key)
+    level = F.sum(F.when(F.col("opens"), 1).otherwise(-1)).over(alike)
+    # a start tag and its end tag share the depth that holds between them
+    deep = tags.withColumn("depth", F.when(F.col("opens"), level).otherwise(level + 1))
+    same = Window.partitionBy(key, "name", "depth").orderBy("pos")
+    ahead, behind = F.lead("opens").over(same), F.lag("opens").over(same)
+    paired = deep.withColumns({"mate": F.when(F.col("opens") & ~ahead, F.lead("pos").over(same)), "ends": F.coalesce(~F.col("opens") & behind, F.lit(False))})
+    # end tags without a start tag mean nothing
+    live = paired.where(F.col("opens") | F.col("ends"))
+    by = F.when(F.col("opens") & F.col("mate").isNotNull(), 1).when(F.col("ends"), -1).otherwise(0)
+    total = F.sum(by).over(page)
+    # the depth outside the element, the same for a start tag and its end tag
+    outside = live.withColumn("outside", F.when(F.col("opens"), total - by).otherwise(total))
+    mate = Window.partitionBy(key, "name", "depth").orderBy("pos")
+    other = F.when(F.col("opens"), F.lead("outside").over(mate)).otherwise(F.lag("outside").over(mate))
+    odd = (F.col("opens") & F.col("mate").isNull()) | (F.col("outside") != other)
+    counted = outside.withColumn("odd", odd).withColumn("odds", F.sum(F.when(F.col("odd"), 1).otherwise(0)).over(page))
+    upto = Window.partitionBy(key, "name", "depth").orderBy("pos")
+    spans = counted.withColumn("odds_at_end", F.lead("odds").over(upto)).where(F.col("opens") & (F.size("fields") > 0))
+    bounded = F.col("mate").isNotNull() & ~F.col("odd") & (F.col("odds_at_end") == F.col("odds"))
+    found = spans.select(key, "parts", "pos", "mate", bounded.alias("bounded"), F.get("fields", F.lit(0)).alias("field"))
+    before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    apart = found.withColumn("reach", F.max(F.coalesce("mate", F.lit(1 << 30))).over(before)).where(F.coalesce(F.col("pos") > F.col("reach"), F.lit(True)))
+    first = apart.withColumn("n", F.row_number().over(Window.partitionBy(key, "field").orderBy("pos"))).where("n = 1")
+    # the field's markup: what follows its start tag, up to its end tag
+    last = F.coalesce(F.col("mate"), F.size("parts"))
+    inner = F.slice("parts", F.col("pos") + 1, last - F.col("pos"))
+    links = F.filter(F.transform(F.filter(inner, lambda x: x.rlike(r"(?i)^<a\s")), lambda x: decoded(_attribute(F.regexp_extract(x, _TAG, 0), "href"))), lambda x: x != "")
+    text = collapsed(decoded(F.array_join(F.transform(inner, lambda x: F.regexp_replace(x, _TAG, "")), "")))
+    return first.select(key, F.substr("field", F.lit(len(_NAME) + 1)).alias("field"), "bounded", text.alias("text"), links.alias("links"))
 
 
 def catalogue_statements(pages: DataFrame, key: str, host: str, published: DataFrame) -> DataFrame:

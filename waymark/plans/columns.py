@@ -113,15 +113,22 @@ def p18(t):
     return pg.statement_classes(t.pages)
 
 
-@query("P19_states", "SELECT conv_id, turn, (b <> '' AND NOT regexp_full_match(b, '(?i)(none|n/a|na|nil|-|–|—)\\.?') AND NOT regexp_matches(b, '(?i)\\bno prior\\b.*\\b(required|necessary|needed)\\b')) AS states FROM (SELECT conv_id, turn, CASE WHEN turn % 5 = 0 THEN 'None' WHEN turn % 5 = 1 THEN 'no prior course required' ELSE trim(regexp_replace(text, '\\s+', ' ', 'g')) END AS b FROM conversations)")
+#: Statements of every kind, by place; the last takes the text of a turn.
+_STATED = ("None", "no prior course required", "Prerequisite: None", "Not applicable.", "None;", "No previous experience needed", "No prior Latin. Algebra 1 required", "None; after Algebra 1", "&nbsp;", "PREREQUISITES - n/a", "No prerequisite is necessary.", "Prerequisite: Algebra 1", "—")
+
+
+@query("P19_states", rf"""SELECT conv_id, turn, b, (b <> '' AND NOT regexp_full_match(lower(b), '(prerequisites?\s*[:-]?\s*)?(none|n/a|na|nil|not applicable|-|–|—)\s*[.;:]?') AND NOT regexp_matches(lower(b), '\bno\s+(prior|previous|prerequisite)\b[^.]*\b(required|necessary|needed)\b')) AS states
+  FROM (SELECT conv_id, turn, trim(regexp_replace(replace(CASE (conv_id + turn) % {len(_STATED) + 1} {' '.join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_STATED))} ELSE text END, '&nbsp;', ' '), '\s+', ' ', 'g')) AS b FROM conversations)""")
 def p19(t):
-    stated = F.when(F.col("turn") % 5 == 0, "None").when(F.col("turn") % 5 == 1, "no prior course required").otherwise(F.col("text"))
-    return t.conversations.select("conv_id", "turn", text.states_a_prerequisite(stated).alias("states"))
+    at = F.get(F.array(*map(F.lit, _STATED)), ((F.col("conv_id") + F.col("turn")) % (len(_STATED) + 1)).cast("int"))
+    stated = F.coalesce(at, "text")
+    return t.conversations.select("conv_id", "turn", text.collapsed(F.translate(text.decoded(stated), " ", " ")).alias("b"), text.states_a_prerequisite(stated).alias("states"))
 
 
-@query("P20_normalised_titles", "SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(lower(concat(p_name, ' (', p_type, ')*')), '*', ''), '\\([^)]*\\)', ' ', 'g'), '\\b(ap|ib|honors|dual enrollment)\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'), ' +', ' ', 'g')) AS title FROM part")
+@query("P20_normalised_titles", r"SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(replace(lower(concat(CASE p_partkey % 5 WHEN 0 THEN 'AICE ' WHEN 1 THEN 'Advanced Placement ' WHEN 2 THEN 'AP ' ELSE '' END, p_name, ' (', p_type, ')*')), '*', ''), '\([^)]*\)', ' ', 'g'), '\b(ap|ib|aice|advanced placement|honors|dual enrollment)\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS title FROM part")
 def p20(t):
-    raw = F.concat("p_name", F.lit(" ("), "p_type", F.lit(")*"))
+    marker = F.get(F.array(F.lit("AICE "), F.lit("Advanced Placement "), F.lit("AP ")), (F.col("p_partkey") % 5).cast("int"))
+    raw = F.concat(F.coalesce(marker, F.lit("")), "p_name", F.lit(" ("), "p_type", F.lit(")*"))
     return t.part.select("p_partkey", text.normalised_title(raw, drop_parentheticals=True).alias("title"))
 
 
@@ -285,13 +292,13 @@ def statement_pages(t):
     """course_id and html: prerequisite statements of every kind, in markup with elements left open, crossed and cut off."""
     k, at = F.col("course_id"), F.col("course_id") % 9
     field = lambda name, body, end="</div>": F.concat(F.lit(f'<div class="page"><div class="x field--name-field-{name}"><div class="field__item">'), body, F.lit(f"</div>{end}"))
-    near = F.lit('<div class="field--name-field-related"><a href="/math/c1">not one</a></div></div>')
+    near = F.lit('<div class="field--name-field-same-topic"><a href="/math/c1">another</a></div></div>')
     link = lambda n: F.concat(F.lit('<a HREF=\'/math/c'), n.cast("string"), F.lit("?from=x'>it</a>"))
-    body = (F.when(at == 0, near).when(at == 1, F.concat(field("prerequisite-courses", F.concat(F.lit("<p>See<br>"), link(k))), near))
+    body = (F.when(at == 0, near).when(at == 1, F.concat(field("prerequisite-courses", F.concat(F.lit("<p>Take first:<br>"), link(k))), near))
             .when(at == 2, F.concat(field("prerequisite-courses", F.concat(F.lit("<ul><li>"), link(k), F.lit("<li>"), link(k + 1), F.lit("<li>"), link(k + 1), F.lit("</ul>"))), near))
-            .when(at == 3, F.concat(field("prerequisite-courses", F.lit('<a href="https://far.example.org/math/c1">far</a><a href="/help">help</a>')), near))
-            .when(at == 4, F.concat(field("prerequisite-courses", link(k), ""), F.lit('<div class="field--name-field-related"><a href="/math/c1">not one</a></div>'))).when(at == 5, F.concat(field("pr", F.concat(F.lit("Algebra&nbsp;"), k.cast("string"), F.lit(" required."))), near))
-            .when(at == 6, F.concat(field("pr", F.lit("<p>None.")), near)).when(at == 7, F.concat(field("pr", F.concat(F.lit("<b><i>Algebra</b></i>"), k.cast("string"))), near))
+            .when(at == 3, F.concat(field("prerequisite-courses", F.lit('<a href="https://far.example.org/math/c1">abroad</a><a href="/office">office</a>')), near))
+            .when(at == 4, F.concat(field("prerequisite-courses", link(k), ""), F.lit('<div class="field--name-field-same-topic"><a href="/math/c1">another</a></div>'))).when(at == 5, F.concat(field("pr", F.concat(F.lit("Algebra&nbsp;"), k.cast("string"), F.lit(" required."))), near))
+            .when(at == 6, F.concat(field("pr", F.lit("<p>Nil.")), near)).when(at == 7, F.concat(field("pr", F.concat(F.lit("<b><i>Algebra</b></i>"), k.cast("string"))), near))
             .otherwise(F.concat(F.lit('<noscript><div class="field--name-field-prerequisite-courses"></div></noscript>'), field("prerequisite-courses", F.concat(F.lit("<script>var a = '<a href=/x/y>';</script>"), link(k))), near)))
     return t.v_course.select("course_id", F.concat(F.lit("<html><article>"), body, F.lit("</article><footer><a href='/math/c2'>x</a></footer></html>")).alias("html"))
 

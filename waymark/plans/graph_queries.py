@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.keys import NOT_OCCUPATIONS
-from waymark.operators import graph
+from waymark.operators import graph, structure
+from waymark.operators.reach_index import ReachIndex
 from waymark.plans.registry import query
 from waymark.sources.tables import Tables
 
@@ -46,27 +47,54 @@ def g4(t):
     return graph.closure(t.v_requires)
 
 
-def closed_off_counts(t: Tables) -> DataFrame:
-    """(node, closes_off): how many courses each course closes off."""
-    return graph.closure(t.v_requires).groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("closes_off"))
+_INDEXES: dict[tuple[str, str], ReachIndex] = {}
+
+
+def index_of(t: Tables) -> ReachIndex:
+    """The reachability index of a folder's courses, built and stored once for an application."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = ReachIndex.build(t.v_requires)
+    return _INDEXES[key]
+
+
+@query("G4_index_decides", WALK + """, p AS (SELECT a.course_id AS src, b.course_id AS dst FROM v_course a JOIN v_course b ON a.course_id % 50 = 0)
+  SELECT count(*) AS pairs, count(cl.src) AS reached, TRUE AS mostly_by_labels FROM p LEFT JOIN cl ON cl.src = p.src AND cl.dst = p.dst""")
+def g4_index(t):
+    """Every 50th course against all: pairs, those with a way, and whether the labels alone tell for nine in ten."""
+    c, index = t.v_course.select("course_id"), index_of(t)
+    pairs = graph.materialize(c.where("course_id % 50 = 0").select(F.col("course_id").alias("src")).crossJoin(c.select(F.col("course_id").alias("dst"))))  # a stated set of queries against all
+    told = index.decided(pairs).agg((F.count("reached") >= 0.9 * F.count("*")).alias("mostly_by_labels"))
+    return index.reached(pairs).agg(F.count("*").alias("pairs"), F.count_if("reached").alias("reached")).crossJoin(told)  # one row each
+
+
+@query("G1_descendants_indexed", WALK + f"SELECT dst AS node FROM cl WHERE src = {COURSE}")
+def g1_indexed(t, node=COURSE):
+    return index_of(t).descendants(node)
+
+
+@query("G2_ancestors_indexed", WALK + f"SELECT src AS node FROM cl WHERE dst = {GATE}")
+def g2_indexed(t, node=GATE):
+    return index_of(t).ancestors(node)
 
 
 @query("G5_closes_off_most", WALK + "SELECT dst AS node, count(*) AS closes_off FROM cl GROUP BY dst ORDER BY closes_off DESC, node LIMIT 10")
 def g5(t, k=10):
-    return closed_off_counts(t).orderBy(F.desc("closes_off"), "node").limit(k)
+    """Sketches of all, exact counts of the candidates they leave."""
+    return structure.most_reaching(graph.reversed_edges(t.v_requires), k).withColumnRenamed("n", "closes_off")
 
 
 @query("G6_closed_off_by_subject", WALK + f"SELECT subject, count(DISTINCT src) AS closed_off FROM cl JOIN v_in_subject s ON s.course_id = src WHERE dst = {GATE} GROUP BY subject")
 def g6(t, node=GATE):
     """The flagship: courses that stay closed without the gate, by subject."""
-    blocked = graph.ancestors(t.v_requires, node)
+    blocked = index_of(t).ancestors(node)
     return blocked.join(t.v_in_subject, blocked.node == F.col("course_id")).groupBy("subject").agg(F.count_distinct("node").alias("closed_off"))
 
 
 @query("G7_gates_most_of_a_kind", WALK + "SELECT dst AS node, count(DISTINCT src) AS behind FROM cl JOIN v_course c ON c.course_id = src WHERE c.name LIKE 'red%' GROUP BY dst ORDER BY behind DESC, node LIMIT 8")
 def g7(t, prefix="red", k=8):
-    kind = t.v_course.where(F.col("name").startswith(prefix)).select(F.col("course_id").alias("src"))
-    return graph.closure(t.v_requires).join(kind, "src", "left_semi").groupBy(F.col("dst").alias("node")).agg(F.count_distinct("src").alias("behind")).orderBy(F.desc("behind"), "node").limit(k)
+    kind = t.v_course.where(F.col("name").startswith(prefix)).select(F.col("course_id").alias("node"))
+    return structure.most_reaching(graph.reversed_edges(t.v_requires), k, kind).withColumnRenamed("n", "behind")
 
 
 @query("G8_shortest_route", TRAILS + f"SELECT array_to_string(nodes, '>') AS route, depth FROM trail WHERE src = {COURSE} AND dst = 1 ORDER BY depth, nodes LIMIT 1")
@@ -102,7 +130,7 @@ _DONE = ", ".join(map(str, COMPLETED))
   AND NOT EXISTS (SELECT 1 FROM v_requires r WHERE r.src = n.dst AND r.dst NOT IN ({_DONE}))""")
 def g13(t, target=COURSE, completed=COMPLETED):
     edges = t.v_requires
-    missing = graph.descendants(edges, target).select("node").where(~F.col("node").isin(*completed))
+    missing = index_of(t).descendants(target).where(~F.col("node").isin(*completed))
     unmet = edges.where(~F.col("dst").isin(*completed)).select(F.col("src").alias("node"))
     return missing.join(unmet, "node", "left_anti")
 
@@ -110,7 +138,8 @@ def g13(t, target=COURSE, completed=COMPLETED):
 @query("G14_entry_points", WALK + "SELECT dst AS node, count(DISTINCT src) AS opens FROM cl WHERE NOT EXISTS (SELECT 1 FROM v_requires r WHERE r.src = cl.dst) GROUP BY dst")
 def g14(t):
     edges = t.v_requires
-    return graph.closure(edges).join(edges.select(F.col("src").alias("dst")), "dst", "left_anti").groupBy(F.col("dst").alias("node")).agg(F.count_distinct("src").alias("opens"))
+    roots = edges.select(F.col("dst").alias("node")).distinct().join(edges.select(F.col("src").alias("node")), "node", "left_anti")
+    return structure.reach_counts(graph.reversed_edges(edges), roots).withColumnRenamed("n", "opens")
 
 
 def unlisted(t: Tables) -> DataFrame:
@@ -172,9 +201,52 @@ def g20(t, gone=GATE):
 
 @query("G21_cycles", """WITH RECURSIVE e AS (SELECT src, dst FROM v_requires UNION SELECT dst, src FROM v_requires WHERE src % 97 = 0), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src) SELECT src AS node FROM w WHERE src = dst""")
 def g21(t):
-    """All courses, with the edges of every 97th turned round as well, so that there are cycles to find."""
+    """Nodes of components of several, or with an edge to themselves."""
+    e = graph.materialize(with_cycles(t))
+    parts = structure.strong_components(e)
+    several = parts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    own = e.where("src = dst").select(F.col("src").alias("node"))
+    return parts.join(several, "component", "left_semi").select("node").union(own).distinct()
+
+
+_CYCLIC = """WITH RECURSIVE e AS (SELECT src, dst FROM v_requires UNION SELECT dst, src FROM v_requires WHERE src % 97 = 0), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src),
+  mutual AS (SELECT a.src AS node, min(a.dst) AS low FROM w a JOIN w b ON a.src = b.dst AND a.dst = b.src GROUP BY a.src),
+  parts AS (SELECT n.node, least(n.node, low) AS component FROM (SELECT src AS node FROM e UNION SELECT dst FROM e) n LEFT JOIN mutual ON mutual.node = n.node),
+  c AS (SELECT DISTINCT a.component AS src, b.component AS dst FROM e JOIN parts a ON a.node = e.src JOIN parts b ON b.node = e.dst WHERE a.component <> b.component) """
+
+
+def with_cycles(t: Tables) -> DataFrame:
+    """The course edges, those of every 97th course turned round as well, so that there are cycles."""
     e = t.v_requires
-    return graph.on_cycles(e.union(graph.reversed_edges(e.where("src % 97 = 0")))).select("node")
+    return e.union(graph.reversed_edges(e.where("src % 97 = 0")))
+
+
+@query("G21_strong_components", _CYCLIC + "SELECT node, component FROM parts")
+def g21_components(t):
+    return structure.strong_components(with_cycles(t))
+
+
+def condensation(t: Tables) -> DataFrame:
+    e = graph.materialize(with_cycles(t))
+    return structure.condensed(e, structure.strong_components(e))
+
+
+@query("G10_longest_chains_condensed", _CYCLIC + ", up AS (SELECT src AS node, 1 AS depth FROM c UNION SELECT c.src, depth + 1 FROM up JOIN c ON c.dst = up.node) SELECT node, CAST(max(depth) AS INT) AS depth FROM up GROUP BY node")
+def g10_condensed(t):
+    """Longest chains over strong components, where the edges have cycles."""
+    return graph.levels(condensation(t)).where("depth > 0")
+
+
+@query("G12_trails_through_condensed", _CYCLIC + ", trail AS (SELECT src, dst, [src, dst] AS nodes FROM c UNION ALL SELECT t.src, c.dst, list_append(t.nodes, c.dst) FROM trail t JOIN c ON t.dst = c.src) SELECT node, count(*) AS paths_through FROM (SELECT unnest(nodes) AS node FROM trail) GROUP BY node")
+def g12_condensed(t):
+    return graph.path_counts(condensation(t)).select("node", ((1 + F.col("ins")) * (1 + F.col("outs")) - 1).cast("long").alias("paths_through"))
+
+
+@query("G11_trails_into_condensed", _CYCLIC + f", trail AS (SELECT src, dst FROM c UNION ALL SELECT t.src, c.dst FROM trail t JOIN c ON t.dst = c.src) SELECT count(*) AS trails FROM trail WHERE dst = (SELECT component FROM parts WHERE node = {GATE})")
+def g11_condensed(t, node=GATE):
+    e = graph.materialize(with_cycles(t))
+    parts = graph.materialize(structure.strong_components(e))
+    return graph.trails_into(structure.condensed(e, parts), parts.where(F.col("node") == node).first().component)
 
 
 @query("G21_acyclic", WALK + "SELECT count(*) AS on_cycles FROM cl WHERE src = dst")
@@ -185,7 +257,7 @@ def g21_acyclic(t):
 @query("G22_single_points", TRAILS + """, pair AS (SELECT src, dst, count(*) AS n FROM trail GROUP BY src, dst)
   SELECT a.dst AS node, count(*) AS pairs FROM pair a JOIN pair b ON a.dst = b.src JOIN pair p ON p.src = a.src AND p.dst = b.dst WHERE a.n * b.n = p.n GROUP BY a.dst""")
 def g22(t):
-    return graph.essential(t.v_requires)
+    return structure.essential(t.v_requires)
 
 
 @query("G23_components", """WITH RECURSIVE e AS (SELECT src, dst FROM v_requires UNION SELECT dst, src FROM v_requires),
@@ -236,12 +308,13 @@ def w14(t, node=GATE, k=8):
 @query("X2_needed_not_completed", WALK + f"SELECT dst AS node FROM cl WHERE src = {COURSE} EXCEPT SELECT unnest([{_DONE}])::BIGINT")
 def x2(t, target=COURSE, completed=COMPLETED):
     done = t.spark.createDataFrame([(c,) for c in completed], "node long")
-    return graph.descendants(t.v_requires, target).select("node").join(done, "node", "left_anti")
+    return index_of(t).descendants(target).join(done, "node", "left_anti")
 
 
 @query("X3_shared_ancestors", WALK + f"SELECT dst AS node FROM cl WHERE src = {COURSE} INTERSECT SELECT dst FROM cl WHERE src = 130")
 def x3(t, a=COURSE, b=130):
-    return graph.descendants(t.v_requires, a).select("node").intersect(graph.descendants(t.v_requires, b).select("node"))
+    index = index_of(t)
+    return index.descendants(a).intersect(index.descendants(b))
 
 
 @query("J21_chains_across_subjects", TRAILS + "SELECT a.subject AS from_subject, b.subject AS to_subject, count(*) AS chains FROM trail JOIN v_in_subject a ON a.course_id = src JOIN v_in_subject b ON b.course_id = dst WHERE a.subject <> b.subject GROUP BY a.subject, b.subject ORDER BY chains DESC, from_subject, to_subject LIMIT 10")

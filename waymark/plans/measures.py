@@ -9,6 +9,7 @@ from waymark.functions import keys, text
 from waymark.functions.keys import NOT_OCCUPATIONS, TOTAL
 from waymark.operators import pages as pg
 from waymark.operators import records as rec
+from waymark.operators import structure
 from waymark.plans.columns import _HOST, _PATH, sheet
 from waymark.plans.registry import query
 from waymark.sources import readers
@@ -205,6 +206,16 @@ def a2(t):
     return t.v_completion.agg(F.count_distinct("unitid").alias("units"), F.count_distinct("cip_code").alias("programmes"))
 
 
+@query("A2_approximate", "SELECT field, count(DISTINCT v) AS exact, TRUE AS within FROM (SELECT 'unitid' AS field, unitid AS v FROM v_completion UNION ALL SELECT 'cip_code', cip_code FROM v_completion UNION ALL SELECT 'pos', CAST(pos AS VARCHAR) FROM v_completion) GROUP BY field")
+def a2_approximate(t):
+    """Distinct values by mergeable sketches, a row of bytes for each task, beside the exact counts; within: off by no more than the sketches' bound."""
+    c = t.v_completion
+    long = c.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("v")) for f in ("unitid", "cip_code", "pos")))).alias("x")).select("x.*")
+    about = long.groupBy("field").agg(F.hll_sketch_estimate(F.hll_sketch_agg("v", structure.LG_K)).alias("about"))
+    exact = long.groupBy("field").agg(F.count_distinct("v").alias("exact"))
+    return exact.join(about, "field").select("field", "exact", (F.abs(F.col("about") - F.col("exact")) <= F.lit(structure.SIGMAS * structure.ERROR) * F.col("exact") + 1).alias("within"))
+
+
 @query("A3_group_count", "SELECT subject, count(*) AS courses FROM v_course GROUP BY subject ORDER BY courses DESC, subject LIMIT 10")
 def a3(t):
     return t.v_course.groupBy("subject").agg(F.count("*").alias("courses")).orderBy(F.desc("courses"), "subject").limit(10)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.keys import NOT_OCCUPATIONS, TOTAL
-from waymark.operators import graph
+from waymark.operators import graph, structure
 from waymark.operators import records as rec
 from waymark.plans import graph_queries as gq
 from waymark.plans.registry import query
@@ -371,7 +371,7 @@ def q67(t):
 @query("Q68_single_point_of_failure", gq.TRAILS + """, pair AS (SELECT src, dst, count(*) AS n FROM trail GROUP BY src, dst)
   SELECT a.dst AS node, count(*) AS pairs FROM pair a JOIN pair b ON a.dst = b.src JOIN pair p ON p.src = a.src AND p.dst = b.dst WHERE a.n * b.n = p.n GROUP BY a.dst ORDER BY pairs DESC, node LIMIT 1""")
 def q68(t):
-    return graph.essential(t.v_requires).orderBy(F.desc("pairs"), "node").limit(1)
+    return structure.essential(t.v_requires).orderBy(F.desc("pairs"), "node").limit(1)
 
 
 @query("Q69_ancestor_set", gq.WALK + "SELECT dst AS node, name FROM cl JOIN v_course ON course_id = dst WHERE src = 130")
