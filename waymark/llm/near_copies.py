@@ -7,12 +7,14 @@ what is similar is linked. That finds copies and closest pairs. A pair at 0.8
 differs by up to a quarter of the bits, where no tree can prune, so the others
 come from prefix filtering: under any one order of all shingles, similar sets
 share one of their first n - ceil(0.8 n) + 1 shingles. The order is by frequency
-in a sample, then by hash, so that common passages come last. Within a shared
-shingle all texts are first paired with one of them; only shingles whose texts
-are still in several components then pair the rest. A pair is compared if its
-sizes and the number of shingles that its prefixes share leave room for enough
-of them. No link is missed: the sample only orders shingles, the bounds are
-those of the sets, and every comparison is exact.
+over all texts, as a table of 2^24 counters tells it (a shingle counts with those
+that share its counter), then by hash, so that common passages come last. Within
+a shared shingle all texts are first paired with two of them, then in further
+rounds with another one; only shingles whose texts are still in several
+components then pair the rest. A pair is compared if its sizes and the number of
+shingles that its prefixes share leave room for enough of them. No link is
+missed: the counters only order shingles, the bounds are those of the sets, and
+every comparison is exact.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +34,12 @@ from .simhash_vptree import hamming_links, majority
 
 SHINGLE = 5
 SEED = 42
-#: Texts whose shingles are counted for the order, about, and most shingles that count as common.
-SAMPLE, COMMON = 8192, 20_000
-#: Texts of the sample that hold a common shingle, at least.
-OFTEN = 4
+#: Counters of the order of shingles (a power of two; the table sent to tasks has a byte for each), and how many of them are summed together.
+COUNTERS, SPAN = 1 << 24, 1 << 12
+#: Tasks whose counters are summed in one group.
+FAN = 128
+#: Rounds in which the texts of a shingle are paired with one more of them.
+ROUNDS = 2
 
 
 #: Whether two sets of na and nb can be similar if their prefixes share c. Of the set whose prefix ends first in the
@@ -60,20 +65,46 @@ def node(text: str = "text") -> Column:
     return F.xxhash64(F.when(own.rlike(r"\S"), own).otherwise(""))
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
-    """texts (node, text): node and sh, the hashes of its shingles."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counters of the shingles of this task's texts, a row for each span that has any."""
+    total = np.zeros(COUNTERS, np.uint32)
+    for batch in batches:
+        for x in batch.column("text"):
+            np.add.at(total, shingles(x.as_py().encode()) & (COUNTERS - 1), 1)
+    spans = total.reshape(-1, SPAN)
+    some = np.flatnonzero(spans.any(1))
+    for at in range(0, len(some), 64):
+        own = some[at : at + 64]
+        yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array([TaskContext.get().partitionId() // FAN] * len(own), pa.int64()), pa.array([spans[k].tobytes() for k in own], pa.binary())], names=["span", "fan", "counts"])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    rows = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")]
+    total = np.minimum(np.sum(rows, 0, dtype=np.uint64), 0xFFFFFFFF).astype(np.uint32)
+    return pa.table({"span": table.column("span")[:1], "fan": pa.array([table.column("fan")[0].as_py() // FAN], pa.int64()), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def frequencies(texts: DataFrame) -> np.ndarray:
+    """A byte for each counter, which grows with the logarithm of its count: the order of shingles. Of fixed size, however many texts there are."""
     small_batches(texts.sparkSession)
+    schema, out = "span long, fan long, counts binary", np.zeros((COUNTERS // SPAN, SPAN), np.uint8)
+    found = texts.select("text").mapInArrow(_counted, schema)
+    for _ in range(3):  # FAN ** 3 tasks, about
+        found = found.groupBy("span", "fan").applyInArrow(_summed, schema)
+    found = found.groupBy("span").applyInArrow(_summed, schema)
+    for r in found.mapInArrow(_as_bytes, "span long, counts binary").toLocalIterator():
+        out[r.span] = np.frombuffer(r.counts, np.uint8)
+    return out.ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py().encode()) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "sh"])
 
-    return texts.mapInArrow(run, "node long, sh array<long>")
+def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        steps = [np.minimum(255, np.rint(10 * np.log2(1.0 + np.frombuffer(x.as_py(), np.uint32)))).astype(np.uint8).tobytes() for x in batch.column("counts")]
+        yield pa.RecordBatch.from_arrays([batch.column("span"), pa.array(steps, pa.binary())], names=["span", "counts"])
 
 
-def prefixes(texts: DataFrame, common: np.ndarray, often: np.ndarray) -> DataFrame:
-    """texts (node, text): key, node and n (size of the set) for each shingle of a set's prefix, and a row with n = 0 whose key is the set's fingerprint; common is sorted."""
+def prefixes(texts: DataFrame, order: Broadcast) -> DataFrame:
+    """texts (node, text): key, node and n (size of the set) for each shingle of a set's prefix, and a row with n = 0 whose key is the set's fingerprint."""
     small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +113,8 @@ def prefixes(texts: DataFrame, common: np.ndarray, often: np.ndarray) -> DataFra
             for x_node, x in zip(batch.column("node").to_pylist(), batch.column("text")):
                 own = shingles(x.as_py().encode())
                 n = len(own)
-                if n and len(common):
-                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-                    own = own[np.lexsort((own, np.where(common[at] == own, often[at], 0)))]
                 if n:
+                    own = own[np.lexsort((own, order.value[own & (COUNTERS - 1)]))]
                     keys += [own[: n - (4 * n + 4) // 5 + 1], np.array([majority(own.view(np.uint64))], np.uint64).view(np.int64)]
                     sizes += [n, 0]
                     nodes += [x_node] * 2
@@ -124,39 +153,51 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_copy_components(texts: DataFrame) -> DataFrame:
     """texts (node, text): node and root, which names its component, for nodes that have a link to another."""
-    n = texts.count()
-    part = max(1, n // SAMPLE)
-    some = texts.where(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(part)) == 0).groupBy("node").agg(F.min("text").alias("text"))
-    counted = shingle_sets(some).select(F.explode("sh").alias("sh")).groupBy("sh").count().where(F.col("count") >= OFTEN)
-    top = sorted((r.sh, r[1]) for r in counted.orderBy(F.desc("count"), "sh").limit(COMMON).collect())
-    common, often = (np.array([t[i] for t in top], np.int64) for i in (0, 1))
-
-    every = materialize(prefixes(texts, common, often).distinct())  # copies of a text are one node from here on
+    order = texts.sparkSession.sparkContext.broadcast(frequencies(texts))
+    every = materialize(prefixes(texts, order).distinct())  # copies of a text are one node from here on
     links = _similar(_fingerprint_pairs(every.where("n = 0").select("node", F.col("key").alias("fp")).distinct()), texts)
     rows = every.where("n > 0")
-    shared = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max("node").alias("hi")).where("lo.node <> hi").select("key", "lo")
-    members = materialize(rows.join(shared, "key").select("key", "node", "n", "lo"))
+    ends = materialize(rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where("lo.node <> hi.node"))
+    members = materialize(rows.join(ends.select("key"), "key", "left_semi"))
     discard(every)
-    first = members.where("node <> lo.node").groupBy(F.col("lo.node").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"), F.first("lo.n").alias("na"), F.first("n").alias("nb")).where(_ENOUGH).select("a", "b")
-    first = materialize(_apart(first, connected_components(links)))
-    links = links.union(_similar(first, texts))
-    named = members.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = materialize(named)
-    discard(members)
-    several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rest = materialize(named.join(several, "key").select("key", "node", "n", "root"))
+    hubs = F.explode(F.array("lo", "hi"))
+    tried = materialize(_apart(_with_hubs(members, ends.select("key", hubs.alias("hub"))), connected_components(links)))
+    discard(ends)
+    links = links.union(_similar(tried, texts))
+    for k in range(ROUNDS + 1):
+        roots = connected_components(links)
+        named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        rest = materialize(named.join(several, "key", "left_semi").select("key", "node", "n", "root"))
+        discard(members)
+        members = rest.select("key", "node", "n")
+        members.waymark_path = rest.waymark_path
+        if k == ROUNDS:
+            break
+        one = rest.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))).alias("hub"))
+        more = _apart(_with_hubs(members, one), roots).join(tried, ["a", "b"], "left_anti")
+        more = materialize(more)
+        links = links.union(_similar(more, texts))
+        tried = tried.union(more)
     a = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     b = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     pairs = a.join(b, "key").where("a < b and ra <> rb and 5L * least(na, nb) >= 4L * greatest(na, nb)")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb")).where(_ENOUGH).select("a", "b")
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _similar(materialize(pairs.join(tried, ["a", "b"], "left_anti")), texts)
     found = materialize(connected_components(links.union(more)))
-    for done in (named, rest):
-        discard(done)
+    discard(rest)
+    order.destroy()
     return found
 
 
+def _with_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of the texts of a shingle (key, node, n) and its hubs (key, hub) whose prefixes share enough."""
+    a, b = F.least("node", "hub.node"), F.greatest("node", "hub.node")
+    na, nb = F.when(F.col("node") < F.col("hub.node"), F.col("n")).otherwise(F.col("hub.n")), F.when(F.col("node") < F.col("hub.node"), F.col("hub.n")).otherwise(F.col("n"))
+    both = members.join(hubs, "key").where("node <> hub.node").select("key", a.alias("a"), b.alias("b"), na.alias("na"), nb.alias("nb")).distinct()
+    return both.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb")).where(_ENOUGH).select("a", "b")
+
+
 def _fingerprint_pairs(prints: DataFrame) -> DataFrame:
     """prints (node, fp): pairs (a, b) of nodes with one fingerprint, or with fingerprints that the trees link."""
     least = materialize(prints.groupBy("fp").agg(F.min("node").alias("least")))
