@@ -1,13 +1,15 @@
 r"""Quality rules with adaptive thresholds from mergeable quantile sketches.
 
-Built-in SQL functions only. One pass takes the features of each text; a KLL
-sketch of each feature is aggregated for each language and source, and the same
-sketches merge into those of the language and of everything, which stand in for
-groups of fewer than GROUP_ROWS documents. Thresholds come from the sketches
-themselves: a fence lies beyond an outer quantile by a multiple of its distance
-from the median, so a group of longer words or more repeats has wider fences.
-Only where a group's distribution has no spread at all (over nine in ten
-documents have the same value) a fixed step takes the place of the distance.
+Built-in SQL functions only. One pass takes the features of each text; KLL
+sketches of each feature, and of its values above zero, are aggregated for each
+language and source, and the same sketches merge into those of the language and
+of everything. Thresholds come from the sketches themselves: a fence lies beyond
+an outer quantile by a multiple of its distance from the median, so a group of
+longer words or more repeats has wider fences. A feature that is zero in nine of
+ten documents has no such distance; its fence is a multiple of the lower quartile
+of the values above zero, so it follows their size. A group's fence is blended
+with its language's, and that with the one of everything, by their numbers of
+documents: the more a group has, the more its own decides, without a step.
 Fences meet the features by a join of a row for each group.
 """
 
@@ -19,16 +21,16 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 MIN_WORDS = 50
-#: Documents that a group needs for thresholds of its own; smaller ones take those of the language, or of everything.
-GROUP_ROWS = 200
+#: Documents at which a group's own fence weighs as much as the one it is blended with.
+BLEND = 100
 #: Accuracy of the sketches: rank error of about 0.7 %.
 SKETCH_K = 400
 #: Outer quantile of the upper fence; the lower one mirrors it.
 OUTER = 0.9
 #: Feature: how many times the distance of outer quantile and median the fence lies beyond that quantile.
 FENCE = {"symbol_share": 4.0, "dup_line_share": 4.0, "repeat_share": 10.0, "mean_word": 4.0}
-#: The step beyond the outer quantile where that distance is zero.
-STEP = {"symbol_share": 0.05, "dup_line_share": 0.4, "repeat_share": 0.3, "mean_word": 2.0}
+#: Without such a distance: how many times the lower quartile of the values above zero the fence is.
+RARE = {"symbol_share": 0.5, "dup_line_share": 4.0, "repeat_share": 4.0, "mean_word": 1.5}
 #: The lower fence, for features that can also be too small.
 LOW = ("mean_word",)
 
@@ -60,28 +62,37 @@ def _share(top: str, bottom: str) -> Column:
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """Fences for each lang and source of rows that hold the features: a struct `fence` of <feature>.high and .low."""
-    level = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, SKETCH_K).alias(f) for f in FENCE))
+    """Fences for each lang and source of rows that hold the features: a struct `fence` of <feature>.high and .low (null: none)."""
+    above = {f: F.when(F.col(f) > 0, F.col(f)) for f in FENCE}
+    level = rows.groupBy("lang", "source").agg(
+        F.count("*").alias("n"), *(F.kll_sketch_agg_double(f, SKETCH_K).alias(f) for f in FENCE),
+        *(F.kll_sketch_agg_double(x, SKETCH_K).alias(f"{f}_above") for f, x in above.items()), *(F.count(x).alias(f"{f}_n") for f, x in above.items()))
 
     def merged(*by: str) -> DataFrame:
-        return level.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FENCE))
+        return level.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(c, SKETCH_K).alias(c) for f in FENCE for c in (f, f"{f}_above")), *(F.sum(f"{f}_n").alias(f"{f}_n") for f in FENCE))
 
     def fences(sketches: DataFrame, name: str) -> DataFrame:
+        """weight: documents that the fence rests on."""
         out = []
         for f, times in FENCE.items():
             low, mid, high = (F.kll_sketch_get_quantile_double(f, F.lit(q)) for q in (1 - OUTER, 0.5, OUTER))
+            quartile = F.when(F.col(f"{f}_n") > 0, F.kll_sketch_get_quantile_double(f"{f}_above", F.lit(0.25)))
             up, down = high - mid, mid - low
             out.append(F.struct(
-                (high + F.when(up > 0, times * up).otherwise(STEP[f])).alias("high"),
-                (low - F.when(down > 0, times * down).otherwise(STEP[f])).alias("low"),
-                (up > 0).alias("adaptive")).alias(f))
+                F.when(up > 0, high + times * up).otherwise(RARE[f] * quartile).alias("high"),
+                F.when(down > 0, low - times * down).otherwise(low / RARE[f]).alias("low"),
+                F.when(up > 0, F.col("n")).otherwise(F.col(f"{f}_n")).alias("weight")).alias(f))
         keys = [c for c in ("lang", "source") if c in sketches.columns]
-        return sketches.select(*keys, F.struct("n", *out).alias(name))
+        return sketches.select(*keys, F.struct(*out).alias(name))
+
+    def blend(own: str, wider, f: str, side: str) -> Column:
+        x, w = F.col(f"{own}.{f}.{side}"), F.col(f"{own}.{f}.weight")
+        return F.coalesce((w * x + BLEND * wider) / (w + BLEND), wider, x)
 
     own, lang, every = fences(level, "own"), fences(merged("lang"), "of_lang").withColumnRenamed("lang", "_lang"), fences(merged(), "of_all")
     both = own.join(lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang").crossJoin(F.broadcast(every))  # one row
-    use = F.when(F.col("own.n") >= GROUP_ROWS, F.col("own")).when(F.col("of_lang.n") >= GROUP_ROWS, F.col("of_lang")).otherwise(F.col("of_all"))
-    return both.select("lang", "source", use.alias("fence"))
+    final = [F.struct(*(blend("own", blend("of_lang", F.col(f"of_all.{f}.{side}"), f, side), f, side).alias(side) for side in ("high", "low"))).alias(f) for f in FENCE]
+    return both.select("lang", "source", F.struct(*final).alias("fence"))
 
 
 def _judged(rows: DataFrame) -> DataFrame:
@@ -108,8 +119,8 @@ def _judged(rows: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Features, base_failed and kept for every row of documents.
 
-    Thresholds are those of the row's lang and source if GROUP_ROWS documents or
-    more of that group pass the base rule, else of the lang, else of everything.
+    Thresholds are those of the documents of the row's lang and source that pass
+    the base rule, blended with those of the lang and of everything.
     Null and empty texts have no words and fail the base rule; texts of any
     length are used whole. Null lang or source is a group of its own. Rows that
     repeat each get their row; an empty table gives none; other columns are ignored.
