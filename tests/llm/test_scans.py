@@ -116,16 +116,19 @@ def license_brute(text, templates):
             if words[i : i + len(p)] == p:
                 places.append(i)
                 base.add(label)
-    labels, score = set(base), 1.0 if places else 0.0
+    labels, score, best = set(base), 1.0 if places else 0.0, {}
     for label, must, t in templates:
         own, must = t.split(), set(must.split())
         size = -(-len(own) * 5 // 4)
         for b in range(max(1, len(words) - size + 1)):
             block = set(words[b : b + size])
             share = len(set(own) & block) / len(set(own))
-            if share >= 0.8 and must <= block:
-                labels.add(label)
-                score = max(score, share)
+            if share >= 0.8:
+                best[label] = max(best.get(label, (0, False)), (share, must <= block))
+    for label, (share, tells) in best.items():
+        score = max(score, share)
+        if tells or not any(x == share and told for x, told in best.values()):
+            labels.add(label)
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), round(score, 9))
 
 

@@ -21,7 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, materialize, small_batches
@@ -58,7 +58,7 @@ def _frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 
 
 class Template:
-    """Distinct words in frequency order, the least number of them a block must hold, the words it must hold, and the block's length."""
+    """Distinct words in frequency order, the least number of them a block must hold, words that tell it from templates with the same share, and the block's length."""
 
     def __init__(self, label: str, must: str, text: str, threshold: float) -> None:
         words = words_of(text.encode())
@@ -70,11 +70,11 @@ class Template:
     def prefix(self) -> list[bytes]:
         return self.order[: len(self.order) - self.need + 1]
 
-    def held(self, words: list[tuple[int, bytes]]) -> int:
-        """Most distinct words of the template in any window that holds the named ones; words: (place, word) in order."""
+    def held(self, words: list[tuple[int, bytes]]) -> tuple[int, bool]:
+        """Most distinct words of the template in any window, and whether one such window has its telling words; words: (place, word) in order."""
         own = [(i, w) for i, w in words if w in self.words]
         count: Counter = Counter()
-        best = lo = 0
+        best, lo, tells = 0, 0, False
         for i, w in own:
             count[w] += 1
             while own[lo][0] <= i - self.window:
@@ -83,9 +83,10 @@ class Template:
                 if not count[gone]:
                     del count[gone]
                 lo += 1
-            if len(count) > best and self.must <= count.keys():
+            if len(count) >= best:
+                tells = (tells and len(count) == best) or self.must <= count.keys()
                 best = len(count)
-        return best
+        return best, tells
 
 
 _REGION = pa.struct([("at", pa.list_(pa.int32())), ("words", pa.list_(pa.string()))])
@@ -159,7 +160,9 @@ def license_join(docs: DataFrame, templates: list[tuple[str, str, str]] | None =
 
     labels holds the phrases' labels and those of every template that a block
     meets; score is the largest share of a template that a matching block holds,
-    1 with a phrase, else 0. templates: (label, words a match must hold, text).
+    1 with a phrase, else 0. templates: (label, telling words, text); of templates of
+    which a text's blocks hold the same share at best, only those whose telling
+    words are there too, if there are such.
 
     Null and empty texts have no words; texts of any length are used whole. Null
     ids stay null. Repeated rows each get their row; an empty table gives none;
@@ -185,18 +188,21 @@ def license_join(docs: DataFrame, templates: list[tuple[str, str, str]] | None =
     pairs = candidates(regions, made, rank).groupBy("row", "region").agg(F.collect_list("template").alias("templates"))  # one entry for each template
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("row", pa.int64()), ("label", pa.string()), ("share", pa.float64())])
+        schema = pa.schema([("row", pa.int64()), ("label", pa.string()), ("share", pa.float64()), ("tells", pa.bool_())])
         for batch in batches:
             out = []
             for b in batch.to_pylist():
                 words = list(zip(b["at"], (w.encode() for w in b["words"])))
                 for k in b["templates"]:
-                    held = made[k].held(words)
+                    held, tells = made[k].held(words)
                     if held >= made[k].need:
-                        out.append((b["row"], made[k].label, held / len(made[k].words)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], schema.field(i).type) for i in range(3)], schema=schema)
+                        out.append((b["row"], made[k].label, held / len(made[k].words), tells))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], schema.field(i).type) for i in range(4)], schema=schema)
 
-    good = regions.join(pairs, ["row", "region"]).select("row", "at", "words", "templates").mapInArrow(count, "row long, label string, share double")
+    good = regions.join(pairs, ["row", "region"]).select("row", "at", "words", "templates").mapInArrow(count, "row long, label string, share double, tells boolean")
+    best = good.groupBy("row", "label").agg(F.max(F.struct("share", "tells")).alias("x")).select("row", "label", "x.*")
+    # of templates with one share, those whose words tell
+    good = best.withColumn("told", F.max("tells").over(Window.partitionBy("row", "share"))).where("tells or not told")  # a row for each template
     labels = good.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     joined = scanned.drop("regions").join(labels, "row", "left")
     every = F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("more", F.array().cast("array<string>")))))

@@ -1,7 +1,7 @@
 """Texts of public licenses and notices that name them, with their labels.
 
-Each entry is (label, words that a match must hold, text). The words tell apart
-licenses whose texts are alike; the others are compared as a set.
+Each entry is (label, telling words, text). The telling words choose between
+licenses of which a text holds the same share.
 """
 
 _BSD = """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
