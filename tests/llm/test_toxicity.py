@@ -32,6 +32,22 @@ def test_held_out_toxic_texts_are_found(spark):
     assert sum(a > b for a, b in pairs) / len(pairs) > 0.95  # the chance that a toxic text outranks a clean one
 
 
+def test_held_out_labels_of_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r.predicted for r in m.toxicity(docs, labels).where("held_out").collect()}
+    toxic = {}
+    for r in labels.where("toxic is not null").collect():
+        toxic[r.doc_id] = max(toxic.get(r.doc_id, 0), r.toxic)
+    hit, wrong = ([got[d] for d, y in toxic.items() if y == k and d in got] for k in (1, 0))
+    assert len(hit) > 100 and sum(hit) / len(hit) >= 0.9 and sum(wrong) / len(wrong) < 0.02
+
+
+def test_the_cut_parts_labels_best():
+    z, y = np.array([3.0, 2.0, 1.0, 0.0, -1.0]), np.array([True, True, False, True, False])
+    assert m.best_cut(z, y) == -0.5 and m.best_cut(z[:4], y[:4] & (z[:4] > 1)) == 1.5
+    assert m.best_cut(np.array([1.0, 0.0]), np.array([True, True])) == -1 / 2
+
+
 def test_without_toxic_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     assert [r.score for r in m.toxicity(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")).collect()] == [0.0, 0.0]

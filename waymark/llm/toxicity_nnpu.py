@@ -6,9 +6,10 @@ corrected by the class prior and kept from going negative: where the corrected
 part turns below zero its gradient is reversed, so the model stops fitting
 unlabelled toxic texts as clean ones. Training rows are a bounded sample of the
 labelled rows, picked by hash: confirmed toxic ones, and rows of any label whose
-label is not looked at, which are the unlabelled side. Scores are calibrated by
-the class prior on sampled documents that took no part in training. Spark hashes their whole
-texts to features; every document is then scored by Spark tasks, whole.
+label is not looked at, which are the unlabelled side. The bias is set on sampled
+documents that took no part in training, so that the contract's cut parts their
+labels best. Spark hashes the whole texts to features; every document is then
+scored by Spark tasks, whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ STARTS = (4, 5, 6, 7, 8)
 MAX_POSITIVE, MAX_UNLABELLED = 2_500, 6_000
 #: Features that a step of the gradient handles at once: bounds the driver's memory beside the sample.
 STRIDE = 1 << 20
-#: One in so many sampled documents is kept from training; the scores are calibrated on those.
+#: One in so many sampled documents is kept from training; the bias is set on those and their labels.
 ASIDE = 4
 #: Steps; DECAY is divided by the number of training rows.
 EPOCHS, RATE, DAMP, DECAY = 120, 0.25, 0.5, 0.4
@@ -127,7 +128,7 @@ def slopes(z: np.ndarray, p: np.ndarray, prior: float) -> np.ndarray:
 
 
 def fit(sample: Sample, aside: Sample, prior: float) -> Model:
-    """Adam steps on the non-negative risk; the mean of the later ones, with scores calibrated by the prior on the texts set aside."""
+    """Adam steps on the non-negative risk; the mean of the later ones, with the bias that suits the texts set aside."""
     p = sample.positive
     w, b = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
     mean_w, mean_b = np.zeros_like(w), 0.0
@@ -146,15 +147,26 @@ def fit(sample: Sample, aside: Sample, prior: float) -> Model:
             mean_w += w
             mean_b += b
     w, b = mean_w / (EPOCHS - EPOCHS // 2), mean_b / (EPOCHS - EPOCHS // 2)
-    # the mean score of texts from outside the training is the share of toxic ones
-    z = b + (aside if len(aside.ends) else sample).sums(w)
+    z = (aside if len(aside.ends) else sample).sums(w)
+    if aside.positive.any() and not aside.positive.all():
+        return Model(w, float(np.log(CUT / (1 - CUT)) - best_cut(z, aside.positive)))
+    # without labels on both sides: the mean score is the share of toxic ones
     low, high = -20.0, 20.0
     for _ in range(50 if len(z) else 0):
         mid = (low + high) / 2
-        low, high = (low, mid) if (1 / (1 + np.exp(-np.clip(z + mid, -40, 40)))).mean() > prior else (mid, high)
+        low, high = (low, mid) if (1 / (1 + np.exp(-np.clip(z + b + mid, -40, 40)))).mean() > prior else (mid, high)
     return Model(w, float(b + (low + high) / 2))
 
 
+def best_cut(z: np.ndarray, positive: np.ndarray) -> float:
+    """The value above which texts count as toxic with the best harmonic mean of precision and recall, halfway to the next text."""
+    order = np.argsort(-z, kind="stable")
+    hits, size = np.cumsum(positive[order]), np.arange(1, len(z) + 1)
+    k = int(np.argmax(2 * hits / (size + positive.sum())))
+    below = z[order[k + 1]] if k + 1 < len(z) else z[order[k]] - 1
+    return float((z[order[k]] + below) / 2)
+
+
 def _fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 4
 
@@ -172,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     # ids only while the sample is picked; texts follow for the picked ones
     aside = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(ASIDE)) == 0
     picked_p = known.where("toxic = 1").orderBy(F.xxhash64("doc_id", F.lit(11))).limit(MAX_POSITIVE).where(~aside).select("doc_id", F.lit("positive").alias("use"))
-    picked_u = known.orderBy(F.xxhash64("doc_id", F.lit(12))).limit(MAX_UNLABELLED).select("doc_id", F.when(aside, "aside").otherwise("unlabelled").alias("use"))
+    picked_u = known.orderBy(F.xxhash64("doc_id", F.lit(12))).limit(MAX_UNLABELLED).select("doc_id", F.when(aside & (F.col("toxic") == 1), "aside, toxic").when(aside, "aside").otherwise("unlabelled").alias("use"))
     picked = materialize(picked_p.union(picked_u))
     bound = F.broadcast(picked)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
     rows = texts.join(bound, "doc_id").select("use", "text").mapInArrow(_featurize, "use string, n int, at binary").toArrow()
@@ -181,9 +193,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     def sample(which: np.ndarray) -> Sample:
         own = [flat[i] for i in np.flatnonzero(which)]
-        return Sample(np.concatenate(own) if own else np.zeros(0, np.int32), np.cumsum([len(x) for x in own]), n[which], use[which] == "positive")
+        return Sample(np.concatenate(own) if own else np.zeros(0, np.int32), np.cumsum([len(x) for x in own]), n[which], np.isin(use[which], ["positive", "aside, toxic"]))
 
-    return fit(sample(use != "aside"), sample(use == "aside"), prior)
+    apart = np.isin(use, ["aside", "aside, toxic"])
+    return fit(sample(~apart), sample(apart), prior)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
