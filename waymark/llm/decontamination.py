@@ -8,11 +8,10 @@ and diagonals with enough of them are compared token by token: each stretch
 around their hits is judged by itself, extended both ways as far as its share
 of equal tokens allows.
 
-The masks lose nothing: m substitutions leave at most m + 1 runs of equal
-tokens, so 12 equal tokens that are 70 % of their stretch hold a run of three,
-unless they are six or seven pairs with one substitution between each two, which
-hold 11011. Every such stretch holds at least MIN_HITS seeds, so diagonals with
-fewer, nearly all chance hits, need no comparison.
+The masks lose nothing: dynamic programming over all patterns of equal and other
+tokens shows that 12 equal tokens or more that are 70 % of their stretch hold at
+least MIN_HITS seeds of the two masks, both of which ignore positions. Diagonals
+with fewer, nearly all chance hits, need no comparison.
 """
 
 from __future__ import annotations
@@ -23,12 +22,14 @@ from pyspark.sql import functions as F
 from .common import NULL_ID, discard, free_names, materialize
 
 #: Kept positions of each mask: every stretch with MIN_EQUAL and MIN_SHARE holds one of them.
-SEEDS = ("111", "11011")
+SEEDS = ("1101", "10011")
 #: Equal tokens that an overlap needs, and their least share of the stretch. A shorter item must be there whole.
 MIN_EQUAL = 12
 MIN_SHARE = 0.7
 #: Seeds that every overlap holds, at least (the least over all patterns of equal and other tokens).
-MIN_HITS = 3
+MIN_HITS = 4
+#: The mask of items that are shorter than the others; used only where there are such items, and for them alone.
+SHORT = "111"
 #: Tokens of an item, at least: one or two words are no evidence of a benchmark.
 MIN_ITEM = 3
 #: Most benchmark seeds (two longs and an int each) that are broadcast; beyond it the join shuffles.
@@ -43,21 +44,27 @@ def _row_keys() -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def _seeds(k: int) -> str:
-    args = ", ".join(f"_h[i + {at}]" for at, bit in enumerate(SEEDS[k]) if bit == "1")
-    last = len(SEEDS[k]) - 1
+def _seeds(k: int, mask: str) -> str:
+    args = ", ".join(f"_h[i + {at}]" for at, bit in enumerate(mask) if bit == "1")
+    last = len(mask) - 1
     return f"case when size(_h) > {last} then transform(sequence(0, size(_h) - {last + 1}), i -> xxhash64({k}, {args})) else array() end"
 
 
-def seeds(rows: DataFrame) -> DataFrame:
+def seeds(rows: DataFrame, masks: tuple[str, ...] = SEEDS) -> DataFrame:
     """rows with tokens `_w`: one row for each mask and place, as h and pos, beside the other columns.
 
     Tokens are hashed once; the seeds of all masks are one array, so that a text is read and split once.
     """
     keep = [c for c in rows.columns if c != "_w"]
-    first = f"greatest(size(_h) - {len(SEEDS[0]) - 1}, 0)"
-    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"{first} as _n", f"posexplode(concat({', '.join(map(_seeds, range(len(SEEDS))))})) as (_at, h)")
-    return every.selectExpr(*keep, "h", "if(_at < _n, _at, _at - _n) as pos")
+    # the array holds the seeds of one mask after the other: where each mask's begin
+    starts = ["0"]
+    for mask in masks[:-1]:
+        starts.append(f"{starts[-1]} + greatest(size(_h) - {len(mask) - 1}, 0)")
+    every = rows.withColumn("_h", F.expr("transform(_w, x -> xxhash64(x))")).selectExpr(*keep, f"array({', '.join(starts)}) as _s", f"posexplode(concat({', '.join(_seeds(k, m) for k, m in enumerate(masks))})) as (_at, h)")
+    place = "_at"
+    for k in range(1, len(masks)):
+        place = f"if(_at >= _s[{k}], _at - _s[{k}], {place})"
+    return every.selectExpr(*keep, "h", f"{place} as pos")
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -79,11 +86,18 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens("text").alias("_i")).distinct()
     items = items.where(F.size("_i") >= MIN_ITEM).withColumns({"iid": F.xxhash64(F.coalesce("item_id", F.lit(NULL_ID)), "_i"), "need": F.least(F.lit(MIN_EQUAL), F.size("_i"))})
     items = materialize(items)
-    whole = "size(_i) - 2 + greatest(size(_i) - 4, 0)"  # seeds of an item that stands whole
-    known = materialize(seeds(items.select("iid", F.expr(f"least({MIN_HITS}, {whole})").alias("hits"), F.col("_i").alias("_w"))).withColumnRenamed("pos", "item_pos"))
+    least = min(map(len, SEEDS))
+    whole = " + ".join(f"greatest(size(_i) - {len(m) - 1}, 0)" for m in SEEDS)  # seeds of an item that stands whole
+    long = items.where(F.size("_i") >= least).select("iid", F.expr(f"least({MIN_HITS}, {whole})").alias("hits"), F.col("_i").alias("_w"))
+    known, masks = seeds(long), SEEDS
+    brief = items.where(F.size("_i") < least)
+    if not brief.isEmpty():
+        masks = (*SEEDS, SHORT)
+        known = known.unionByName(seeds(brief.select("iid", F.lit(1).alias("hits"), F.col("_i").alias("_w")), masks))
+    known = materialize(known.withColumnRenamed("pos", "item_pos"))
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
-    hits = seeds(text.select("did", "rid", _tokens("text").alias("_w"))).join(known, "h")
+    hits = seeds(text.select("did", "rid", _tokens("text").alias("_w")), masks).join(known, "h")
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
     found = hits.groupBy("did", "rid", "iid", shift).agg(F.count("*").alias("n"), F.max("hits").alias("hits")).where("n >= hits").select("did", "rid", "iid", "shift")
     found = materialize(found)
