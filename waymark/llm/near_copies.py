@@ -7,7 +7,7 @@ what is similar is linked. That finds copies and closest pairs. A pair at 0.8
 differs by up to a quarter of the bits, where no tree can prune, so the others
 come from prefix filtering: under any one order of all shingles, similar sets
 share one of their first n - ceil(0.8 n) + 1 shingles. The order is by frequency
-over all texts, as a table of 2^24 counters tells it (a shingle counts with those
+over all texts, as a table of 2^22 counters tells it (a shingle counts with those
 that share its counter), then by hash, so that common passages come last. Within
 a shared shingle all texts are first paired with two of them, then in further
 rounds with another one; only shingles whose texts are still in several
@@ -35,7 +35,7 @@ from .simhash_vptree import hamming_links, majority
 SHINGLE = 5
 SEED = 42
 #: Counters of the order of shingles (a power of two; the table sent to tasks has a byte for each), and how many of them are summed together.
-COUNTERS, SPAN = 1 << 24, 1 << 12
+COUNTERS, SPAN = 1 << 22, 1 << 12
 #: Tasks whose counters are summed in one group.
 FAN = 128
 #: Rounds in which the texts of a shingle are paired with one more of them.
