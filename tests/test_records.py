@@ -97,9 +97,10 @@ def test_stream_goes_on_from_its_checkpoint(spark):
     for _ in range(2):
         jobs.insert_stream(jobs.file_stream(spark, f"{place}/in", schema), f"{place}/out", f"{place}/c", "event_id")
     assert spark.read.parquet(f"{place}/out").count() == 2
-    spark.createDataFrame([(3, "a", 1.0)], schema).write.mode("append").parquet(f"{place}/in")
+    spark.createDataFrame([(3, "a", 1.0), (1, "late", 9.0), (None, "a", 1.0), (None, "b", 1.0)], schema).write.mode("append").parquet(f"{place}/in")
     jobs.insert_stream(jobs.file_stream(spark, f"{place}/in", schema), f"{place}/out", f"{place}/c", "event_id")
-    assert spark.read.parquet(f"{place}/out").count() == 3
+    assert sorted((r.event_id or 0, r.event_type) for r in spark.read.parquet(f"{place}/out").collect() if r.event_id) == [(1, "a"), (2, "b"), (3, "a")]
+    assert spark.read.parquet(f"{place}/out").where("event_id is null").count() == 1
 
 
 def test_late_rows_are_dropped(spark):
@@ -122,9 +123,9 @@ def test_middle_values_and_ranks(spark):
     from waymark.operators import records as rec
 
     rnd = random.Random(2)
-    rows = [(g, rnd.choice([1.5, 1.5, rnd.random() * 10**k, None])) for g, k in (("a", 1), ("b", 9), ("c", 0)) for _ in range(rnd.randint(30, 61))] + [("d", 7.0), ("e", None)]
-    got = {r.g: (r.n, r.lower, r.upper) for r in rec.middle_values(spark.createDataFrame(rows, "g string, v double"), "v", "g", bins=8).collect()}
-    for g in "abcd":
+    rows = [("o", v) for v in [1e300, -1e300, *(rnd.random() for _ in range(90))]] + [(g, rnd.choice([1.5, 1.5, rnd.random() * 10**k, None])) for g, k in (("a", 1), ("b", 9), ("c", 0)) for _ in range(rnd.randint(30, 61))] + [("d", 7.0), ("e", None)]
+    got = {r.g: (r.n, r.lower, r.upper) for r in rec.middle_values(spark.createDataFrame(rows, "g string, v double"), "v", "g", few=3).collect()}
+    for g in "abcdo":  # o: outliers beside values that lie close
         own = sorted(v for k, v in rows if k == g and v is not None)
         assert got.pop(g) == (len(own), own[(len(own) - 1) // 2], own[len(own) // 2])
     assert not got
@@ -153,7 +154,12 @@ def test_census_refuses_another_plan(spark, tmp_path):
     spark.createDataFrame([(1, "a")], "event_id long, event_type string").write.parquet(str(tmp_path / "in"))
     stream = lambda: jobs.file_stream(spark, str(tmp_path / "in"), "event_id long, event_type string")
     jobs.resumable_census(stream(), str(tmp_path / "out"), str(tmp_path / "check"), 2)
-    assert [r.complete for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [False]
+    totals = lambda population: [(r.n, r.planned, r.complete) for r in jobs.census_totals(spark, str(tmp_path / "out"), 1, population).collect()]
+    assert totals(2) == [(1, True, False)] and totals(1) == [(1, True, True)]  # a short plan is never complete
+    # a batch that is replayed replaces its own part
+    spark.read.parquet(str(tmp_path / "out" / "batch=0")).cache().write.mode("overwrite").parquet(str(tmp_path / "again"))
+    spark.read.parquet(str(tmp_path / "again")).write.mode("overwrite").parquet(str(tmp_path / "out" / "batch=0"))
+    assert totals(2) == [(1, True, False)]
     with pytest.raises(Refused):
         jobs.resumable_census(stream(), str(tmp_path / "out"), str(tmp_path / "check"), 3)
 
@@ -166,3 +172,61 @@ def test_character_references(spark):
     cases = ["a &amp;lt; b", "&notit; &not", "&#39;&#x27;&#8217;&eacute&eacute;", "&#0; &#x110000; &#xD800; &#128; &#129; &#11; &#13;", "& &; &# &#x &zzz; &amp", "&CounterClockwiseContourIntegral;&NotEqualTilde;", "none", "", "&#99999999999999999999999;", "&lt&gt;x&copy2", "x&#x1F600;y&AMP"]
     got = [r.d for r in spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", decoded("c").alias("d")).orderBy("i").collect()]
     assert got == [html.unescape(c) for c in cases]
+
+
+def test_writes_take_absent_values_as_values(spark):
+    from waymark.operators import records as rec
+
+    schema = "src long, dst long, note string"
+    old = spark.createDataFrame([(1, 2, None), (1, None, "x")], schema)
+    same = spark.createDataFrame([(1, 2, None), (1, None, "x"), (1, None, None)], schema)
+    assert [tuple(r) for r in rec.insert_absent(old, same, "src", "dst", "note").collect()] == [(1, None, None)]
+    c = rec.write_counts(old, same, "edge", "src", "dst", "note").first()
+    assert (c.looked_up, c.created, c.already_present) == (3, 1, 2)
+    new = spark.createDataFrame([(1, None, "y"), (None, None, "z")], schema)
+    assert sorted(map(str, (tuple(r) for r in rec.upsert(old, new, "src", "dst").collect()))) == sorted(map(str, [(1, 2, None), (1, None, "y"), (None, None, "z")]))
+
+
+def test_gap_samples_against_a_walk(spark):
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    from pyspark.sql import functions as F
+
+    from waymark.operators.sampling import gap_samples
+
+    rnd = random.Random(6)
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    secs = sorted(rnd.choice([rnd.uniform(0, 9000), rnd.uniform(4000, 4100), 7000.0, rnd.uniform(40000, 40500)]) for _ in range(400))
+    times = [start + timedelta(microseconds=round(s * 1e6)) for s in secs]
+    want, last = [], None
+    for i, t in enumerate(times):
+        if last is None or t >= last + timedelta(seconds=60):
+            last = t
+            want.append(t)
+    if want[-1] != times[-1]:
+        want.append(times[-1])
+    df = spark.createDataFrame([(t,) for t in times] + [(None,)], "ts timestamp").repartition(4)
+    for size in (4, 64, 1 << 16):
+        got = sorted((r.us, r.total) for r in gap_samples(df, F.col("ts"), 60, size).select(F.unix_micros("at").alias("us"), "total").collect())
+        assert got == [(round((t - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(microseconds=1)), sum(x <= t for x in times)) for t in want]
+    assert gap_samples(df.limit(0), F.col("ts"), 60).count() == 0
+
+
+def test_lazy_cover_counts_few_sets(spark):
+    import random
+
+    from waymark.operators import graph
+
+    rnd = random.Random(8)
+    sets = {s: set(rnd.sample(range(400), rnd.randint(1, 12))) for s in range(150)} | {1000: set(range(200)), 1001: set(range(150, 300)), 1002: set(range(290, 340))}
+    want, left = [], {s: set(v) for s, v in sets.items()}
+    for step in range(1, 4):
+        s = min(left, key=lambda x: (-len(left[x]), x))
+        want.append((step, s, len(left[s])))
+        gone = set(left[s])
+        left = {k: v - gone for k, v in left.items()}
+    tally = []
+    members = spark.createDataFrame([(s, i) for s, v in sets.items() for i in v], "set_id long, item long")
+    assert [tuple(r) for r in graph.set_cover(members, 3, tally).orderBy("step").collect()] == want
+    assert sum(tally) <= 2 * graph.LAZY  # of three times 153

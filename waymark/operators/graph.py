@@ -226,19 +226,47 @@ def pair_counts(edges: DataFrame) -> DataFrame:
     return edges.withColumn("n", F.lit(1).cast("decimal(38,0)")).limit(0) if counts is None else counts
 
 
-def set_cover(members: DataFrame, k: int) -> DataFrame:
-    """Greedy cover: (step, set_id, covered), at most k sets of members (set_id, item); ties go to the least set_id."""
-    left = members.select("set_id", "item").distinct()
-    steps = []
+def set_cover(members: DataFrame, k: int, tally: list | None = None) -> DataFrame:
+    """Greedy cover: (step, set_id, covered), at most k sets of members (set_id, item); ties go to the least set_id.
+
+    What a set adds can only shrink, so its count of an earlier step is a bound.
+    In each step only the sets whose bound is the greatest are counted again,
+    until the best count reaches the bound of every other set. tally, if given,
+    takes how many sets each step counted.
+    """
+    members = materialize(members.select("set_id", "item").distinct())
+    bounds = materialize(members.groupBy("set_id").agg(F.count("*").alias("bound")))
+    kind, steps, taken = members.schema["set_id"].dataType.simpleString(), [], None
     for step in range(1, k + 1):
-        left = materialize(left)
-        best = left.groupBy("set_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "set_id").first()
-        if best is None:
+        best, fresh = None, []  # best: (-count, set_id)
+        while True:
+            left = bounds.where(~F.col("set_id").isin(fresh)) if fresh else bounds
+            top = left.orderBy(F.desc("bound"), "set_id").limit(LAZY).collect()
+            if top and taken is None:  # nothing is covered yet: bounds are counts
+                best = (-top[0].bound, top[0].set_id)
+                break
+            if not top or best is not None and (-top[0].bound, top[0].set_id) >= best:
+                break
+            ids = [r.set_id for r in top]
+            own = members.where(F.col("set_id").isin(ids)).join(taken, "item", "left_anti").groupBy("set_id").agg(F.count("*").alias("n")).collect()
+            counts = dict.fromkeys(ids, 0) | {r.set_id: r.n for r in own}
+            fresh += ids
+            lower = members.sparkSession.createDataFrame(list(counts.items()), f"set_id {kind}, now long")
+            bounds, old = materialize(bounds.join(F.broadcast(lower), "set_id", "left").select("set_id", F.coalesce("now", "bound").alias("bound"))), bounds  # LAZY rows
+            discard(old)
+            best = min(x for x in (best, *((-n, i) for i, n in counts.items())) if x is not None)
+        if tally is not None:
+            tally.append(len(fresh))
+        if best is None or not best[0]:
             break
-        steps.append((step, best.set_id, best.n))
-        taken = left.where(F.col("set_id") == best.set_id).select("item")
-        left = left.join(taken, "item", "left_anti").select("set_id", "item")
-    return members.sparkSession.createDataFrame(steps, f"step int, set_id {members.schema['set_id'].dataType.simpleString()}, covered long")
+        steps.append((step, best[1], -best[0]))
+        new = members.where(F.col("set_id") == best[1]).select("item")
+        taken = materialize(new if taken is None else taken.union(new).distinct())
+    return members.sparkSession.createDataFrame(steps, f"step int, set_id {kind}, covered long")
+
+
+#: Sets that are counted again at once.
+LAZY = 8
 
 
 def shared_neighbours(edges: DataFrame, max_degree: int | None = None) -> DataFrame:

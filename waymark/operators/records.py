@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.sources.shared import materialize
@@ -15,23 +17,34 @@ class Refused(ValueError):
 # ---- writes
 
 
+def same_key(a: DataFrame, b: DataFrame, key: tuple[str, ...], prefix: str) -> Column:
+    """Equal keys, nulls being equal to each other; b's columns carry a prefix."""
+    return reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[f"{prefix}{k}"]) for k in key))
+
+
+def prefixed(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(f"{prefix}{c}") for c in columns))
+
+
 def upsert(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
-    """Rows of old refreshed by new: given values replace, nulls keep what is there, absent rows are added."""
+    """Rows of old refreshed by new: given values replace, nulls keep what is there, absent rows are added. A null in a key is a value like others."""
     rest = [c for c in old.columns if c not in key]
-    renamed = new.select(*key, *(F.col(c).alias(f"_n_{c}") for c in rest if c in new.columns))
-    joined = old.join(renamed, list(key), "full_outer")
-    return joined.select(*key, *(F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if f"_n_{c}" in joined.columns else F.col(c) for c in rest))
+    renamed = prefixed(new, "_n_", *key, *(c for c in rest if c in new.columns))
+    joined = old.join(renamed, same_key(old, renamed, key, "_n_"), "full_outer")
+    return joined.select(*(F.coalesce(k, f"_n_{k}").alias(k) for k in key), *(F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if f"_n_{c}" in joined.columns else F.col(c) for c in rest))
 
 
 def insert_absent(existing: DataFrame, new: DataFrame, *key: str) -> DataFrame:
-    """The rows of new to append: one for each key that is not there yet. A key with all columns makes properties part of identity."""
-    return new.dropDuplicates(list(key)).join(existing.select(*key), list(key), "left_anti")
+    """The rows of new to append: one for each key that is not there yet. A key with all columns makes properties part of identity; an absent one is a value too."""
+    once, held = new.dropDuplicates(list(key)), prefixed(existing, "_h_", *key)
+    return once.join(held, same_key(once, held, key, "_h_"), "left_anti")
 
 
 def write_counts(existing: DataFrame, new: DataFrame, kind: str, *key: str) -> DataFrame:
     """kind, looked_up, created, already_present of an insert."""
     keys = new.select(*key).distinct()
-    there = keys.join(existing.select(*key).distinct().withColumn("_there", F.lit(1)), list(key), "left")
+    held = prefixed(existing, "_h_", *key).distinct().withColumn("_there", F.lit(1))
+    there = keys.join(held, same_key(keys, held, key, "_h_"), "left")
     return there.agg(F.count("*").alias("looked_up"), F.count_if(F.col("_there").isNull()).alias("created"), F.count("_there").alias("already_present")).select(F.lit(kind).alias("kind"), "*")
 
 
@@ -185,25 +198,52 @@ def ranked(df: DataFrame, *order: str) -> DataFrame:
     return ranges.join(base, "_range").select(*df.columns, (F.col("_base") + F.row_number().over(here) - 1).alias("rank"))
 
 
-def middle_values(df: DataFrame, value: str, *by: str, bins: int = 4096) -> DataFrame:
+def middle_values(df: DataFrame, value: str, *by: str, few: int = 4096) -> DataFrame:
     """by, n, lower and upper: the two middle values of each group, equal if n is odd. Nulls don't count.
 
-    Values are counted in bins between the group's least and greatest, and only
-    the bins that hold the middle are looked at closer, as values with counts.
+    A KLL sketch of each group gives values below and above the middle for
+    certain, as the counts of what lies below and between them tell; only values
+    between are sorted, each once with its count. Bounds that don't hold the
+    middle, or hold more than `few` values, are sought again between the old ones,
+    so no outlier and no common value makes a group large.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
-    span = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    at = F.when(F.col("_hi") > F.col("_lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins))).otherwise(0)
-    binned = (rows.join(F.broadcast(span), list(by)) if by else rows.crossJoin(F.broadcast(span))).withColumn("bin", at)  # a row for each group
-    hist = binned.groupBy(*by, "bin").agg(F.count("*").alias("k"), F.first("n").alias("n"))
-    before = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most `bins` rows of a group
-    placed = hist.withColumn("base", F.coalesce(F.sum("k").over(before), F.lit(0)))
-    is_lower, is_upper = (F.expr(f"base <= {r} and {r} < base + k") for r in ("(n - 1) div 2", "n div 2"))
-    wanted = placed.where(is_lower | is_upper).select(*by, "bin", "base")
-    counts = binned.join(F.broadcast(wanted), [*by, "bin"]).groupBy(*by, "bin", "base", "n", "v").agg(F.count("*").alias("k"))  # at most two bins of a group
-    inside = Window.partitionBy(*by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    exact = counts.withColumn("base", F.col("base") + F.coalesce(F.sum("k").over(inside), F.lit(0)))
-    return exact.groupBy(*by).agg(F.first("n").alias("n"), F.max(F.when(is_lower, F.col("v"))).alias("lower"), F.max(F.when(is_upper, F.col("v"))).alias("upper"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("k"))
+    values = materialize(counted)
+    keys = list(by) or ["_all"]
+    values = values if by else values.withColumn("_all", F.lit(0))
+    total = values.groupBy(*keys).agg(F.sum("k").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.lit(0).cast("long").alias("below"))
+    open_, found = materialize(total), None
+    for _ in range(200):
+        # what is still between the bounds, and how much lies below it; n and below count rows
+        inside = on_keys(values, open_, keys).where("v >= lo and v <= hi")
+        size = inside.groupBy(*keys).agg(F.count("*").alias("size"))
+        near = materialize(open_.join(size, keys))
+        small = near.where(F.col("size") <= few).select(*keys, "n", "lo", "hi", "below")
+        own = on_keys(values, small, keys).where("v >= lo and v <= hi")
+        upto = F.sum("k").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1))  # at most `few` rows of a group
+        placed = own.withColumn("base", F.col("below") + F.coalesce(upto, F.lit(0)))
+        is_lower, is_upper = (F.expr(f"base <= {r} and {r} < base + k") for r in ("(n - 1) div 2", "n div 2"))
+        done = placed.groupBy(*keys).agg(F.first("n").alias("n"), F.max(F.when(is_lower, F.col("v"))).alias("lower"), F.max(F.when(is_upper, F.col("v"))).alias("upper"))
+        found = materialize(done) if found is None else found.unionByName(materialize(done))
+        wide = near.where(F.col("size") > few).select(*keys, "n", "lo", "hi", "below")
+        if wide.isEmpty():
+            return found.select(*by, "n", "lower", "upper")
+        # the distinct values in between, in sixteenths by a sketch; the sixteenths that hold the middle stay
+        rows = on_keys(values, wide, keys).where("v >= lo and v <= hi")
+        cuts = rows.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col("v").cast("double")).alias("s")).select(*keys, F.array(*(F.kll_sketch_get_quantile_double("s", F.lit(i / 16)) for i in range(1, 16))).alias("cuts"))
+        part = F.size(F.filter("cuts", lambda c: c < F.col("v")))
+        parts = on_keys(rows.drop("cuts"), cuts, keys).groupBy(*keys, "n", "below", part.alias("part")).agg(F.sum("k").alias("k"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        w = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most 16 rows of a group
+        parts = parts.withColumn("base", F.col("below") + F.coalesce(F.sum("k").over(w), F.lit(0)))
+        kept = parts.where(is_lower | is_upper).groupBy(*keys, "n").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("base").alias("below"))
+        open_ = materialize(kept)
+    raise RuntimeError("middle values were not found")
+
+
+def on_keys(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the columns of a table of one row for each key; null keys are keys too."""
+    p = per_key.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return rows.join(p, same_key(rows, p, tuple(keys), "_k_")).drop(*(f"_k_{k}" for k in keys))
 
 
 def census(spark: SparkSession, tables: dict[str, DataFrame | None], code: str) -> DataFrame:

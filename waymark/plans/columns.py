@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from waymark.functions import keys, text
 from waymark.operators import pages as pg
 from waymark.operators import records as rec
 from waymark.plans.registry import query
-from waymark.sources import readers
+from waymark.sources import readers, stored
 from waymark.sources.shared import shared_dir
 
 #: DuckDB's reading of the page expressions.
@@ -411,6 +413,20 @@ def s14(t):
     return rec.reset_scope(t.part.select("p_partkey", "p_brand"), "p_brand", "Brand#2")
 
 
+@query("S14_stored_sources", """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 = 0 THEN 'renamed' ELSE s_name END AS name, CASE s_suppkey % 3 WHEN 0 THEN 'a' ELSE 'b' END AS source FROM supplier WHERE s_suppkey % 3 <> 2
+  UNION ALL SELECT -s_suppkey, 'added', 'b' FROM supplier WHERE s_suppkey % 5 = 0 AND s_suppkey % 3 = 1""")
+def s14_stored(t):
+    """A stored table of three sources: one is reset, the rows of another are refreshed and added to; the third's files are left alone."""
+    source = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    nodes = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), source.alias("source"))
+    table = stored.StoredTable(t.spark, f"stored_{uuid.uuid4().hex}", ("id",)).create(nodes)
+    table.reset("c")
+    some = nodes.where("id % 5 = 0")
+    table.upsert(some.where("source = 'a'").withColumn("name", F.lit("renamed")))
+    table.upsert(some.where("source = 'b'").select("id", F.lit("renamed").alias("name"), "source").union(some.where("source = 'b'").select(-F.col("id"), F.lit("added"), "source")))
+    return table.rows().select("id", "name", "source")
+
+
 @query("S15_export", "SELECT 'course' AS kind, count(*) AS n FROM v_course UNION ALL SELECT 'requires', count(*) FROM v_requires UNION ALL SELECT 'institution', count(*) FROM v_institution")
 def s15(t):
     path = shared_dir(t.spark)

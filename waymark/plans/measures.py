@@ -9,7 +9,7 @@ from waymark.functions import keys, text
 from waymark.functions.keys import NOT_OCCUPATIONS, TOTAL
 from waymark.operators import pages as pg
 from waymark.operators import records as rec
-from waymark.operators import structure
+from waymark.operators import sampling, structure
 from waymark.plans.columns import _HOST, _PATH, sheet
 from waymark.plans.registry import query
 from waymark.sources import readers
@@ -481,6 +481,17 @@ def w4(t):
     return out.select("h", "n", "total", "change", F.round(F.col("n") / F.col("elapsed"), 9).alias("rate"), F.round(F.col("total") / F.col("so_far"), 9).alias("rate_so_far"))
 
 
+_GAP = 21_600
+
+
+@query("W4_gap_samples", f"""WITH RECURSIVE e AS (SELECT CAST(ts AS TIMESTAMP) AS ts FROM events), s AS (SELECT min(ts) AS t FROM e UNION ALL SELECT (SELECT min(ts) FROM e WHERE e.ts >= s.t + INTERVAL {_GAP} SECOND) FROM s WHERE s.t + INTERVAL {_GAP} SECOND <= (SELECT max(ts) FROM e)),
+  a AS (SELECT t AS sampled FROM s WHERE t IS NOT NULL UNION SELECT max(ts) FROM e), c AS (SELECT sampled, (SELECT count(*) FROM e WHERE ts <= sampled) AS total FROM a)
+  SELECT sampled, total, round((total - lag(total) OVER (ORDER BY sampled)) / (epoch_us(sampled) - lag(epoch_us(sampled)) OVER (ORDER BY sampled)) * 1000000.0, 6) AS rate FROM c""")
+def w4_gap(t):
+    """Samples at least six hours after the one before, and the last row; rows a second between them."""
+    return sampling.gap_samples(t.events, F.col("ts").cast("timestamp"), _GAP).select(F.col("at").alias("sampled"), "total", F.round("rate", 6).alias("rate"))
+
+
 @query("W5_upper_median", "SELECT median FROM v_earnings ORDER BY median LIMIT 1 OFFSET (SELECT CAST(floor(count(*) / 2) AS BIGINT) FROM v_earnings)")
 def w5(t):
     from waymark.plans.questions import midpoint

@@ -21,9 +21,13 @@ def _arrive(t, parts: int = 4):
     return jobs.file_stream(t.spark, path, events.schema), shared_dir(t.spark)
 
 
-@query("R1_resumable_census", "SELECT event_type, count(*) AS n, 8 AS files_read, 8 AS files_planned, TRUE AS complete FROM events GROUP BY event_type UNION ALL SELECT concat('half: ', event_type), count(*), 4, 8, FALSE FROM (SELECT event_type, ntile(8) OVER (ORDER BY event_id) AS f FROM events) WHERE f <= 4 GROUP BY event_type")
+_HALF = "FROM (SELECT event_type, ntile(8) OVER (ORDER BY event_id) AS f FROM events) WHERE f <= 4 GROUP BY event_type"
+
+
+@query("R1_resumable_census", f"""SELECT event_type, count(*) AS n, 8 AS files_read, 8 AS files_planned, 8 AS population, TRUE AS planned, TRUE AS complete FROM events GROUP BY event_type
+  UNION ALL SELECT concat('half: ', event_type), count(*), 4, 8, 8, FALSE, FALSE {_HALF} UNION ALL SELECT concat('short: ', event_type), count(*), 4, 4, 8, TRUE, FALSE {_HALF}""")
 def r1(t):
-    """A census of eight files in two runs: after four files it is not complete, and the second run goes on from there."""
+    """A census of eight files in two runs: after four files it is not complete, and the second run goes on from there. A plan of four of the eight is done and still not complete."""
     events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
     parts = rec.ranked(events, "event_id")
     n = events.count()
@@ -34,42 +38,53 @@ def r1(t):
     path, place = shared_dir(t.spark), shared_dir(t.spark)
 
     def arrive(lo: int, hi: int) -> None:
-        some = parts.where(F.col("file").between(lo, hi - 1))
-        some.repartition(hi - lo, "file").drop("rank", "file").write.mode("append").option("maxRecordsPerFile", 0).parquet(f"{path}/{lo}")
+        for f in range(lo, hi):
+            parts.where(F.col("file") == f).drop("rank", "file").coalesce(1).write.option("maxRecordsPerFile", 0).parquet(f"{path}/{f}")
 
-    def run() -> DataFrame:
+    def run(name: str, plan: int) -> DataFrame:
         stream = jobs.file_stream(t.spark, f"{path}/*", events.schema)
-        jobs.resumable_census(stream, f"{place}/out", f"{place}/checkpoint", plan=8)
-        return t.spark.read.parquet(f"{place}/out")
+        jobs.resumable_census(stream, f"{place}/{name}", f"{place}/{name}-checkpoint", plan)
+        return jobs.census_totals(t.spark, f"{place}/{name}", plan, 8)
 
-    for f in range(4):
-        arrive(f, f + 1)
-    half = materialize(run().withColumn("event_type", F.concat(F.lit("half: "), "event_type")))
-    for f in range(4, 8):
-        arrive(f, f + 1)
-    return run().union(half).select("event_type", "n", "files_read", "files_planned", "complete")
+    arrive(0, 4)
+    half, short = (materialize(run(name, plan).withColumn("event_type", F.concat(F.lit(f"{label}: "), "event_type"))) for name, plan, label in (("out", 8, "half"), ("short", 4, "short")))
+    arrive(4, 8)
+    return run("out", 8).union(half).union(short)
 
 
-@query("R2_idempotent_inserts", "SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM events")
+@query("R2_idempotent_inserts", "SELECT count(*) + 1 AS n, count(DISTINCT event_id) AS ids, 1 AS null_keys FROM events")
 def r2(t):
-    """The same events twice over: the second run finds every key."""
-    stream, place = _arrive(t)
-    jobs.insert_stream(stream, f"{place}/out", f"{place}/first", "event_id")
-    jobs.insert_stream(stream, f"{place}/out", f"{place}/second", "event_id")
-    return t.spark.read.parquet(f"{place}/out").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
+    """The events and a row without a key, in two runs; then all of it arrives again, and a third run creates nothing."""
+    path, place = shared_dir(t.spark), shared_dir(t.spark)
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    every = events.union(events.orderBy("event_id").limit(1).withColumn("event_id", F.lit(None).cast("long")).select(events.columns))
+
+    def arrive_and_run(rows: DataFrame) -> None:
+        rows.repartition(2).write.mode("append").parquet(path)
+        jobs.insert_stream(jobs.file_stream(t.spark, path, events.schema), f"{place}/out", f"{place}/checkpoint", "event_id")
+
+    arrive_and_run(every.where("event_id % 2 = 0"))
+    arrive_and_run(every.where("event_id is null or event_id % 2 <> 0"))
+    arrive_and_run(every)
+    held = t.spark.read.schema(events.schema).parquet(f"{place}/out")
+    return held.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), F.count_if(F.col("event_id").isNull()).cast("int").alias("null_keys"))
 
 
 @query("R3_progress", """WITH m AS (SELECT date_trunc('minute', ts) AS start, count(*) AS n, round(sum(value), 6) AS value FROM events GROUP BY 1) SELECT start, n, value FROM m""")
 def r3(t):
-    """Rows of each minute, in append mode: windows that the watermark has closed, and the last ones once the stream has ended."""
+    """Rows of each minute, from the partial results of the batches."""
     stream, place = _arrive(t)
     jobs.progress_to_end(stream, f"{place}/out", f"{place}/checkpoint", "1 minute")
-    return t.spark.read.parquet(f"{place}/out").select("start", "n", F.round("value", 6).alias("value"))
+    return jobs.progress_totals(t.spark, f"{place}/out").select("start", "n", F.round("value", 6).alias("value"))
 
 
-@query("R4_run_tally", "SELECT event_type, count(*) AS runs, max(value) AS longest, round_even(median(value), 1) AS median FROM events GROUP BY event_type")
+@query("R4_run_tally", "SELECT event_type, count(*) AS runs, max(value) AS longest, TRUE AS median_within FROM events GROUP BY event_type")
 def r4(t):
-    """Runs by type as they arrive: durations are counted by value, so that the median of all is exact."""
+    """Runs by type as they arrive, with a sketch as state; within: as many durations lie below and above the sketch's median as its rank error allows."""
     stream, place = _arrive(t)
-    jobs.run_to_end(jobs.durations(stream), f"{place}/out", f"{place}/checkpoint", "complete")
-    return jobs.tally_of(t.spark.read.parquet(f"{place}/out"))
+    jobs.run_to_end(jobs.tally(stream), f"{place}/out", f"{place}/checkpoint", "complete")
+    told = jobs.tally_totals(t.spark.read.parquet(f"{place}/out"))
+    both = t.events.where("value is not null").join(F.broadcast(told.select("event_type", "median")), "event_type")  # a row for each type
+    share = both.groupBy("event_type").agg((F.count_if(F.col("value") < F.col("median")) / F.count("*")).alias("under"), (F.count_if(F.col("value") > F.col("median")) / F.count("*")).alias("over"))
+    within = (F.col("under") <= 0.5 + jobs.RANK_ERROR) & (F.col("over") <= 0.5 + jobs.RANK_ERROR)
+    return told.join(share, "event_type").select("event_type", "runs", "longest", within.alias("median_within"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators.records import Refused, insert_absent
+from waymark.operators.records import Refused
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -26,10 +26,17 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str) -> None:
     df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
 
 
+def committed(stream: DataFrame, path: str, checkpoint: str, partial) -> None:
+    """Run to the end and keep a partial result of each batch under its number: a batch that is replayed replaces its own, nothing else is written again."""
+    def keep(batch: DataFrame, epoch: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+
+
 def resumable_census(stream: DataFrame, path: str, checkpoint: str, plan: int) -> None:
-    """Totals by type over the files read so far, of `plan` files; a later run goes on from the checkpoint.
+    """Keep the counts by type and file of what arrives, for `census_totals`; a later run goes on from the checkpoint.
 
-    Each total says how many files it covers and whether that is the whole plan.
     A checkpoint made under another plan is refused: two plans are two populations.
     """
     spark = stream.sparkSession
@@ -42,27 +49,28 @@ def resumable_census(stream: DataFrame, path: str, checkpoint: str, plan: int) -
         spark.createDataFrame([(plan,)], "plan int").write.parquet(about)
     elif known.plan != plan:
         raise Refused(f"the checkpoint covers a plan of {known.plan} files, this run {plan}: start again rather than blend them")
+    committed(stream.withColumn("file", F.input_file_name()), path, checkpoint, lambda b: b.groupBy("event_type", "file").agg(F.count("*").alias("n")))
 
-    def keep(batch: DataFrame, epoch: int) -> None:
-        totals = batch.groupBy("event_type").agg(F.sum("n").alias("n"))
-        read = batch.select("file").distinct().count()
-        totals.select("*", F.lit(read).alias("files_read"), F.lit(plan).alias("files_planned"), F.lit(read >= plan).alias("complete")).write.mode("overwrite").parquet(path)
 
-    counts = stream.withColumn("file", F.input_file_name()).groupBy("event_type", "file").agg(F.count("*").alias("n"))
-    counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+def census_totals(spark: SparkSession, path: str, plan: int, population: int) -> DataFrame:
+    """event_type and n over the files read so far, with how many those are, of the plan and of the population.
+
+    planned: whether the plan is done. complete: whether the whole population has
+    been read; a plan that is shorter never makes it complete.
+    """
+    counts = spark.read.schema("event_type string, file string, n long, batch long").parquet(path)
+    read = counts.agg(F.count_distinct("file").cast("int").alias("files_read"))  # one row
+    out = counts.groupBy("event_type").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(read))
+    return out.select("event_type", "n", "files_read", F.lit(plan).alias("files_planned"), F.lit(population).alias("population"), (F.col("files_read") >= plan).alias("planned"), (F.col("files_read") >= population).alias("complete"))
 
 
 def insert_stream(stream: DataFrame, path: str, checkpoint: str, *key: str) -> None:
-    """Append rows whose key the table does not hold yet; a replayed batch adds nothing."""
-    def keep(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        held = spark.read.schema(batch.schema).parquet(path)
-        lo, hi = batch.agg(F.min(key[0]), F.max(key[0])).first()
-        held = held.where(F.col(key[0]).between(lo, hi))  # files of other keys are skipped by their statistics
-        insert_absent(held, batch, *key).write.mode("append").parquet(path)
+    """Append the first row of each key to a table that this job alone writes; a null in a key is a value.
 
-    stream.sparkSession.createDataFrame([], stream.schema).write.mode("append").parquet(path)
-    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    Keys that have come are state of the stream, held by key, so no batch reads
+    the table; a batch that is replayed replaces its own rows.
+    """
+    committed(stream.dropDuplicates(list(key)), path, checkpoint, lambda b: b)
 
 
 def progress(stream: DataFrame, every: str = "60 seconds", late: str = "10 minutes") -> DataFrame:
@@ -70,42 +78,25 @@ def progress(stream: DataFrame, every: str = "60 seconds", late: str = "10 minut
     return stream.withWatermark("ts", late).groupBy(F.window("ts", every)).agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("window.start").alias("start"), "n", "value")
 
 
-def progress_to_end(stream: DataFrame, path: str, checkpoint: str, every: str = "60 seconds", late: str = "10 minutes") -> None:
-    """`progress`, written as windows close; when the stream has ended, what is still open is closed too."""
-    seen = f"{path}-last"
+def progress_to_end(stream: DataFrame, path: str, checkpoint: str, every: str = "60 seconds") -> None:
+    """Rows and value by window of each batch, in one pass, for `progress_totals`: late rows add to their window, and no window stays open."""
+    committed(stream, path, checkpoint, lambda b: b.groupBy(F.window("ts", every)).agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("window.start").alias("start"), "n", "value"))
 
-    def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("append").parquet(path)
-
-    def latest(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(seen)
 
-    progress(stream, every, late).writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
-    windows = stream.groupBy(F.window("ts", every)).agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("window.start").alias("start"), "n", "value")
-    windows.writeStream.outputMode("complete").option("checkpointLocation", f"{checkpoint}-last").trigger(availableNow=True).foreachBatch(latest).start().awaitTermination()
-    spark = stream.sparkSession
-    held = spark.read.schema("start timestamp, n long, value double").parquet(path)
-    spark.read.parquet(seen).join(held.select("start"), "start", "left_anti").write.mode("append").parquet(path)
+def progress_totals(spark: SparkSession, path: str) -> DataFrame:
+    kept = spark.read.schema("start timestamp, n long, value double, batch long").parquet(path)
+    return kept.groupBy("start").agg(F.sum("n").alias("n"), F.sum("value").alias("value"))
 
 
-def durations(stream: DataFrame) -> DataFrame:
-    """How often each duration occurs, by type: a running table of distinct values."""
-    return stream.groupBy("event_type", "value").agg(F.count("*").alias("n"))
+#: Accuracy of the sketches of durations, and the rank error of a median from them (the sketch's bound, doubled).
+SKETCH_K, RANK_ERROR = 400, 0.015
 
 
-def tally_of(counts: DataFrame) -> DataFrame:
-    """Runs, longest and median (1 dp) by type from counted durations."""
-    runs = counts.groupBy("event_type").agg(F.sum("n").alias("runs"), F.max("value").alias("longest"))
-    timed = counts.where(F.col("value").isNotNull())
-    total = timed.groupBy("event_type").agg(F.sum("n").alias("total"))
-    upto = Window.partitionBy("event_type").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = timed.withColumn("upto", F.sum("n").over(upto)).join(total, "event_type")
-    at = lambda r: F.max(F.when(F.expr(f"upto - n <= {r} and {r} < upto"), F.col("value")))
-    mid = placed.groupBy("event_type").agg(F.bround((at("(total - 1) div 2") + at("total div 2")) / 2, 1).alias("median"))
-    return runs.join(mid, "event_type", "left")
+def tally(stream: DataFrame) -> DataFrame:
+    """Runs and longest by type, and a sketch of the durations: state of bounded size, a row for each type."""
+    return stream.groupBy("event_type").agg(F.count("*").alias("runs"), F.max("value").alias("longest"), F.kll_sketch_agg_double("value", SKETCH_K).alias("sketch"))
 
 
-def tally(stream: DataFrame, every: str = "1 day", late: str = "10 minutes") -> DataFrame:
-    """Runs by type and window: count, longest and approximate median."""
-    g = stream.withWatermark("ts", late).groupBy("event_type", F.window("ts", every))
-    return g.agg(F.count("*").alias("runs"), F.max("value").alias("longest"), F.percentile_approx("value", 0.5).alias("median")).select("event_type", F.col("window.start").alias("start"), "runs", "longest", "median")
+def tally_totals(kept: DataFrame) -> DataFrame:
+    """Runs, longest and about the median by type."""
+    return kept.select("event_type", "runs", "longest", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
