@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 from html.entities import html5
 
@@ -18,18 +17,15 @@ _LONGEST = max(map(len, _BARE))
 
 
 def _by_start(names: dict[str, str]) -> str:
-    """The names below their first two characters, as JSON: a lookup walks the few that begin alike."""
-    out: dict[str, dict[str, str]] = {}
+    """The names below their first two characters, as an expression that Spark makes a constant of: a lookup walks the few that begin alike."""
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    starts: dict[str, list[str]] = {}
     for name, character in names.items():
-        out.setdefault(name[:2], {})[name] = character
-    return json.dumps(out)
+        starts.setdefault(name[:2], []).append(f"{quoted(name)}, {quoted(character)}")
+    return "map(" + ", ".join(f"{quoted(k)}, map({', '.join(own)})" for k, own in starts.items()) + ")"
 
 
-_NAMED_JSON, _BARE_JSON = _by_start(_NAMED), _by_start(_BARE)
-
-
-def _table(names: str) -> Column:
-    return F.from_json(F.lit(names), "map<string,map<string,string>>")
+_NAMED_MAP, _BARE_MAP = _by_start(_NAMED), _by_start(_BARE)
 
 
 #: What a field says where nothing is required, and the words of a sentence that denies a requirement.
@@ -48,29 +44,34 @@ def _character(code: Column) -> Column:
             .when(control, "").otherwise(point))
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), where use names the value several times and it is evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _dereferenced(part: Column) -> Column:
     """The text after an ampersand with its reference, if it is one, replaced; else with the ampersand before it."""
-    named, bare = _table(_NAMED_JSON), _table(_BARE_JSON)
-    digits, hexed, name = (F.regexp_extract(part, p, 1) for p in ("^#([0-9]+)", "^#[xX]([0-9a-fA-F]+)", "^([A-Za-z0-9]+)"))
-    rest = F.regexp_replace(part, "^#([0-9]+|[xX][0-9a-fA-F]+);?", "")
-    whole = F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", named[F.left(name, F.lit(2))][name])
+    named, bare = F.expr(_NAMED_MAP), F.expr(_BARE_MAP)
     number = lambda x, base: F.when(F.length(F.ltrim(x, F.lit("0"))) > 8, F.lit(1 << 40)).otherwise(F.conv(F.right(F.concat(F.lit("0"), x), F.lit(9)), base, 10).cast("long"))  # noqa: E731  more digits name no character
-    out = F.when(digits != "", F.concat(_character(number(digits, 10)), rest))
-    out = out.when(hexed != "", F.concat(_character(number(hexed, 16)), rest))
-    out = out.when(whole.isNotNull(), F.concat(whole, F.substr(part, F.length(name) + 2)))
-    # an old name without its semicolon: the longest that the text begins with
-    old = F.try_element_at(F.filter(F.transform(F.sequence(F.lit(2), F.lit(_LONGEST)), lambda k: F.left(name, k)), lambda x: bare[F.left(name, F.lit(2))][x].isNotNull()), F.lit(-1))
-    known = F.when(bare[F.left(name, F.lit(2))].isNotNull(), old)
-    out = out.when(known.isNotNull(), F.concat(bare[F.left(name, F.lit(2))][known], F.substr(part, F.length(known) + 1)))
-    return out.otherwise(F.concat(F.lit("&"), part))
+    digits, hexed = (F.regexp_extract(part, p, 1) for p in ("^#([0-9]+)", "^#[xX]([0-9a-fA-F]+)"))
+    rest = F.regexp_replace(part, "^#([0-9]+|[xX][0-9a-fA-F]+);?", "")
+    coded = F.when(digits != "", F.concat(_once(number(digits, 10), _character), rest)).when(hexed != "", F.concat(_once(number(hexed, 16), _character), rest))
+
+    def by_name(name: Column) -> Column:
+        start = F.left(name, F.lit(2))
+        whole = F.when(F.substr(part, F.length(name) + 1, F.lit(1)) == ";", named[start][name])
+        # an old name without its semicolon: the longest that the text begins with
+        known = F.try_element_at(F.filter(F.transform(F.sequence(F.lit(2), F.lit(_LONGEST)), lambda k: F.left(name, k)), lambda x: bare[start][x].isNotNull()), F.lit(-1))
+        old = lambda k: F.when(k.isNotNull(), F.concat(bare[start][k], F.substr(part, F.length(k) + 1)))
+        return F.coalesce(_once(whole, lambda w: F.when(w.isNotNull(), F.concat(w, F.substr(part, F.length(name) + 2)))), F.when(bare[start].isNotNull(), _once(known, old)), F.concat(F.lit("&"), part))
+
+    return F.when(part.startswith("#"), F.coalesce(coded, F.concat(F.lit("&"), part))).otherwise(_once(F.regexp_extract(part, "^([A-Za-z0-9]+)", 1), by_name))
 
 
 def decoded(text: Column | str) -> Column:
     """Character references of markup replaced, each once: &amp;lt; becomes &lt;."""
-    text = _col(text)
-    parts = F.split(text, "&", -1)
-    after = F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _dereferenced), "")
-    return F.when(F.contains(text, F.lit("&")), F.concat(parts[0], after)).otherwise(text)
+    joined = lambda parts: F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _dereferenced), ""))
+    return _once(_col(text), lambda t: F.when(F.contains(t, F.lit("&")), _once(F.split(t, "&", -1), joined)).otherwise(t))
 
 
 def text_of(markup: Column | str) -> Column:
@@ -112,7 +113,16 @@ def field_markup(markup: Column | str, name: str) -> Column:
     The page is cut before the start tag of each field; the piece whose class
     names the field is taken, up to the article's end or the footer.
     """
-    pieces = F.split(_col(markup), f"(?={_opening(rf'{_FIELD}(?:--[-0-9A-Za-z]+)*', 'div|span')})")
+    return field_in(field_pieces(markup), name)
+
+
+def field_pieces(markup: Column | str) -> Column:
+    """Markup cut before the start tag of each field."""
+    return F.split(_col(markup), f"(?={_opening(rf'{_FIELD}(?:--[-0-9A-Za-z]+)*', 'div|span')})")
+
+
+def field_in(pieces: Column, name: str) -> Column:
+    """`field_markup` from the page's pieces."""
     classes = lambda piece: F.split(F.regexp_extract(piece, r'^<[^>]*\sclass="([^"]*)"', 1), r"\s+")
     own = F.get(F.filter(pieces, lambda piece: F.array_contains(classes(piece), f"{_NAME}{name}")), F.lit(0))
     inside = F.regexp_replace(F.get(F.split(own, "</article>|<footer", 2), F.lit(0)), "^<[^>]*>", "")
@@ -128,7 +138,12 @@ def named_field(markup: Column | str, name: str) -> Column:
 
 def named_items(markup: Column | str, name: str) -> Column:
     """Texts of the items of the named field, without the commas between them; blanks are dropped. Empty without the field."""
-    pieces = F.split(F.coalesce(field_markup(markup, name), F.lit("")), _opening(_ITEM))
+    return items_of(field_markup(markup, name))
+
+
+def items_of(field: Column) -> Column:
+    """Texts of the items in a field's markup."""
+    pieces = F.split(F.coalesce(field, F.lit("")), _opening(_ITEM))
     items = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x: F.substring_index(x, "</div", 1))
     return F.filter(F.transform(items, lambda x: F.regexp_replace(text_of(x), r"^[\s,]+|[\s,]+$", "")), lambda x: x != "")
 

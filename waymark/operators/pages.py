@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.keys import collapsed
-from waymark.functions.text import decoded, field_items, field_markup, field_text, named_field, named_items, path_of, segments, states_a_prerequisite, text_of
+from waymark.functions.text import decoded, field_in, field_items, field_pieces, field_text, items_of, path_of, segments, states_a_prerequisite, text_of
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -29,15 +29,19 @@ def catalogue_records(pages: DataFrame) -> DataFrame:
     Pages without a heading, and those that were not found, are no courses.
     field_present_no_links: the prerequisite field is there but no link was read from it.
     """
-    title = text_of(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    block = F.coalesce(field_markup("html", "prerequisite-courses"), F.lit(""))
+    names = ("prerequisite-courses", "recommended", "description", "grades")
+    # the fields' markup is cut out once, then read
+    pieces = pages.withColumn("_pieces", field_pieces("html"))
+    cut = pieces.select("*", *(field_in(F.col("_pieces"), n).alias(f"_{n}") for n in names), text_of(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)).alias("title"))
+    block = F.coalesce(F.col("_prerequisite-courses"), F.lit(""))
     whole = F.regexp_extract_all(block, F.lit(r'(?s)<a href="[^"]+"[^>]*>.*?</a>'), 0)
     links = F.transform(whole, lambda x: F.struct(F.regexp_extract(x, '^<a href="([^"]+)"', 1).alias("href"), text_of(x).alias("name")))
-    out = pages.select(
-        *(c for c in pages.columns if c != "html"), title.alias("title"), links.alias("prerequisite_links"), named_field("html", "recommended").alias("requirements_text"),
-        named_field("html", "description").alias("description"), named_items("html", "grades").alias("grade_levels"),
-        (field_markup("html", "prerequisite-courses").isNotNull() & (F.size(whole) == 0)).alias("field_present_no_links"))
-    return out.where((F.col("title") != "") & ~F.lower("title").startswith("page not found"))
+    told = cut.where((F.col("title") != "") & ~F.lower("title").startswith("page not found"))
+    text = lambda n: F.nullif(text_of(F.col(f"_{n}")), F.lit(""))
+    return told.select(
+        *(c for c in pages.columns if c != "html"), "title", links.alias("prerequisite_links"), text("recommended").alias("requirements_text"),
+        text("description").alias("description"), items_of(F.col("_grades")).alias("grade_levels"),
+        (F.col("_prerequisite-courses").isNotNull() & (F.size(whole) == 0)).alias("field_present_no_links"))
 
 
 def seconds_between(started: Column | str, ended: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from waymark.functions import keys, text
@@ -568,3 +569,44 @@ def p17(t):
     pages = w.groupBy("pathway_id", "page").agg(F.array_join(F.transform(listed, lambda x: x["h"]), "").alias("html"))
     rows = pg.pathway_rows(pages, "pathway_id", "page")
     return rows.select("pathway_id", F.regexp_extract("href", "/c/([0-9]+)", 1).cast("bigint").alias("course_id"), "credits", "section")
+
+
+@query("S3_unrevised_by_archive", "SELECT n_regionkey AS archive, count(*) FILTER (WHERE name LIKE '%.csv' AND name NOT LIKE '%\\_rv.csv' ESCAPE '\\') AS candidates, CASE WHEN count(*) FILTER (WHERE name LIKE '%.csv' AND name NOT LIKE '%\\_rv.csv' ESCAPE '\\') = 1 THEN min(name) FILTER (WHERE name LIKE '%.csv' AND name NOT LIKE '%\\_rv.csv' ESCAPE '\\') END AS name FROM (SELECT n_regionkey, concat('c', n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN '_rv.csv' WHEN 1 THEN '.csv' ELSE '.txt' END) AS name FROM nation) GROUP BY n_regionkey")
+def s3_by_archive(t):
+    """The unrevised member of each archive; null where there is none or more than one."""
+    end = F.element_at(F.array(F.lit("_rv.csv"), F.lit(".csv"), F.lit(".txt")), (F.col("n_nationkey") % 3 + 1).cast("int"))
+    names = t.nation.select(F.col("n_regionkey").alias("archive"), F.concat(F.lit("c"), F.col("n_nationkey").cast("string"), end).alias("name"))
+    return readers.unrevised_members(names, "archive")
+
+
+def requirement_tables(t):
+    """s_suppkey and a page with a table of two rows: headings with a year of the row, and cells of every class."""
+    k = F.col("s_suppkey")
+    cell = F.when(k % 4 == 0, F.lit("&mdash;")).when(k % 4 == 1, (k % 9).cast("string")).when(k % 4 == 2, F.concat((k % 5).cast("string"), F.lit(" (<i>incl.</i> Algebra)"))).otherwise(F.concat(F.lit("by choice of "), "s_name"))
+    year = (F.lit(2000) + k % 30).cast("string")
+    html = F.concat(F.lit("<html><table><tr><th>Area</th><th>Employment,&nbsp;"), year, F.lit("</th><th>Employment change</th></tr><tr><td>Mathematics</td><td>"), cell, F.lit("</td><td>1.5</td></tr></table>"))
+    return t.supplier.select("s_suppkey", html.alias("html"))
+
+
+@query("P31_table_cells", "SELECT s_suppkey, c AS place, CASE WHEN c = 0 THEN 'prose' WHEN c = 2 THEN 'number' WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN 'number' WHEN s_suppkey % 4 = 2 THEN 'names courses' ELSE 'prose' END AS class FROM supplier, (SELECT unnest([0, 1, 2]) AS c)")
+def p31_cells(t):
+    """Classes of the cells below the headings of a table in markup."""
+    rows = readers.table_cells(requirement_tables(t), "html").where("row > 0")
+    return rows.select("s_suppkey", F.posexplode("cells").alias("place", "cell")).select("s_suppkey", "place", pg.cell_class(F.col("cell")).alias("class"))
+
+
+@query("P45_table_headings", "SELECT concat('Employment, ', 2000 + s_suppkey % 30) AS heading, count(*) AS n_tables FROM supplier GROUP BY 1")
+def p45_headings(t):
+    """Dated headings of tables in markup, with how many tables have each."""
+    heads = readers.table_cells(requirement_tables(t), "html").where("row = 0").select(F.explode("cells").alias("heading"))
+    return heads.where(F.col("heading").rlike(r"\AEmployment, [0-9]{4}\z")).groupBy("heading").agg(F.count("*").alias("n_tables"))
+
+
+@query("A18_publishers", """SELECT user_id, count(*) AS typed, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE r <= 3) AS examples
+  FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events WHERE event_type IN ('view', 'click') AND event_id % 4 IN (0, 3)) GROUP BY user_id""")
+def a18_publishers(t):
+    """Publishers of typed statements: how many, and the first three."""
+    typed = statements(t).where("resolves").select("user_id", "event_id")
+    some = typed.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))).where("r <= 3")
+    shown = some.groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_list("event_id")), ",").alias("examples"))  # three at most
+    return typed.groupBy("user_id").agg(F.count("*").alias("typed")).join(shown, "user_id")

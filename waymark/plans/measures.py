@@ -767,3 +767,57 @@ def l2(t):
     return m.join(t.v_completion.select("cip_code"), "cip_code", "left_semi").select("cip_code", "soc_code").distinct()
 
 
+# ---- what the figures above leave out
+
+
+@query("A25_label_uniqueness", "SELECT 'course' AS vocabulary, count(*) AS terms, count(DISTINCT name) AS labels, count(*) = count(DISTINCT name) AS is_unique FROM v_course UNION ALL SELECT 'occupation', count(*), count(DISTINCT title), count(*) = count(DISTINCT title) FROM v_onet UNION ALL SELECT 'brand', count(*), count(DISTINCT subject), count(*) = count(DISTINCT subject) FROM v_course")
+def a25_labels(t):
+    """Terms and different labels of each vocabulary."""
+    c = t.v_course
+    terms = c.select(F.lit("course").alias("vocabulary"), F.col("name").alias("label")).unionAll(t.v_onet.select(F.lit("occupation"), "title")).unionAll(c.select(F.lit("brand"), "subject"))
+    n, k = F.count("*"), F.count_distinct("label")
+    return terms.groupBy("vocabulary").agg(n.alias("terms"), k.alias("labels"), (n == k).alias("is_unique"))
+
+
+@query("A30_host_count", f"SELECT count(*) AS urls, count(DISTINCT {_HOST}) AS hosts FROM pages")
+def a30_count(t):
+    return t.pages.agg(F.count("*").alias("urls"), F.count_distinct(text.host_of("url")).alias("hosts"))
+
+
+@query("X1_naive_and_rolled", """WITH a AS (SELECT DISTINCT soc_code FROM v_occ), b AS (SELECT onet_code, split_part(onet_code, '.', 1) AS soc_code FROM v_onet WHERE onet_code LIKE '%.03' UNION SELECT soc_code, soc_code FROM v_occ WHERE right(soc_code, 1) = '7')
+  SELECT (SELECT count(*) FROM a WHERE soc_code IN (SELECT onet_code FROM b)) AS naive, (SELECT count(*) FROM a WHERE soc_code IN (SELECT soc_code FROM b)) AS rolled""")
+def x1_naive(t):
+    """Codes that match as they are written, beside those that match once they are rolled up."""
+    a = t.v_occ
+    b = t.v_onet.where(F.col("onet_code").endswith(".03")).select("onet_code").union(a.where(F.right("soc_code", F.lit(1)) == "7")).distinct()
+    both = a.join(b.select(F.col("onet_code").alias("soc_code"), F.lit(1).alias("n")).distinct(), "soc_code", "left").join(b.select(keys.soc_of("onet_code").alias("soc_code"), F.lit(1).alias("r")).distinct(), "soc_code", "left")
+    return both.agg(F.count("n").alias("naive"), F.count("r").alias("rolled"))
+
+
+@query("W11_reach", """WITH p AS (SELECT doc_id // 50 AS page, count(*) AS n FROM documents GROUP BY 1), s AS (SELECT greatest(1, count(*) // 7) AS stride, count(*) AS pages, CAST(sum(n) AS BIGINT) AS total FROM p),
+  r AS (SELECT stride, pages, total, count(*) AS pages_read, CAST(sum(n) AS BIGINT) AS rows_read FROM p, s WHERE page % stride = 0 GROUP BY ALL)
+  SELECT pages, stride, pages_read, rows_read, round_even(100.0 * CAST(rows_read AS DOUBLE) / total, 1) AS share, concat(pages_read, ' of ', pages, ' pages, every ', stride, ', ', rows_read, ' of ', total, ' rows') AS reach FROM r""")
+def w11_reach(t, size=50, wanted=7):
+    """What a sample of about `wanted` pages really reaches: the stride follows from the population."""
+    p = t.documents.groupBy(F.floor(F.col("doc_id") / size).alias("page")).agg(F.count("*").alias("n"))
+    s = p.agg(F.greatest(F.lit(1).cast("long"), F.floor(F.count("*") / wanted)).alias("stride"), F.count("*").alias("pages"), F.sum("n").alias("total"))
+    r = p.crossJoin(F.broadcast(s)).where(F.col("page") % F.col("stride") == 0).groupBy("stride", "pages", "total").agg(F.count("*").alias("pages_read"), F.sum("n").alias("rows_read"))  # one row
+    reach = F.format_string("%d of %d pages, every %d, %d of %d rows", "pages_read", "pages", "stride", "rows_read", "total")
+    return r.select("pages", "stride", "pages_read", "rows_read", pct(F.col("rows_read"), F.col("total")).alias("share"), reach.alias("reach"))
+
+
+@query("M4_keyed_without_property", "SELECT 'geo' AS kind, count(s_suppkey) AS keyed, count(*) FILTER (WHERE s_suppkey IS NOT NULL AND lat IS NULL) AS without FROM v_geo UNION ALL SELECT 'course', count(course_id), count(*) FILTER (WHERE course_id IS NOT NULL AND name IS NULL) FROM v_course")
+def m4_without(t):
+    """Nodes that have their key and lack a property they should have: a count of nodes alone would pass them."""
+    lacks = lambda df, kind, key, value: df.agg(F.lit(kind).alias("kind"), F.count(key).alias("keyed"), F.count_if(F.col(key).isNotNull() & F.col(value).isNull()).alias("without"))
+    return lacks(t.v_geo, "geo", "s_suppkey", "lat").union(lacks(t.v_course, "course", "course_id", "name"))
+
+
+@query("A23_read_rates", f"""WITH p AS (SELECT {_HOST} AS host, CASE WHEN page_id % 11 = 0 THEN 404 WHEN page_id % 13 = 0 THEN 500 ELSE 200 END AS status, contains(html, '<a ') AS links FROM pages)
+  SELECT host, count(*) AS asked, count(*) FILTER (WHERE status = 200) AS read, count(*) FILTER (WHERE status = 404) AS not_found, count(*) FILTER (WHERE status = 500) AS failed, round_even(100.0 * CAST(count(*) FILTER (WHERE status = 200 AND links) AS DOUBLE) / nullif(count(*) FILTER (WHERE status = 200), 0), 1) AS with_links FROM p GROUP BY host""")
+def a23_rates(t):
+    """Pages by what became of the request; shares are of the pages that were read, not of those asked for."""
+    status = F.when(F.col("page_id") % 11 == 0, 404).when(F.col("page_id") % 13 == 0, 500).otherwise(200)
+    p = t.pages.select(text.host_of("url").alias("host"), status.alias("status"), F.contains("html", F.lit("<a ")).alias("links"))
+    read = F.col("status") == 200
+    return p.groupBy("host").agg(F.count("*").alias("asked"), F.count_if(read).alias("read"), F.count_if(F.col("status") == 404).alias("not_found"), F.count_if(F.col("status") == 500).alias("failed"), pct(F.count_if(read & F.col("links")), F.count_if(read)).alias("with_links"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,18 +27,23 @@ def unrevised_member(names: DataFrame, column: str = "name") -> DataFrame:
         F.when(F.assert_true(F.col("n") == 1, F.lit("an archive must have one unrevised member")).isNull(), F.col(column)).alias(column))
 
 
+def unrevised_members(names: DataFrame, archive: str, column: str = "name") -> DataFrame:
+    """For each archive the number of its unrevised CSV members, and the one there must be; null where there is none or there are several."""
+    real = F.col(column).endswith(".csv") & ~F.col(column).endswith("_rv.csv")
+    found = names.groupBy(archive).agg(F.count_if(real).alias("candidates"), F.min(F.when(real, F.col(column))).alias("one"))
+    return found.select(archive, "candidates", F.when(F.col("candidates") == 1, F.col("one")).alias(column))
+
+
 def code_tokens(df: DataFrame, text: str, *by: str) -> DataFrame:
     """Code-shaped tokens (dd.dddd, dd-dddd) by group: how many, and up to five samples."""
     found = F.regexp_extract_all(F.col(text), F.lit(r"(?<![0-9.-])([0-9]{2}[.-][0-9]{4})(?![0-9.-])"), 1)
     each = df.select(*by, F.explode(found).alias("token")).groupBy(*by, "token").agg(F.count("*").alias("n"))
-    ranked = each.withColumn("rank", F.row_number().over(_by(by).orderBy("token")))
-    return ranked.groupBy(*by).agg(F.sum("n").alias("tokens"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("rank") <= 5, F.col("token")))), ",").alias("samples"))
-
-
-def _by(columns):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
+    first = each.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("token"))).where("rank <= 5")  # tasks drop what is beyond five before rows move
+    shown = first.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list("token")), ",").alias("samples"))
+    total = each.groupBy(*by).agg(F.sum("n").alias("tokens"))
+    named = shown.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(lambda a, b: a & b, (total[c].eqNullSafe(named[f"_{c}"]) for c in by))
+    return total.join(named, same).drop(*(f"_{c}" for c in by))
 
 
 # ---- sheets: rows of (row_no, cells)
