@@ -132,20 +132,20 @@ def _split(path: str, buckets: int):
     return run
 
 
-_WORDS = pa.schema([("bucket", pa.int32()), ("word", pa.string())])
+_WORDS = pa.schema([("range", pa.int32()), ("bucket", pa.int32()), ("word", pa.string())])
 
 
 def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed words to a row each; words seen just before in the task are left out early."""
-    seen: dict[int, set] = {}
+    seen: dict[tuple[int, int], set] = {}
     for batch in batches:
-        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
+        for part, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("range", "bucket", "data"))):
             words = _unpack(data).decode().split(" ")
-            known = seen.setdefault(bucket, set())
+            known = seen.setdefault((part, bucket), set())
             new = [w for w in words if w not in known]
             if sum(map(len, seen.values())) < 1_000_000:
                 known.update(new)
-            yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(new), pa.int32()), pa.array(new, pa.string())], schema=_WORDS)
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(new), pa.int32()), pa.array([bucket] * len(new), pa.int32()), pa.array(new, pa.string())], schema=_WORDS)
 
 
 def _encode(path: str):
@@ -232,20 +232,24 @@ def bpe_round_trip(docs: DataFrame, path: str, buckets: int | None = None, with_
     split = rows.mapInArrow(_split(path, buckets), _BLOCK_SQL)
     blocks = materialize(split.withColumn("listed", F.col("bucket") >= 0), by="listed")
 
-    lists = blocks.where("listed").select("block", "bucket", "data")
-    words = lists.mapInArrow(_unfold, "bucket int, word string").distinct()
-    coded = words.mapInArrow(_encode(path), "bucket int, word string, ids array<int>")
+    ranges = max(1, -(-blocks.where("not listed").count() // buckets))
+    lists = blocks.where("listed").select("block", "bucket", "data", F.pmod(F.xxhash64("block"), F.lit(ranges)).cast("int").alias("range"))
+    wanted = lists.select("range", "bucket", "data").mapInArrow(_unfold, "range int, bucket int, word string").distinct()
+    if ranges > 1:
+        wanted = materialize(wanted)
+    words = wanted.select("bucket", "word")
+    coded = (words.distinct() if ranges > 1 else words).mapInArrow(_encode(path), "bucket int, word string, ids array<int>")
     vocabulary = Tokenizer.from_file(path).get_vocab()
     if len(vocabulary) > MAX_VOCABULARY:
         raise ValueError("the vocabulary is too large for a task")
     pieces = spark.createDataFrame(pa.table({"id": pa.array(list(vocabulary.values()), pa.int32()), "piece": pa.array(list(vocabulary), pa.string())}))
     table = materialize(coded)
-    ranges = max(1, -(-blocks.where("not listed").count() // buckets))
-    deal = F.pmod(F.xxhash64("block"), F.lit(ranges)).cast("int")
-    every = table.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
-    back = lists.withColumn("range", deal).groupBy("bucket", "range").cogroup(every.groupBy("bucket", "range")).applyInArrow(_join_back, "block long, bucket int, data binary")
+    every = wanted.join(table, ["bucket", "word"]) if ranges > 1 else table.withColumn("range", F.lit(0))  # a word goes to the ranges that hold it
+    back = lists.groupBy("bucket", "range").cogroup(every.groupBy("bucket", "range")).applyInArrow(_join_back, "block long, bucket int, data binary")
     back = materialize(back)
     discard(table)
+    if ranges > 1:
+        discard(wanted)
     discard(blocks, "listed=true")
     own = back.select("block", "data").mapInArrow(_distinct_ids, "block long, id int").distinct().join(F.broadcast(pieces), "id")  # at most MAX_VOCABULARY rows
     decoded = own.groupBy("block").agg(F.array_join(F.collect_list(F.concat("id", F.lit(" "), "piece")), "\n").cast("binary").alias("data"))
