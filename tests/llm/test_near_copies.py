@@ -43,3 +43,24 @@ def test_near_dedup_stage_against_brute_force(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == brute_kept(rows)
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
+def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from waymark.llm import near_copies
+
+    whole = near_copies.node
+    monkeypatch.setattr(near_copies, "node", lambda *more: whole(*more) if more else F.pmod(whole(), F.lit(7)))
+    rnd = random.Random(6)
+    rows = [(i, " ".join("".join(rnd.choices("abcdef", k=5)) for _ in range(40))) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(0, 60, 3)] + [(200, ""), (201, " "), (None, None)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, text_hash int, clash int")
+    named = near_copies.with_nodes(docs, "name")
+    assert named.columns == [*docs.columns, "name"]
+    names = {}
+    for r in named.collect():
+        names.setdefault((r.text or "").strip(), set()).add(r["name"])
+    assert all(len(v) == 1 for v in names.values()) and len(set.union(*names.values())) == len(names) == 61
+    kept = near_copies.drop_near_copies(docs).collect()
+    assert sorted(r.doc_id for r in kept) == [r[0] for r in rows[:60]] + [200]

@@ -59,10 +59,25 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array(found, np.uint64).view(np.int64))
 
 
-def node(text: str = "text") -> Column:
-    """Names a text; null texts and texts without words are one."""
+def node(*more: Column, text: str = "text") -> Column:
+    """A hash of a text, seeded by what stands before it; null texts and texts without words are one."""
     own = F.coalesce(F.col(text), F.lit(""))
-    return F.xxhash64(F.when(own.rlike(r"\S"), own).otherwise(""))
+    return F.xxhash64(*more, F.when(own.rlike(r"\S"), own).otherwise(""))
+
+
+def with_nodes(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a column that names each row's text: its hash or, where another text has that hash, a second one.
+
+    Two texts have one name only if both hashes are equal. Texts that share a hash
+    are found by one grouped count; there are next to none, so their table is tiny
+    at any size (about one row at 5e9 texts) and its join is left to the planner.
+    """
+    h, second, clash = free_names(docs, "text_hash", "second_hash", "clash")
+    both = docs.select(node().alias(h), node(F.lit(1)).alias(second))
+    shared = both.groupBy(h).agg(F.min(second).alias("lo"), F.max(second).alias("hi")).where("lo <> hi")
+    shared = materialize(shared.select(h, F.lit(True).alias(clash)))
+    named = docs.withColumn(h, node()).join(shared, h, "left")
+    return named.withColumn(name, F.when(F.col(clash), node(F.lit(1))).otherwise(F.col(h))).drop(h, clash)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +236,8 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     each other; texts of any length are compared whole; an empty table stays empty.
     """
     d, n, t, many = free_names(docs, "did", "node", "th", "n_rows")
-    tagged = docs.withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), n: node(), t: F.xxhash64(F.coalesce("text", F.lit("")))})
-    linked = near_copy_components(docs.select(node().alias("node"), F.coalesce("text", F.lit("")).alias("text")))
+    tagged = with_nodes(docs, n).withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), t: F.xxhash64(F.lit(2), F.coalesce("text", F.lit("")))})
+    linked = near_copy_components(tagged.select(F.col(n).alias("node"), F.coalesce("text", F.lit("")).alias("text")))
     ids = materialize(tagged.groupBy(n, d, t).agg(F.count("*").alias(many)))
     least = ids.groupBy(n).agg(F.min(F.struct(d, t, many)).alias("one"))
     named = least.join(linked.select(F.col("node").alias(n), F.col("root").alias("component")), n, "left").groupBy(F.coalesce("component", n).alias("component")).agg(F.min("one").alias("one"))
