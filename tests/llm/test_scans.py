@@ -94,6 +94,32 @@ def test_discovery_goes_on_to_the_end(spark):
     assert found == want and {"k01000", "k11000", "k21000", "k31000", "12 34 56"} <= want
 
 
+def test_planted_identifiers_precision_and_recall(spark):
+    """Codes that no fixed pattern matches, in the patterns of seeds; the words next to them alone stand beside years and amounts too."""
+    rnd = random.Random(8)
+    fill = lambda: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(rnd.randint(2, 30)))
+    seed = lambda i: rnd.choice((f"u{i}@mail.example.com", f"+1 (234) 555-{1000 + i}", f"10.{i}.3.4"))
+    code = lambda i: rnd.choice((f"EMP-{40000 + i}", f"ZX{70000 + i}Q", f"{1000 + i} {2000 + i}"))
+    rows, planted = [], {}
+    for before, after in (("his number is", "for records"), ("to reach at", "in person")):
+        rows += [f"{fill()} {before} {seed(i)} {after} {fill()}" for i in range(150)]
+        for i in range(20):
+            head, what = f"{fill()} {before} ", code(len(planted))
+            planted[len(rows)] = f"id:{len(head)}:{len(head) + len(what)}"
+            rows.append(f"{head}{what} {after} {fill()}")
+        a, z = before.split()[-1], after.split()[0]
+        rows += [f"{fill()} {a} {rnd.randint(1900, 9999)} {z} {fill()}" for _ in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("id:")] for r in pii.personal_data_report(docs).collect()}
+    found = {(d, x) for d, spans in got.items() for x in spans}
+    hits = found & set(planted.items())
+    assert len(hits) >= 0.95 * len(planted) and len(hits) >= 0.95 * len(found)
+
+
+def test_shapes():
+    assert [pii.shape(x) for x in ("+1 (504) 555-2652", "AB-12x", "4080250821787625", "é1 ")] == ["+d1 (d3) d3-d4", "a-x3", "d16", "x2 "]
+
+
 def test_redaction(spark):
     docs, rows = pii_docs(spark)
     docs = docs.selectExpr("*", "1 as _d", "2 as _t", "3 as spans", "4 as th")

@@ -2,7 +2,8 @@
 
 Fixed patterns find the seeds. Every other run of characters with four digits or
 more is a mention (digit groups with one space between them are one run); the
-nearest words around a mention are its contexts. Contexts and the distinct
+nearest words around a mention, one or two on a side, and one word beside the
+shape of the mention are its contexts. Contexts and the distinct
 identifiers in them form a graph, on which Spark scores both sides in turn: a
 context is trusted by the share of its identifiers that are known, an unknown
 identifier by the trusted contexts it stands in, and what is trusted joins the
@@ -40,6 +41,7 @@ _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"\S+")
 _GROUP = re.compile(r"[0-9.()/+-]+").fullmatch
 _WORD = re.compile(r"[^\W\d_]+")
+_ALNUM = re.compile(r"[^\W_]+")
 
 
 def _luhn(digits: str) -> bool:
@@ -78,8 +80,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def shape(what: str) -> str:
+    """What an identifier looks like: runs of digits and of mixed letters and digits by their lengths, letters as a, all else as it stands."""
+    return _ALNUM.sub(lambda m: f"d{len(m[0])}" if m[0].isdigit() else "a" if m[0].isalpha() else f"x{len(m[0])}", what)
+
+
 class _Around:
-    """Words of a text, found once, to look up the nearest ones before and after a place."""
+    """Words of a text, found once, to look up the nearest ones before and after a place.
+
+    The patterns of a place: one word or two before it, one or two after it, one on
+    each side, and one word beside the shape of what stands there.
+    """
 
     def __init__(self, text: str) -> None:
         self.text = text
@@ -88,9 +99,14 @@ class _Around:
 
     def contexts(self, start: int, end: int) -> list[str]:
         i, j = bisect_right(self.ends, start) - 1, bisect_left(self.starts, end)
-        before = self.text[self.starts[i] : self.ends[i]].lower() if i >= 0 else "^"
-        after = self.text[self.starts[j] : self.ends[j]].lower() if j < len(self.starts) else "$"
-        return [f"{before} _", f"_ {after}", f"{before} _ {after}"]
+        before, after, what = self._word(i), self._word(j), shape(self.text[start:end])
+        wide = [f"{self._word(i - 1)} {before} _"] * (i >= 0) + [f"_ {after} {self._word(j + 1)}"] * (j < len(self.starts))
+        return [f"{before} _", f"_ {after}", f"{before} _ {after}", *wide, f"{before} _{what}", f"_{what} {after}"]
+
+    def _word(self, k: int) -> str:
+        if 0 <= k < len(self.starts):
+            return self.text[self.starts[k] : self.ends[k]].lower()
+        return "^" if k < 0 else "$"
 
 
 def mentions(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
