@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -74,9 +76,18 @@ def decoded(text: Column | str) -> Column:
     return _once(_col(text), lambda t: F.when(F.contains(t, F.lit("&")), _once(F.split(t, "&", -1), joined)).otherwise(t))
 
 
-def text_of(markup: Column | str) -> Column:
-    """Markup without tags, entities decoded, white space collapsed."""
-    return collapsed(decoded(F.regexp_replace(_col(markup), "<[^>]*>", " ")))
+#: The references that `few_decoded` knows, in the order of replacement: the ampersand's last, so that each is replaced once.
+_FEW = {"&nbsp;": " ", "&copy;": "©", "&middot;": "·", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+
+
+def few_decoded(text: Column | str) -> Column:
+    """The commonest character references replaced, with their semicolon only; a reference cut short stays as it stands."""
+    return reduce(lambda t, x: F.replace(t, F.lit(x[0]), F.lit(x[1])), _FEW.items(), _col(text))
+
+
+def text_of(markup: Column | str, decode: Callable[[Column], Column] = decoded) -> Column:
+    """Markup without tags, entities decoded, white space collapsed. decode: `decoded`, as browsers do, or `few_decoded`."""
+    return collapsed(decode(F.regexp_replace(_col(markup), "<[^>]*>", " ")))
 
 
 def readable(markup: Column | str) -> Column:
@@ -85,10 +96,10 @@ def readable(markup: Column | str) -> Column:
     return F.lower(text_of(bare))
 
 
-def field_text(markup: Column | str, name: str) -> Column:
+def field_text(markup: Column | str, name: str, decode: Callable[[Column], Column] = decoded) -> Column:
     """Text of the element `name` up to its end, the article's, the footer or the text's end; null without the element."""
     found = F.regexp_extract(_col(markup), rf"(?is)<{name}\b[^>]*>(.*?)(</{name}>|</article>|<footer|\z)", 1)
-    return F.when(_col(markup).rlike(rf"(?i)<{name}\b"), text_of(found))
+    return F.when(_col(markup).rlike(rf"(?i)<{name}\b"), text_of(found, decode))
 
 
 def field_items(markup: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -13,10 +13,10 @@ from waymark.functions.keys import collapsed
 from waymark.functions.text import decoded, field_in, field_items, field_pieces, field_text, items_of, path_of, segments, states_a_prerequisite, text_of
 
 
-def page_records(pages: DataFrame) -> DataFrame:
-    """title, links, items and a drift flag of each page: a navigation field without links."""
+def page_records(pages: DataFrame, decode: Callable[[Column], Column] = decoded) -> DataFrame:
+    """title, links, items and a drift flag of each page: a navigation field without links. decode: how the title's references are read."""
     links = F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)
-    title = field_text("html", "h1")
+    title = field_text("html", "h1", decode)
     return pages.select(
         *(c for c in pages.columns if c != "html"),
         F.when(F.lower(title) != "page not found", title).alias("title"), links.alias("links"), field_items("html").alias("items"),
