@@ -138,7 +138,7 @@ def q21(t, cip=CIP):
 
 @query("Q22_programmes_for", f"SELECT DISTINCT p.cip_code, p.name FROM v_prepares_for m JOIN v_programme p ON p.cip_code = m.cip_code WHERE soc_code = '{SOC}'")
 def q22(t, soc=SOC):
-    return t.v_prepares_for.where(F.col("soc_code") == soc).select("cip_code").distinct().join(t.v_programme, "cip_code")
+    return t.v_prepares_for.where(F.col("soc_code") == soc).select("cip_code").distinct().join(t.v_programme, "cip_code").select("cip_code", "name").distinct()
 
 
 @query("Q23_offered_near", f"SELECT DISTINCT i.unitid, i.name FROM v_offers o JOIN v_institution i ON i.unitid = o.unitid JOIN v_located_in l ON l.unitid = i.unitid WHERE o.cip_code LIKE '0001%' AND l.place_id = '{PLACE}'")
