@@ -487,7 +487,7 @@ def q97(t, k=20):
 
 @query("Q98_communities", f"SELECT a.cip_code AS a, b.cip_code AS b, count(DISTINCT a.soc_code) AS shared FROM v_prepares_for a JOIN v_prepares_for b ON a.soc_code = b.soc_code AND a.cip_code < b.cip_code WHERE a.soc_code NOT IN {NOT_OCCUPATIONS} GROUP BY a.cip_code, b.cip_code ORDER BY shared DESC, a.cip_code, b.cip_code LIMIT 20")
 def q98(t, k=20):
-    return gq.g19(t).orderBy(F.desc("shared"), "a", "b").limit(k)
+    return graph.most_shared(gq.mapped(t), k)
 
 
 @query("Q99_most_central", "SELECT node, name, degree FROM (SELECT c.course_id AS node, c.name, (SELECT count(*) FROM v_requires r WHERE r.src = c.course_id) + (SELECT count(*) FROM v_requires r WHERE r.dst = c.course_id) AS degree FROM v_course c) ORDER BY degree DESC, node LIMIT 20")
