@@ -198,8 +198,8 @@ def ranked(df: DataFrame, *order: str) -> DataFrame:
     return ranges.join(base, "_range").select(*df.columns, (F.col("_base") + F.row_number().over(here) - 1).alias("rank"))
 
 
-def middle_values(df: DataFrame, value: str, *by: str, few: int = 4096) -> DataFrame:
-    """by, n, lower and upper: the two middle values of each group, equal if n is odd. Nulls don't count.
+def middle_values(df: DataFrame, value: str, *by: str, few: int = 4096, times: str | None = None) -> DataFrame:
+    """by, n, lower and upper: the two middle values of each group, equal if n is odd. Nulls don't count. times: a column with how often each row counts.
 
     A KLL sketch of each group gives values below and above the middle for
     certain, as the counts of what lies below and between them tell; only values
@@ -207,7 +207,7 @@ def middle_values(df: DataFrame, value: str, *by: str, few: int = 4096) -> DataF
     middle, or hold more than `few` values, are sought again between the old ones,
     so no outlier and no common value makes a group large.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("k"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg((F.sum(times) if times else F.count("*")).alias("k"))
     values = materialize(counted)
     keys = list(by) or ["_all"]
     values = values if by else values.withColumn("_all", F.lit(0))

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators.records import Refused
+from waymark.operators.records import Refused, middle_values
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -88,15 +88,14 @@ def progress_totals(spark: SparkSession, path: str) -> DataFrame:
     return kept.groupBy("start").agg(F.sum("n").alias("n"), F.sum("value").alias("value"))
 
 
-#: Accuracy of the sketches of durations, and the rank error of a median from them (the sketch's bound, doubled).
-SKETCH_K, RANK_ERROR = 400, 0.015
+def durations_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """How often each duration came, by type, of each batch, for `tally_totals`."""
+    committed(stream, path, checkpoint, lambda b: b.groupBy("event_type", "value").agg(F.count("*").alias("n")))
 
 
-def tally(stream: DataFrame) -> DataFrame:
-    """Runs and longest by type, and a sketch of the durations: state of bounded size, a row for each type."""
-    return stream.groupBy("event_type").agg(F.count("*").alias("runs"), F.max("value").alias("longest"), F.kll_sketch_agg_double("value", SKETCH_K).alias("sketch"))
-
-
-def tally_totals(kept: DataFrame) -> DataFrame:
-    """Runs, longest and about the median by type."""
-    return kept.select("event_type", "runs", "longest", F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("median"))
+def tally_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Runs, longest and the exact median (1 dp) by type over all batches."""
+    kept = spark.read.schema("event_type string, value double, n long, batch long").parquet(path)
+    runs = kept.groupBy("event_type").agg(F.sum("n").alias("runs"), F.max("value").alias("longest"))
+    mid = middle_values(kept, "value", "event_type", times="n").select("event_type", F.bround((F.col("lower") + F.col("upper")) / 2, 1).alias("median"))
+    return runs.join(mid.withColumnRenamed("event_type", "type"), F.col("event_type").eqNullSafe(F.col("type")), "left").select("event_type", "runs", "longest", "median")
