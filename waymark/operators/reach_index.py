@@ -81,6 +81,13 @@ class ReachIndex:
         no = F.col("a").isNull() | F.col("b").isNull() | (F.col("b.depth") >= F.col("a.depth")) | ~may
         return both.select("src", "dst", F.when(no, F.lit(False)).when(sure, F.lit(True)).alias("reached"))
 
+    def told(self, sources: DataFrame) -> DataFrame:
+        """(src, dst): the pairs out of sources (node) of which labels alone tell that there is a way: those below them in one of the trees."""
+        spans = self.labels.join(sources.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("src"), F.posexplode(F.arrays_zip("n", "end")).alias("forest", "span")).where("span.end > span.n")
+        below = spans.select("src", "forest", F.explode(F.sequence(F.col("span.n") + 1, F.col("span.end"))).alias("n"))
+        at = self.labels.select(F.col("node").alias("dst"), F.posexplode("n").alias("forest", "n"))
+        return self.decided(below.join(at, ["forest", "n"]).select("src", "dst").distinct()).where("reached").select("src", "dst")
+
     def reached(self, pairs: DataFrame) -> DataFrame:
         """pairs (src, dst) with `reached` true or false. Open pairs are walked back from dst until labels tell of a predecessor that src reaches."""
         first = materialize(self.decided(pairs.distinct()))
@@ -93,7 +100,7 @@ class ReachIndex:
             told = self.decided(step.where("src <> at").select("src", F.col("at").alias("dst")).distinct()).withColumnRenamed("dst", "at")
             here = materialize(step.join(told, ["src", "at"], "left").withColumn("reached", F.when(F.col("src") == F.col("at"), True).otherwise(F.col("reached"))))
             new = here.where("reached").select("src", "dst").distinct()
-            hits = hits.unionByName(new).distinct()
+            hits = hits.unionByName(new)  # a pair that is hit is walked no further
             walk = materialize(here.where("reached is null").join(new, ["src", "dst"], "left_anti").select("src", "dst", "at"))
             if walk.isEmpty():
                 break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.operators.graph import MAX_DEPTH, fold, levels, reversed_edges
+from waymark.operators.graph import MAX_DEPTH, fold, levels, reached_pairs, reversed_edges
 from waymark.sources.shared import discard, materialize
 
 # ---- strong components
@@ -163,19 +163,6 @@ def most_reaching(edges: DataFrame, k: int, weight: DataFrame | None = None, max
 
 def reach_counts(edges: DataFrame, start: DataFrame, weight: DataFrame | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(node, n): how many nodes each node of start (node) reaches, exactly; weight (node): only these count."""
-    edges = materialize(edges.select("src", "dst").distinct())
-    into = edges.select(F.col("src").alias("at"), F.col("dst").alias("next"))
-    last = materialize(start.select("node", F.col("node").alias("at")))
-    seen = None
-    for _ in range(max_depth + 1):
-        grown = last.join(into, "at").select("node", F.col("next").alias("at")).distinct()
-        last = materialize(grown if seen is None else grown.join(seen, ["node", "at"], "left_anti"))
-        if last.isEmpty():
-            break
-        seen = last if seen is None else seen.unionByName(last)
-    else:
-        raise RuntimeError(f"paths are longer than {max_depth}")
-    if seen is None:
-        return start.select("node", F.lit(0).cast("long").alias("n")).limit(0)
+    seen = reached_pairs(edges, start, max_depth)
     own = seen if weight is None else seen.join(weight.select(F.col("node").alias("at")).distinct(), "at", "left_semi")
     return own.groupBy("node").agg(F.count("*").alias("n"))
