@@ -236,7 +236,12 @@ def a5(t):
 def a6(t):
     total, part = (F.col("race") == TOTAL) & (F.col("sex") == TOTAL), (F.col("race") != TOTAL) & (F.col("sex") != TOTAL)
     add = lambda c: F.sum(F.when(c, F.col("awards")).otherwise(0))
-    out = t.v_completion_demo.groupBy("cip_code").agg(F.sum("awards").alias("naive"), add(total).alias("totals"), add(part).alias("breakdowns"), add(total & (F.col("majornum") == 1)).alias("first_majors"))
+    # sums of sums: levels and institutions go before the totals are formed, which multiply rows
+    few = t.v_completion.groupBy("cip_code", "majornum", "race", "sex").agg(F.sum("awards").alias("awards"))
+    keys = ("cip_code", "majornum")
+    sums = few.groupingSets([(*keys, "race", "sex"), (*keys, "race"), (*keys, "sex"), keys], *keys, "race", "sex").agg(F.sum("awards").alias("awards"))
+    demo = sums.withColumns({c: F.coalesce(c, F.lit(TOTAL)) for c in ("race", "sex")})
+    out = demo.groupBy("cip_code").agg(F.sum("awards").alias("naive"), add(total).alias("totals"), add(part).alias("breakdowns"), add(total & (F.col("majornum") == 1)).alias("first_majors"))
     return out.withColumn("agree", F.col("totals") == F.col("breakdowns"))
 
 
