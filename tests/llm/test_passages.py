@@ -83,3 +83,23 @@ def test_every_overlap_holds_enough_seeds():
                             least = step[key] if least is None else min(least, step[key])
             best = step
         assert least >= MIN_HITS
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_texts_stay_where_they_are(spark, monkeypatch, most):
+    """Few keys of texts are broadcast even where a written step broadcasts nothing by itself; many shuffle, with the same result."""
+    from waymark.llm import decontamination as d
+
+    monkeypatch.setattr(d, "BROADCAST_KEYS", most)
+    item = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame([(i, f"own{i} " * 30 + (item if i % 3 == 0 else "")) for i in range(60)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = decontaminate(docs, bench)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in left.collect()) == [i for i in range(60) if i % 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ("BroadcastHashJoin" in plan) == (most > 0) and ("SortMergeJoin" in plan) == (most == 0)

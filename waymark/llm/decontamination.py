@@ -34,6 +34,8 @@ SHORT = "111"
 MIN_ITEM = 3
 #: Most benchmark seeds (two longs and an int each) that are broadcast; beyond it the join shuffles.
 BROADCAST_SEEDS = 500_000
+#: Most keys of texts (two longs each) that are broadcast, so that the texts stay where they are; beyond it they shuffle once.
+BROADCAST_KEYS = 500_000
 
 
 def _tokens(text: str) -> Column:
@@ -44,6 +46,12 @@ def _row_keys() -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def _keys(rows: DataFrame, *key: str) -> DataFrame:
+    """The distinct keys of rows, written, with a hint to broadcast them if they are few."""
+    keys = materialize(rows.select(*key).distinct())
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def _seeds(k: int, mask: str) -> str:
     args = ", ".join(f"_h[i + {at}]" for at, bit in enumerate(mask) if bit == "1")
     last = len(mask) - 1
@@ -102,7 +110,7 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = hits.groupBy("did", "rid", "iid", shift).agg(F.count("*").alias("n"), F.max("hits").alias("hits")).where("n >= hits").select("did", "rid", "iid", "shift")
     found = materialize(found)
     # Only texts with a diagonal to compare are read and split again.
-    again = materialize(text.join(found.select("did", "rid").distinct(), ["did", "rid"], "left_semi").dropDuplicates(["did", "rid"]))
+    again = materialize(text.join(_keys(found, "did", "rid"), ["did", "rid"], "left_semi").dropDuplicates(["did", "rid"]))
     both = found.join(again.select("did", "rid", _tokens("text").alias("_w")), ["did", "rid"]).join(items, "iid")
     equal = F.expr("transform(sequence(greatest(0, -shift), least(size(_i), size(_w) - shift) - 1), k -> get(_w, k + shift) = _i[k])")
     key = ["did", "rid", "iid", "shift"]
@@ -132,6 +140,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     null ids, long texts and empty tables are as in `passages`.
     """
     d, r = free_names(docs, "did", "rid")
-    bad = passages(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("rid").alias(r)).distinct()
+    bad = _keys(passages(docs, benchmark).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(d), F.col("rid").alias(r)), d, r)
     did, rid = _row_keys()
     return docs.withColumns({d: did, r: rid}).join(bad, [d, r], "left_anti").select(*docs.columns)
