@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.keys import collapsed
 from waymark.functions.text import decoded, field_in, field_items, field_pieces, field_text, items_of, path_of, segments, states_a_prerequisite, text_of
+from waymark.sources.shared import dealt, materialize
 
 
 def page_records(pages: DataFrame, decode: Callable[[Column], Column] = decoded) -> DataFrame:
@@ -174,7 +175,7 @@ def named_fields(pages: DataFrame, key: str) -> DataFrame:
 
     page = Window.partitionBy(key).orderBy("pos")  # the tags of one page
     alike = Window.partitionBy(key, "name").orderBy("pos")
-    tags = _tags(pages, key)
+    tags = _tags(dealt(pages.select(key, "html"), key), key)  # every tag carries its page, so tasks are bounded by pages
     level = F.sum(F.when(F.col("opens"), 1).otherwise(-1)).over(alike)
     # a start tag and its end tag share the depth that holds between them
     deep = tags.withColumn("depth", F.when(F.col("opens"), level).otherwise(level + 1))
@@ -221,9 +222,10 @@ def catalogue_statements(pages: DataFrame, key: str, host: str, published: DataF
     rows = rows.withColumn("paths", F.when(F.col("t.bounded"), paths))
     kind = (F.when(~F.col("t.bounded"), "unbounded").when(F.size("paths") > 0, "typed").when(F.col("t").isNotNull(), "typed-no-link")
             .when(~F.col("p.bounded"), "unbounded").when(states_a_prerequisite("p.text"), "prose").when(F.col("p").isNotNull(), "says-none").otherwise("no-field"))
+    rows = materialize(rows.select(key, kind.alias("class"), "paths"))  # read twice
     hits = rows.select(key, F.explode("paths").alias("path")).join(published.select("path").distinct(), "path", "left_semi").groupBy(key).agg(F.count("*").alias("resolved"))
     out = rows.join(hits, key, "left")
-    return out.select(key, kind.alias("class"), F.greatest(F.coalesce(F.size("paths"), F.lit(0)), F.lit(0)).alias("links"), F.coalesce("resolved", F.lit(0)).alias("resolved"))
+    return out.select(key, "class", F.greatest(F.coalesce(F.size("paths"), F.lit(0)), F.lit(0)).alias("links"), F.coalesce("resolved", F.lit(0)).alias("resolved"))
 
 
 def resolved_links(links: DataFrame, pages: DataFrame, courses: DataFrame) -> DataFrame:

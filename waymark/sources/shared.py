@@ -60,3 +60,17 @@ def discard(df: DataFrame, folder: str = "") -> None:
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{df.waymark_path}/{folder}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of pages, or of what pages are made of, that one task takes.
+PAGES = 5_000
+
+
+def dealt(df: DataFrame, *by: str, like: DataFrame | None = None, rows: int = PAGES) -> DataFrame:
+    """df dealt by its key over a task for each so many rows. like: a table of as many rows, if it is easier to count.
+
+    For work that is long, or wide, for each row of a small table: by bytes alone
+    its rows would be put together in one task.
+    """
+    n = (df if like is None else like).count()
+    return df.repartition(max(1, -(-n // rows)), *by)
