@@ -304,3 +304,11 @@ def test_pages_are_dealt_by_their_number(spark):
     assert shared.dealt(t.v_course.limit(0), "course_id").count() == 0
     plan = columns.p16_catalogue(t)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # pages are read where they are written
+
+
+def test_only_routes_in_place_sort_nothing(spark):
+    from waymark.plans import measures
+    from waymark.sources.tables import Tables
+
+    plan = measures.j10(Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan

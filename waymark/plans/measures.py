@@ -13,6 +13,7 @@ from waymark.operators import sampling, structure
 from waymark.plans.columns import _HOST, _PATH, sheet
 from waymark.plans.registry import query
 from waymark.sources import readers
+from waymark.sources.shared import materialize
 
 
 
@@ -94,9 +95,16 @@ def j9(t):
 @query("J10_only_route_in_place", """WITH r AS (SELECT DISTINCT l.place_id, m.soc_code, o.unitid FROM v_located_in l JOIN v_offers o ON o.unitid = l.unitid JOIN v_prepares_for m ON m.cip_code = o.cip_code)
   SELECT place_id, soc_code, min(unitid) AS unitid FROM r GROUP BY place_id, soc_code HAVING count(DISTINCT unitid) = 1""")
 def j10(t):
-    """Occupations that one institution alone serves in its place: the anti-join for all institutions at once."""
-    r = t.v_offers.join(t.v_prepares_for, "cip_code").select("unitid", "soc_code").distinct().join(t.v_located_in, "unitid")
-    return r.groupBy("place_id", "soc_code").agg(F.min("unitid").alias("unitid"), F.max("unitid").alias("other")).where("unitid = other").select("place_id", "soc_code", "unitid")
+    """Occupations that one institution alone serves in its place: the anti-join for all institutions at once.
+
+    Institutions are numbered, so that the least and the greatest of an occupation
+    are hash-aggregated where routes meet and nothing is sorted. Neither minds
+    routes that repeat, so every row of completions stands for an offer.
+    """
+    units = materialize(t.v_located_in.distinct().withColumn("no", F.monotonically_increasing_id()))
+    placed = t.v_completion.select("unitid", "cip_code").join(units, "unitid")
+    r = placed.join(t.v_prepares_for.hint("shuffle_hash"), "cip_code").groupBy("place_id", "soc_code").agg(F.min("no").alias("no"), F.max("no").alias("other"))
+    return r.where("no = other").join(units.select("no", "unitid"), "no").select("place_id", "soc_code", "unitid")
 
 
 @query("J11_required_not_listed", "SELECT DISTINCT i.pathway_id, r.dst AS need FROM v_includes i JOIN v_requires r ON r.src = i.course_id WHERE NOT EXISTS (SELECT 1 FROM v_includes o WHERE o.pathway_id = i.pathway_id AND o.course_id = r.dst)")
