@@ -97,3 +97,22 @@ def test_shared_neighbours_and_the_most_shared(spark):
 def test_shared_pairs_are_not_shuffled(spark):
     plan = graph.shared_neighbours(spark.createDataFrame([("a", "x"), ("b", "x")], "src string, dst string"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_checks_of_written_tables_broadcast_little(spark, monkeypatch):
+    """The joins that end a loop run under the settings of written steps, and these are put back."""
+    from waymark.sources import shared
+
+    name, seen = "spark.sql.autoBroadcastJoinThreshold", []
+    before, whole = spark.conf.get(name), graph.is_empty
+
+    def watched(df):
+        check = df.isEmpty
+        df.isEmpty = lambda: seen.append(spark.conf.get(name)) or check()
+        return whole(df)
+
+    monkeypatch.setattr(graph, "is_empty", watched)
+    edges = spark.createDataFrame([(3, 2), (2, 1)], "src long, dst long")
+    assert graph.trails_into(edges, 1).first().trails == 2
+    assert {r.component for r in graph.components(edges).collect()} == {1}
+    assert len(seen) > 1 and set(seen) == {shared._WRITING[name]} and spark.conf.get(name) == before
