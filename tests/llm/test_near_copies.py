@@ -64,3 +64,29 @@ def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
     assert all(len(v) == 1 for v in names.values()) and len(set.union(*names.values())) == len(names) == 61
     kept = near_copies.drop_near_copies(docs).collect()
     assert sorted(r.doc_id for r in kept) == [r[0] for r in rows[:60]] + [200]
+
+
+def test_pairs_of_a_large_group_are_formed_once(spark):
+    """Copies of one text with many words changed share a hundred shingles or so: each pair that can be similar comes about once, and none that is similar lacks."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from waymark.llm import near_copies
+
+    rnd = random.Random(8)
+    base, texts = [str(rnd.randrange(10**6)) for _ in range(400)], []
+    for i in range(60):
+        own = base + [str(rnd.randrange(10**6)) for _ in range(i % 7)]
+        for _ in range(rnd.randint(2, 12)):
+            own[rnd.randrange(len(own))] = str(rnd.randrange(10**6))
+        texts.append(" ".join(own))
+    sets = [near_copies.shingles(t.encode()) for t in texts]
+    enough = lambda a, b: 9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b))
+    similar = {(i, j) for i in range(60) for j in range(i + 1, 60) if enough(sets[i], sets[j])}
+    order = spark.sparkContext.broadcast(np.zeros(near_copies.COUNTERS, np.uint8))
+    every = near_copies.prefixes(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), order)
+    rest = every.where("n > 0").withColumn("root", F.col("node")).drop("odd")
+    met = [(r.a, r.b) for r in near_copies._first_met(rest, every.where("n = 0").select("node", "odd")).collect()]
+    again = rest.select("key", F.col("node").alias("a")).join(rest.select("key", F.col("node").alias("b")), "key").where("a < b").count()
+    assert similar <= set(met) and len(similar) > 100
+    assert len(met) < 1.05 * len(set(met)) and len(set(met)) < 4 * len(similar) and again > 20 * len(met)

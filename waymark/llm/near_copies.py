@@ -9,12 +9,11 @@ come from prefix filtering: under any one order of all shingles, similar sets
 share one of their first n - ceil(0.8 n) + 1 shingles. The order is by frequency
 over all texts, as a table of 2^22 counters tells it (a shingle counts with those
 that share its counter), then by hash, so that common passages come last. Within
-a shared shingle all texts are first paired with two of them, then in further
-rounds with another one; only shingles whose texts are still in several
-components then pair the rest. A pair is compared if its sizes and the number of
-shingles that its prefixes share leave room for enough of them. No link is
-missed: the counters only order shingles, the bounds are those of the sets, and
-every comparison is exact.
+a shared shingle all texts are first paired with two of them; only shingles whose
+texts are still in several components then pair the rest. There a pair is formed at the first shingle that
+it shares, if its sizes, the places of that shingle and the parities of both sets
+leave room for enough more. No link is missed: the counters only order shingles,
+the bounds are those of the sets, and every comparison is exact.
 """
 
 from __future__ import annotations
@@ -38,14 +37,19 @@ SEED = 42
 COUNTERS, SPAN = 1 << 22, 1 << 12
 #: Tasks whose counters are summed in one group.
 FAN = 128
-#: Rounds in which the texts of a shingle are paired with one more of them.
-ROUNDS = 2
+#: Longs of a set's parities, and shared shingles before its own that a row of a shingle names.
+WORDS, BEFORE = 8, 16
 
 
 #: Whether two sets of na and nb can be similar if their prefixes share c. Of the set whose prefix ends first in the
 #: common order, all that is shared up to there is in both prefixes, and beyond it stand only ceil(0.8 n) - 1 shingles.
 _ENOUGH = "9L * (c + greatest((4 * na + 4) div 5, (4 * nb + 4) div 5) - 1) >= 4L * (na + nb) and 5L * least(na, nb) >= 4L * greatest(na, nb)"
 
+#: Whether two sets can be similar if the first shingle that they share is the i-th of each (from 0): all that they share
+#: is there or later, and all parities that differ stand for a shingle of only one of them.
+_ROOM = "5L * least(na, nb) >= 4L * greatest(na, nb) and 9L * least(na - ia, nb - ib) >= 4L * (na + nb)"
+_PARITY = "9L * (" + " + ".join(f"bit_count(pa[{k}] ^ pb[{k}])" for k in range(WORDS)) + ") <= na + nb"
+
 
 def shingles(text: bytes) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; one of all its words if they are fewer than SHINGLE."""
@@ -59,6 +63,12 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array(found, np.uint64).view(np.int64))
 
 
+def parities(own: np.ndarray) -> list[int]:
+    """WORDS longs of bits, each telling whether an odd number of the shingles have its number."""
+    odd = np.bincount((own >> 32) & (64 * WORDS - 1), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64).tolist()
+
+
 def node(*more: Column, text: str = "text") -> Column:
     """A hash of a text, seeded by what stands before it; null texts and texts without words are one."""
     own = F.coalesce(F.col(text), F.lit(""))
@@ -119,12 +129,12 @@ def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(texts: DataFrame, order: Broadcast) -> DataFrame:
-    """texts (node, text): key, node and n (size of the set) for each shingle of a set's prefix, and a row with n = 0 whose key is the set's fingerprint."""
+    """texts (node, text): key, node, n (size of the set) and i (place) for each shingle of a set's prefix, and a row with n = 0, the set's fingerprint as key and its parities."""
     small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, nodes = [], [], []
+            keys, sizes, nodes, odd = [], [], [], []
             for x_node, x in zip(batch.column("node").to_pylist(), batch.column("text")):
                 own = shingles(x.as_py().encode())
                 n = len(own)
@@ -133,13 +143,15 @@ def prefixes(texts: DataFrame, order: Broadcast) -> DataFrame:
                     keys += [own[: n - (4 * n + 4) // 5 + 1], np.array([majority(own.view(np.uint64))], np.uint64).view(np.int64)]
                     sizes += [n, 0]
                     nodes += [x_node] * 2
+                    odd += [None] * (len(keys[-2])) + [parities(own)]
             count = [len(k) for k in keys]
             if sum(count):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count))],
-                    names=["key", "node", "n"])
+                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, np.int64), count)), pa.array(np.repeat(np.array(sizes, np.int32), count)),
+                     pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in count])), pa.array(odd, pa.list_(pa.int64()))],
+                    names=["key", "node", "n", "i", "odd"])
 
-    return texts.mapInArrow(run, "key long, node long, n int")
+    return texts.mapInArrow(run, "key long, node long, n int, i int, odd array<long>")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,41 +182,48 @@ def near_copy_components(texts: DataFrame) -> DataFrame:
     """texts (node, text): node and root, which names its component, for nodes that have a link to another."""
     order = texts.sparkSession.sparkContext.broadcast(frequencies(texts))
     every = materialize(prefixes(texts, order).distinct())  # copies of a text are one node from here on
-    links = _similar(_fingerprint_pairs(every.where("n = 0").select("node", F.col("key").alias("fp")).distinct()), texts)
-    rows = every.where("n > 0")
+    prints = materialize(every.where("n = 0").select("node", F.col("key").alias("fp"), "odd"))
+    roots = connected_components(_similar(_fingerprint_pairs(prints.select("node", "fp")), texts))
+    rows = every.where("n > 0").select("key", "node", "n", "i")
     ends = materialize(rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).where("lo.node <> hi.node"))
     members = materialize(rows.join(ends.select("key"), "key", "left_semi"))
     discard(every)
     hubs = F.explode(F.array("lo", "hi"))
-    tried = materialize(_apart(_with_hubs(members, ends.select("key", hubs.alias("hub"))), connected_components(links)))
+    tried = materialize(_apart(_with_hubs(members, ends.select("key", hubs.alias("hub"))), roots))
     discard(ends)
-    links = links.union(_similar(tried, texts))
-    for k in range(ROUNDS + 1):
-        roots = connected_components(links)
-        named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        rest = materialize(named.join(several, "key", "left_semi").select("key", "node", "n", "root"))
-        discard(members)
-        members = rest.select("key", "node", "n")
-        members.waymark_path = rest.waymark_path
-        if k == ROUNDS:
-            break
-        one = rest.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))).alias("hub"))
-        more = _apart(_with_hubs(members, one), roots).join(tried, ["a", "b"], "left_anti")
-        more = materialize(more)
-        links = links.union(_similar(more, texts))
-        tried = tried.union(more)
-    a = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = a.join(b, "key").where("a < b and ra <> rb and 5L * least(na, nb) >= 4L * greatest(na, nb)")
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb")).where(_ENOUGH).select("a", "b")
-    more = _similar(materialize(pairs.join(tried, ["a", "b"], "left_anti")), texts)
-    found = materialize(connected_components(links.union(more)))
+    roots = _joined(roots, _similar(tried, texts))
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    rest = materialize(named.join(several, "key", "left_semi").select("key", "node", "n", "i", "root"))
+    discard(members)
+    more = _similar(materialize(_first_met(rest, prints).distinct().join(tried, ["a", "b"], "left_anti")), texts)
+    found = materialize(_joined(roots, more))
     discard(rest)
+    discard(prints)
     order.destroy()
     return found
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) of those of roots and links (a, b) between their nodes or others."""
+    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+
+def _first_met(rest: DataFrame, prints: DataFrame) -> DataFrame:
+    """rest (key, node, n, i, root), prints (node, odd): pairs (a, b), a < b, of different roots that can be similar.
+
+    A pair is formed where both have a key for the first time. A row names only
+    the last BEFORE keys before its own, so some pairs are formed again later;
+    none is left out, as what they name they share.
+    """
+    own = rest.groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.sort_array(F.collect_list(F.struct("i", "key"))).alias("own"))  # at most the text's prefix
+    own = own.join(prints.select("node", "odd"), "node").select("*", F.posexplode("own").alias("at", "it"))
+    own = own.select("it.key", "it.i", "node", "n", "root", "odd", F.slice(F.col("own.key"), F.greatest(F.lit(1), F.col("at") + 1 - BEFORE), F.least(F.lit(BEFORE), F.col("at"))).alias("before"))
+    own = materialize(own)
+    a, b = (own.select("key", *(F.col(c).alias(f"{short}{x}") for c, short in (("node", ""), ("n", "n"), ("i", "i"), ("root", "r"), ("odd", "p"), ("before", "f")))) for x in "ab")
+    return a.join(b, "key").where(f"a < b and ra <> rb and {_ROOM} and {_PARITY} and not arrays_overlap(fa, fb)").select("a", "b")
+
+
 def _with_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of the texts of a shingle (key, node, n) and its hubs (key, hub) whose prefixes share enough."""
     a, b = F.least("node", "hub.node"), F.greatest("node", "hub.node")
