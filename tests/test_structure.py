@@ -79,3 +79,20 @@ def test_sketches_and_the_exact_rest(spark):
     top = sorted((-n, a) for a, n in count.items() if n)[:5]
     assert [(x.node, x.n) for x in structure.most_reaching(e, 5, even).collect()] == [(a, -n) for n, a in top]
     assert structure.most_reaching(edges(spark, []), 5).count() == 0
+
+
+def test_reached_pairs_broadcasts_nothing(spark):
+    """Even small tables make broadcasts of many MB in the driver, in each round."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def plans():
+        bus.waitUntilEmpty()
+        done = store.executionsList()
+        return {r.executionId(): r.physicalPlanDescription() for r in (done.apply(i) for i in range(done.size()))}
+
+    before = plans()
+    chain = edges(spark, [(i, i + 1) for i in range(6)])
+    pairs = graph.reached_pairs(chain, chain.select(chain.src.alias("node")))
+    assert sorted(map(tuple, pairs.collect())) == [(i, j) for i in range(6) for j in range(i + 1, 7)]
+    made = [p for k, p in plans().items() if k not in before]
+    assert any("Join" in p for p in made) and not any("Broadcast" in p for p in made)

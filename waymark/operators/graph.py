@@ -54,14 +54,14 @@ def reach(edges: DataFrame, start: DataFrame, max_depth: int = MAX_DEPTH, stop:
 
 
 def reached_pairs(edges: DataFrame, start: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(node, at): what each node of start (node) reaches."""
-    edges = materialize(edges.select("src", "dst").distinct())
+    """(node, at): what each node of start (node) reaches. Nothing is broadcast, so the driver gets no more from larger tables."""
+    edges = materialize(edges.select("src", "dst").distinct(), broadcast=False)
     into = edges.select(F.col("src").alias("at"), F.col("dst").alias("next"))
-    last = materialize(start.select("node", F.col("node").alias("at")).distinct())
+    last = materialize(start.select("node", F.col("node").alias("at")).distinct(), broadcast=False)
     seen = None
     for _ in range(max_depth + 1):
         grown = last.join(into, "at").select("node", F.col("next").alias("at")).distinct()
-        last = materialize(grown if seen is None else grown.join(seen, ["node", "at"], "left_anti"))
+        last = materialize(grown if seen is None else grown.join(seen, ["node", "at"], "left_anti"), broadcast=False)
         if last.isEmpty():
             return last if seen is None else seen
         seen = last if seen is None else seen.unionByName(last)

@@ -39,16 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/waymark-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, by: str | None = None, broadcast: bool = True) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives a lost executor.
 
     Spark deletes the shuffle files of the write as soon as it is over, and joins
     in it broadcast nothing large unless told to. by: a column whose values get
-    folders of their own, which can be discarded alone.
+    folders of their own, which can be discarded alone. broadcast: whether small
+    tables are; in a long loop whose tables are small at first even these add up.
     """
     spark = df.sparkSession
     path = shared_dir(spark)
-    with _set(spark, _WRITING):
+    with _set(spark, _WRITING if broadcast else _WRITING | {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(by) if by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path).select(df.columns)
