@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -90,6 +91,30 @@ def test_pieces_equal_the_library_on_the_tables():
         assert own.encode(text).tolist() == want.ids
 
 
+def test_a_batch_of_texts_is_split_and_merged_at_once():
+    """Pieces of whole batches equal the library's, on texts made of what is hard to split; the merge is called once for a batch."""
+    rnd = random.Random(5)
+    parts = [*"'stmdrvel  \t\n\r!?1²¾ªµºéĀſ×÷¡", "'ll", "'ve", "'re", "'LL", " '", "''", "  ", "\n ", " \n", "word", "日", "\u00a0", "\u0085", "\x1c", "\x00", "ƀ", "😀", "<|endoftext|>", "<|endof", "text|>"]
+    plain = [x for x in parts if m._PLAIN(x) and "|" not in x]
+    texts = ["".join(rnd.choices(plain if i % 4 else parts, k=rnd.randint(0, 12))) for i in range(20_000)] + ["", "'", "it's", "'s's", "a'", " ", "x" * 9000, "<|endof", "text|>", ""]
+    own, calls = m.Encoder(BYTE), []
+    merge = own.merge
+    own.merge = lambda text: calls.append(len(text)) or merge(text)
+    want = [x.ids for x in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for kind in (pa.string(), pa.large_string()):
+        assert [x.tolist() for x in own.encode_all(pa.array(texts, kind))] == want
+    assert [x.tolist() for x in own.encode_all(pa.array(texts).slice(11, 5000))] == want[11:5011]
+    assert len(calls) == 3 and own.encode_all(pa.array([], pa.string())) == []
+    assert calls[0] < sum(map(len, texts)) / 2  # repeated pieces are merged once
+
+
+def test_batches_are_grouped_whole(monkeypatch):
+    monkeypatch.setattr(m, "GROUP", 1000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(k, k + 7)), pa.array(["y" * 30] * 7)], names=["doc_id", "text"]) for k in range(0, 70, 7)]
+    got = list(m.larger(iter(batches)))
+    assert 1 < len(got) < 10 and [i for b in got for i in b.column("doc_id").to_pylist()] == list(range(70))
+
+
 def test_a_file_with_other_frequencies_is_refused(spark):
     docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
     place = m.write_tokens(docs, BYTE)

@@ -12,7 +12,6 @@ to read it. Blocks also list the documents in them, by their numbers of ids.
 
 from __future__ import annotations
 
-import array
 import functools
 import re
 import zlib
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import DIGITS, LETTERS, NULL_ID, PLAIN, materialize, shared_dir, small_batches
+from .common import DIGITS, LETTERS, NULL_ID, PLAIN, materialize, shared_dir, small_batches, text_bytes
 
 END_ID = 2
 #: States of a block, steps of them in a segment, and segments in a block.
@@ -34,11 +33,77 @@ LANES, STEPS, SEGMENTS = 1024, 128, 2
 #: Bits of the sum of all frequencies.
 SCALE = 20
 LOW = np.uint64(1 << 31)
-#: Words kept in a worker's cache of encoded words.
-CACHE = 1_000_000
+#: Bytes of the batches whose distinct pieces are merged at once, and pieces whose ids are gathered at once.
+GROUP, SPAN = 8 << 20, 1 << 18
 
 _PLAIN = re.compile(PLAIN).fullmatch
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\t-\r {LETTERS}{DIGITS}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+#: Kinds of bytes. A character of two bytes has the kind of its letter, digit or symbol in both; OTHER is in no plain text.
+OTHER, SPACE, LETTER, DIGIT, SYMBOL, LEAD = range(6)
+
+
+def _kind(c: str) -> int:
+    if not _PLAIN(c):
+        return OTHER
+    return SPACE if c in "\t\n\v\f\r " else LETTER if re.match(f"[{LETTERS}]", c) else DIGIT if re.match(f"[{DIGITS}]", c) else SYMBOL
+
+
+_BYTES = np.array([LEAD if 0xC2 <= b <= 0xC5 else _kind(chr(b)) if b < 0x80 else OTHER for b in range(256)], np.uint8)
+_PAIRS = np.array([_kind(chr(c)) for c in range(0x80, 0x180)], np.uint8)  # characters of lead bytes C2 to C5
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8 texts."""
+    out = _BYTES[data]
+    lead = out == LEAD
+    if lead.any():
+        follow = np.append(data[1:], np.uint8(0))[lead]
+        kind = np.where((follow & 0xC0) == 0x80, _PAIRS[((data[lead] - 0xC2) << 6) + (follow & 0x3F)], OTHER)
+        out[lead] = kind
+        second = lead[:-1]
+        out[1:][second] = kind[: second.sum()]
+    return out
+
+
+def _piece_starts(data: np.ndarray, kinds: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of plain texts begin: `'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?[^\\sLN]+|\\s+(?!\\S)|\\s+`. starts: first bytes of the texts.
+
+    A run of one kind is a piece, but takes a blank before it along; what else is
+    white space before other characters leaves its last one by itself.
+    """
+    n = len(data)
+    first = np.zeros(n + 1, bool)
+    first[starts] = True
+    first[n] = True
+    run = first.copy()
+    run[1:n] |= kinds[1:] != kinds[:-1]
+    out = run[:n].copy()
+    out[1:] &= (data[:-1] != 32) | first[1:n]
+    out[:-1] |= (kinds[:-1] == SPACE) & run[1:n] & ~first[1:n]
+    at = np.flatnonzero((data == 39) & out & run[:n])  # apostrophes with no symbol and no blank before them
+    at = at[~first[at + 1]]
+    one, two = data[at + 1], np.where(first[at + 2], 0, data[np.minimum(at + 2, n - 1)])
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    out[at[short | long] + 1] = False
+    ends = np.concatenate([at[short] + 2, at[long] + 3])
+    out[ends[ends < n]] = True
+    return np.flatnonzero(out)
+
+
+def _places(data: bytes, part: bytes) -> Iterator[int]:
+    at = data.find(part)
+    while at >= 0:
+        yield at
+        at = data.find(part, at + 1)
+
+
+def _parted(words: pa.Array) -> str:
+    """The words, each with a zero character after it."""
+    data, offsets = text_bytes(words)
+    out, own = np.zeros(len(data) + len(words), np.uint8), np.ones(len(data) + len(words), bool)
+    own[offsets[1:] + np.arange(len(words))] = False
+    out[own] = data
+    return out.tobytes().decode()
 
 
 def _ranks(tokenizer: Tokenizer) -> dict[bytes, int]:
@@ -50,42 +115,85 @@ def _ranks(tokenizer: Tokenizer) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids of a text as the tokenizer gives them.
+    """Ids of texts as the tokenizer gives them.
 
-    Plain texts are split into the tokenizer's pieces; each piece is merged once,
-    by tiktoken over the tokenizer's own ranks, and remembered as bytes. Other
-    texts, and those with special tokens, go through the tokenizer whole.
+    Plain texts are split into the tokenizer's pieces, a batch of texts at once;
+    each distinct piece of a batch is merged once, by tiktoken over the
+    tokenizer's own ranks. Other texts, and those with special tokens, go through
+    the tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.merge = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=_ranks(self.tokenizer), special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks = _ranks(self.tokenizer)
+        self.end = ranks[b"\0"]  # no plain text has this byte: it parts pieces
+        self.merge = tiktoken.Encoding("own", pat_str=r"\x00|[^\x00]+", mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+
+    def _merged(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces that begin at starts, and how many each has."""
+        cut = np.append(starts, len(data))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(data)]).dictionary_encode()
+        own = self.merge(_parted(words.dictionary))
+        end, which = np.flatnonzero(own == self.end), words.indices.to_numpy()
+        begin = np.append(0, end[:-1] + 1)[: len(end)]
+        n = (end - begin).astype(np.int32)[which]
+        ids = [np.zeros(0, np.uint32)]
+        for at in range(0, len(n), SPAN):
+            some = n[at : at + SPAN]
+            ids.append(own[np.repeat(begin[which[at : at + SPAN]] - np.cumsum(some) + some, some) + np.arange(some.sum())])
+        return np.concatenate(ids), n
+
+    def encode_all(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a column without nulls."""
+        data, offsets = text_bytes(column)
+        kinds, size = _kinds(data), np.diff(offsets)
+        plain, whole = np.ones(len(size), bool), data.tobytes()
+        plain[size > 0] = ~np.logical_or.reduceat(kinds == OTHER, offsets[:-1][size > 0]) if len(data) else True
+        for s in self.special:
+            plain[np.searchsorted(offsets, list(_places(whole, s)), "right") - 1] = False
+        if not plain.all():
+            keep = np.repeat(plain, size)
+            data, kinds = np.ascontiguousarray(data[keep]), kinds[keep]
+        edges = np.concatenate([[0], np.cumsum(size[plain])])
+        starts = _piece_starts(data, kinds, edges) if len(data) else np.zeros(0, np.int64)
+        ids, counts = self._merged(data, starts)
+        cut = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, edges)]
+        own = iter(zip(cut[:-1].tolist(), cut[1:].tolist()))
+        out = []
+        for i, p in enumerate(plain.tolist()):
+            if p:
+                a, b = next(own)
+                out.append(ids[a:b])
+            else:
+                out.append(np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32))
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        if not _PLAIN(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        pieces, known = _PIECES(text), self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            if len(known) >= CACHE:
-                known.clear()
-                new = pieces
-            for piece in new:
-                if piece not in known:
-                    known[piece] = array.array("I", self.merge(piece)).tobytes()
-        return np.frombuffer(b"".join([known[p] for p in pieces]), "<u4")
+        return self.encode_all(pa.array([text], pa.large_string()))[0]
 
 
 @functools.cache
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker, whose tasks share what it remembers."""
+    """One encoder for each worker."""
     return Encoder(path)
 
 
+def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in groups of GROUP bytes or a little more."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GROUP:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def scaled(counts: np.ndarray) -> np.ndarray:
     """Frequencies that sum to 2**SCALE, one at least for each id that occurs."""
     total = max(1, int(counts.sum()))
@@ -157,8 +265,8 @@ def _tokens(path: str, end: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, pack = encoder(path), zstandard.ZstdCompressor(1)
-        for batch in batches:
-            found = [np.append(own.encode(t.as_py()), np.uint32(end)) for t in batch.column("text")]
+        for batch in larger(batches):
+            found = [np.append(x, np.uint32(end)) for x in own.encode_all(batch.column("text"))]
             data = [pack.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes()) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("did"), batch.column("th"), pa.array([len(x) for x in found], pa.int64()), pa.array(data, pa.binary())], schema=_IDS)
 
