@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, small_batches
-from .rans_tokens import END_ID, encoder
+from .rans_tokens import END_ID, encoder, larger
 
 LIMIT = 1024
 
@@ -42,10 +42,10 @@ def _pieces(path: str, end: int, limit: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, seen = encoder(path), TaskContext.get().partitionId(), [0] * (limit + 1)
-        for batch in batches:
+        for batch in larger(batches):
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(own.encode(text.as_py()), np.uint32(end)).astype("<u4").tobytes()
+            for doc, found in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text"))):
+                ids = np.append(found, np.uint32(end)).astype("<u4").tobytes()
                 start = 0
                 for k, n in enumerate(cuts(len(ids) // 4, limit)):
                     data = ids[4 * start : 4 * (start + n)]
