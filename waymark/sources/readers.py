@@ -155,7 +155,7 @@ def table_cells(df: DataFrame, markup: str) -> DataFrame:
     from waymark.functions.text import text_of
 
     rows = F.regexp_extract_all(F.col(markup), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
-    cells = F.transform(F.regexp_extract_all(F.col("body"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), 1), text_of)
+    cells = F.transform(F.regexp_extract_all(F.col("body"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), 1), lambda x: text_of(x))  # a function of two would be given the cell's place, too
     return df.select(*(c for c in df.columns if c != markup), F.posexplode(rows).alias("row", "body")).select(*(c for c in df.columns if c != markup), "row", cells.alias("cells"))
 
 
