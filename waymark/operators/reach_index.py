@@ -5,12 +5,13 @@ numbered in the order of a walk through the trees. Two intervals follow. The
 numbers below a node in its tree are reached from it for certain. And the least
 and greatest numbers of all that a node reaches hold those of whatever it
 reaches: where one interval is not within the other, or the longest way out of a
-node is no shorter, there is no way. Pairs that the labels leave open are walked,
-through nodes that the labels leave open too.
+node is no shorter, there is no way. Pairs that the labels leave open are walked
+from one of their ends.
 """
 
 from __future__ import annotations
 
+from collections.abc import Generator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,14 +73,21 @@ class ReachIndex:
     def _some(self, test) -> Column:
         return reduce(lambda a, b: a | b, [test(t) for t in range(self.forests)])
 
-    def decided(self, pairs: DataFrame) -> DataFrame:
-        """pairs (src, dst) with `reached`: true or false where labels tell, null where they don't. A node does not reach itself; unknown nodes reach nothing."""
-        a, b = (self.labels.select(F.col("node").alias(end), F.struct("n", "end", "low", "high", "depth").alias(x)) for end, x in (("src", "a"), ("dst", "b")))
-        both = pairs.select("src", "dst").join(a, "src", "left").join(b, "dst", "left")
+    def _struct(self, end: str, name: str) -> DataFrame:
+        """(end, name): each node with its labels in one column."""
+        return self.labels.select(F.col("node").alias(end), F.struct("n", "end", "low", "high", "depth").alias(name))
+
+    def _verdict(self) -> Column:
+        """Whether the node with the labels a reaches another with the labels b: true or false where they tell, null where they don't."""
         sure = self._some(lambda t: F.col("b.n")[t].between(F.col("a.n")[t], F.col("a.end")[t]))
         may = self._every(lambda t: (F.col("b.low")[t] >= F.col("a.low")[t]) & (F.col("b.high")[t] <= F.col("a.high")[t]))
         no = F.col("a").isNull() | F.col("b").isNull() | (F.col("b.depth") >= F.col("a.depth")) | ~may
-        return both.select("src", "dst", F.when(no, F.lit(False)).when(sure, F.lit(True)).alias("reached"))
+        return F.when(no, F.lit(False)).when(sure, F.lit(True))
+
+    def decided(self, pairs: DataFrame) -> DataFrame:
+        """pairs (src, dst) with `reached`: true or false where labels tell, null where they don't. A node does not reach itself; unknown nodes reach nothing."""
+        both = pairs.select("src", "dst").join(self._struct("src", "a"), "src", "left").join(self._struct("dst", "b"), "dst", "left")
+        return both.select("src", "dst", self._verdict().alias("reached"))
 
     def told(self, sources: DataFrame) -> DataFrame:
         """(src, dst): the pairs out of sources (node) of which labels alone tell that there is a way: those below them in one of the trees."""
@@ -89,23 +97,63 @@ class ReachIndex:
         return self.decided(below.join(at, ["forest", "n"]).select("src", "dst").distinct()).where("reached").select("src", "dst")
 
     def reached(self, pairs: DataFrame) -> DataFrame:
-        """pairs (src, dst) with `reached` true or false. Open pairs are walked back from dst until labels tell of a predecessor that src reaches."""
+        """pairs (src, dst) with `reached` true or false. Pairs that labels leave open are walked, from the side that has fewer rows to go on with, so about twice the work of the better side at most."""
         first = materialize(self.decided(pairs.distinct()))
-        back = self.edges.select(F.col("src").alias("before"), F.col("dst").alias("at"))
-        walk = first.where("reached is null").select("src", "dst", F.col("dst").alias("at"))
-        seen, hits = walk, first.where("reached").select("src", "dst")
-        for _ in range(MAX_DEPTH + 1):
-            step = walk.join(back, "at").select("src", "dst", F.col("before").alias("at")).distinct()
-            step = step.join(seen, ["src", "dst", "at"], "left_anti")
-            told = self.decided(step.where("src <> at").select("src", F.col("at").alias("dst")).distinct()).withColumnRenamed("dst", "at")
-            here = materialize(step.join(told, ["src", "at"], "left").withColumn("reached", F.when(F.col("src") == F.col("at"), True).otherwise(F.col("reached"))))
-            new = here.where("reached").select("src", "dst").distinct()
-            hits = hits.unionByName(new)  # a pair that is hit is walked no further
-            walk = materialize(here.where("reached is null").join(new, ["src", "dst"], "left_anti").select("src", "dst", "at"))
-            if walk.isEmpty():
-                break
-            seen = seen.unionByName(walk)
-        return pairs.join(hits.withColumn("hit", F.lit(True)), ["src", "dst"], "left").select(*pairs.columns, F.coalesce("hit", F.lit(False)).alias("reached"))
+        found, open_ = (first.where(c).select("src", "dst") for c in ("reached", "reached is null"))
+        if not open_.isEmpty():
+            sides = [self._down(open_), self._up(open_)]
+            rows, ways = [next(side) for side in sides], None
+            while ways is None:
+                k = rows.index(min(rows))
+                try:
+                    rows[k] = next(sides[k])
+                except StopIteration as end:
+                    ways = end.value
+            found = found.unionByName(ways)
+        return pairs.join(found.withColumn("hit", F.lit(True)), ["src", "dst"], "left").select(*pairs.columns, F.coalesce("hit", F.lit(False)).alias("reached"))
+
+    def _down(self, pairs: DataFrame) -> Generator[int, None, DataFrame]:
+        """The pairs with a way, by steps from src along edges; yields the rows of the next step. Left out are nodes whose longest way out is shorter than that of all nodes sought."""
+        depth = lambda end: self.labels.select(F.col("node").alias(end), "depth")
+        last = materialize(pairs.join(depth("dst"), "dst").groupBy("src").agg(F.min("depth").alias("least")).select("src", "least", F.col("src").alias("at")), broadcast=False)
+        into = seen = None
+        while rows := last.count():  # ends, as labels are of a DAG
+            yield rows
+            if into is None:
+                into = materialize(self.edges.join(depth("dst"), "dst").select(F.col("src").alias("at"), F.col("dst").alias("next"), "depth"), broadcast=False)
+            grown = last.join(into, "at").where("depth >= least").select("src", "least", F.col("next").alias("at")).distinct()
+            last = materialize(grown if seen is None else grown.join(seen, ["src", "at"], "left_anti"), broadcast=False)
+            seen = last if seen is None else seen.unionByName(last)
+        return pairs.join(seen.select("src", F.col("at").alias("dst")), ["src", "dst"], "left_semi")
+
+    def _up(self, pairs: DataFrame) -> Generator[int, None, DataFrame]:
+        """The pairs with a way, by steps from dst against edges; yields the rows of the next step.
+
+        There is a way if src reaches a predecessor. Those that labels leave open are
+        asked in turn, each once for a source, however many pairs lead to it; then
+        what was found goes back along the edges asked.
+        """
+        last = seen = pairs.select("src", F.col("dst").alias("at"))
+        asked, back, sources = [], None, None
+        while rows := last.count():  # ends, as labels are of a DAG
+            yield rows
+            if back is None:
+                back = materialize(self.edges.select(F.col("src").alias("before"), F.col("dst").alias("at")).join(self._struct("before", "b"), "before"), broadcast=False)
+                sources = materialize(self._struct("src", "a").join(pairs.select("src").distinct(), "src", "left_semi"), broadcast=False)
+            verdict = F.when(F.col("src") == F.col("before"), True).otherwise(self._verdict())
+            asked.append(materialize(last.join(back, "at").join(sources, "src").select("src", "at", "before", verdict.alias("reached")).where("reached is null or reached"), broadcast=False))
+            hit = asked[-1].where("reached").select("src", "at")  # those are followed no further
+            open_ = asked[-1].where("reached is null").join(hit, ["src", "at"], "left_anti")
+            last = materialize(open_.select("src", F.col("before").alias("at")).distinct().join(seen, ["src", "at"], "left_anti"), broadcast=False)
+            seen = seen.unionByName(last)
+        links = materialize(reduce(DataFrame.unionByName, asked), broadcast=False)
+        last = hits = materialize(links.where("reached").select("src", "at").distinct(), broadcast=False)
+        links = links.where("reached is null")
+        while not last.isEmpty():
+            told = links.join(last.select("src", F.col("at").alias("before")), ["src", "before"], "left_semi").select("src", "at").distinct()
+            last = materialize(told.join(hits, ["src", "at"], "left_anti"), broadcast=False)
+            hits = hits.unionByName(last)
+        return pairs.join(hits.select("src", F.col("at").alias("dst")), ["src", "dst"], "left_semi")
 
     def descendants(self, node: int) -> DataFrame:
         """(node): what a node reaches."""
